@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from veleta.llm import quality_rules
+from veleta.llm import exact_dedup, quality_rules, warc
 from veleta.llm.text import table
 
 
@@ -12,10 +12,23 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(table(spark, sf_dir, "documents"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.round_trip(spark, table(spark, sf_dir, "pages"))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_dedup.assign(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op8_warc": op8_warc,
+    "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE_SQL,
+    "op8_warc": warc.ORACLE_SQL,
+    "op10_exact_dedup": exact_dedup.ORACLE_SQL,
 }
