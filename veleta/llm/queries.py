@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from veleta.llm import exact_dedup, quality_rules, warc
+from veleta.llm import bpe, exact_dedup, packing, quality_rules, warc
 from veleta.llm.text import table
 
 
@@ -12,6 +13,26 @@ def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.score(table(spark, sf_dir, "documents"))
 
 
+def vocabulary_path(name: str) -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(spark, table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
+
+
+def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
+    return done.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     records = warc.round_trip(spark, table(spark, sf_dir, "pages"))
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
@@ -23,6 +44,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op5_best_fit_packing": op5_best_fit_packing,
+    "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_warc": op8_warc,
     "op10_exact_dedup": op10_exact_dedup,
 }
