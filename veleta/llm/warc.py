@@ -1,8 +1,8 @@
 """WARC archives as a chunked record table.
 
 An archive is a table of rows (record_id, chunk_no, data): the data of a
-record's rows in order are its WARC bytes, header block first. Payloads are
-cut into chunks, and each row carries the SHA-1 of the payload up to its end,
+record's rows in order are its WARC bytes as gzip members, header block first,
+so that joined they are a .warc.gz record. Payloads are cut into chunks, and each row carries the SHA-1 of the payload up to its end,
 so that writer and reader hold one chunk and one running digest, never a whole
 record, and a lost or damaged chunk shows at once. The table is written to the
 shared folder and read back from there.
@@ -20,6 +20,7 @@ empty archive; further columns are ignored.
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import uuid
 from collections.abc import Iterable, Iterator
@@ -36,6 +37,7 @@ CHUNK_BYTES = 64 << 10
 HEADER_BYTES = 1 << 20
 #: Payloads of fewer bytes are always stored.
 LEAST_BYTES = 1000
+GZIP_LEVEL = 3
 _END = b"\r\n\r\n"
 
 CHUNK_FIELDS = "record_id string, chunk_no int, running_sha1 string, data binary"
@@ -70,6 +72,11 @@ def _clean(value: str) -> str:
     return value.replace("\r", "%0D").replace("\n", "%0A")
 
 
+def _member(data: bytes) -> bytes:
+    """One gzip member."""
+    return gzip.compress(data, compresslevel=GZIP_LEVEL, mtime=0)
+
+
 def record_chunks(page_id, url, payload: memoryview, refers_to, revisit: bool, chunk: int = CHUNK_BYTES) -> Iterator[tuple]:
     """Rows of one record: its header block, then its payload chunk by chunk."""
     key = uuid.uuid4().hex
@@ -90,14 +97,14 @@ def record_chunks(page_id, url, payload: memoryview, refers_to, revisit: bool, c
     head = "\r\n".join(fields).encode() + _END + http
     running = hashlib.sha1()
     if revisit or not len(payload):
-        yield key, 0, running.hexdigest(), head + _END
+        yield key, 0, running.hexdigest(), _member(head + _END)
         return
-    yield key, 0, running.hexdigest(), head
+    yield key, 0, running.hexdigest(), _member(head)
     for no, i in enumerate(cuts, 1):
         piece = payload[i : i + chunk]
         running.update(piece)
         last = i + chunk >= len(payload)
-        yield key, no, running.hexdigest(), bytes(piece) + (_END if last else b"")
+        yield key, no, running.hexdigest(), _member(bytes(piece) + (_END if last else b""))
 
 
 def write_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -121,6 +128,7 @@ class RecordReader:
         if chunk_no != self.next_no:
             raise ValueError(f"chunk {self.next_no} is missing")
         self.next_no += 1
+        data = gzip.decompress(data)
         if self.fields is None:
             self.head += data
             at = self.head.find(_END)
