@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veleta.llm import bpe, exact_dedup, packing, quality_rules, warc
+from veleta.llm import bpe, exact_dedup, jaccard_join, packing, quality_rules, warc
 from veleta.llm.text import table
 
 
@@ -38,6 +38,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op9_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_components(spark, table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(table(spark, sf_dir, "documents"))
 
@@ -47,6 +51,7 @@ QUERIES = {
     "op5_best_fit_packing": op5_best_fit_packing,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_warc": op8_warc,
+    "op9_jaccard_join": op9_jaccard_join,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
