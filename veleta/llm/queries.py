@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veleta.llm import bpe, exact_dedup, jaccard_join, packing, quality_rules, warc
+from veleta.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_rules, warc
 from veleta.llm.text import table
 
 
@@ -23,6 +23,11 @@ def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
 
 
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.report(pii.detect(docs, weights=pii.fit(docs)))
+
+
 def op7_bpe_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     done = bpe.round_trip(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
     return done.select(
@@ -49,6 +54,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op5_best_fit_packing": op5_best_fit_packing,
+    "op6_pii": op6_pii,
     "op7_bpe_round_trip": op7_bpe_round_trip,
     "op8_warc": op8_warc,
     "op9_jaccard_join": op9_jaccard_join,
