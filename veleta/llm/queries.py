@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veleta.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_rules, warc
+from veleta.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_rules, recurrent_lm, warc
 from veleta.llm.text import table
 
 
@@ -19,6 +19,10 @@ def vocabulary_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return recurrent_lm.score(spark, table(spark, sf_dir, "documents"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
 
@@ -53,6 +57,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
+    "op2_lm_scoring": op2_lm_scoring,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_pii": op6_pii,
     "op7_bpe_round_trip": op7_bpe_round_trip,
