@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veleta.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_rules, recurrent_lm, warc
+from veleta.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_classifier, quality_rules, recurrent_lm, url_filters, warc
 from veleta.llm.text import table
 
 
@@ -23,6 +23,15 @@ def op2_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return recurrent_lm.score(spark, table(spark, sf_dir, "documents"))
 
 
+def op3_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    return url_filters.judge(url_filters.dated_captures(pages), url_filters.derived_list(pages))
+
+
+def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op5_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(spark, table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
 
@@ -58,6 +67,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_lm_scoring": op2_lm_scoring,
+    "op3_url_filters": op3_url_filters,
+    "op4_quality_classifier": op4_quality_classifier,
     "op5_best_fit_packing": op5_best_fit_packing,
     "op6_pii": op6_pii,
     "op7_bpe_round_trip": op7_bpe_round_trip,
@@ -68,6 +79,7 @@ QUERIES = {
 
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE_SQL,
+    "op3_url_filters": url_filters.ORACLE_SQL,
     "op8_warc": warc.ORACLE_SQL,
     "op10_exact_dedup": exact_dedup.ORACLE_SQL,
 }
