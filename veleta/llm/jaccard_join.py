@@ -51,6 +51,8 @@ LONG_ABOVE = 16
 PIVOTS = 16
 #: 64-bit words of a parity sketch.
 SKETCH = 8
+#: Words of the wide sketch of documents that are in a candidate pair.
+WIDE_SKETCH = 128
 #: At most so many frequent shingles, the most frequent ones, are sent to the tasks (8 bytes each).
 MOST_HOT = 1 << 20
 #: Up to so many identifiers are broadcast to pick documents; beyond, they are joined by shuffle.
@@ -106,9 +108,9 @@ KEY_FIELDS = "doc long, n long, g1 long, g2 long, s1 long, s2 long, " + ", ".joi
 _KEY_NAMES = [f.split()[0] for f in KEY_FIELDS.split(", ")]
 
 
-def _sketch(h: np.ndarray) -> np.ndarray:
+def _sketch(h: np.ndarray, words: int = SKETCH) -> np.ndarray:
     """Bit b is the parity of the members that hash to b."""
-    odd = (np.bincount((h & np.uint64(64 * SKETCH - 1)).astype(np.int64), minlength=64 * SKETCH) & 1).astype(np.uint8)
+    odd = (np.bincount((h & np.uint64(64 * words - 1)).astype(np.int64), minlength=64 * words) & 1).astype(np.uint8)
     return np.packbits(odd).view(np.int64)
 
 
@@ -162,22 +164,40 @@ def _pairs(a: Column, b: Column) -> list[Column]:
     return [F.least(a, b).alias("u"), F.greatest(a, b).alias("v")]
 
 
-def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
-    """Those pairs (u, v) whose whole sets are similar enough."""
+def _of_pairs(docs: DataFrame, pairs: DataFrame, made, kind: str) -> DataFrame:
+    """doc and `made` of its shingle set (kind: its Spark type), for the documents of the pairs."""
     spark = docs.sparkSession
     ids = keep(spark, pairs.select(F.col("u").alias("doc")).unionByName(pairs.select(F.col("v").alias("doc"))).distinct(), "ids")
     picked = docs.join(F.broadcast(ids) if ids.count() <= BROADCAST_IDS else ids, "doc", "left_semi")
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _sliced(batches):
-            yield pa.RecordBatch.from_arrays([batch.column(0), _lists(list(hash_sets(_texts(batch, 1))))], names=["doc", "s"])
+            sets = list(hash_sets(_texts(batch, 1)))
+            sizes = pa.array(np.array([len(h) for h in sets], np.int64))
+            yield pa.RecordBatch.from_arrays([batch.column(0), sizes, _lists([made(h) for h in sets])], names=["doc", "n", "s"])
 
-    sets = keep(spark, picked.mapInArrow(run, "doc long, s array<long>"), "sets")
-    both = pairs.join(sets.select(F.col("doc").alias("u"), F.col("s").alias("su")), "u").join(
-        sets.select(F.col("doc").alias("v"), F.col("s").alias("sv")), "v"
-    )
+    return keep(spark, picked.mapInArrow(run, f"doc long, n long, s {kind}"), "sets")
+
+
+def _joined_pairs(pairs: DataFrame, of: DataFrame) -> DataFrame:
+    u = of.select(F.col("doc").alias("u"), F.col("n").alias("nu"), F.col("s").alias("su"))
+    v = of.select(F.col("doc").alias("v"), F.col("n").alias("nv"), F.col("s").alias("sv"))
+    return pairs.join(u, "u").join(v, "v")
+
+
+def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """Those pairs (u, v) whose whole sets are similar enough.
+
+    Wide sketches, a kilobyte a document, sort out most pairs first, so that
+    whole sets travel for little more than the links themselves.
+    """
+    wide = _joined_pairs(pairs, _of_pairs(docs, pairs, lambda h: _sketch(h, WIDE_SKETCH).view(np.uint64), "array<long>"))
+    differ = F.aggregate(F.zip_with("su", "sv", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
+    hopeful = wide.filter((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("nu") + F.col("nv"))).select("u", "v")
+    hopeful = keep(docs.sparkSession, hopeful, "hopeful")
+    both = _joined_pairs(hopeful, _of_pairs(docs, hopeful, lambda h: h, "array<long>"))
     common = F.size(F.array_intersect("su", "sv"))
-    return both.filter((100 + PERCENT) * common >= PERCENT * (F.size("su") + F.size("sv"))).select("u", "v").distinct()
+    return both.filter((100 + PERCENT) * common >= PERCENT * (F.col("nu") + F.col("nv"))).select("u", "v").distinct()
 
 
 def _met(a: DataFrame, b: DataFrame, also: Column) -> DataFrame:
