@@ -1 +1,269 @@
+"""Keys, upserts, dimensions, facts and the pull-request catalog over the given tables."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from veleta.operators import keys
+from veleta.plans import catalog, gold
+from veleta.plans.activity import SQL as ACT
+from veleta.plans.activity import activity, read
+
 QUERIES, ORACLES = {}, {}
+
+
+def _add(name: str, query, sql: str) -> None:
+    QUERIES[name], ORACLES[name] = query, sql
+
+
+_add(
+    "snapshot_dedup",
+    lambda spark, sf_dir: keys.latest_per_key(read(spark, sf_dir, "events"), ["event_type", "user_id"], [F.desc_nulls_last("ts"), F.desc_nulls_last("event_id")]).select("event_type", "user_id", "event_id", "value"),
+    "SELECT event_type, user_id, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1",
+)
+_add(
+    "snapshot_by_aggregate",
+    lambda spark, sf_dir: keys.newest_by_aggregate(read(spark, sf_dir, "events"), ["event_type", "user_id"], ["ts", "event_id"], ["value"]).drop("ts"),
+    "SELECT event_type, user_id, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC NULLS LAST, event_id DESC) = 1",
+)
+
+
+def _halves(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    e = read(spark, sf_dir, "events").select("event_type", "user_id", "event_id", "ts", "value")
+    newest = lambda d: keys.latest_per_key(d, ["event_type", "user_id"], [F.desc("ts"), F.desc("event_id")])
+    return newest(e.filter("event_id % 2 = 0")), newest(e.filter("event_id % 2 = 1"))
+
+
+_add(
+    "upsert_newest",
+    lambda spark, sf_dir: keys.upsert_newest(*_halves(spark, sf_dir), ["event_type", "user_id"], ["ts", "event_id"]).drop("ts"),
+    "SELECT event_type, user_id, event_id, value FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) = 1",
+)
+_add(
+    "ledger_pending",
+    lambda spark, sf_dir: keys.pending(
+        read(spark, sf_dir, "documents").select("source").distinct(), read(spark, sf_dir, "documents").filter("doc_id % 20 < 12").select("source", F.lit("v1").alias("version")).distinct(), "source", "version", "v1"
+    ),
+    "SELECT DISTINCT source FROM documents WHERE source NOT IN (SELECT source FROM documents WHERE doc_id % 20 < 12)",
+)
+_add(
+    "idempotence_ratio",
+    lambda spark, sf_dir: read(spark, sf_dir, "events").agg(F.round(F.count(F.lit(1)) / F.count_distinct("event_type", "user_id"), 6).alias("f")),
+    "SELECT round(count(*)::DOUBLE / count(DISTINCT (event_type, user_id)), 6) AS f FROM events",
+)
+_add(
+    "dim_time",
+    lambda spark, sf_dir: gold.time_dimension(activity(spark, sf_dir), "fecha_evento"),
+    f"""WITH {ACT}, d AS (SELECT DISTINCT fecha_evento AS fecha FROM act)
+SELECT fecha, year(fecha)::INTEGER AS anio, CASE WHEN month(fecha) <= 6 THEN 1 ELSE 2 END AS semestre, quarter(fecha)::INTEGER AS trimestre, month(fecha)::INTEGER AS mes,
+  ['Enero', 'Febrero', 'Marzo', 'Abril', 'Mayo', 'Junio', 'Julio', 'Agosto', 'Septiembre', 'Octubre', 'Noviembre', 'Diciembre'][month(fecha)] AS nombre_mes,
+  weekofyear(fecha)::INTEGER AS semana, day(fecha)::INTEGER AS dia, isodow(fecha)::INTEGER AS dia_semana,
+  ['Lunes', 'Martes', 'Miércoles', 'Jueves', 'Viernes', 'Sábado', 'Domingo'][isodow(fecha)] AS nombre_dia, isodow(fecha) >= 6 AS es_fin_semana FROM d""",
+)
+_add("dim_agent", lambda spark, sf_dir: gold.consolidated(activity(spark, sf_dir), "nombre_agente", "categoria_agente"), f"WITH {ACT} SELECT nombre_agente, min(categoria_agente) AS categoria_agente FROM act GROUP BY 1")
+_add(
+    "dim_latest_attrs",
+    lambda spark, sf_dir: gold.latest_attributes(activity(spark, sf_dir), ["nombre_comunidad"], ["nombre_plataforma", "tipo_plataforma"], ["fecha_evento", "id_origen_registro"]),
+    f"WITH {ACT} SELECT nombre_comunidad, nombre_plataforma, tipo_plataforma FROM act QUALIFY row_number() OVER (PARTITION BY nombre_comunidad ORDER BY fecha_evento DESC, id_origen_registro DESC) = 1",
+)
+
+
+def _dims(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    """Old and new customers as a dimension, by the parity of their key."""
+    c = read(spark, sf_dir, "customer")
+    old = c.filter("c_custkey % 3 < 2").select(F.col("c_name").alias("nombre"), F.col("c_mktsegment").alias("segmento"), F.col("c_custkey").alias("id"))
+    new = c.filter("c_custkey % 3 > 0").select(F.col("c_name").alias("nombre"), F.concat_ws("-", "c_mktsegment", "c_nationkey").alias("segmento"))
+    return old, new
+
+
+_add(
+    "dim_upsert",
+    lambda spark, sf_dir: (lambda old, new: keys.with_surrogate_keys(new, old, ["nombre"], "id"))(*_dims(spark, sf_dir)),
+    """WITH o AS (SELECT c_name AS nombre, c_mktsegment AS segmento, c_custkey AS id FROM customer WHERE c_custkey % 3 < 2),
+n AS (SELECT c_name AS nombre, c_mktsegment || '-' || c_nationkey AS segmento FROM customer WHERE c_custkey % 3 > 0),
+j AS (SELECT coalesce(n.nombre, o.nombre) AS nombre, coalesce(n.segmento, o.segmento) AS segmento, o.id FROM n FULL JOIN o ON n.nombre = o.nombre)
+SELECT nombre, segmento, coalesce(id, (SELECT max(id) FROM o) + row_number() OVER (PARTITION BY id IS NULL ORDER BY nombre))::BIGINT AS id FROM j""",
+)
+_add(
+    "fact_derive",
+    lambda spark, sf_dir: _observations(spark, sf_dir).transform(gold.fact_scores).select(
+        "id_origen_registro", "cantidad_menciones", "score_popularidad", "score_actividad", "score_comunidad", "score_adopcion", "valor_numerico_normalizado",
+        gold.lineage(F.col("raw_record_id"), [F.col("fuente"), F.col("id_origen_registro")]).alias("fact_lineage_key"),
+    ),
+    """SELECT event_id::VARCHAR AS id_origen_registro, user_id AS cantidad_menciones, CAST(coalesce(CASE WHEN value > 10 THEN value END, 0) AS DECIMAL(12,4)) AS score_popularidad,
+  CAST(event_id % 5 + event_id % 11 AS DECIMAL(12,4)) AS score_actividad, CAST(CASE WHEN event_type = 'devto' OR event_id % 4 = 0 THEN user_id + event_id % 5 ELSE 0 END AS DECIMAL(12,4)) AS score_comunidad,
+  CAST(coalesce(CASE WHEN event_id % 3 = 0 THEN value * 2 END, 0) AS DECIMAL(12,4)) AS score_adopcion,
+  CAST(coalesce(CAST(CASE WHEN value > 10 THEN value END AS DECIMAL(18,6)), CAST(CASE WHEN event_id % 3 = 0 THEN value * 2 END AS DECIMAL(18,6)), CAST(event_id % 5 AS DECIMAL(18,6))) AS DECIMAL(12,6)) AS valor_numerico_normalizado,
+  CASE WHEN event_id % 2 = 0 THEN 'raw:' || event_id ELSE 'legacy:' || md5(event_type || chr(31) || event_id) END AS fact_lineage_key FROM events""",
+)
+
+
+def _observations(spark, sf_dir) -> DataFrame:
+    e, i = read(spark, sf_dir, "events"), F.col("event_id")
+    return e.select(
+        i.cast("string").alias("id_origen_registro"),
+        F.col("event_type").alias("fuente"),
+        F.when(i % 4 == 0, "comunidad").alias("categoria"),
+        F.when(i % 2 == 0, i).alias("raw_record_id"),
+        F.col("user_id").alias("cantidad_menciones"),
+        (i % 5).alias("cantidad_interacciones"),
+        (i % 11).alias("stars_github"),
+        F.lit(None).cast("long").alias("forks_github"),
+        F.lit(None).cast("long").alias("issues_abiertos"),
+        F.lit(0).cast("long").alias("releases"),
+        F.when(F.col("value") > 10, F.col("value")).alias("score_popularidad"),
+        F.when(i % 3 == 0, F.col("value") * 2).alias("indice_adopcion"),
+        F.lit(None).cast("double").alias("indice_innovacion"),
+    )
+
+
+def _facts(spark, sf_dir) -> DataFrame:
+    o = read(spark, sf_dir, "orders")
+    old = o.filter("o_orderkey % 3 < 2").select(F.col("o_orderkey").alias("id_hecho"), F.col("o_orderkey").cast("string").alias("grano"), F.concat(F.lit("raw:"), "o_orderkey").alias("linaje"), F.col("o_totalprice").alias("medida"))
+    new = o.filter("o_orderkey % 3 > 0").select(F.col("o_orderkey").cast("string").alias("grano"), F.concat(F.lit("new:"), "o_orderkey").alias("linaje"), (F.col("o_totalprice") * 2).alias("medida"))
+    return keys.upsert_fact(new, old, ["grano"], "id_hecho", "linaje")
+
+
+_add(
+    "fact_upsert",
+    _facts,
+    """WITH o AS (SELECT o_orderkey AS id, o_orderkey::VARCHAR AS g, 'raw:' || o_orderkey AS l, o_totalprice AS m FROM orders WHERE o_orderkey % 3 < 2),
+n AS (SELECT o_orderkey::VARCHAR AS g, 'new:' || o_orderkey AS l, o_totalprice * 2 AS m FROM orders WHERE o_orderkey % 3 > 0),
+j AS (SELECT o.id, coalesce(n.g, o.g) AS grano, coalesce(o.l, n.l) AS linaje, coalesce(n.m, o.m) AS medida FROM n FULL JOIN o ON n.g = o.g)
+SELECT coalesce(id, (SELECT max(id) FROM o) + row_number() OVER (PARTITION BY id IS NULL ORDER BY grano))::BIGINT AS id_hecho, grano, linaje, medida FROM j""",
+)
+_add(
+    "fk_check",
+    lambda spark, sf_dir: gold.orphans(read(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "c_custkey"), read(spark, sf_dir, "customer").filter("c_custkey % 10 > 0"), "c_custkey").agg(F.count(F.lit(1)).alias("huerfanos")),
+    "SELECT count(*)::BIGINT AS huerfanos FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer WHERE c_custkey % 10 > 0)",
+)
+_add(
+    "retire_source",
+    lambda spark, sf_dir: keys.retire(read(spark, sf_dir, "events"), "event_type", "click").groupBy("event_type").agg(F.count(F.lit(1)).alias("n")),
+    "SELECT event_type, count(*)::BIGINT AS n FROM events WHERE event_type <> 'click' GROUP BY 1",
+)
+_add(
+    "retire_orphans",
+    lambda spark, sf_dir: keys.without_orphans(read(spark, sf_dir, "events").select("user_id").distinct(), keys.retire(read(spark, sf_dir, "events"), "event_type", "click").filter("value > 50"), "user_id"),
+    "SELECT DISTINCT user_id FROM events WHERE event_type <> 'click' AND value > 50",
+)
+_add(
+    "backfill_run",
+    lambda spark, sf_dir: read(spark, sf_dir, "events").select(F.coalesce(F.when(F.col("event_id") % 3 > 0, F.concat(F.lit("run-"), F.col("event_id") % 3)), F.lit("legacy")).alias("run_id")).groupBy("run_id").agg(F.count(F.lit(1)).alias("n")),
+    "SELECT CASE WHEN event_id % 3 > 0 THEN 'run-' || (event_id % 3) ELSE 'legacy' END AS run_id, count(*)::BIGINT AS n FROM events GROUP BY 1",
+)
+
+
+def _consolidated(spark, sf_dir) -> DataFrame:
+    c = read(spark, sf_dir, "customer")
+    new = c.filter("c_custkey % 4 > 0").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("nombre"), F.lit("nuevo").alias("origen"))
+    old = c.filter("c_custkey % 4 < 2").select(F.when(F.col("c_custkey") % 8 > 0, F.col("c_custkey")).alias("id"), F.upper("c_name").alias("nombre"))
+    return keys.consolidate(new, old, "id")
+
+
+_add(
+    "consolidate",
+    _consolidated,
+    """SELECT c_custkey AS id, c_name AS nombre, 'nuevo' AS origen FROM customer WHERE c_custkey % 4 > 0
+UNION ALL SELECT CASE WHEN c_custkey % 8 > 0 THEN c_custkey END, upper(c_name), NULL FROM customer WHERE c_custkey % 4 = 0""",
+)
+_add(
+    "key_report",
+    lambda spark, sf_dir: keys.key_report(_consolidated(spark, sf_dir), "id"),
+    "WITH c AS (SELECT CASE WHEN c_custkey % 8 > 0 THEN c_custkey END AS id FROM customer) SELECT count(*)::BIGINT AS n_rows, count(DISTINCT id)::BIGINT AS n_keys, (count(*) FILTER (id IS NULL))::BIGINT AS null_keys FROM c",
+)
+
+# The catalog: orders stand for pull requests, line items for reviews, parts for repositories, customers for users.
+AGENTS = {"1-URGENT": "Urgent", "2-HIGH": "High"}
+SUPPORTED = ("Urgent", "High", "3-MEDIUM", "5-LOW")
+
+
+def _catalog_inputs(spark, sf_dir) -> tuple[DataFrame, ...]:
+    t = lambda n: read(spark, sf_dir, n)
+    ts = F.date_format("o_orderdate", "yyyy-MM-dd'T'HH:mm:ss'Z'")
+    url = F.concat(F.lit("https://github.com/org/r"), F.col("o_custkey") % 50)
+    prs = t("orders").select(
+        F.col("o_orderkey").alias("id"),
+        F.concat(F.lit("t"), "o_orderkey").alias("title"),
+        F.col("o_orderpriority").alias("agent"),
+        F.col("o_custkey").alias("user_id"),
+        F.when(F.col("o_orderkey") % 3 == 0, F.col("o_custkey") % 50).alias("repo_id"),
+        F.when(F.col("o_orderkey") % 5 > 0, url).alias("repo_url"),
+        F.concat(F.lit("u"), "o_orderkey").alias("html_url"),
+        ts.alias("created_at"),
+        F.when(F.col("o_orderstatus") == "F", ts).alias("merged_at"),
+    )
+    repos = t("part").filter("p_partkey < 40").select(
+        F.col("p_partkey").alias("id"), F.concat(F.lit("https://github.com/org/r"), "p_partkey").alias("url"), F.lit("MIT").alias("license"),
+        F.concat(F.lit("org/r"), "p_partkey").alias("full_name"), F.col("p_brand").alias("language"), F.col("p_size").alias("forks"), (F.col("p_size") * 2).alias("stars"),
+    )
+    reviews = t("lineitem").select(
+        F.xxhash64("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id"), F.col("l_orderkey").alias("pr_id"),
+        F.when(F.col("l_returnflag") == "A", "APPROVED").when(F.col("l_returnflag") == "R", "CHANGES_REQUESTED").otherwise("COMMENTED").alias("state"),
+        F.when(F.col("l_linestatus") == "O", "User").otherwise("Bot").alias("user_type"),
+    )
+    tasks = t("orders").filter("o_orderkey % 4 > 0").select(F.col("o_orderkey").alias("id"), F.concat(F.lit("k"), F.col("o_orderkey") % 4).alias("type"), (F.col("o_orderkey") % 10).cast("double").alias("confidence"))
+    users = t("customer").filter("c_custkey % 7 > 0").select(F.col("c_custkey").alias("id"))
+    return prs, repos, reviews, tasks, users
+
+
+def _catalog(spark, sf_dir, annual: bool = False) -> tuple[DataFrame, DataFrame]:
+    prs, repos, reviews, tasks, users = _catalog_inputs(spark, sf_dir)
+    repos = catalog.repositories(repos)
+    kept = catalog.pull_requests(prs, repos, AGENTS, SUPPORTED, "1996-01-01", "1999-12-31", annual=annual)
+    return kept, catalog.catalog(kept, repos, reviews, tasks, users)
+
+
+def _final(spark, sf_dir) -> DataFrame:
+    rows = catalog.records(_catalog(spark, sf_dir, True)[1], 0, "catalog")
+    pairs = F.transform(F.map_entries("task_type_counts"), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string")))
+    return rows.withColumn("task_type_counts", F.array_join(pairs, ",")).withColumn("task_confidence_mean", F.round("task_confidence_mean", 6)).drop("dataset", "total_users_dataset")
+
+
+_PRS = """r AS (SELECT p_partkey AS id, 'https://github.com/org/r' || p_partkey AS url, 'org/r' || p_partkey AS full_name, p_brand AS language, p_size AS forks, p_size * 2 AS stars FROM part WHERE p_partkey < 40),
+p0 AS (SELECT o_orderkey AS id, 't' || o_orderkey AS title, CASE o_orderpriority WHEN '1-URGENT' THEN 'Urgent' WHEN '2-HIGH' THEN 'High' ELSE o_orderpriority END AS agent, o_custkey AS user_id,
+  CASE WHEN o_orderkey % 3 = 0 THEN o_custkey % 50 END AS rid, CASE WHEN o_orderkey % 5 > 0 THEN 'https://github.com/org/r' || (o_custkey % 50) END AS repo_url, 'u' || o_orderkey AS html_url,
+  o_orderdate AS created_at, CASE WHEN o_orderstatus = 'F' THEN o_orderdate END AS merged_at FROM orders),
+p1 AS (SELECT p0.*, coalesce(rid, r.id) AS repo_id FROM p0 LEFT JOIN r ON p0.repo_url = r.url WHERE agent IN ('Urgent', 'High', '3-MEDIUM', '5-LOW') AND created_at >= TIMESTAMP '1996-01-01' AND created_at < TIMESTAMP '2000-01-01'),
+p AS (SELECT *, coalesce('id:' || repo_id, 'url:' || repo_url, 'pr:' || id){suffix} AS repo_key FROM p1),
+v AS (SELECT l_orderkey AS pr_id, count(*) AS review_count, count(*) FILTER (l_linestatus = 'O') AS human, count(*) FILTER (l_linestatus <> 'O') AS bot, count(*) FILTER (l_returnflag = 'A') AS approved, count(*) FILTER (l_returnflag = 'R') AS changes
+  FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linestatus, l_returnflag FROM lineitem) GROUP BY 1),
+k AS (SELECT o_orderkey AS id, 'k' || (o_orderkey % 4) AS type, (o_orderkey % 10)::DOUBLE AS confidence FROM orders WHERE o_orderkey % 4 > 0),
+u AS (SELECT c_custkey AS id FROM customer WHERE c_custkey % 7 > 0)"""
+_add(
+    "cat_prs",
+    lambda spark, sf_dir: _catalog(spark, sf_dir)[0].select("id", "agent", "repo_id", "repo_key"),
+    f"WITH {_PRS.format(suffix='')} SELECT id, agent, repo_id, repo_key FROM p",
+)
+_add(
+    "cat_reviews",
+    lambda spark, sf_dir: catalog.reviews_by_pr(_catalog_inputs(spark, sf_dir)[2]),
+    f"WITH {_PRS.format(suffix='')} SELECT pr_id, review_count, human AS human_review_count, bot AS bot_review_count, approved AS approved_review_count, changes AS changes_requested_review_count FROM v",
+)
+_ISO = "'%Y-%m-%dT%H:%M:%SZ'"
+_GROUPED = f"""g AS (SELECT p.agent, repo_key, min(repo_id) AS repo_id, min(repo_url) AS repo_url, count(*)::BIGINT AS pull_requests_count, count(merged_at)::BIGINT AS merged_pull_requests, count(DISTINCT user_id)::BIGINT AS unique_contributors,
+  count(DISTINCT u.id)::BIGINT AS known_contributors, strftime(min(created_at), {_ISO}) AS first_activity, strftime(max(created_at), {_ISO}) AS last_activity, arg_min(title, p.id) AS sample_pr_title, arg_min(html_url, p.id) AS sample_pr_url,
+  count(v.pr_id)::BIGINT AS reviewed_pull_requests, coalesce(sum(review_count), 0)::BIGINT AS review_count, coalesce(sum(human), 0)::BIGINT AS human_review_count, coalesce(sum(bot), 0)::BIGINT AS bot_review_count,
+  coalesce(sum(approved), 0)::BIGINT AS approved_review_count, coalesce(sum(changes), 0)::BIGINT AS changes_requested_review_count, count(k.type)::BIGINT AS task_classified_pull_requests, round(avg(confidence), 6) AS task_confidence_mean
+  FROM p LEFT JOIN v ON p.id = v.pr_id LEFT JOIN k ON p.id = k.id LEFT JOIN u ON p.user_id = u.id GROUP BY 1, 2)"""
+_add(
+    "cat_grouped",
+    lambda spark, sf_dir: (lambda i, kept: catalog.grouped(kept, i[2], i[3], i[4]).withColumn("task_confidence_mean", F.round("task_confidence_mean", 6)))(_catalog_inputs(spark, sf_dir), _catalog(spark, sf_dir)[0]),
+    f"WITH {_PRS.format(suffix='')}, {_GROUPED} SELECT * FROM g",
+)
+_add(
+    "cat_final",
+    _final,
+    f"""WITH {_PRS.format(suffix=" || ':year:' || year(created_at)")}, {_GROUPED}, c AS (SELECT agent, repo_key, type, count(*) AS n FROM p JOIN k ON p.id = k.id GROUP BY 1, 2, 3), m AS (SELECT agent, repo_key, string_agg(type || '=' || n, ',' ORDER BY type) AS t FROM c GROUP BY 1, 2)
+SELECT g.agent || ':' || g.repo_key AS id, g.* EXCLUDE (repo_key, repo_url, sample_pr_title, sample_pr_url), coalesce(g.repo_url, '') AS repo_url, g.sample_pr_title, g.sample_pr_url,
+  year(strptime(g.first_activity, {_ISO}))::INTEGER AS activity_year, round_even(merged_pull_requests / pull_requests_count, 4) AS merge_rate, coalesce(r.url, '') AS repo_api_url,
+  coalesce(r.full_name, nullif(regexp_replace(g.repo_url, '^https?://(api\\.)?github\\.com/(repos/)?', ''), ''), g.repo_key) AS full_name, coalesce(r.language, '') AS language, CASE WHEN r.id IS NULL THEN '' ELSE 'MIT' END AS license,
+  coalesce(r.stars, 0)::BIGINT AS stars, coalesce(r.forks, 0)::BIGINT AS forks, coalesce(m.t, '') AS task_type_counts
+FROM g LEFT JOIN r ON g.repo_id = r.id LEFT JOIN m ON g.agent = m.agent AND g.repo_key = m.repo_key""",
+)
+_add(
+    "cat_stats",
+    lambda spark, sf_dir: catalog.statistics(*_catalog(spark, sf_dir)),
+    f"WITH {_PRS.format(suffix='')}, {_GROUPED} SELECT (SELECT count(*) FROM p)::BIGINT AS pull_request_rows_read, (SELECT count(*) FROM p WHERE repo_id IS NULL)::BIGINT AS unresolved_repository_prs, count(*)::BIGINT AS records_generated, sum(review_count)::BIGINT AS review_rows_linked, sum(task_classified_pull_requests)::BIGINT AS task_rows_linked FROM g",
+)
