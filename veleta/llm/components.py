@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veleta.llm.shared import keep
+from veleta.llm.shared import forget, keep
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -31,7 +31,8 @@ def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     edges = keep(spark, edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
     state = None
     while True:
-        edges = keep(spark, _star(_star(edges, True), False), "edges")
+        before, edges = edges, keep(spark, _star(_star(edges, True), False), "edges")
+        forget(spark, before)
         # every vertex has one edge, to its component, when no vertex is both above and below
         now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:

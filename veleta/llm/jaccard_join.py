@@ -40,7 +40,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veleta.llm.components import components
-from veleta.llm.shared import keep
+from veleta.llm.shared import forget, keep
 from veleta.llm.shingles import hash_sets, mix
 
 PERCENT = 80
@@ -53,7 +53,7 @@ PIVOTS = 16
 SKETCH = 8
 #: Words of the wide sketch of documents that are in a candidate pair.
 WIDE_SKETCH = 128
-#: At most so many frequent shingles, the most frequent ones, are sent to the tasks (8 bytes each).
+#: At most so many frequent shingles, the most frequent ones, are sent to the tasks (4 bytes each).
 MOST_HOT = 1 << 20
 #: Up to so many identifiers are broadcast to pick documents; beyond, they are joined by shuffle.
 BROADCAST_IDS = 1 << 21
@@ -85,17 +85,21 @@ def _base(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def frequent_shingles(docs: DataFrame) -> np.ndarray:
-    """The most frequent shingles among the first part of each set, sorted."""
+    """Fingerprints of the most frequent shingles among the first part of each set, sorted.
+
+    A fingerprint is the upper half of a hash; two shingles that share one are
+    ordered alike, which no link depends on.
+    """
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _sliced(batches):
-            part = [h[: 3 * prefix_length(len(h)) // 2] for h in hash_sets(_texts(batch, 0))]
+            part = [np.unique(h[: 5 * prefix_length(len(h)) // 4] >> np.uint64(32)) for h in hash_sets(_texts(batch, 0))]
             if sum(map(len, part)):
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part).view(np.int64))], names=["s"])
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part).astype(np.uint32).view(np.int32))], names=["s"])
 
-    counts = docs.select("text").mapInArrow(run, "s long").groupBy("s").count().filter(F.col("count") > HOT_ABOVE)
-    top = counts.orderBy(F.desc("count"), "s").limit(MOST_HOT).select("s").toPandas()["s"].to_numpy(np.int64)
-    return np.sort(top.view(np.uint64))
+    counts = docs.select("text").mapInArrow(run, "s int").groupBy("s").count().filter(F.col("count") > HOT_ABOVE)
+    top = counts.orderBy(F.desc("count"), "s").limit(MOST_HOT).select("s").toPandas()["s"].to_numpy(np.int32)
+    return np.sort(top.view(np.uint32))
 
 
 def _fold(values: np.ndarray, seed: int) -> int:
@@ -124,8 +128,9 @@ def keyed(docs: DataFrame, hot: np.ndarray) -> DataFrame:
             sets, prefixes = list(hash_sets(_texts(batch, 1))), []
             for h in sets:
                 if len(hot) and len(h):
-                    at = np.searchsorted(hot, h)
-                    late = hot[np.minimum(at, len(hot) - 1)] == h
+                    upper = (h >> np.uint64(32)).astype(np.uint32)
+                    at = np.searchsorted(hot, upper)
+                    late = hot[np.minimum(at, len(hot) - 1)] == upper
                     h = np.concatenate([h[~late], h[late]])
                 prefixes.append(h[: prefix_length(len(h))] if len(h) else h)
             number = lambda found: pa.array(np.array(found, np.int64))
@@ -176,7 +181,9 @@ def _of_pairs(docs: DataFrame, pairs: DataFrame, made, kind: str) -> DataFrame:
             sizes = pa.array(np.array([len(h) for h in sets], np.int64))
             yield pa.RecordBatch.from_arrays([batch.column(0), sizes, _lists([made(h) for h in sets])], names=["doc", "n", "s"])
 
-    return keep(spark, picked.mapInArrow(run, f"doc long, n long, s {kind}"), "sets")
+    made_of = keep(spark, picked.mapInArrow(run, f"doc long, n long, s {kind}"), "sets")
+    forget(spark, ids)
+    return made_of
 
 
 def _joined_pairs(pairs: DataFrame, of: DataFrame) -> DataFrame:
@@ -191,13 +198,19 @@ def verified(docs: DataFrame, pairs: DataFrame) -> DataFrame:
     Wide sketches, a kilobyte a document, sort out most pairs first, so that
     whole sets travel for little more than the links themselves.
     """
-    wide = _joined_pairs(pairs, _of_pairs(docs, pairs, lambda h: _sketch(h, WIDE_SKETCH).view(np.uint64), "array<long>"))
+    spark = docs.sparkSession
+    sketches = _of_pairs(docs, pairs, lambda h: _sketch(h, WIDE_SKETCH).view(np.uint64), "array<long>")
+    wide = _joined_pairs(pairs, sketches)
     differ = F.aggregate(F.zip_with("su", "sv", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
     hopeful = wide.filter((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("nu") + F.col("nv"))).select("u", "v")
-    hopeful = keep(docs.sparkSession, hopeful, "hopeful")
-    both = _joined_pairs(hopeful, _of_pairs(docs, hopeful, lambda h: h, "array<long>"))
+    hopeful = keep(spark, hopeful, "hopeful")
+    forget(spark, sketches)
+    sets = _of_pairs(docs, hopeful, lambda h: h, "array<long>")
+    both = _joined_pairs(hopeful, sets)
     common = F.size(F.array_intersect("su", "sv"))
-    return both.filter((100 + PERCENT) * common >= PERCENT * (F.col("nu") + F.col("nv"))).select("u", "v").distinct()
+    links = keep(spark, both.filter((100 + PERCENT) * common >= PERCENT * (F.col("nu") + F.col("nv"))).select("u", "v").distinct(), "links")
+    forget(spark, sets, hopeful)
+    return links
 
 
 def _met(a: DataFrame, b: DataFrame, also: Column) -> DataFrame:
@@ -241,7 +254,7 @@ def link_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     stars = seen.select("gid", F.explode("pivots").alias("pivot")).filter("gid <> pivot").select(*_pairs(F.col("gid"), F.col("pivot")))
     inner = grouped.filter("gid <> doc").select(*_pairs(F.col("gid"), F.col("doc")))
     tried = keep(spark, _promising(met.unionByName(stars).unionByName(inner).distinct(), sketches), "tried")
-    links = keep(spark, verified(base, tried), "links")
+    links = verified(base, tried)
     so_far = components(spark, links).withColumnRenamed("vertex", "doc")
 
     # what is not settled by that: pairs of one posting or group whose members are not all in one component
@@ -267,7 +280,7 @@ def link_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     two = placed.select(F.col("gid").alias("v"), F.col("doc").alias("dv"), F.col("c").alias("cv"))
     expanded = group_pairs.join(one, "u").join(two, "v").filter("cu <> cv and du <> dv").select(*_pairs(F.col("du"), F.col("dv")))
     rest = keep(spark, _promising(expanded.distinct().join(tried, ["u", "v"], "left_anti"), sketches), "rest")
-    more = keep(spark, verified(base, rest), "links")
+    more = verified(base, rest)
     joined = components(spark, links.unionByName(more))
 
     # members stand for all documents with their set

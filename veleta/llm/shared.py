@@ -23,3 +23,12 @@ def keep(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     path = shared_folder(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def forget(spark: SparkSession, *kept: DataFrame) -> None:
+    """Delete tables of `keep` that nothing reads any more."""
+    for df in kept:
+        files = df.inputFiles()
+        if files:
+            path = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
