@@ -7,7 +7,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from veleta.operators.measures import change, moving_average, share, top_and_others
-from veleta.plans.kpi import N, by_month
+from veleta.plans import kpi
+from veleta.plans.kpi import by_month
 
 MONTH = ["anio", "mes"]
 
@@ -19,7 +20,7 @@ def trend(act: DataFrame) -> DataFrame:
 
 def leader(act: DataFrame) -> DataFrame:
     """One row: leader, runner-up, their gap in percent, and the agent with most interactions an observation."""
-    by = act.groupBy("nombre_agente").agg(N, F.sum("cantidad_interacciones").alias("i_"))
+    by = act.groupBy("nombre_agente").agg(kpi.rows(), F.sum("cantidad_interacciones").alias("i_"))
     ranked = by.withColumn("rn_", F.row_number().over(W.orderBy(F.desc("total_observaciones"), "nombre_agente")))
     at = lambda c, i: F.max(F.when(F.col("rn_") == i, F.col(c)))
     first, second = at("total_observaciones", 1), at("total_observaciones", 2)
@@ -74,7 +75,7 @@ def agent_points(act: DataFrame) -> DataFrame:
 
 def heat_map(act: DataFrame, months: int = 18) -> DataFrame:
     """Agent x month cells of the last months, with each agent's total and the row's and overall maximum."""
-    cells = act.groupBy("nombre_agente", F.year("fecha_evento").alias("anio"), F.month("fecha_evento").alias("mes")).agg(N)
+    cells = act.groupBy("nombre_agente", F.year("fecha_evento").alias("anio"), F.month("fecha_evento").alias("mes")).agg(kpi.rows())
     recent = cells.withColumn("r_", F.dense_rank().over(W.orderBy(F.desc("anio"), F.desc("mes")))).filter(F.col("r_") <= months).drop("r_")
     agent = W.partitionBy("nombre_agente")
     return (
@@ -85,7 +86,7 @@ def heat_map(act: DataFrame, months: int = 18) -> DataFrame:
 
 
 def category_others(act: DataFrame, most: int = 6) -> DataFrame:
-    by = act.groupBy("categoria_agente").agg(N)
+    by = act.groupBy("categoria_agente").agg(kpi.rows())
     return top_and_others(by, "categoria_agente", "total_observaciones", most).withColumn("porcentaje", share("total_observaciones"))
 
 
@@ -97,7 +98,7 @@ def top_variations(act: DataFrame, most: int = 3) -> DataFrame:
 def insights(act: DataFrame) -> DataFrame:
     """One row: peak month, top source and top agent; ties take the later month and the greater name."""
     month = by_month(act).agg(F.max_by(F.concat_ws("-", "anio", F.lpad(F.col("mes").cast("string"), 2, "0")), F.struct("total_observaciones", "anio", "mes")).alias("mes_pico"))
-    top = lambda c, name: act.groupBy(c).agg(N).agg(F.max_by(c, F.struct("total_observaciones", c)).alias(name))
+    top = lambda c, name: act.groupBy(c).agg(kpi.rows()).agg(F.max_by(c, F.struct("total_observaciones", c)).alias(name))
     return month.join(top("nombre_fuente", "fuente_principal")).join(top("nombre_agente", "agente_principal"))
 
 
@@ -111,4 +112,4 @@ def last_complete_month(act: DataFrame, as_of: str) -> DataFrame:
 
 
 def totals(act: DataFrame) -> DataFrame:
-    return act.agg(N, F.round(F.sum("score_adopcion").cast("double"), 4).alias("adopcion_total"), F.sum("cantidad_menciones").alias("total_menciones"))
+    return act.agg(kpi.rows(), F.round(F.sum("score_adopcion").cast("double"), 4).alias("adopcion_total"), F.sum("cantidad_menciones").alias("total_menciones"))

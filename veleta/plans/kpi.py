@@ -8,9 +8,17 @@ from pyspark.sql import functions as F
 
 from veleta.operators.measures import change, mean, share
 
-N = F.count(F.lit(1)).alias("total_observaciones")
-MENTIONS = F.sum("cantidad_menciones").alias("total_menciones")
-INTERACTIONS = F.sum("cantidad_interacciones").alias("total_interacciones")
+
+def rows():
+    return F.count(F.lit(1)).alias("total_observaciones")
+
+
+def mentions():
+    return F.sum("cantidad_menciones").alias("total_menciones")
+
+
+def interactions():
+    return F.sum("cantidad_interacciones").alias("total_interacciones")
 
 
 def total(column: str, name: str):
@@ -19,21 +27,21 @@ def total(column: str, name: str):
 
 def adoption(act: DataFrame) -> DataFrame:
     return act.groupBy("nombre_agente", "categoria_agente").agg(
-        N, MENTIONS, INTERACTIONS, mean("score_adopcion").alias("promedio_score_adopcion"), total("score_adopcion", "score_adopcion_total")
+        rows(), mentions(), interactions(), mean("score_adopcion").alias("promedio_score_adopcion"), total("score_adopcion", "score_adopcion_total")
     )
 
 
 def source_share(act: DataFrame) -> DataFrame:
-    by = act.groupBy("nombre_fuente", "tipo_fuente").agg(N, MENTIONS, INTERACTIONS)
+    by = act.groupBy("nombre_fuente", "tipo_fuente").agg(rows(), mentions(), interactions())
     return by.withColumn("porcentaje_participacion", share("total_observaciones"))
 
 
 def by_month(act: DataFrame) -> DataFrame:
     months = act.withColumn("anio", F.year("fecha_evento")).withColumn("mes", F.month("fecha_evento"))
     return months.groupBy("anio", "mes").agg(
-        N,
-        MENTIONS,
-        INTERACTIONS,
+        rows(),
+        mentions(),
+        interactions(),
         total("score_actividad", "score_actividad_total"),
         mean("score_popularidad").alias("promedio_popularidad"),
         mean("score_adopcion").alias("promedio_adopcion"),
@@ -42,7 +50,7 @@ def by_month(act: DataFrame) -> DataFrame:
 
 def agent_ranking(act: DataFrame) -> DataFrame:
     scores = F.col("score_actividad") + F.col("score_popularidad") + F.col("score_adopcion")
-    by = act.withColumn("s_", scores).groupBy("nombre_agente").agg(N, F.sum("s_").alias("s_"))
+    by = act.withColumn("s_", scores).groupBy("nombre_agente").agg(rows(), F.sum("s_").alias("s_"))
     return by.select(
         "nombre_agente",
         "total_observaciones",
@@ -53,15 +61,15 @@ def agent_ranking(act: DataFrame) -> DataFrame:
 
 
 def open_source_popularity(act: DataFrame, sources: list[str], platforms: list[str]) -> DataFrame:
-    rows = act.filter(F.col("nombre_fuente").isin(sources) | F.col("nombre_plataforma").isin(platforms))
-    return rows.groupBy("nombre_agente", "nombre_fuente", "nombre_plataforma").agg(
-        N, INTERACTIONS, mean("score_popularidad").alias("promedio_score_popularidad"), total("score_actividad", "score_actividad_total")
+    kept = act.filter(F.col("nombre_fuente").isin(sources) | F.col("nombre_plataforma").isin(platforms))
+    return kept.groupBy("nombre_agente", "nombre_fuente", "nombre_plataforma").agg(
+        rows(), interactions(), mean("score_popularidad").alias("promedio_score_popularidad"), total("score_actividad", "score_actividad_total")
     )
 
 
 def monthly_growth(act: DataFrame) -> DataFrame:
-    rows = change(by_month(act), "total_observaciones", ["anio", "mes"])
-    return rows.select(
+    months = change(by_month(act), "total_observaciones", ["anio", "mes"])
+    return months.select(
         "anio",
         "mes",
         "total_observaciones",
@@ -75,7 +83,7 @@ def monthly_growth(act: DataFrame) -> DataFrame:
 
 
 def platform_distribution(act: DataFrame) -> DataFrame:
-    by = act.groupBy("nombre_plataforma", "tipo_plataforma").agg(N, MENTIONS, INTERACTIONS, mean("score_popularidad").alias("promedio_popularidad"))
+    by = act.groupBy("nombre_plataforma", "tipo_plataforma").agg(rows(), mentions(), interactions(), mean("score_popularidad").alias("promedio_popularidad"))
     return by.withColumn("porcentaje_distribucion", share("total_observaciones")).withColumn(
         "ranking_plataforma", F.dense_rank().over(W.orderBy(F.desc("total_observaciones")))
     )
@@ -83,13 +91,13 @@ def platform_distribution(act: DataFrame) -> DataFrame:
 
 def overall(act: DataFrame, first_year: int, last_year: int) -> DataFrame:
     """One row over a range of years."""
-    rows = act.filter(F.year("fecha_evento").between(first_year, last_year))
-    return rows.agg(
-        N,
+    kept = act.filter(F.year("fecha_evento").between(first_year, last_year))
+    return kept.agg(
+        rows(),
         F.count_distinct("nombre_agente").alias("agentes"),
         F.count_distinct("nombre_fuente").alias("fuentes"),
         F.count_distinct("nombre_plataforma").alias("plataformas"),
-        MENTIONS,
+        mentions(),
         mean("score_adopcion").alias("promedio_adopcion"),
         F.min("fecha_evento").alias("primera_fecha"),
         F.max("fecha_evento").alias("ultima_fecha"),
@@ -97,14 +105,14 @@ def overall(act: DataFrame, first_year: int, last_year: int) -> DataFrame:
 
 
 def top_agents(act: DataFrame, most: int = 10) -> DataFrame:
-    by = act.groupBy("nombre_agente").agg(N, MENTIONS, total("score_adopcion", "score_adopcion_total"))
+    by = act.groupBy("nombre_agente").agg(rows(), mentions(), total("score_adopcion", "score_adopcion_total"))
     w = W.orderBy(F.desc("score_adopcion_total"), F.desc("total_observaciones"))
     ranked = by.withColumn("ranking", F.rank().over(w))
     return ranked.orderBy("ranking", "nombre_agente").limit(most)
 
 
 def source_activity_share(act: DataFrame) -> DataFrame:
-    by = act.groupBy("nombre_fuente").agg(N, F.sum("score_actividad").cast("double").alias("a_"))
+    by = act.groupBy("nombre_fuente").agg(rows(), F.sum("score_actividad").cast("double").alias("a_"))
     return by.select(
         "nombre_fuente",
         "total_observaciones",
@@ -114,10 +122,10 @@ def source_activity_share(act: DataFrame) -> DataFrame:
 
 
 def community_rank(act: DataFrame) -> DataFrame:
-    by = act.groupBy("nombre_plataforma", "nombre_comunidad").agg(N, F.count_distinct("nombre_agente").alias("agentes"))
+    by = act.groupBy("nombre_plataforma", "nombre_comunidad").agg(rows(), F.count_distinct("nombre_agente").alias("agentes"))
     return by.withColumn("ranking", F.dense_rank().over(W.orderBy(F.desc("total_observaciones"))))
 
 
 def technology_share(act: DataFrame) -> DataFrame:
-    by = act.groupBy("nombre_tecnologia", "categoria_tecnologia").agg(N, F.count_distinct("nombre_agente").alias("agentes"), MENTIONS)
+    by = act.groupBy("nombre_tecnologia", "categoria_tecnologia").agg(rows(), F.count_distinct("nombre_agente").alias("agentes"), mentions())
     return by.withColumn("porcentaje", share("total_observaciones"))

@@ -70,7 +70,7 @@ def freshness(outcomes: DataFrame, now: Column, previous: DataFrame | None = Non
         by = by.join(previous.select("source", F.col("last_success_at").alias("prior_")), "source", "left")
     by = by.withColumn("last_success_at", F.coalesce("own_", "prior_"))
     seconds = F.unix_timestamp(now) - F.unix_timestamp("last_success_at")
-    by = by.withColumn("age_hours", F.bround(F.greatest(seconds, F.lit(0)) / 3600.0, 2))
+    by = by.withColumn("age_hours", F.when(seconds.isNotNull(), F.bround(F.greatest(seconds, F.lit(0)) / 3600.0, 2)))
     return by.withColumn("is_stale", F.col("age_hours").isNull() | (F.col("age_hours") > stale_after_hours)).drop("own_", "prior_")
 
 

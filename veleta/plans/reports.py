@@ -9,7 +9,8 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from veleta.operators.measures import change, mean, share
-from veleta.plans.kpi import INTERACTIONS, MENTIONS, N, total
+from veleta.plans import kpi
+from veleta.plans.kpi import total
 
 
 @dataclass(frozen=True)
@@ -58,22 +59,22 @@ def prefer_annual(rows: DataFrame, id_col: str, source_col: str, source: str) ->
 
 
 def adoption(act: DataFrame, f: Filters) -> DataFrame:
-    return _rows(act, f).groupBy("nombre_agente").agg(N, MENTIONS, mean("score_adopcion").alias("promedio_adopcion"))
+    return _rows(act, f).groupBy("nombre_agente").agg(kpi.rows(), kpi.mentions(), mean("score_adopcion").alias("promedio_adopcion"))
 
 
 def source_share(act: DataFrame, f: Filters) -> DataFrame:
-    return _rows(act, f).groupBy("nombre_fuente").agg(N).withColumn("porcentaje", share("total_observaciones"))
+    return _rows(act, f).groupBy("nombre_fuente").agg(kpi.rows()).withColumn("porcentaje", share("total_observaciones"))
 
 
 def trend_with_mode(act: DataFrame, f: Filters) -> DataFrame:
     """Months with the predominant source; ties take the smallest name."""
     rows = _rows(act, f).withColumn("anio", F.year("fecha_evento")).withColumn("mes", F.month("fecha_evento"))
-    return rows.groupBy("anio", "mes").agg(N, INTERACTIONS, F.mode("nombre_fuente", True).alias("fuente_predominante"))
+    return rows.groupBy("anio", "mes").agg(kpi.rows(), kpi.interactions(), F.mode("nombre_fuente", True).alias("fuente_predominante"))
 
 
 def agent_months(act: DataFrame, f: Filters) -> DataFrame:
     rows = _rows(act, f).withColumn("anio", F.year("fecha_evento")).withColumn("mes", F.month("fecha_evento"))
-    return rows.groupBy("nombre_agente", "anio", "mes").agg(N, total("score_actividad", "score_actividad_total"))
+    return rows.groupBy("nombre_agente", "anio", "mes").agg(kpi.rows(), total("score_actividad", "score_actividad_total"))
 
 
 #: Columns that a ranking may be sorted by.
@@ -84,8 +85,8 @@ def ranking_page(act: DataFrame, f: Filters, sort_by: str, descending: bool = Tr
     if sort_by not in SORTABLE:
         raise ValueError(f"not sortable: {sort_by}")
     by = _rows(act, f).groupBy("nombre_agente").agg(
-        N,
-        MENTIONS,
+        kpi.rows(),
+        kpi.mentions(),
         total("score_adopcion", "score_adopcion_total"),
         total("score_actividad", "score_actividad_total"),
         F.count_distinct("nombre_fuente").alias("fuentes"),
@@ -96,7 +97,7 @@ def ranking_page(act: DataFrame, f: Filters, sort_by: str, descending: bool = Tr
 
 
 def coverage_matrix(act: DataFrame, f: Filters) -> DataFrame:
-    return _rows(act, f).groupBy("nombre_agente", "nombre_fuente").agg(N)
+    return _rows(act, f).groupBy("nombre_agente", "nombre_fuente").agg(kpi.rows())
 
 
 def coverage_matrix_wide(act: DataFrame, f: Filters, sources: list[str]) -> DataFrame:
@@ -106,27 +107,27 @@ def coverage_matrix_wide(act: DataFrame, f: Filters, sources: list[str]) -> Data
 
 def popularity_top(act: DataFrame, f: Filters, sources: list[str], platforms: list[str], most: int = 20) -> DataFrame:
     rows = _rows(act, f).filter(F.col("nombre_fuente").isin(sources) | F.col("nombre_plataforma").isin(platforms))
-    by = rows.groupBy("nombre_agente", "nombre_plataforma").agg(N, total("score_actividad", "score_actividad_total"))
+    by = rows.groupBy("nombre_agente", "nombre_plataforma").agg(kpi.rows(), total("score_actividad", "score_actividad_total"))
     return by.orderBy(F.desc("score_actividad_total"), "nombre_agente", "nombre_plataforma").limit(most)
 
 
 def growth(act: DataFrame, f: Filters) -> DataFrame:
-    rows = _rows(act, f).withColumn("anio", F.year("fecha_evento")).withColumn("mes", F.month("fecha_evento")).groupBy("anio", "mes").agg(N)
+    rows = _rows(act, f).withColumn("anio", F.year("fecha_evento")).withColumn("mes", F.month("fecha_evento")).groupBy("anio", "mes").agg(kpi.rows())
     return change(rows, "total_observaciones", ["anio", "mes"]).select(
         "anio", "mes", "total_observaciones", F.col("absolute_").alias("variacion_absoluta"), F.col("percent_").alias("variacion_porcentual")
     )
 
 
 def distribution(act: DataFrame, f: Filters) -> DataFrame:
-    return _rows(act, f).groupBy("nombre_plataforma").agg(N, MENTIONS).withColumn("porcentaje", share("total_observaciones"))
+    return _rows(act, f).groupBy("nombre_plataforma").agg(kpi.rows(), kpi.mentions()).withColumn("porcentaje", share("total_observaciones"))
 
 
 def by_category(act: DataFrame, f: Filters) -> DataFrame:
-    return _rows(act, f).groupBy("categoria_agente").agg(N, F.count_distinct("nombre_agente").alias("agentes"), mean("score_adopcion").alias("promedio_adopcion"))
+    return _rows(act, f).groupBy("categoria_agente").agg(kpi.rows(), F.count_distinct("nombre_agente").alias("agentes"), mean("score_adopcion").alias("promedio_adopcion"))
 
 
 def by_domain(act: DataFrame, f: Filters) -> DataFrame:
-    return _rows(act, f).groupBy("categoria_tecnologia").agg(N, mean("score_adopcion").alias("promedio_adopcion"))
+    return _rows(act, f).groupBy("categoria_tecnologia").agg(kpi.rows(), mean("score_adopcion").alias("promedio_adopcion"))
 
 
 def options(act: DataFrame, f: Filters) -> DataFrame:

@@ -68,8 +68,8 @@ SELECT source, (list(status ORDER BY (query IS NULL) DESC, ts DESC, status DESC)
   nullif(count(*) FILTER (query IS NOT NULL), 0)::BIGINT AS expected_queries,
   CASE WHEN count(*) FILTER (query IS NOT NULL) > 0 THEN count(*) FILTER (query IS NOT NULL AND status <> 'failed') END::BIGINT AS completed_queries,
   max(ts) FILTER (status <> 'failed') AS last_success_at,
-  round_even(greatest(floor(epoch(TIMESTAMP '2024-01-31') - floor(epoch(max(ts) FILTER (status <> 'failed')))), 0) / 3600.0, 2)::DOUBLE AS age_hours,
-  coalesce(round_even(greatest(floor(epoch(TIMESTAMP '2024-01-31') - floor(epoch(max(ts) FILTER (status <> 'failed')))), 0) / 3600.0, 2) > 24.0, true) AS is_stale
+  CASE WHEN max(ts) FILTER (status <> 'failed') IS NOT NULL THEN round_even(greatest(floor(epoch(TIMESTAMP '2024-01-31') - floor(epoch(max(ts) FILTER (status <> 'failed')))), 0) / 3600.0, 2)::DOUBLE END AS age_hours,
+  coalesce(round_even(greatest(floor(epoch(TIMESTAMP '2024-01-31') - floor(epoch(max(ts) FILTER (status <> 'failed')))), 0) / 3600.0, 2) > 24.0, true) OR max(ts) FILTER (status <> 'failed') IS NULL AS is_stale
 FROM o GROUP BY source""",
 )
 
