@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veleta.operators.measures import share
+from veleta.plans import governance
 from veleta.plans import quality as q
 from veleta.plans.activity import SQL as ACT
 from veleta.plans.activity import activity, read
@@ -192,3 +193,66 @@ _add(
     lambda spark, sf_dir: read(spark, sf_dir, "documents").groupBy("source", "lang").agg(F.count(F.lit(1)).alias("n")).withColumn("pct", share("n")),
     "SELECT source, lang, count(*)::BIGINT AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 2)::DOUBLE AS pct FROM documents GROUP BY 1, 2",
 )
+
+
+# Users stand for runs, event types for sources.
+_RUN_EVENTS = "SELECT user_id AS run_id, CASE WHEN event_type <> 'click' THEN event_type END AS query, floor(value)::BIGINT AS records_extracted, event_type AS fuente, ts, event_id FROM events"
+
+
+def _runs(spark, sf_dir) -> DataFrame:
+    return read(spark, sf_dir, "events").select(
+        F.col("user_id").alias("run_id"),
+        F.when(F.col("event_type") != "click", F.col("event_type")).alias("query"),
+        F.floor("value").cast("long").alias("records_extracted"),
+        F.col("event_type").alias("fuente"),
+        "ts",
+        "event_id",
+    )
+
+
+_add(
+    "gov_evidence_summary",
+    lambda spark, sf_dir: governance.evidence_summary(_runs(spark, sf_dir)),
+    f"WITH e AS ({_RUN_EVENTS}) SELECT run_id, count(*)::BIGINT AS eventos, coalesce(sum(records_extracted) FILTER (query IS NULL), sum(records_extracted) FILTER (query IS NOT NULL), 0)::BIGINT AS registros FROM e GROUP BY 1",
+)
+_add(
+    "gov_latest_rows",
+    lambda spark, sf_dir: governance.read_rows(_runs(spark, sf_dir), ["fuente", "run_id"], "event_id").select("fuente", "run_id", "event_id"),
+    "SELECT event_type AS fuente, user_id AS run_id, max(event_id) AS event_id FROM events GROUP BY 1, 2",
+)
+_add(
+    "gov_rows_of_run",
+    lambda spark, sf_dir: governance.read_rows(_runs(spark, sf_dir), ["fuente"], "event_id", 7).select("fuente", "event_id"),
+    "SELECT event_type AS fuente, event_id FROM events WHERE user_id = 7",
+)
+_add(
+    "gov_close_run",
+    lambda spark, sf_dir: governance.close_run(
+        _runs(spark, sf_dir).select("run_id").distinct(),
+        _runs(spark, sf_dir).filter("fuente = 'view'").groupBy("run_id").agg(F.count(F.lit(1)).alias("raw"), F.count_if(F.col("records_extracted") > 9).alias("staging")),
+        _runs(spark, sf_dir).groupBy("run_id").agg(F.count(F.lit(1)).alias("raw"), F.count("query").alias("staging")),
+    ),
+    f"""WITH e AS ({_RUN_EVENTS}), s AS (SELECT run_id, count(*) AS r, count(*) FILTER (records_extracted > 9) AS d FROM e WHERE fuente = 'view' GROUP BY 1), n AS (SELECT run_id, count(*) AS r, count(query) AS d FROM e GROUP BY 1),
+c AS (SELECT n.run_id, coalesce(s.r, n.r)::BIGINT AS total_raw, coalesce(s.d, n.d)::BIGINT AS total_staging FROM n LEFT JOIN s USING (run_id)) SELECT *, round(total_staging * 100.0 / total_raw, 2)::DOUBLE AS tasa_completitud FROM c""",
+)
+_add(
+    "gov_homologation",
+    lambda spark, sf_dir: governance.homologation(
+        read(spark, sf_dir, "part").filter("p_partkey % 2 = 0").select("p_brand", F.lit("antes").alias("origen")).distinct(),
+        read(spark, sf_dir, "part").filter("p_partkey % 7 > 2").select("p_brand", F.lit("ahora").alias("origen")),
+        ["p_brand"],
+    ),
+    "SELECT p_brand, CASE WHEN bool_or(p_partkey % 2 = 0) THEN 'antes' ELSE 'ahora' END AS origen FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 7 > 2 GROUP BY 1",
+)
+_add(
+    "gov_dependent_runs",
+    lambda spark, sf_dir: governance.dependent_runs(_runs(spark, sf_dir).filter("event_id % 50 = 0"), _runs(spark, sf_dir).filter("event_id % 20 = 0").select("run_id", (F.col("run_id") % 40).alias("data_run_id")), "click"),
+    "WITH d AS (SELECT DISTINCT user_id AS run_id FROM events WHERE event_id % 50 = 0 AND event_type = 'click') SELECT run_id FROM d UNION SELECT user_id FROM events WHERE event_id % 20 = 0 AND user_id % 40 IN (SELECT run_id FROM d)",
+)
+_add(
+    "gov_after_retirement",
+    lambda spark, sf_dir: governance.after_retirement(
+        _runs(spark, sf_dir).groupBy("run_id").agg(F.count(F.lit(1)).alias("total")), _runs(spark, sf_dir).filter("fuente = 'click' and event_id % 50 = 0").select("run_id").distinct(), ["total"]
+    ),
+    "SELECT user_id AS run_id, CASE WHEN bool_or(event_type = 'click' AND event_id % 50 = 0) THEN NULL ELSE count(*)::BIGINT END AS total FROM events GROUP BY 1",
+)
