@@ -90,53 +90,49 @@ SOURCE_SIGNALS = {
     "gnews": "Cobertura mediática",
 }
 
-_LANGUAGE, _SOFTWARE = "Lenguaje de programación", "Desarrollo de software"
-_LIBRARY, _CLOUD, _TOOLS = "Framework o librería", "Plataforma cloud", "Herramientas de desarrollo"
-_GENERATIVE, _ASSISTED, _SKILL = "IA generativa y agentes", "Ingeniería de software asistida", "Capacidad de ingeniería"
-_RESEARCH, _LEARNING = "Área de investigación", "IA y aprendizaje automático"
 # Technology rules (name, category, domain, pattern) in order.
 TECHNOLOGY_RULES = (
-    ("TypeScript", _LANGUAGE, _SOFTWARE, r"\btypescript\b"),
-    ("JavaScript", _LANGUAGE, _SOFTWARE, r"\bjavascript\b|\bjs\b"),
-    ("Python", _LANGUAGE, _SOFTWARE, r"\bpython\b"),
-    ("C# / .NET", "Plataforma de desarrollo", _SOFTWARE, r"c#|\bcsharp\b|\.net\b|\bdotnet\b"),
-    ("C++", _LANGUAGE, _SOFTWARE, r"c\+\+|\bcpp\b"),
-    ("Java", _LANGUAGE, _SOFTWARE, r"\bjava\b"),
-    ("Rust", _LANGUAGE, _SOFTWARE, r"\brust\b"),
-    ("Golang", _LANGUAGE, _SOFTWARE, r"\bgolang\b"),
-    ("PHP", _LANGUAGE, _SOFTWARE, r"\bphp\b"),
-    ("Ruby", _LANGUAGE, _SOFTWARE, r"\bruby\b"),
-    ("Kotlin", _LANGUAGE, _SOFTWARE, r"\bkotlin\b"),
-    ("Swift", _LANGUAGE, _SOFTWARE, r"\bswift\b"),
-    ("Scala", _LANGUAGE, _SOFTWARE, r"\bscala\b"),
-    ("Dart", _LANGUAGE, _SOFTWARE, r"\bdart\b"),
-    ("Shell", _LANGUAGE, _SOFTWARE, r"\bshell\b|\bbash\b|\bpowershell\b"),
-    ("R", _LANGUAGE, "Ciencia de datos", r"(?:^|[,;|\s])r(?:$|[,;|\s])"),
+    ("TypeScript", "Lenguaje de programación", "Desarrollo de software", r"\btypescript\b"),
+    ("JavaScript", "Lenguaje de programación", "Desarrollo de software", r"\bjavascript\b|\bjs\b"),
+    ("Python", "Lenguaje de programación", "Desarrollo de software", r"\bpython\b"),
+    ("C# / .NET", "Plataforma de desarrollo", "Desarrollo de software", r"c#|\bcsharp\b|\.net\b|\bdotnet\b"),
+    ("C++", "Lenguaje de programación", "Desarrollo de software", r"c\+\+|\bcpp\b"),
+    ("Java", "Lenguaje de programación", "Desarrollo de software", r"\bjava\b"),
+    ("Rust", "Lenguaje de programación", "Desarrollo de software", r"\brust\b"),
+    ("Golang", "Lenguaje de programación", "Desarrollo de software", r"\bgolang\b"),
+    ("PHP", "Lenguaje de programación", "Desarrollo de software", r"\bphp\b"),
+    ("Ruby", "Lenguaje de programación", "Desarrollo de software", r"\bruby\b"),
+    ("Kotlin", "Lenguaje de programación", "Desarrollo de software", r"\bkotlin\b"),
+    ("Swift", "Lenguaje de programación", "Desarrollo de software", r"\bswift\b"),
+    ("Scala", "Lenguaje de programación", "Desarrollo de software", r"\bscala\b"),
+    ("Dart", "Lenguaje de programación", "Desarrollo de software", r"\bdart\b"),
+    ("Shell", "Lenguaje de programación", "Desarrollo de software", r"\bshell\b|\bbash\b|\bpowershell\b"),
+    ("R", "Lenguaje de programación", "Ciencia de datos", r"(?:^|[,;|\s])r(?:$|[,;|\s])"),
     ("SQL", "Lenguaje de consulta", "Datos y analítica", r"\bsql\b|postgresql|sql server|mysql"),
-    ("React", _LIBRARY, "Aplicaciones web", r"\breact(?:js)?\b"),
-    ("Angular", _LIBRARY, "Aplicaciones web", r"\bangular\b"),
-    ("Vue.js", _LIBRARY, "Aplicaciones web", r"\bvue(?:\.js|js)?\b"),
-    ("Spring Boot", _LIBRARY, "Aplicaciones backend", r"\bspring[ -]?boot\b"),
+    ("React", "Framework o librería", "Aplicaciones web", r"\breact(?:js)?\b"),
+    ("Angular", "Framework o librería", "Aplicaciones web", r"\bangular\b"),
+    ("Vue.js", "Framework o librería", "Aplicaciones web", r"\bvue(?:\.js|js)?\b"),
+    ("Spring Boot", "Framework o librería", "Aplicaciones backend", r"\bspring[ -]?boot\b"),
     ("Node.js", "Runtime", "Aplicaciones backend", r"\bnode(?:\.js|js)\b"),
     ("Docker", "Infraestructura", "DevOps y plataforma", r"\bdocker\b|containerization"),
     ("Kubernetes", "Infraestructura", "DevOps y plataforma", r"\bkubernetes\b|\bk8s\b"),
-    ("Microsoft Azure", _CLOUD, "Cloud", r"\bazure\b"),
-    ("Amazon Web Services", _CLOUD, "Cloud", r"\baws\b|amazon web services"),
-    ("Google Cloud", _CLOUD, "Cloud", r"google cloud|\bgcp\b"),
-    ("VS Code", "Entorno de desarrollo", _TOOLS, r"vs[ -]?code|visual studio code"),
-    ("JetBrains IDEs", "Entorno de desarrollo", _TOOLS, r"\bjetbrains\b|intellij|pycharm"),
-    ("Model Context Protocol", "Protocolo de IA", _GENERATIVE, r"model context protocol|\bmcp\b"),
-    ("RAG", "Arquitectura de IA", _GENERATIVE, r"retrieval[ -]augmented|\brag\b"),
-    ("Modelos de lenguaje", "Tecnología de IA", _GENERATIVE, r"large language model|\bllms?\b"),
+    ("Microsoft Azure", "Plataforma cloud", "Cloud", r"\bazure\b"),
+    ("Amazon Web Services", "Plataforma cloud", "Cloud", r"\baws\b|amazon web services"),
+    ("Google Cloud", "Plataforma cloud", "Cloud", r"google cloud|\bgcp\b"),
+    ("VS Code", "Entorno de desarrollo", "Herramientas de desarrollo", r"vs[ -]?code|visual studio code"),
+    ("JetBrains IDEs", "Entorno de desarrollo", "Herramientas de desarrollo", r"\bjetbrains\b|intellij|pycharm"),
+    ("Model Context Protocol", "Protocolo de IA", "IA generativa y agentes", r"model context protocol|\bmcp\b"),
+    ("RAG", "Arquitectura de IA", "IA generativa y agentes", r"retrieval[ -]augmented|\brag\b"),
+    ("Modelos de lenguaje", "Tecnología de IA", "IA generativa y agentes", r"large language model|\bllms?\b"),
     ("API / SDK", "Interfaz de integración", "Integración de software", r"\bapi\b|\bsdk\b"),
-    ("CLI", "Interfaz de integración", _TOOLS, r"command[ -]line|\bcli\b"),
-    ("Testing", _SKILL, _ASSISTED, r"\btesting\b|\btests?\b"),
-    ("Depuración", _SKILL, _ASSISTED, r"debugging|depuración"),
-    ("Revisión de código", _SKILL, _ASSISTED, r"code review|revisión de código"),
-    ("Inteligencia artificial", _RESEARCH, _LEARNING, r"artificial-intelligence|\bcs\.ai\b"),
-    ("Aprendizaje automático", _RESEARCH, _LEARNING, r"machinelearning|machine learning|\bcs\.lg\b"),
-    ("Procesamiento de lenguaje natural", _RESEARCH, _LEARNING, r"natural language processing|\bcs\.cl\b"),
-    ("Ingeniería de software", _RESEARCH, _SOFTWARE, r"software engineering|\bcs\.se\b"),
+    ("CLI", "Interfaz de integración", "Herramientas de desarrollo", r"command[ -]line|\bcli\b"),
+    ("Testing", "Capacidad de ingeniería", "Ingeniería de software asistida", r"\btesting\b|\btests?\b"),
+    ("Depuración", "Capacidad de ingeniería", "Ingeniería de software asistida", r"debugging|depuración"),
+    ("Revisión de código", "Capacidad de ingeniería", "Ingeniería de software asistida", r"code review|revisión de código"),
+    ("Inteligencia artificial", "Área de investigación", "IA y aprendizaje automático", r"artificial-intelligence|\bcs\.ai\b"),
+    ("Aprendizaje automático", "Área de investigación", "IA y aprendizaje automático", r"machinelearning|machine learning|\bcs\.lg\b"),
+    ("Procesamiento de lenguaje natural", "Área de investigación", "IA y aprendizaje automático", r"natural language processing|\bcs\.cl\b"),
+    ("Ingeniería de software", "Área de investigación", "Desarrollo de software", r"software engineering|\bcs\.se\b"),
 )
 
 
