@@ -35,10 +35,12 @@ BINS = {
     "symbols": (1, 20, 50, 100, 300, 1000),
     "shouts": (1, 20, 100, 500),
     "stop_words": (20, 50, 100, 150, 200, 300, 400),
-    "repeated": (50, 100, 200, 300, 500, 800),
+    "repeated": (50, 100, 200, 300, 500, 800, 950),
     "dup_lines": (50, 200, 400, 600, 800),
     "word_length": (3000, 4000, 4500, 5000, 5500, 6500, 8000),
 }
+#: Ratios of fewer words say nothing: such documents share one more bin of every ratio.
+FEW_WORDS = 20
 #: Pseudo-count of a bin.
 SMOOTHING = 1.0
 #: Bounds of a prior's strength, in documents.
@@ -69,7 +71,8 @@ def binned(docs: DataFrame) -> DataFrame:
         "dup_lines": _permille(F.col("q_.l.n_dup_lines"), lines),
         "word_length": _permille(F.col("q_.w.word_chars"), words),
     }
-    return q.select("doc_id", "host", "path", *[_bin(v, BINS[n]).alias(n) for n, v in value.items()])
+    own = lambda n, v: F.when(words < FEW_WORDS, len(BINS[n]) + 1).otherwise(_bin(v, BINS[n]))
+    return q.select("doc_id", "host", "path", *[own(n, v).alias(n) for n, v in value.items()])
 
 
 def clean_labels(labels: DataFrame) -> DataFrame:
@@ -86,7 +89,7 @@ def bin_evidence(labelled: DataFrame) -> DataFrame:
     total = labelled.agg(F.coalesce(F.sum("y"), F.lit(0)).alias("all_good"), F.coalesce(F.sum(1 - F.col("y")), F.lit(0)).alias("all_bad"))
     columns = []
     for n, bounds in BINS.items():
-        for i in range(len(bounds) + 1):
+        for i in range(len(bounds) + 2):
             at = (F.col("ratio") == n) & (F.col("bin") == i)
             columns += [
                 F.coalesce(F.sum(F.when(at, F.col("good"))), F.lit(0)).alias(f"g_{n}_{i}"),
@@ -98,7 +101,7 @@ def bin_evidence(labelled: DataFrame) -> DataFrame:
         share = lambda side, all_: (F.col(f"{side}_{n}_{i}") + SMOOTHING) / (F.col(all_) + SMOOTHING * k)
         return F.log(share("g", "all_good") / share("b", "all_bad"))
 
-    arrays = [F.array(*[odds(n, i, len(b) + 1) for i in range(len(b) + 1)]).alias(f"odds_{n}") for n, b in BINS.items()]
+    arrays = [F.array(*[odds(n, i, len(b) + 2) for i in range(len(b) + 2)]).alias(f"odds_{n}") for n, b in BINS.items()]
     prior = (F.col("all_good") + 0.5) / (F.col("all_good") + F.col("all_bad") + 1.0)
     return wide.select(prior.alias("prior"), *arrays)
 
