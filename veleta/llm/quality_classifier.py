@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veleta.llm.quality_rules import metrics
+from veleta.llm.shared import keep
 
 #: Bins of a ratio in thousandths, by upper bounds; the last bin is open.
 BINS = {
@@ -119,7 +120,8 @@ def _strength(sites: DataFrame, centre) -> DataFrame:
 
 def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """doc_id, p_document, p_host, p_path, p_good, kept."""
-    rows = binned(docs).join(clean_labels(labels), "doc_id", "left")
+    # the ratios are worked out once; counts, site posteriors and scores read the small table of bins
+    rows = keep(docs.sparkSession, binned(docs), "bins").join(clean_labels(labels), "doc_id", "left")
     labelled = rows.filter("y is not null")
     evidence = bin_evidence(labelled)
     # counts of paths are summed again to hosts; both are combined before they are shuffled
