@@ -1,6 +1,9 @@
 """Every registered query against its SQL on the small tables."""
 
+from decimal import Decimal
+
 import duckdb
+import numpy as np
 import pandas as pd
 import pytest
 
@@ -19,9 +22,9 @@ def duck(sf_dir):
 
 def plain(frame, columns):
     def cell(v):
-        if v is None or v is pd.NaT or (isinstance(v, float) and v != v):
+        if pd.isna(v):
             return "NULL"
-        if isinstance(v, float) or type(v).__name__ == "Decimal":
+        if not isinstance(v, (bool, np.bool_)) and isinstance(v, (int, float, np.number, Decimal)):
             return f"{float(v):.6f}"
         return str(v).removesuffix(" 00:00:00")
 

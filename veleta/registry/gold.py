@@ -228,7 +228,7 @@ p0 AS (SELECT o_orderkey AS id, 't' || o_orderkey AS title, CASE o_orderpriority
 p1 AS (SELECT p0.*, coalesce(rid, r.id) AS repo_id FROM p0 LEFT JOIN r ON p0.repo_url = r.url WHERE agent IN ('Urgent', 'High', '3-MEDIUM', '5-LOW') AND created_at >= TIMESTAMP '1996-01-01' AND created_at < TIMESTAMP '2000-01-01'),
 p AS (SELECT *, coalesce('id:' || repo_id, 'url:' || repo_url, 'pr:' || id){suffix} AS repo_key FROM p1),
 v AS (SELECT l_orderkey AS pr_id, count(*) AS review_count, count(*) FILTER (l_linestatus = 'O') AS human, count(*) FILTER (l_linestatus <> 'O') AS bot, count(*) FILTER (l_returnflag = 'A') AS approved, count(*) FILTER (l_returnflag = 'R') AS changes
-  FROM (SELECT DISTINCT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_linestatus, l_returnflag FROM lineitem) GROUP BY 1),
+  FROM (SELECT * FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_linenumber, l_partkey, l_suppkey ORDER BY CASE l_returnflag WHEN 'A' THEN 1 WHEN 'R' THEN 2 ELSE 3 END, CASE l_linestatus WHEN 'O' THEN 2 ELSE 1 END) = 1) GROUP BY 1),
 k AS (SELECT o_orderkey AS id, 'k' || (o_orderkey % 4) AS type, (o_orderkey % 10)::DOUBLE AS confidence FROM orders WHERE o_orderkey % 4 > 0),
 u AS (SELECT c_custkey AS id FROM customer WHERE c_custkey % 7 > 0)"""
 _add(
