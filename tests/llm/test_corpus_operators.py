@@ -475,3 +475,49 @@ def test_language_model_gradient():
         low = loss()
         m.parts[n][at] = old
         assert abs(grads[n][at] - (high - low) / (2 * e)) < 2e-4
+
+
+def test_language_model_tells_tail_words_apart():
+    rng = np.random.default_rng(0)
+    masses = rng.uniform(0.5, 9, 81)
+    m = recurrent_lm.Model.new(np.array([50.0, 400, 300]), masses.sum(), slots=masses)
+    m.parts["tm"] = rng.normal(size=m.parts["tm"].shape) * 0.1
+    states = rng.normal(size=(3, recurrent_lm.UNITS)).astype(np.float32)
+    for s in states:
+        assert abs(np.exp(m.log_probs(np.repeat(s[None], 84, 0), np.arange(84))).sum() - 1) < 1e-4
+    m.parts = {n: v.astype(np.float64) for n, v in m.parts.items()}
+    docs = [np.append(rng.integers(1, 84, rng.integers(3, 40)), 0).astype(np.int32) for _ in range(5)]
+    seen, target, fresh, live, _, _ = recurrent_lm.lanes_of(docs, 3)
+    start = np.zeros((seen.shape[1], recurrent_lm.UNITS), np.float32)
+
+    def loss():
+        after = m.steps(start, seen, fresh)[1]
+        lp = m.log_probs(after.reshape(-1, recurrent_lm.UNITS).astype(np.float64), target.ravel())
+        return -(lp * live.ravel()).sum() / live.sum()
+
+    grads, _ = m.gradient(start, seen, target, fresh, live)
+    for n, at in (("xr", (4, 20)), ("xc", (5, 3)), ("tw", (0, 3, 1)), ("tw", (3, 2, 2)), ("tm", (1, 0, 2, 4)), ("tm", (3, 2, 1, 5)), ("u", (3, 5))):
+        old, e = m.parts[n][at], 1e-2
+        m.parts[n][at] = old + e
+        high = loss()
+        m.parts[n][at] = old - e
+        low = loss()
+        m.parts[n][at] = old
+        assert abs(grads[n][at] - (high - low) / (2 * e)) < 2e-4
+    # two tail words that follow each other: the order is learned
+    m = recurrent_lm.Model.new(np.array([50.0, 400, 300]), 3000.0, slots=np.full(81, 10.0))
+    docs = [np.array([13, 64] * 20 + [0], np.int32) for _ in range(64)]
+    m, _ = recurrent_lm.train(m, [docs] * 30, lanes=16)
+    right, wrong = recurrent_lm.score_docs(m, [docs[0], np.array([13, 13, 64, 64] * 10 + [0], np.int32)])
+    assert right > wrong + 40
+
+
+def test_language_model_slots_follow_the_vocabulary(spark):
+    counts = Counter({f"w{i}": 1 + i % 9 for i in range(9000)}) + Counter({recurrent_lm.END: 50})
+    v = recurrent_lm._vocabulary(spark.createDataFrame(list(counts.items()), "word string, n long"))
+    often = sum(n >= 5 for n in counts.values()) - v.k
+    assert 0.5 * often < len(v.slots) < 2 * often
+    masses = np.full(len(v.slots), 0.5)
+    for w in counts.keys() - set(v.words[: v.k]):
+        masses[zlib.crc32(w.encode()) % len(masses)] += counts[w] + 0.5
+    assert np.allclose(v.slots, masses)

@@ -2,21 +2,27 @@
 
 The network reads one word at a time (one update gate, H units) and predicts
 the next one by a class-factored softmax: first its class, then the word in
-the class. The most frequent training words are in the classes; all others
-share one tail class and are told apart by their smoothed frequency, so that
-every text has a probability. Training is truncated backpropagation through
-time over windows of `WINDOW` steps; the state is carried from window to window
-until the document ends, in training and in scoring, so that a score is the
-log-likelihood of the complete document.
+the class. The most frequent training words are in the classes. All others are
+in the tail class, and each has a slot by its hash. There are about as many
+slots as training words seen `SEEN_OFTEN` times, so they grow with the corpus.
+A slot is predicted digit by digit, from the state and the digits before, and
+read as the sum of a row and a column vector; so the network's parameters grow
+with the square root of the slots only. Words that meet in a slot are told
+apart by their smoothed frequency, so that every text has a probability.
+Training is truncated backpropagation through time over windows of `WINDOW`
+steps; the state is carried from window to window until the document ends, in
+training and in scoring, so that a score is the log-likelihood of the complete
+document.
 
 1. Words of all training documents are counted (combined per partition, then
    shuffled by word).
-2. A start is trained on `START_DOCS` documents. Then every partition trains
-   on all of its training documents, and the parameters are averaged, weighted
-   by tokens, in two levels; one small row reaches the driver.
+2. A start is trained on `START_DOCS` documents. Then, in each of `ROUNDS`
+   rounds, every partition trains on the next share of its training documents,
+   and the parameters are averaged, weighted by tokens, in two levels; one small
+   row reaches the driver, and the next round starts from it.
 3. Every document is scored where it lies. The most frequent words
-   (`KNOWN_WORDS`, a bounded list) are sent to the tasks; counts of the rest are
-   joined by word.
+   (`KNOWN_WORDS`, a bounded list) and the slots' masses are sent to the tasks;
+   counts of the rest are joined by word.
 
 Defined results: null text is an empty text, whose only token is its end;
 repeated rows and tied identifiers are scored row by row; a null identifier is
@@ -27,6 +33,7 @@ are ignored.
 from __future__ import annotations
 
 import heapq
+import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
@@ -54,6 +61,11 @@ RATE = 0.02
 WARM_STEPS = 50
 #: Output biases begin at the training frequencies and move slowly.
 BIAS_PACE = 0.05
+#: The tail has about as many slots as words seen so often; a slot has so many digits (an even number).
+SEEN_OFTEN = 5
+DIGITS = 4
+#: Shares of the training documents, each trained on from the average over the ones before.
+ROUNDS = 3
 #: Documents of the start, a bounded sample.
 START_DOCS = 1024
 #: Most frequent words that are sent to the tasks.
@@ -93,21 +105,37 @@ def count_words(docs: DataFrame, most: int = 400_000) -> DataFrame:
     return docs.select("text").mapInArrow(run, "word string, n long").groupBy("word").agg(F.sum("n").alias("n"))
 
 
+def _add_rows(total: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
+    """total[ids] += rows, where identifiers repeat."""
+    order = np.argsort(ids, kind="stable")
+    found, starts = np.unique(ids[order], return_index=True)
+    if len(found):
+        total[found] += np.add.reduceat(rows[order], starts)
+
+
 @dataclass
 class Model:
-    """Parameters; words 0 .. k - 1 are in classes of CLASS_WORDS, word k stands for the tail."""
+    """Parameters; words 0 .. k - 1 are in classes of CLASS_WORDS, word k + i stands for slot i of the tail.
+
+    `levels[j]` holds the log masses of digit j by the digits before; they are not trained.
+    """
 
     k: int
     parts: dict[str, np.ndarray]
+    base: int
+    levels: list[np.ndarray]
 
     @staticmethod
-    def new(counts: np.ndarray, tail: float, seed: int = 1) -> Model:
-        """Small random weights; biases give the training frequencies."""
+    def new(counts: np.ndarray, tail: float, seed: int = 1, slots: np.ndarray | None = None) -> Model:
+        """Small random weights; biases give the training frequencies. `slots` has base ** DIGITS masses."""
         rng, k, s, h = np.random.default_rng(seed), len(counts), CLASS_WORDS, UNITS
         classes = -(-k // s)
         padded = np.concatenate([counts.astype(float), np.full(classes * s - k, 1e-30)]).reshape(classes, s)
         draw = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
         mass = np.append(padded.sum(1), max(tail, 0.5))
+        slots = np.ones(1) if slots is None else slots
+        base = round(len(slots) ** (1 / DIGITS))
+        side = base ** (DIGITS // 2)
         return Model(
             k,
             {
@@ -118,7 +146,13 @@ class Model:
                 "cb": np.log(mass / mass.sum()).astype(np.float32),
                 "ww": draw(classes, h, s),
                 "wb": np.maximum(np.log(padded / padded.sum(1, keepdims=True)), -60.0).astype(np.float32),
+                "xr": draw(side, 2 * h),
+                "xc": draw(side, 2 * h),
+                "tw": draw(DIGITS, h, base),
+                "tm": np.zeros((DIGITS, DIGITS, base, h), np.float32),
             },
+            base,
+            [np.log(slots.reshape(base ** (j + 1), -1).sum(1)).reshape(-1, base).astype(np.float32) for j in range(DIGITS)],
         )
 
     def flat(self) -> np.ndarray:
@@ -129,14 +163,18 @@ class Model:
         for name, p in self.parts.items():
             parts[name] = flat[at : at + p.size].reshape(p.shape).astype(np.float32)
             at += p.size
-        return Model(self.k, parts)
+        return Model(self.k, parts, self.base, self.levels)
 
     def steps(self, state: np.ndarray, seen: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, ...]:
         """States before and after each step, gates and candidates."""
         p, (t, lanes), h = self.parts, seen.shape, UNITS
         before, after = np.empty((t, lanes, h), np.float32), np.empty((t, lanes, h), np.float32)
         gate, new = np.empty_like(before), np.empty_like(before)
-        given = p["x"][seen] + p["b"]
+        given = p["x"][np.minimum(seen, self.k)] + p["b"]
+        if self.base > 1:
+            tail = seen >= self.k
+            row, column = np.divmod(seen[tail] - self.k, len(p["xc"]))
+            given[tail] += p["xr"][row] + p["xc"][column]
         begins = fresh.any(1).tolist()
         quarter, half, one = np.float32(0.25), np.float32(0.5), np.float32(1)
         for i in range(t):
@@ -162,7 +200,7 @@ class Model:
     def log_probs(self, states: np.ndarray, target: np.ndarray, grads: dict | None = None, live: np.ndarray | None = None):
         """Natural log probabilities of the targets; with `grads`, also the gradient at the states."""
         p, s = self.parts, CLASS_WORDS
-        cls = np.where(target == self.k, p["cb"].size - 1, target // s)
+        cls = np.where(target >= self.k, p["cb"].size - 1, target // s)
         logits = states @ p["cw"] + p["cb"]
         logits -= logits.max(1, keepdims=True)
         e = np.exp(logits)
@@ -196,6 +234,41 @@ class Model:
                 grads["ww"][c] += sub.T @ d
                 grads["wb"][c] += d.sum(0)
                 at_states[i] += d @ p["ww"][c].T
+        i = order[bounds[-1] :]
+        if self.base > 1 and len(i):
+            if grads is None:
+                out[i] += self.slot_log_probs(states[i], target[i] - self.k)
+            else:
+                more, back = self.slot_log_probs(states[i], target[i] - self.k, grads, live[i])
+                out[i] += more
+                at_states[i] += back
+        return out if grads is None else (out, at_states)
+
+    def slot_log_probs(self, states: np.ndarray, slot: np.ndarray, grads: dict | None = None, live: np.ndarray | None = None):
+        """The same for slots, given the tail: digit by digit, the state scaled by the digits before."""
+        p, base, out, at_states = self.parts, self.base, 0, 0
+        places = [slot // base ** (DIGITS - 1 - j) for j in range(DIGITS)]
+        digits, rows, marks = [x % base for x in places], np.arange(len(slot)), []
+        for j in range(DIGITS):
+            scale = 1 + sum(p["tm"][j, i][digits[i]] for i in range(j)) if j else np.float32(1)
+            scaled = states * scale
+            l = scaled @ p["tw"][j]
+            l += self.levels[j][places[j] // base]
+            l -= l.max(1, keepdims=True)
+            picked = l[rows, digits[j]]
+            e = np.exp(l, out=l)
+            total = e.sum(1, keepdims=True)
+            out = out + picked - np.log(total[:, 0])
+            if grads is not None:
+                e *= live[:, None] / total
+                e[rows, digits[j]] -= live
+                grads["tw"][j] += scaled.T @ e
+                back = e @ p["tw"][j].T
+                at_states = at_states + back * scale
+                back *= states
+                for i in range(j):
+                    grads["tm"][j, i] += marks[i] @ back
+                marks.append((np.arange(base)[:, None] == digits[j]).astype(states.dtype))
         return out if grads is None else (out, at_states)
 
     def gradient(self, state: np.ndarray, seen: np.ndarray, target: np.ndarray, fresh: np.ndarray, live: np.ndarray):
@@ -218,9 +291,13 @@ class Model:
         rows = pre.reshape(-1, 2 * h)
         grads["u"] += before.reshape(-1, h).T @ rows
         grads["b"] += rows.sum(0)
-        order = np.argsort(seen.ravel(), kind="stable")
-        ids, starts = np.unique(seen.ravel()[order], return_index=True)
-        grads["x"][ids] += np.add.reduceat(rows[order], starts)
+        ids = seen.ravel()
+        _add_rows(grads["x"], np.minimum(ids, self.k), rows)
+        if self.base > 1:
+            tail = np.flatnonzero(ids >= self.k)
+            row, column = np.divmod(ids[tail] - self.k, len(p["xc"]))
+            _add_rows(grads["xr"], row, rows[tail])
+            _add_rows(grads["xc"], column, rows[tail])
         n = max(1.0, float(live.sum()))
         return {k: v / n for k, v in grads.items()}, after[-1]
 
@@ -281,7 +358,7 @@ def train(model: Model, chunks: Iterable[list[np.ndarray]], rate: float = RATE,
 
 
 def score_docs(model: Model, docs: list[np.ndarray]) -> np.ndarray:
-    """Natural log-likelihood of each document; the tail counts as one word."""
+    """Natural log-likelihood of each document; a slot counts as one word."""
     seen, target, fresh, live, owner, active = lanes_of(docs, LANES)
     state, out = np.zeros((seen.shape[1], UNITS), np.float32), np.zeros(len(docs))
     for a in range(0, len(seen), WINDOW):
@@ -295,20 +372,28 @@ def score_docs(model: Model, docs: list[np.ndarray]) -> np.ndarray:
 
 @dataclass
 class Vocabulary:
-    """Training counts: the listed words by rank with the end first, and totals."""
+    """Training counts: the listed words by rank with the end first, totals, and the tail's mass by slot.
+
+    The mass of a slot is its tokens, and a half for each of its words and for all unseen ones.
+    """
 
     words: list[str]
     counts: np.ndarray
     total: int
     distinct: int
+    slots: np.ndarray
 
     @property
     def k(self) -> int:
         return min(len(self.words), CLASSES * CLASS_WORDS)
 
-    def tail_mass(self) -> tuple[float, int]:
-        """Tokens and distinct words outside the classes."""
-        return float(self.total - self.counts[: self.k].sum()), self.distinct - self.k
+    def tail_tokens(self) -> float:
+        """Tokens outside the classes."""
+        return float(self.total - self.counts[: self.k].sum())
+
+
+def slot_of(word: str, n_slots: int) -> int:
+    return zlib.crc32(word.encode()) % n_slots
 
 
 @lru_cache(maxsize=2)
@@ -331,7 +416,7 @@ def _chunks(batches: Iterable[pa.RecordBatch], column: int, encode) -> Iterator[
 
 
 def _vocabulary(counts: DataFrame) -> Vocabulary:
-    totals = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"), F.max(F.when(F.col("word") == END, F.col("n"))).alias("e")).first()
+    totals = counts.agg(F.sum("n").alias("n"), F.count(F.lit(1)).alias("v"), F.max(F.when(F.col("word") == END, F.col("n"))).alias("e"), F.count_if(F.col("n") >= SEEN_OFTEN).alias("often")).first()
     # the least count whose words are few enough, from the table of counts of counts; no partition sends a top list
     sizes = counts.filter(F.col("word") != END).groupBy("n").agg(F.count(F.lit(1)).alias("words")).toPandas().sort_values("n", ascending=False)
     fits = sizes["n"][sizes["words"].cumsum() <= KNOWN_WORDS]
@@ -339,7 +424,16 @@ def _vocabulary(counts: DataFrame) -> Vocabulary:
     top = known.sort_values(["n", "word"], ascending=[False, True])
     words = [END, *top["word"].tolist()]
     ends = totals.e or 0
-    return Vocabulary(words, np.array([ends, *top["n"].tolist()], np.int64), int(totals.n or 0), int(totals.v or 0) + (totals.e is None))
+    found = Vocabulary(words, np.array([ends, *top["n"].tolist()], np.int64), int(totals.n or 0), int(totals.v or 0) + (totals.e is None), np.ones(1))
+    n_slots = max(1, round(max(0, totals.often - found.k) ** (1 / DIGITS))) ** DIGITS
+    slot = (F.crc32(F.col("word").cast("binary")) % n_slots).cast("int").alias("slot")
+    by_slot = counts.groupBy(slot).agg((F.sum("n") + F.count(F.lit(1)) / 2).cast("double").alias("mass")).toArrow()
+    found.slots = np.full(n_slots, 0.5)
+    found.slots[by_slot["slot"].to_numpy()] += by_slot["mass"].to_numpy()
+    for i, word in enumerate(words[: found.k]):  # these are in the classes
+        if i or totals.e is not None:
+            found.slots[slot_of(word, n_slots)] -= found.counts[i] + 0.5
+    return found
 
 
 def _sum_params(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -356,16 +450,18 @@ def _sum_params(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary) -> Model:
     """A model trained on all texts of `docs`."""
-    k = vocabulary.k
+    k, n_slots = vocabulary.k, len(vocabulary.slots)
     known = spark.sparkContext.broadcast({w: i for i, w in enumerate(vocabulary.words[:k])})
-    begin = Model.new(vocabulary.counts[:k] + 0.5, vocabulary.tail_mass()[0])
+    begin = Model.new(vocabulary.counts[:k] + 0.5, vocabulary.tail_tokens(), slots=vocabulary.slots)
 
     def trainer(start: Model, rate: float, lanes: int):
+        shared = spark.sparkContext.broadcast(start)
+
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            get = known.value.get
+            index, start = known.value, shared.value
 
             def encode(text: str) -> np.ndarray:
-                return np.array([*(get(w, k) for w in tokens(text)), 0], np.int32)
+                return np.array([*(index[w] if w in index else k + slot_of(w, n_slots) for w in tokens(text)), 0], np.int32)
 
             model, n = train(start.filled(start.flat()), (held for _, held in _chunks(batches, 0, encode)), rate, lanes)
             if n:
@@ -383,7 +479,10 @@ def fit(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary) -> Model:
 
     sample = docs.orderBy(F.xxhash64("doc_id", "text")).limit(START_DOCS).select("text").coalesce(1)
     first = averaged(sample.mapInArrow(trainer(begin, RATE, START_LANES), "params binary, n long"), begin)
-    return averaged(docs.select("text").mapInArrow(trainer(first, RATE / 2, LANES), "params binary, n long"), first)
+    share, model = F.pmod(F.xxhash64("text", "doc_id"), F.lit(ROUNDS)), first
+    for i in range(ROUNDS):
+        model = averaged(docs.filter(share == i).select("text").mapInArrow(trainer(model, RATE / 2, LANES), "params binary, n long"), model)
+    return model
 
 
 _SCORED = pa.schema(
@@ -404,36 +503,40 @@ def score(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     model = fit(spark, training, vocabulary)
     k, total, distinct = vocabulary.k, vocabulary.total, vocabulary.distinct
     divisor = total + 0.5 * (distinct + 1)
-    tail_tokens, tail_words = vocabulary.tail_mass()
-    tail_divisor = tail_tokens + 0.5 * (tail_words + 1)
-    shared = spark.sparkContext.broadcast((vocabulary.words, vocabulary.counts, model))
+    shared = spark.sparkContext.broadcast((vocabulary.words, vocabulary.counts, vocabulary.slots, model))
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, n_of, model = shared.value
+        words, n_of, slots, model = shared.value
         rank = _ranks(str(id(words)), tuple(words)).get
         n_words = len(words)
         base_log = np.append(np.log10((n_of + 0.5) / divisor), 0.0)
-        tail_log = np.log10((n_of + 0.5) / tail_divisor)
+        n_slots = len(slots)
+        in_model = np.array([*range(k), *(k + slot_of(w, n_slots) for w in words[k:]), k], np.int32)
+        tail_log = np.log10((n_of + 0.5) / slots[np.maximum(in_model[:-1] - k, 0)])
         tail_log[:k] = 0.0
         tail_log = np.append(tail_log, 0.0)
         is_known = np.append(n_of > 0, False)
 
-        def encode(text: str) -> tuple[np.ndarray, list[str]]:
+        def encode(text: str) -> tuple[np.ndarray, np.ndarray, list[str], float]:
+            """Ranks, the model's numbers, the words without a rank, and what their slots' masses take off."""
             found = tokens(text)
             ids = np.array([*(rank(w, n_words) for w in found), 0], np.int32)
-            return ids, [found[i] for i in np.flatnonzero(ids == n_words)]
+            numbers, at = in_model[ids], np.flatnonzero(ids == n_words)
+            rare = [found[i] for i in at]
+            numbers[at] += np.array([slot_of(w, n_slots) for w in rare], np.int32)
+            return ids, numbers, rare, float(np.log10(slots[numbers[at] - k]).sum())
 
         for part, held in _chunks(batches, 2, encode):
-            logs = score_docs(model, [np.minimum(ids, k) for ids, _ in held]) / np.log(10)
+            logs = score_docs(model, [numbers for _, numbers, _, _ in held]) / np.log(10)
             columns = [
                 part.column(0),
                 part.column(1),
                 part.column(3),
-                [len(ids) for ids, _ in held],
-                [int(is_known[ids].sum()) for ids, _ in held],
-                [float(base_log[ids].sum()) for ids, _ in held],
-                [float(s + tail_log[ids].sum()) for s, (ids, _) in zip(logs, held)],
-                [[{"word": w, "n": n} for w, n in Counter(rare).items()] for _, rare in held],
+                [len(ids) for ids, *_ in held],
+                [int(is_known[ids].sum()) for ids, *_ in held],
+                [float(base_log[ids].sum()) for ids, *_ in held],
+                [float(s + tail_log[ids].sum() - off) for s, (ids, _, _, off) in zip(logs, held)],
+                [[{"word": w, "n": n} for w, n in Counter(rare).items()] for _, _, rare, _ in held],
             ]
             yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, _SCORED.types)], schema=_SCORED)
 
@@ -445,7 +548,7 @@ def score(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
     looked_up = others.join(counts, "word", "left").groupBy("row").agg(
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known_"),
         F.sum(F.col("times") * F.log10((c + 0.5) / F.lit(float(divisor)))).alias("base_"),
-        F.sum(F.col("times") * F.log10((c + 0.5) / F.lit(float(tail_divisor)))).alias("tail_"),
+        F.sum(F.col("times") * F.log10(c + 0.5)).alias("tail_"),
     )
     joined = scored.drop("rare").join(looked_up, "row", "left")
     zero = lambda x: F.coalesce(F.col(x), F.lit(0.0))
