@@ -53,7 +53,7 @@ STAGES = [
     ("packing", pack_sequences),
 ]
 
-#: SQL has no tokenizer; the tests compare the pipeline with a brute-force version.
+#: SQL has no tokenizer; a test compares the documents that stay after the quality rules with plain Python.
 ORACLE_SQL = None
 
 

@@ -11,6 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
+import corpus_pipeline
 from tests.llm.conftest import ODD
 from veleta.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_classifier, quality_rules, recurrent_lm, url_filters, warc
 from veleta.llm.components import components
@@ -521,3 +522,18 @@ def test_language_model_slots_follow_the_vocabulary(spark):
     for w in counts.keys() - set(v.words[: v.k]):
         masses[zlib.crc32(w.encode()) % len(masses)] += counts[w] + 0.5
     assert np.allclose(v.slots, masses)
+
+
+# pipeline
+
+
+def test_pipeline_keeps_what_plain_python_keeps(spark, docs, sf_dir):
+    """Which documents are packed, from those that pass the quality rules on; each is packed without a gap."""
+    rows = [(r.doc_id, r.text) for r in quality_rules.filter_documents(docs).collect()]
+    owners = {i for i, _, _, own, _ in brute_owners(rows) if own}
+    rows = [(i, t) for i, t in rows if i in owners]
+    want = {i for i, (_, first) in brute_components(rows).items() if i == first}
+    got = corpus_pipeline.run(spark, sf_dir).toPandas().sort_values(["doc_id", "piece"])
+    assert want and set(got.doc_id) == want
+    assert (got.groupby("doc_id").length.cumsum() - got.length == got.start).all()
+    assert got.groupby("sequence_id").length.sum().max() <= 4096
