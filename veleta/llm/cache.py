@@ -2,23 +2,38 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Hashable
+from collections.abc import Callable, Sequence
 from typing import Any
 
 
 class Memo(dict):
-    """memo[key] computes and keeps function(key); two generations of at most `most` entries each."""
+    """memo[key] computes and keeps function(key) of a text or bytes.
 
-    def __init__(self, function: Callable[[Hashable], Any], most: int = 300_000):
+    Two generations of at most `most` entries each; a key of more than
+    `longest` characters is computed anew each time, so that the memo is bounded
+    in bytes too.
+    """
+
+    def __init__(self, function: Callable[[Sequence], Any], most: int = 100_000, longest: int = 64):
         super().__init__()
-        self.function, self.most, self.older = function, most, {}
+        self.function, self.most, self.longest, self.older = function, most, longest, {}
 
-    def __missing__(self, key: Hashable) -> Any:
+    def __missing__(self, key: Sequence) -> Any:
+        if len(key) > self.longest:
+            return self.function(key)
         found = self.older.get(key)
         if found is None:
             found = self.function(key)
+        self.put(key, found)
+        return found
+
+    def put(self, key: Sequence, value: Any) -> None:
+        """Keep a value that is known already."""
         if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
-        self[key] = found
-        return found
+        self[key] = value
+
+    def lacks(self, key: Sequence) -> bool:
+        """Whether a key that is kept at all is not there yet."""
+        return key not in self and key not in self.older and len(key) <= self.longest

@@ -4,22 +4,27 @@ The network reads one word at a time (one update gate, H units) and predicts
 the next one by a class-factored softmax: first its class, then the word in
 the class. The most frequent training words are in the classes. All others are
 in the tail class, and each has a slot by its hash. There are about as many
-slots as training words seen `SEEN_OFTEN` times, so they grow with the corpus.
-A slot is predicted digit by digit, from the state and the digits before, and
-read as the sum of a row and a column vector; so the network's parameters grow
-with the square root of the slots only. Words that meet in a slot are told
-apart by their smoothed frequency, so that every text has a probability.
+slots as training words seen `SEEN_OFTEN` times (`MOST_DIGITS` ** `DIGITS` at
+most, which bounds what is sent to the tasks). A slot is predicted digit by
+digit, each from the state and from the masses of the digits before, and read
+as the sum of a row and a column vector; so the network's parameters grow with
+the square root of the slots only. Words that meet in a slot are told apart by
+their smoothed frequency, so that every text has a probability.
+
 Training is truncated backpropagation through time over windows of `WINDOW`
-steps; the state is carried from window to window until the document ends, in
-training and in scoring, so that a score is the log-likelihood of the complete
-document.
+steps; the state is carried from window to window, in training through
+segments of `SEGMENT` tokens (so that one long document does not leave the
+other lanes idle), in scoring until the document ends, however long it is. A
+score is the log-likelihood of the complete document.
 
 1. Words of all training documents are counted (combined per partition, then
    shuffled by word).
-2. A start is trained on `START_DOCS` documents. Then, in each of `ROUNDS`
-   rounds, every partition trains on the next share of its training documents,
-   and the parameters are averaged, weighted by tokens, in two levels; one small
-   row reaches the driver, and the next round starts from it.
+2. A start is trained on about `START_DOCS` documents, picked by hash. Then, in
+   each of `ROUNDS` rounds, every partition trains on the next share of its
+   training documents, and the parameters are averaged, weighted by tokens, in a
+   tree of which each node takes about `FAN_IN` of them; one small row reaches
+   the driver, and the next round starts from it. So the model, and with it the
+   scores, depend on how the table is partitioned; base scores do not.
 3. Every document is scored where it lies. The most frequent words
    (`KNOWN_WORDS`, a bounded list) and the slots' masses are sent to the tasks;
    counts of the rest are joined by word.
@@ -37,22 +42,26 @@ import zlib
 from collections import Counter
 from collections.abc import Iterable, Iterator
 from dataclasses import dataclass
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veleta.llm.shared import keep
-from veleta.llm.text import ASCII_LOWER, WORD_RE
+from veleta.llm.cache import Memo
+from veleta.llm.shared import forget, keep, small_batches
+from veleta.llm.text import byte_texts, byte_words, string_array
 
 #: The end of a document as a token; no word holds a line feed.
 END = "\n"
-UNITS = 16
-CLASS_WORDS = 32
-CLASSES = 24
+UNITS = 24
+CLASS_WORDS = 48
+CLASSES = 48
 WINDOW = 32
+#: Steps that are scored at a time; the result is the same for any number.
+SCORE_WINDOW = 64
+#: Tokens of training text through which a state is carried at most.
+SEGMENT = 2048
 #: Documents that are read side by side, for the start and then for everything.
 START_LANES = 64
 LANES = 256
@@ -61,17 +70,22 @@ RATE = 0.02
 WARM_STEPS = 50
 #: Output biases begin at the training frequencies and move slowly.
 BIAS_PACE = 0.05
-#: The tail has about as many slots as words seen so often; a slot has so many digits (an even number).
+#: Bound of an output weight. States lie within 1, so that no exponential of a sum of UNITS products overflows.
+LIMIT = 2.5
+#: The tail has about as many slots as words seen so often; a slot has so many digits (an even number), each below the bound.
 SEEN_OFTEN = 5
 DIGITS = 4
+MOST_DIGITS = 32
 #: Shares of the training documents, each trained on from the average over the ones before.
 ROUNDS = 3
 #: Documents of the start, a bounded sample.
 START_DOCS = 1024
+#: Parameter rows that one task averages.
+FAN_IN = 8
 #: Most frequent words that are sent to the tasks.
 KNOWN_WORDS = 1 << 18
 #: Tokens that are held at a time for training or scoring.
-CHUNK_TOKENS = 800_000
+CHUNK_TOKENS = 2_000_000
 
 
 def held_out(id_col: str = "doc_id") -> Column:
@@ -79,8 +93,9 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 5 == 1, F.lit(False))
 
 
-def tokens(text: str) -> list[str]:
-    return WORD_RE.findall(text.translate(ASCII_LOWER))
+def tokens(text: str | bytes) -> list[bytes]:
+    """Words of a text in UTF-8, A-Z lower-cased."""
+    return byte_words(text.encode() if isinstance(text, str) else text)
 
 
 def count_words(docs: DataFrame, most: int = 400_000) -> DataFrame:
@@ -90,15 +105,14 @@ def count_words(docs: DataFrame, most: int = 400_000) -> DataFrame:
         counts: Counter = Counter()
 
         def out() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(list(counts)), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
-
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
-                counts.update(tokens(text))
-                counts[END] += 1
-                if len(counts) > most:
-                    yield out()
-                    counts.clear()
+            return pa.RecordBatch.from_arrays([string_array(list(counts)), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
+
+        for text in byte_texts(batches, 0):
+            counts.update(tokens(text))
+            counts[END.encode()] += 1
+            if len(counts) > most:
+                yield out()
+                counts.clear()
         if counts:
             yield out()
 
@@ -106,24 +120,39 @@ def count_words(docs: DataFrame, most: int = 400_000) -> DataFrame:
 
 
 def _add_rows(total: np.ndarray, ids: np.ndarray, rows: np.ndarray) -> None:
-    """total[ids] += rows, where identifiers repeat."""
-    order = np.argsort(ids, kind="stable")
-    found, starts = np.unique(ids[order], return_index=True)
-    if len(found):
-        total[found] += np.add.reduceat(rows[order], starts)
+    """total[ids] += rows, where identifiers (below 2^15) repeat."""
+    if len(ids):
+        order = np.argsort(ids.astype(np.int16), kind="stable")
+        ids = ids[order]
+        starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]]))
+        total[ids[starts]] += np.add.reduceat(rows[order], starts)
 
 
-@dataclass
 class Model:
     """Parameters; words 0 .. k - 1 are in classes of CLASS_WORDS, word k + i stands for slot i of the tail.
 
-    `levels[j]` holds the log masses of digit j by the digits before; they are not trained.
+    `parts` are views of the one vector `flat`. `levels[j]` holds the log
+    probabilities of digit j given the digits before, without a state; they are
+    not trained.
     """
 
-    k: int
-    parts: dict[str, np.ndarray]
-    base: int
-    levels: list[np.ndarray]
+    def __init__(self, k: int, base: int, levels: list[np.ndarray], shapes: dict[str, tuple[int, ...]], flat: np.ndarray):
+        self.k, self.base, self.levels, self.shapes, self.flat = k, base, levels, shapes, flat
+        self.parts = self.views(flat)
+
+    def __reduce__(self):
+        return Model, (self.k, self.base, self.levels, self.shapes, self.flat)
+
+    def views(self, flat: np.ndarray) -> dict[str, np.ndarray]:
+        found, at = {}, 0
+        for name, shape in self.shapes.items():
+            size = int(np.prod(shape))
+            found[name] = flat[at : at + size].reshape(shape)
+            at += size
+        return found
+
+    def filled(self, flat: np.ndarray) -> Model:
+        return Model(self.k, self.base, self.levels, self.shapes, flat.astype(np.float32))
 
     @staticmethod
     def new(counts: np.ndarray, tail: float, seed: int = 1, slots: np.ndarray | None = None) -> Model:
@@ -131,65 +160,51 @@ class Model:
         rng, k, s, h = np.random.default_rng(seed), len(counts), CLASS_WORDS, UNITS
         classes = -(-k // s)
         padded = np.concatenate([counts.astype(float), np.full(classes * s - k, 1e-30)]).reshape(classes, s)
-        draw = lambda *shape: (rng.standard_normal(shape) * 0.1).astype(np.float32)
         mass = np.append(padded.sum(1), max(tail, 0.5))
         slots = np.ones(1) if slots is None else slots
         base = round(len(slots) ** (1 / DIGITS))
         side = base ** (DIGITS // 2)
-        return Model(
-            k,
-            {
-                "x": draw(k + 1, 2 * h),
-                "u": draw(h, 2 * h),
-                "b": np.zeros(2 * h, np.float32),
-                "cw": draw(h, classes + 1),
-                "cb": np.log(mass / mass.sum()).astype(np.float32),
-                "ww": draw(classes, h, s),
-                "wb": np.maximum(np.log(padded / padded.sum(1, keepdims=True)), -60.0).astype(np.float32),
-                "xr": draw(side, 2 * h),
-                "xc": draw(side, 2 * h),
-                "tw": draw(DIGITS, h, base),
-                "tm": np.zeros((DIGITS, DIGITS, base, h), np.float32),
-            },
-            base,
-            [np.log(slots.reshape(base ** (j + 1), -1).sum(1)).reshape(-1, base).astype(np.float32) for j in range(DIGITS)],
-        )
-
-    def flat(self) -> np.ndarray:
-        return np.concatenate([p.ravel() for p in self.parts.values()])
-
-    def filled(self, flat: np.ndarray) -> Model:
-        parts, at = {}, 0
-        for name, p in self.parts.items():
-            parts[name] = flat[at : at + p.size].reshape(p.shape).astype(np.float32)
-            at += p.size
-        return Model(self.k, parts, self.base, self.levels)
+        shapes = {
+            "x": (k + 1, 2 * h), "xr": (side, 2 * h), "xc": (side, 2 * h), "u": (h, 2 * h), "b": (2 * h,),
+            "cw": (h, classes + 1), "ww": (classes, h, s), "tw": (h, DIGITS * base), "cb": (classes + 1,), "wb": (classes, s),
+        }
+        levels = []
+        for j in range(DIGITS):
+            m = slots.reshape(base ** (j + 1), -1).sum(1).reshape(-1, base)
+            levels.append(np.log(m / m.sum(1, keepdims=True)).astype(np.float32))
+        model = Model(k, base, levels, shapes, np.zeros(sum(int(np.prod(x)) for x in shapes.values()), np.float32))
+        p = model.parts
+        for name in ("x", "xr", "xc", "u", "cw", "ww", "tw"):
+            p[name][:] = rng.standard_normal(shapes[name]) * 0.1
+        p["b"][:h] = 0.5  # an open gate half-way
+        p["cb"][:] = np.log(mass / mass.sum())
+        p["wb"][:] = np.maximum(np.log(padded / padded.sum(1, keepdims=True)), -60.0)
+        return model
 
     def steps(self, state: np.ndarray, seen: np.ndarray, fresh: np.ndarray) -> tuple[np.ndarray, ...]:
         """States before and after each step, gates and candidates."""
         p, (t, lanes), h = self.parts, seen.shape, UNITS
         before, after = np.empty((t, lanes, h), np.float32), np.empty((t, lanes, h), np.float32)
         gate, new = np.empty_like(before), np.empty_like(before)
-        given = p["x"][np.minimum(seen, self.k)] + p["b"]
+        given = p["x"][np.minimum(seen, self.k)]
+        given += p["b"]
         if self.base > 1:
             tail = seen >= self.k
             row, column = np.divmod(seen[tail] - self.k, len(p["xc"]))
             given[tail] += p["xr"][row] + p["xc"][column]
-        begins = fresh.any(1).tolist()
-        quarter, half, one = np.float32(0.25), np.float32(0.5), np.float32(1)
+        begins, u = fresh.any(1).tolist(), p["u"]
         for i in range(t):
             old, z, g = before[i], gate[i], new[i]
             old[:] = state
             if begins[i]:
                 old[fresh[i]] = 0
             a = given[i]
-            a += old @ p["u"]
+            a += old @ u
             # a piecewise linear gate and a softsign candidate: no exponentials
-            np.multiply(a[:, :h], quarter, out=z)
-            z += half
-            np.clip(z, 0, one, out=z)
+            np.maximum(a[:, :h], 0, out=z)
+            np.minimum(z, 1, out=z)
             np.abs(a[:, h:], out=g)
-            g += one
+            g += 1
             np.divide(a[:, h:], g, out=g)
             state = after[i]
             np.subtract(g, old, out=state)
@@ -199,174 +214,218 @@ class Model:
 
     def log_probs(self, states: np.ndarray, target: np.ndarray, grads: dict | None = None, live: np.ndarray | None = None):
         """Natural log probabilities of the targets; with `grads`, also the gradient at the states."""
-        p, s = self.parts, CLASS_WORDS
-        cls = np.where(target >= self.k, p["cb"].size - 1, target // s)
-        logits = states @ p["cw"] + p["cb"]
-        logits -= logits.max(1, keepdims=True)
-        e = np.exp(logits)
-        total = e.sum(1, keepdims=True)
-        rows = np.arange(len(target))
-        out = logits[rows, cls] - np.log(total[:, 0])
-        if grads is not None:
-            d = e / total
-            d[rows, cls] -= 1
-            d *= live[:, None]
-            grads["cw"] += states.T @ d
-            grads["cb"] += d.sum(0)
-            at_states = d @ p["cw"].T
+        p, s, k, classes = self.parts, CLASS_WORDS, self.k, len(self.parts["ww"])
+        cls = np.where(target >= k, classes, target // s).astype(np.int16)
         order = np.argsort(cls, kind="stable")
-        bounds = np.searchsorted(cls[order], np.arange(p["cb"].size))
-        for c in range(p["cb"].size - 1):
-            i = order[bounds[c] : bounds[c + 1]]
-            if not len(i):
-                continue
-            sub = states[i]
-            l = sub @ p["ww"][c] + p["wb"][c]
-            l -= l.max(1, keepdims=True)
-            e = np.exp(l)
-            total = e.sum(1, keepdims=True)
-            w, r = target[i] % s, np.arange(len(i))
-            out[i] += l[r, w] - np.log(total[:, 0])
-            if grads is not None:
-                d = e / total
-                d[r, w] -= 1
-                d *= live[i][:, None]
-                grads["ww"][c] += sub.T @ d
-                grads["wb"][c] += d.sum(0)
-                at_states[i] += d @ p["ww"][c].T
-        i = order[bounds[-1] :]
-        if self.base > 1 and len(i):
-            if grads is None:
-                out[i] += self.slot_log_probs(states[i], target[i] - self.k)
-            else:
-                more, back = self.slot_log_probs(states[i], target[i] - self.k, grads, live[i])
-                out[i] += more
-                at_states[i] += back
-        return out if grads is None else (out, at_states)
-
-    def slot_log_probs(self, states: np.ndarray, slot: np.ndarray, grads: dict | None = None, live: np.ndarray | None = None):
-        """The same for slots, given the tail: digit by digit, the state scaled by the digits before."""
-        p, base, out, at_states = self.parts, self.base, 0, 0
+        cls, target, st = cls[order], target[order], states[order]
+        rows, found = np.arange(len(target)), np.searchsorted(cls, np.arange(classes + 1)).tolist()
+        e = st @ p["cw"]
+        e += p["cb"]
+        np.exp(e, out=e)
+        total = e.sum(1)
+        out = np.log(e[rows, cls]) - np.log(total)
+        back = None
+        if grads is not None:
+            live = live[order].astype(states.dtype)
+            e *= (live / total)[:, None]
+            e[rows, cls] -= live
+            grads["cw"] += st.T @ e
+            grads["cb"] += e.sum(0)
+            back = e @ p["cw"].T
+        m = found[-1]  # those in classes come first
+        e = np.empty((m, s), st.dtype)
+        parts = [(c, slice(a, b)) for c, (a, b) in enumerate(zip(found, found[1:])) if a < b]
+        for c, at in parts:
+            np.matmul(st[at], p["ww"][c], out=e[at])
+            e[at] += p["wb"][c]
+        np.exp(e, out=e)
+        total, word, rows = e.sum(1), target[:m] % s, rows[:m]
+        out[:m] += np.log(e[rows, word]) - np.log(total)
+        if grads is not None:
+            e *= (live[:m] / total)[:, None]
+            e[rows, word] -= live[:m]
+            for c, at in parts:
+                grads["ww"][c] += st[at].T @ e[at]
+                grads["wb"][c] += e[at].sum(0)
+                back[at] += e[at] @ p["ww"][c].T
+        if self.base > 1 and m < len(target):
+            out[m:] += self._slot_log_probs(st[m:], target[m:] - k, grads, None if grads is None else live[m:], None if grads is None else back[m:])
+        by_row = np.empty_like(out)
+        by_row[order] = out
+        if grads is None:
+            return by_row
+        at_states = np.empty_like(back)
+        at_states[order] = back
+        return by_row, at_states
+
+    def _slot_log_probs(self, states, slot, grads, live, back) -> np.ndarray:
+        """The same for slots, given the tail; adds to `grads` and `back` where there are any."""
+        p, base, n = self.parts, self.base, len(slot)
+        e = states @ p["tw"]
+        by_digit = e.reshape(n, DIGITS, base)
         places = [slot // base ** (DIGITS - 1 - j) for j in range(DIGITS)]
-        digits, rows, marks = [x % base for x in places], np.arange(len(slot)), []
         for j in range(DIGITS):
-            scale = 1 + sum(p["tm"][j, i][digits[i]] for i in range(j)) if j else np.float32(1)
-            scaled = states * scale
-            l = scaled @ p["tw"][j]
-            l += self.levels[j][places[j] // base]
-            l -= l.max(1, keepdims=True)
-            picked = l[rows, digits[j]]
-            e = np.exp(l, out=l)
-            total = e.sum(1, keepdims=True)
-            out = out + picked - np.log(total[:, 0])
-            if grads is not None:
-                e *= live[:, None] / total
-                e[rows, digits[j]] -= live
-                grads["tw"][j] += scaled.T @ e
-                back = e @ p["tw"][j].T
-                at_states = at_states + back * scale
-                back *= states
-                for i in range(j):
-                    grads["tm"][j, i] += marks[i] @ back
-                marks.append((np.arange(base)[:, None] == digits[j]).astype(states.dtype))
-        return out if grads is None else (out, at_states)
-
-    def gradient(self, state: np.ndarray, seen: np.ndarray, target: np.ndarray, fresh: np.ndarray, live: np.ndarray):
-        """Gradient of the mean loss over one window, and the state after it."""
+            by_digit[:, j] += self.levels[j][places[j] // base]
+        np.exp(e, out=e)
+        total = by_digit.sum(2)
+        picked = np.stack([x % base + j * base for j, x in enumerate(places)], 1) + np.arange(n)[:, None] * (DIGITS * base)
+        flat = e.reshape(-1)
+        out = (np.log(flat[picked]) - np.log(total)).sum(1)
+        if grads is not None:
+            by_digit *= (live[:, None] / total)[:, :, None]
+            flat[picked] -= live[:, None]
+            grads["tw"] += states.T @ e
+            back += e @ p["tw"].T
+        return out
+
+    def gradient(self, state: np.ndarray, seen: np.ndarray, target: np.ndarray, fresh: np.ndarray, live: np.ndarray, grads: dict | None = None):
+        """Gradient of the summed loss over one window, added to `grads`, and the state after it."""
         p, (t, lanes), h = self.parts, seen.shape, UNITS
-        grads = {n: np.zeros_like(v) for n, v in p.items()}
+        grads = {n: np.zeros_like(v) for n, v in p.items()} if grads is None else grads
         before, after, gate, new = self.steps(state, seen, fresh)
-        _, back = self.log_probs(after.reshape(-1, h), target.ravel(), grads, live.ravel().astype(np.float32))
-        back = back.reshape(t, lanes, h)
+        _, back = self.log_probs(after.reshape(-1, h), target.ravel(), grads, live.ravel())
+        back, begins = back.reshape(t, lanes, h), fresh.any(1).tolist()
+        to_gate = new - before
+        to_gate *= (gate > 0) & (gate < 1)
+        to_new = 1 - np.abs(new)
+        to_new *= to_new
+        to_new *= gate
+        carried = 1 - gate
         back_u = np.ascontiguousarray(p["u"].T)
         pre, ahead = np.empty((t, lanes, 2 * h), np.float32), np.zeros((lanes, h), np.float32)
         for i in range(t - 1, -1, -1):
-            d, z, g = back[i] + ahead, gate[i], new[i]
-            pre[i, :, :h] = d * (g - before[i]) * ((z > 0) & (z < 1)) * np.float32(0.25)
-            keep = 1 - np.abs(g)
-            pre[i, :, h:] = d * z * keep * keep
-            ahead = d * (1 - z) + pre[i] @ back_u
-            if fresh[i].any():
+            d, row = back[i], pre[i]
+            d += ahead
+            np.multiply(d, to_gate[i], out=row[:, :h])
+            np.multiply(d, to_new[i], out=row[:, h:])
+            d *= carried[i]
+            ahead = row @ back_u
+            ahead += d
+            if begins[i]:
                 ahead[fresh[i]] = 0
-        rows = pre.reshape(-1, 2 * h)
+        rows, ids = pre.reshape(-1, 2 * h), seen.ravel()
         grads["u"] += before.reshape(-1, h).T @ rows
         grads["b"] += rows.sum(0)
-        ids = seen.ravel()
         _add_rows(grads["x"], np.minimum(ids, self.k), rows)
         if self.base > 1:
             tail = np.flatnonzero(ids >= self.k)
             row, column = np.divmod(ids[tail] - self.k, len(p["xc"]))
-            _add_rows(grads["xr"], row, rows[tail])
-            _add_rows(grads["xc"], column, rows[tail])
-        n = max(1.0, float(live.sum()))
-        return {k: v / n for k, v in grads.items()}, after[-1]
+            rows = rows[tail]
+            _add_rows(grads["xr"], row, rows)
+            _add_rows(grads["xc"], column, rows)
+        return grads, after[-1]
 
 
-def lanes_of(docs: list[np.ndarray], lanes: int) -> tuple[np.ndarray, ...]:
-    """Documents laid end to end in lanes, the fullest lane first.
+class Lanes:
+    """Documents laid end to end in lanes, the fullest lane first; windows are cut from them as they are needed.
 
-    Inputs, targets, document starts, live places, each target's document, and
-    the number of lanes that still have tokens in each window.
+    `firsts` are the inputs of the documents' first steps, the end by default;
+    every other input is the token before.
     """
-    order = sorted(range(len(docs)), key=lambda i: -len(docs[i]))
-    rows: list[list[int]] = [[] for _ in range(max(1, min(lanes, len(docs))))]
-    heap = [(0, lane) for lane in range(len(rows))]
-    for i in order:  # longest first, to the emptiest lane
-        n, lane = heap[0]
-        rows[lane].append(i)
-        heapq.heapreplace(heap, (n + len(docs[i]), lane))
-    rows.sort(key=lambda r: -sum(len(docs[i]) for i in r))
-    load = np.array([sum(len(docs[i]) for i in r) for r in rows])
-    t, lanes = -(-int(load[0]) // WINDOW) * WINDOW, len(rows)
-    seen, target = np.zeros((t, lanes), np.int32), np.zeros((t, lanes), np.int32)
-    fresh, live, owner = np.zeros((t, lanes), bool), np.zeros((t, lanes), bool), np.zeros((t, lanes), np.int32)
-    for lane, members in enumerate(rows):
-        at = 0
-        for i in members:
-            d = docs[i]
-            n = len(d)
-            seen[at, lane], seen[at + 1 : at + n, lane] = d[-1], d[:-1]  # the end stands before the first word
-            target[at : at + n, lane], owner[at : at + n, lane] = d, i
-            fresh[at, lane], live[at : at + n, lane] = True, True
-            at += n
-    return seen, target, fresh, live, owner, (load[None, :] > np.arange(0, t, WINDOW)[:, None]).sum(1)
+
+    def __init__(self, docs: list[np.ndarray], lanes: int, firsts: list[int] | None = None):
+        sizes = [len(d) for d in docs]
+        members: list[list[int]] = [[] for _ in range(max(1, min(lanes, len(docs))))]
+        heap = [(0, lane) for lane in range(len(members))]
+        for i in sorted(range(len(docs)), key=lambda i: -sizes[i]):  # longest first, to the emptiest lane
+            n, lane = heap[0]
+            members[lane].append(i)
+            heapq.heapreplace(heap, (n + sizes[i], lane))
+        load = [sum(sizes[i] for i in m) for m in members]
+        by_load = sorted(range(len(members)), key=lambda lane: -load[lane])
+        self.docs = np.array([i for lane in by_load for i in members[lane]], np.int64)
+        self.load = np.array([load[lane] for lane in by_load], np.int64)
+        self.offset = np.cumsum(self.load) - self.load
+        self.flat = np.concatenate([docs[i] for i in self.docs]) if docs else np.empty(0, np.int32)
+        size = np.array(sizes, np.int64)[self.docs]
+        #: Where each document of `docs` begins in `flat`.
+        self.begin = np.cumsum(size) - size
+        lane = np.repeat(np.arange(len(by_load)), [len(members[x]) for x in by_load])
+        at = self.begin - self.offset[lane]
+        order = np.argsort(at, kind="stable")
+        first = np.zeros(len(docs), np.int32) if firsts is None else np.array(firsts, np.int32)[self.docs]
+        self.starts = at[order], lane[order], first[order]
+
+    def windows(self, width: int) -> Iterator[tuple[np.ndarray, ...]]:
+        """Inputs, targets, document starts, live places, and the targets' places in `flat`, (steps, lanes) each."""
+        at, lane, first = self.starts
+        for a in range(0, int(self.load[0]), width):
+            t, n = min(width, int(self.load[0]) - a), int((self.load > a).sum())
+            step = np.arange(a, a + t)[:, None]
+            live = step < self.load[:n]
+            index = np.where(live, self.offset[:n] + step, self.offset[:n])
+            target, seen = self.flat[index], self.flat[index - 1]
+            fresh = np.zeros((t, n), bool)
+            cut = slice(*np.searchsorted(at, (a, a + t)))
+            fresh[at[cut] - a, lane[cut]] = True
+            seen[at[cut] - a, lane[cut]] = first[cut]
+            yield seen, target, fresh, live, index
+
+
+def segments(docs: list[np.ndarray], most: int = SEGMENT) -> tuple[list[np.ndarray], list[int]]:
+    """Documents in segments of at most `most` tokens, and the token before each of them."""
+    found, firsts = [], []
+    for d in docs:
+        for a in range(0, len(d), most):
+            found.append(d[a : a + most])
+            firsts.append(int(d[a - 1]) if a else 0)
+    return found, firsts
 
 
 def train(model: Model, chunks: Iterable[list[np.ndarray]], rate: float = RATE, lanes: int = LANES) -> tuple[Model, int]:
-    """Truncated backpropagation over all windows of all chunks; steps by Adam."""
-    m1 = {n: np.zeros_like(v) for n, v in model.parts.items()}
-    m2 = {n: np.zeros_like(v) for n, v in model.parts.items()}
+    """Truncated backpropagation over all windows of all chunks; steps by Adam. The model is changed in place."""
+    flat = model.flat
+    m1, m2, grad, move = (np.zeros_like(flat) for _ in range(4))
+    own, bound = np.ones_like(flat), np.full_like(flat, np.inf)
+    for views, names, value in ((model.views(own), ("cb", "wb"), BIAS_PACE), (model.views(bound), ("cw", "ww", "tw"), LIMIT)):
+        for n in names:
+            views[n][:] = value
+    grads = model.views(grad)
     step = n_tokens = 0
     for docs in chunks:
-        seen, target, fresh, live, _, active = lanes_of(docs, lanes)
-        state = np.zeros((seen.shape[1], UNITS), np.float32)
-        for a in range(0, len(seen), WINDOW):
-            cut = slice(a, a + WINDOW), slice(0, active[a // WINDOW])
-            grads, state = model.gradient(state[cut[1]], seen[cut], target[cut], fresh[cut], live[cut])
+        if not docs:
+            continue
+        pieces, firsts = segments(docs)
+        laid = Lanes(pieces, lanes, firsts)
+        state, full = np.zeros((len(laid.load), UNITS), np.float32), WINDOW * len(laid.load)
+        for seen, target, fresh, live, _ in laid.windows(WINDOW):
+            grad[:] = 0
+            _, state = model.gradient(state[: seen.shape[1]], seen, target, fresh, live, grads)
             step += 1
-            n_live = int(live[cut].sum())
+            n_live = int(live.sum())
             n_tokens += n_live
+            grad /= n_live
             # a window of few documents moves little, or the last ones of a chunk would have the last word
-            part = min(1.0, step / WARM_STEPS) * n_live / (WINDOW * seen.shape[1])
+            part = min(1.0, step / WARM_STEPS) * n_live / full
             pace = np.float32(part * rate * np.sqrt(1 - 0.999**step) / (1 - 0.9**step))
-            for n, g in grads.items():
-                m1[n] += np.float32(0.1) * (g - m1[n])
-                m2[n] += np.float32(0.001) * (g * g - m2[n])
-                own = np.float32(BIAS_PACE) if n in ("cb", "wb") else np.float32(1)
-                model.parts[n] -= own * pace * m1[n] / (np.sqrt(m2[n]) + np.float32(1e-4))
+            m1 *= 0.9
+            m1 += np.multiply(grad, 0.1, out=move)
+            m2 *= 0.999
+            grad *= grad
+            m2 += np.multiply(grad, 0.001, out=move)
+            np.sqrt(m2, out=move)
+            move += 1e-4
+            np.divide(m1, move, out=move)
+            move *= own
+            move *= pace
+            flat -= move
+            np.minimum(flat, bound, out=flat)
+            np.maximum(flat, -bound, out=flat)
     return model, n_tokens
 
 
 def score_docs(model: Model, docs: list[np.ndarray]) -> np.ndarray:
     """Natural log-likelihood of each document; a slot counts as one word."""
-    seen, target, fresh, live, owner, active = lanes_of(docs, LANES)
-    state, out = np.zeros((seen.shape[1], UNITS), np.float32), np.zeros(len(docs))
-    for a in range(0, len(seen), WINDOW):
-        cut = slice(a, a + WINDOW), slice(0, active[a // WINDOW])
-        _, after, _, _ = model.steps(state[cut[1]], seen[cut], fresh[cut])
-        state, on = after[-1], live[cut].ravel()
-        lp = model.log_probs(after.reshape(-1, UNITS)[on], target[cut].ravel()[on])
-        out += np.bincount(owner[cut].ravel()[on], lp, len(docs))
+    if not docs:
+        return np.zeros(0)
+    laid = Lanes(docs, LANES)
+    state, each = np.zeros((len(laid.load), UNITS), np.float32), np.zeros(len(laid.flat))
+    for seen, target, fresh, live, index in laid.windows(SCORE_WINDOW):
+        _, after, _, _ = model.steps(state[: seen.shape[1]], seen, fresh)
+        state, on = after[-1], live.ravel()
+        each[index.ravel()[on]] = model.log_probs(after.reshape(-1, UNITS)[on], target.ravel()[on])
+    out = np.zeros(len(docs))
+    out[laid.docs] = np.add.reduceat(each, laid.begin)
     return out
 
 
@@ -392,27 +451,8 @@ class Vocabulary:
         return float(self.total - self.counts[: self.k].sum())
 
 
-def slot_of(word: str, n_slots: int) -> int:
-    return zlib.crc32(word.encode()) % n_slots
-
-
-@lru_cache(maxsize=2)
-def _ranks(key: str, words: tuple[str, ...]) -> dict[str, int]:
-    return {w: i for i, w in enumerate(words)}
-
-
-def _chunks(batches: Iterable[pa.RecordBatch], column: int, encode) -> Iterator[tuple[list[int], list]]:
-    """Encoded documents by chunks of bounded tokens, with their row numbers in the running batch."""
-    for batch in batches:
-        held, size, first = [], 0, 0
-        texts = batch.column(column)
-        for i in range(batch.num_rows):
-            d = encode(texts[i].as_py())
-            held.append(d)
-            size += len(d[0]) if isinstance(d, tuple) else len(d)
-            if size >= CHUNK_TOKENS or i + 1 == batch.num_rows:
-                yield batch.slice(first, i + 1 - first), held
-                held, size, first = [], 0, i + 1
+def slot_of(word: str | bytes, n_slots: int) -> int:
+    return zlib.crc32(word.encode() if isinstance(word, str) else word) % n_slots
 
 
 def _vocabulary(counts: DataFrame) -> Vocabulary:
@@ -425,7 +465,7 @@ def _vocabulary(counts: DataFrame) -> Vocabulary:
     words = [END, *top["word"].tolist()]
     ends = totals.e or 0
     found = Vocabulary(words, np.array([ends, *top["n"].tolist()], np.int64), int(totals.n or 0), int(totals.v or 0) + (totals.e is None), np.ones(1))
-    n_slots = max(1, round(max(0, totals.often - found.k) ** (1 / DIGITS))) ** DIGITS
+    n_slots = min(MOST_DIGITS, max(1, round(max(0, totals.often - found.k) ** (1 / DIGITS)))) ** DIGITS
     slot = (F.crc32(F.col("word").cast("binary")) % n_slots).cast("int").alias("slot")
     by_slot = counts.groupBy(slot).agg((F.sum("n") + F.count(F.lit(1)) / 2).cast("double").alias("mass")).toArrow()
     found.slots = np.full(n_slots, 0.5)
@@ -436,66 +476,95 @@ def _vocabulary(counts: DataFrame) -> Vocabulary:
     return found
 
 
-def _sum_params(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Weighted sum of parameter rows, one at a time."""
+def _average(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Weighted mean of parameter rows, one at a time."""
     total, weight = None, 0
     for batch in batches:
         for params, n in zip(batch.column(0), batch.column(1)):
-            v = np.frombuffer(params.as_buffer(), np.float64)
-            total = v.copy() if total is None else total + v
+            v = np.frombuffer(params.as_buffer(), np.float32) * np.float64(n.as_py())
+            total = v if total is None else total + v
             weight += n.as_py()
     if total is not None:
-        yield pa.RecordBatch.from_arrays([pa.array([total.tobytes()], pa.binary()), pa.array([weight], pa.int64())], names=["params", "n"])
+        yield _params_row(total / weight, weight)
+
+
+def _params_row(flat: np.ndarray, n: int) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([flat.astype(np.float32).tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["params", "n"])
+
+
+def _chunks(batches: Iterable[pa.RecordBatch], encode) -> Iterator[list[np.ndarray]]:
+    """Encoded documents by chunks of bounded tokens."""
+    held, size = [], 0
+    for text in byte_texts(batches, 0):
+        held.append(encode(text))
+        size += len(held[-1])
+        if size >= CHUNK_TOKENS:
+            yield held
+            held, size = [], 0
+    if held:
+        yield held
 
 
 def fit(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary) -> Model:
     """A model trained on all texts of `docs`."""
     k, n_slots = vocabulary.k, len(vocabulary.slots)
-    known = spark.sparkContext.broadcast({w: i for i, w in enumerate(vocabulary.words[:k])})
+    known = spark.sparkContext.broadcast({w.encode(): i for i, w in enumerate(vocabulary.words[:k])})
     begin = Model.new(vocabulary.counts[:k] + 0.5, vocabulary.tail_tokens(), slots=vocabulary.slots)
 
-    def trainer(start: Model, rate: float, lanes: int):
+    def trained(rows: DataFrame, start: Model, rate: float, lanes: int) -> Model:
         shared = spark.sparkContext.broadcast(start)
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index, start = known.value, shared.value
+            number = Memo(lambda w: index[w] if w in index else k + slot_of(w, n_slots)).__getitem__
 
-            def encode(text: str) -> np.ndarray:
-                return np.array([*(index[w] if w in index else k + slot_of(w, n_slots) for w in tokens(text)), 0], np.int32)
+            def encode(text: bytes) -> np.ndarray:
+                found = tokens(text)
+                ids = np.zeros(len(found) + 1, np.int32)  # the end comes last
+                ids[:-1] = np.fromiter(map(number, found), np.int32, len(found))
+                return ids
 
-            model, n = train(start.filled(start.flat()), (held for _, held in _chunks(batches, 0, encode)), rate, lanes)
+            model, n = train(start.filled(start.flat), _chunks(batches, encode), rate, lanes)
             if n:
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([(model.flat().astype(np.float64) * n).tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["params", "n"]
-                )
-
-        return run
-
-    def averaged(rows: DataFrame, start: Model) -> Model:
-        width = max(1, int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) // 4)
-        once = rows.repartition(width).mapInArrow(_sum_params, "params binary, n long")
-        found = once.coalesce(1).mapInArrow(_sum_params, "params binary, n long").collect()  # one row
-        return start.filled(np.frombuffer(found[0].params, np.float64) / found[0].n) if found else start
-
-    sample = docs.orderBy(F.xxhash64("doc_id", "text")).limit(START_DOCS).select("text").coalesce(1)
-    first = averaged(sample.mapInArrow(trainer(begin, RATE, START_LANES), "params binary, n long"), begin)
-    share, model = F.pmod(F.xxhash64("text", "doc_id"), F.lit(ROUNDS)), first
+                yield _params_row(model.flat, n)
+
+        # one row for each partition that had text; a lost executor costs no second training
+        level = made = keep(spark, rows.select("text").mapInArrow(run, "params binary, n long"), "params")
+        width = made.count()
+        while width > 1:
+            width = -(-width // FAN_IN)
+            level = level.repartition(width).mapInArrow(_average, "params binary, n long")
+        found = level.collect()  # one row at most
+        forget(spark, made)
+        return start.filled(np.frombuffer(found[0].params, np.float32)) if found else start
+
+    draw = F.xxhash64("text", "doc_id")
+    n_docs = max(1, int(vocabulary.counts[0]))
+    model = trained(docs.filter(F.pmod(draw, F.lit(n_docs)) < START_DOCS).repartition(1), begin, RATE, START_LANES)
     for i in range(ROUNDS):
-        model = averaged(docs.filter(share == i).select("text").mapInArrow(trainer(model, RATE / 2, LANES), "params binary, n long"), model)
+        model = trained(docs.filter(F.pmod(draw, F.lit(ROUNDS)) == i), model, RATE / 2, LANES)
     return model
 
 
 _SCORED = pa.schema(
     [
-        ("row", pa.string()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
-        ("base", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.struct([("word", pa.string()), ("n", pa.int64())]))),
+        ("row", pa.int64()), ("doc_id", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("n_known", pa.int64()),
+        ("base", pa.float64()), ("score", pa.float64()), ("rare", pa.list_(pa.string())),
     ]
 )
-_SCORED_FIELDS = "row string, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<struct<word: string, n: bigint>>"
+_SCORED_FIELDS = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base double, score double, rare array<string>"
+
+
+class _Ranks(dict):
+    """Ranks of the listed words; any other word has the rank after the last."""
+
+    def __missing__(self, word: bytes) -> int:
+        return len(self)
 
 
 def score(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document."""
+    small_batches(spark)
     base = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(text_col, F.lit("")).alias("text")).withColumn("held_out", held_out())
     training = base.filter(~F.col("held_out"))
     counts = keep(spark, count_words(training), "words")
@@ -507,48 +576,61 @@ def score(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words, n_of, slots, model = shared.value
-        rank = _ranks(str(id(words)), tuple(words)).get
-        n_words = len(words)
+        rank = _Ranks((w.encode(), i) for i, w in enumerate(words))
+        number, n_words, n_slots = rank.__getitem__, len(words), len(slots)
         base_log = np.append(np.log10((n_of + 0.5) / divisor), 0.0)
-        n_slots = len(slots)
         in_model = np.array([*range(k), *(k + slot_of(w, n_slots) for w in words[k:]), k], np.int32)
         tail_log = np.log10((n_of + 0.5) / slots[np.maximum(in_model[:-1] - k, 0)])
         tail_log[:k] = 0.0
-        tail_log = np.append(tail_log, 0.0)
-        is_known = np.append(n_of > 0, False)
+        tail_log, is_known, slot_log = np.append(tail_log, 0.0), np.append(n_of > 0, False), np.log10(slots)
 
-        def encode(text: str) -> tuple[np.ndarray, np.ndarray, list[str], float]:
-            """Ranks, the model's numbers, the words without a rank, and what their slots' masses take off."""
+        def encoded(text: bytes) -> tuple:
+            """The model's numbers, and tokens, known ones, base score, what the tail's counts add, and the words without a rank."""
             found = tokens(text)
-            ids = np.array([*(rank(w, n_words) for w in found), 0], np.int32)
+            ids = np.zeros(len(found) + 1, np.int32)
+            ids[:-1] = np.fromiter(map(number, found), np.int32, len(found))
             numbers, at = in_model[ids], np.flatnonzero(ids == n_words)
-            rare = [found[i] for i in at]
-            numbers[at] += np.array([slot_of(w, n_slots) for w in rare], np.int32)
-            return ids, numbers, rare, float(np.log10(slots[numbers[at] - k]).sum())
-
-        for part, held in _chunks(batches, 2, encode):
-            logs = score_docs(model, [numbers for _, numbers, _, _ in held]) / np.log(10)
+            rare = [found[i] for i in at.tolist()]
+            slot = np.fromiter((zlib.crc32(w) % n_slots for w in rare), np.int32, len(rare))
+            numbers[at] += slot
+            return numbers, len(ids), int(is_known[ids].sum()), float(base_log[ids].sum()), float(tail_log[ids].sum() - slot_log[slot].sum()), rare
+
+        def finished(parts: list[pa.RecordBatch], held: list[tuple]) -> pa.RecordBatch:
+            numbers, n_tokens, n_known, base, tail, rare = zip(*held)
+            rows = pa.concat_batches(parts)
+            ends = np.concatenate([[0], np.cumsum([len(r) for r in rare])]).astype(np.int32)
             columns = [
-                part.column(0),
-                part.column(1),
-                part.column(3),
-                [len(ids) for ids, *_ in held],
-                [int(is_known[ids].sum()) for ids, *_ in held],
-                [float(base_log[ids].sum()) for ids, *_ in held],
-                [float(s + tail_log[ids].sum() - off) for s, (ids, _, _, off) in zip(logs, held)],
-                [[{"word": w, "n": n} for w, n in Counter(rare).items()] for _, _, rare, _ in held],
+                *rows.columns,
+                pa.array(n_tokens, pa.int64()),
+                pa.array(n_known, pa.int64()),
+                pa.array(base, pa.float64()),
+                pa.array(score_docs(model, list(numbers)) / np.log(10) + np.array(tail)),
+                pa.ListArray.from_arrays(pa.array(ends), string_array([w for r in rare for w in r])),
             ]
-            yield pa.RecordBatch.from_arrays([c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, _SCORED.types)], schema=_SCORED)
+            return pa.RecordBatch.from_arrays(columns, schema=_SCORED)
 
-    rows = base.select(F.uuid().alias("row"), "doc_id", "text", "held_out")
+        parts, held, size = [], [], 0
+        for batch in batches:
+            keys, first = batch.select([0, 1, 2]), 0
+            for i, text in enumerate(byte_texts([batch], 3)):
+                held.append(encoded(text))
+                size += held[-1][1]
+                if size >= CHUNK_TOKENS:
+                    yield finished([*parts, keys.slice(first, i + 1 - first)], held)
+                    parts, held, size, first = [], [], 0, i + 1
+            parts.append(keys.slice(first))
+        if held:
+            yield finished(parts, held)
+
+    rows = base.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
     scored = keep(spark, rows.mapInArrow(run, _SCORED_FIELDS), "scored")
     # the listed words are in the parts already; the counts of all others are joined
-    others = scored.select("row", F.explode("rare").alias("r")).select("row", F.col("r.word").alias("word"), F.col("r.n").alias("times"))
+    others = scored.select("row", F.explode("rare").alias("word"))
     c = F.coalesce(F.col("n"), F.lit(0)).cast("double")
     looked_up = others.join(counts, "word", "left").groupBy("row").agg(
-        F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("known_"),
-        F.sum(F.col("times") * F.log10((c + 0.5) / F.lit(float(divisor)))).alias("base_"),
-        F.sum(F.col("times") * F.log10(c + 0.5)).alias("tail_"),
+        F.count_if(F.col("n") > 0).alias("known_"),
+        F.sum(F.log10((c + 0.5) / F.lit(float(divisor)))).alias("base_"),
+        F.sum(F.log10(c + 0.5)).alias("tail_"),
     )
     joined = scored.drop("rare").join(looked_up, "row", "left")
     zero = lambda x: F.coalesce(F.col(x), F.lit(0.0))

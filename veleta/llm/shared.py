@@ -7,15 +7,33 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Rows that are handed to Python at a time; texts are long.
+BATCH_ROWS = 1000
+
 
 def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir; a folder of this machine only where that is unset."""
+    """A new path under spark.checkpoint.dir, deleted when the application ends.
+
+    Where that is unset, a folder of this machine serves a local session only.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        root = current.get() if current.isDefined() else f"file://{tempfile.mkdtemp(prefix='spark-')}"
+        if current.isDefined():
+            root = current.get()
+        elif spark.sparkContext.master.split("[")[0] == "local":
+            root = f"file://{tempfile.mkdtemp(prefix='spark-')}"
+        else:
+            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that the driver and all executors share")
         spark.conf.set("spark.checkpoint.dir", root)
-    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _file_system(spark, path)[0].deleteOnExit(_file_system(spark, path)[1])
+    return path
+
+
+def _file_system(spark: SparkSession, path: str):
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
 
 
 def keep(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
@@ -30,5 +48,11 @@ def forget(spark: SparkSession, *kept: DataFrame) -> None:
     for df in kept:
         files = df.inputFiles()
         if files:
-            path = spark._jvm.org.apache.hadoop.fs.Path(files[0]).getParent()
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            fs, at = _file_system(spark, files[0])
+            fs.delete(at.getParent(), True)
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Hand at most `BATCH_ROWS` rows to Python at a time, unless the session has a setting of its own."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))

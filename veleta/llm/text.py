@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import re
+from collections.abc import Iterable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -36,5 +38,29 @@ def let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
+def packed(df: DataFrame) -> Column:
+    """All columns of `df` in one, so that names of our own cannot clash with theirs."""
+    return F.struct(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+def byte_texts(batches: Iterable[pa.RecordBatch], column: int) -> Iterator[bytes]:
+    """Texts of a column in UTF-8, null as empty, a bounded number of rows at a time."""
+    for batch in batches:
+        texts = batch.column(column)
+        for at in range(0, len(texts), 256):
+            for t in texts.slice(at, 256).cast(pa.binary()).to_pylist():
+                yield t or b""
+
+
+def byte_words(text: bytes) -> list[bytes]:
+    """Words of a text in UTF-8, A-Z lower-cased: bytes know no white space and no letters but the ASCII ones."""
+    return text.lower().split()
+
+
+def string_array(words: list[bytes]) -> pa.Array:
+    """Words of texts, cut at ASCII characters, as a string array."""
+    return pa.array(words, pa.binary()).cast(pa.string(), safe=False)
