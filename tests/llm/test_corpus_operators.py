@@ -179,6 +179,40 @@ def test_jaccard_join_odd(spark, odd, empty):
     assert jaccard_join.link_components(spark, empty).count() == 0
 
 
+def test_jaccard_join_compares_words(spark):
+    """Words whose letters make a polynomial hash meet, whatever its multiplier: a Thue-Morse word and its complement."""
+    a = "".join("ab"[bin(i).count("1") % 2] for i in range(4096))
+    b = a.translate(str.maketrans("ab", "ba"))
+    rows = [(1, f"{a} p q r s"), (2, f"{b} p q r s"), (3, f"{a}  P q r s")]
+    got = {r[0]: r[2] for r in jaccard_join.link_components(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: 1, 2: 2, 3: 1}
+
+
+def test_jaccard_join_repeated_identifiers(spark):
+    """One identifier on two texts links what either of them links with; null identifiers link and name nothing."""
+    rng = random.Random(7)
+    one, two, three = (" ".join(f"w{rng.randint(0, 999)}" for _ in range(60)) for _ in range(3))
+    rows = [(5, one), (5, two), (5, two), (7, one + " x"), (9, two + " y"), (None, three), (None, three), (None, three + " z"), (12, three), (3, "alone"), (None, "nobody")]
+    got = jaccard_join.link_components(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3))
+    assert sorted(got.select("doc_id", "component_id").collect(), key=str) == sorted(
+        [(5, 5)] * 3 + [(7, 5), (9, 5)] + [(None, 12)] * 3 + [(12, 12), (3, 3), (None, None)], key=str
+    )
+
+
+def test_jaccard_join_long_postings_meet_in_blocks(spark, monkeypatch):
+    """Groups around a shared passage, of many sizes, that pivots do not settle."""
+    for name, value in (("LONG_ABOVE", 4), ("PIVOTS", 1), ("HOT_ABOVE", 10**6), ("BLOCK", 8)):
+        monkeypatch.setattr(jaccard_join, name, value)
+    rng = random.Random(11)
+    passage = " ".join(f"p{k}" for k in range(40))
+    rows = []
+    for i in range(70):
+        own = [f"u{i // 2}_{k}" for k in range(3 + rng.randint(0, 60))] if i % 2 == 0 else own[: len(own) - i % 3]
+        rows.append((i, passage + " " + " ".join(own)))
+    got = {r[0]: tuple(r[1:]) for r in jaccard_join.link_components(spark, spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == brute_components(rows) and len({c for _, c in got.values()}) > 5
+
+
 def test_components(spark):
     edges = [(1, 2), (2, 3), (7, 3), (10, 11), (11, 10), (5, 5), (20, 19), (19, 18), (18, 17), (17, 16)]
     got = dict(rows_of(components(spark, spark.createDataFrame(edges, "u long, v long"))))
@@ -359,9 +393,16 @@ def test_warc_round_trip(spark, sf_dir):
 def test_warc_chunks_are_a_gzip_file_and_damage_shows():
     import gzip
 
-    rows = list(warc.record_chunks(1, "http://a/", memoryview(b"x" * 250_000), None, False))
+    body, chunk = b"x" * 250_000, warc.CHUNK_BYTES
+    digest, cuts = hashlib.sha1(body).hexdigest(), range(0, len(body), chunk)
+    writer = warc.RecordWriter("2024-01-01T00:00:00Z")
+    made = [writer.rows("k", 1, "http://a/", len(body), digest, False, None, None, no, i + chunk >= len(body), body[i : i + chunk]) for no, i in enumerate(cuts)]
+    rows = [r for part in made for r in part]
     raw = gzip.decompress(b"".join(r[3] for r in rows))
     assert raw.startswith(b"WARC/1.1\r\n") and raw.endswith(b"x\r\n\r\n") and len(rows) == 5
+    assert b"\r\nWARC-Date: 2024-01-01T00:00:00Z\r\n" in raw and b"\r\nWARC-Record-ID: <urn:uuid:k>\r\n" in raw
+    with pytest.raises(ValueError, match="do not make"):
+        list(warc.RecordWriter("d").rows("k", 1, None, 3, digest, False, None, None, 0, True, b"abc"))
     reader = warc.RecordReader()
     reader.feed(0, rows[0][2], rows[0][3])
     with pytest.raises(ValueError, match="missing"):
@@ -426,7 +467,7 @@ def test_sparse_sites_shrink(spark):
 
 def test_language_model(spark, docs, odd, empty):
     got = recurrent_lm.score(spark, docs).toPandas()
-    texts = {r.doc_id: recurrent_lm.tokens(r.text) + [recurrent_lm.END] for r in docs.collect()}
+    texts = {r.doc_id: [w.translate(LOWER) for w in WORD.findall(r.text)] + ["\n"] for r in docs.collect()}
     held = {i: zlib.crc32(str(i).encode()) % 5 == 1 for i in texts}
     counts = Counter(w for i, t in texts.items() if not held[i] for w in t)
     n, v = sum(counts.values()), len(counts)
@@ -435,12 +476,77 @@ def test_language_model(spark, docs, odd, empty):
         base = sum(np.log10((counts[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t)
         assert (r.held_out, r.n_tokens, r.n_known, r.train_tokens) == (held[r.doc_id], len(t), sum(counts[w] > 0 for w in t), n)
         assert abs(r.base_score - base) < 1e-6 * abs(base) and r.score < 0
+    new = got[got.held_out]
+    assert len(new) and new.score.sum() > new.base_score.sum()  # documents that were not trained on
     out = recurrent_lm.score(spark, odd)
     assert out.count() == len(ODD) and out.filter("score is null or base_score is null").count() == 0
     assert out.filter("doc_id = 1").first().n_tokens == 1
     assert recurrent_lm.score(spark, empty).count() == 0
 
 
+def test_language_model_score_adds_up_over_words(spark, docs, monkeypatch):
+    """The score is the model's own log probability, slot and word in the slot, by a loop over one document at a time."""
+    made = {}
+    fit = recurrent_lm.fit
+    monkeypatch.setattr(recurrent_lm, "fit", lambda s, d, v: made.update(v=v) or made.setdefault("m", fit(s, d, v)))
+    monkeypatch.setattr(recurrent_lm, "KNOWN_WORDS", 6000)  # so that some words are looked up by a join
+    got = {r.doc_id: r.score for r in recurrent_lm.score(spark, docs).collect()}
+    m, v = made["m"], made["v"]
+    counts = Counter(w for r in docs.collect() if zlib.crc32(str(r.doc_id).encode()) % 5 != 1 for w in [*recurrent_lm.tokens(r.text), b"\n"])
+    number = {w.encode(): i for i, w in enumerate(v.words[: m.k])}
+    for r in docs.limit(25).collect():
+        words = [*recurrent_lm.tokens(r.text), b"\n"]
+        ids = [number.get(w, m.k + recurrent_lm.slot_of(w, len(v.slots))) for w in words]
+        inside = sum(np.log10((counts[w] + 0.5) / v.slots[i - m.k]) for w, i in zip(words, ids) if i >= m.k)
+        want = plain_log_likelihood(m, ids) / np.log(10) + inside
+        assert abs(got[r.doc_id] - want) < 1e-4 * abs(want) + 1e-3
+
+
+def plain_log_likelihood(m, ids):
+    """One document, one word after the other, every probability normalised over all its alternatives."""
+    p, h, state, total, before = {n: x.astype(float) for n, x in m.parts.items()}, recurrent_lm.UNITS, np.zeros(recurrent_lm.UNITS), 0.0, 0
+    soft = lambda x: x - x.max() - np.log(np.exp(x - x.max()).sum())
+    for i in ids:
+        given = p["x"][min(before, m.k)] + p["b"]
+        if before >= m.k and m.base > 1:
+            given = given + p["xr"][(before - m.k) // len(p["xc"])] + p["xc"][(before - m.k) % len(p["xc"])]
+        a = given + state @ p["u"]
+        z, g = np.clip(a[:h], 0, 1), a[h:] / (1 + np.abs(a[h:]))
+        state = z * g + (1 - z) * state
+        c = i // recurrent_lm.CLASS_WORDS if i < m.k else len(p["ww"])
+        total += soft(state @ p["cw"] + p["cb"])[c]
+        if i < m.k:
+            total += soft(state @ p["ww"][c] + p["wb"][c])[i % recurrent_lm.CLASS_WORDS]
+        elif m.base > 1:
+            digits = [(i - m.k) // m.base ** (recurrent_lm.DIGITS - 1 - j) for j in range(recurrent_lm.DIGITS)]
+            for j, d in enumerate(digits):
+                logits = (state @ p["tw"])[j * m.base : (j + 1) * m.base] + m.levels[j][d // m.base]
+                total += soft(logits)[d % m.base]
+        before = i
+    return total
+
+
+@pytest.mark.parametrize("window", [7, 64])
+def test_language_model_carries_its_state_through_documents(monkeypatch, window):
+    rng = np.random.default_rng(4)
+    m = recurrent_lm.Model.new(rng.integers(1, 50, 90).astype(float), 300.0, slots=rng.uniform(0.5, 9, 81))
+    m.flat += rng.normal(size=m.flat.size).astype(np.float32) * 0.3
+    docs = [np.append(rng.integers(1, 171, n), 0).astype(np.int32) for n in (0, 1, 300, 5, 90, 33)]
+    monkeypatch.setattr(recurrent_lm, "SCORE_WINDOW", window)
+    monkeypatch.setattr(recurrent_lm, "LANES", 2)
+    assert np.allclose(recurrent_lm.score_docs(m, docs), [plain_log_likelihood(m, d.tolist()) for d in docs], rtol=1e-4)
+
+
+def test_language_model_segments_hold_every_token():
+    docs = [np.arange(1, n + 1, dtype=np.int32) for n in (1, 4, 5, 13)]
+    parts, firsts = recurrent_lm.segments(docs, 4)
+    assert np.concatenate(parts).tolist() == np.concatenate(docs).tolist() and max(map(len, parts)) == 4
+    assert firsts == [0, 0, 0, 4, 0, 4, 8, 12]
+    laid = recurrent_lm.Lanes(parts, 3, firsts)
+    seen = [[int(s), int(t)] for s_, t_, _, live, _ in laid.windows(3) for s, t in zip(s_[live], t_[live])]
+    assert sorted(seen) == sorted([int(d[i - 1]) if i else 0, int(d[i])] for d in docs for i in range(len(d)))
+
+
 def test_language_model_is_a_distribution_and_learns():
     rng = np.random.default_rng(0)
     model = recurrent_lm.Model.new(np.array([50.0, 400, 300, 200]), 50.0)
@@ -454,12 +560,9 @@ def test_language_model_is_a_distribution_and_learns():
     assert n == 30 * 64 * 61 and recurrent_lm.score_docs(model, docs).sum() > 0.5 * before
 
 
-def test_language_model_gradient():
-    rng = np.random.default_rng(0)
-    m = recurrent_lm.Model.new(rng.integers(1, 50, 70).astype(float), 20.0)
+def check_gradient(m, docs, places):
     m.parts = {n: v.astype(np.float64) for n, v in m.parts.items()}
-    docs = [np.append(rng.integers(1, 71, rng.integers(3, 40)), 0).astype(np.int32) for _ in range(5)]
-    seen, target, fresh, live, _, _ = recurrent_lm.lanes_of(docs, 3)
+    seen, target, fresh, live, _ = next(recurrent_lm.Lanes(docs, 3).windows(1 << 20))
     start = np.zeros((seen.shape[1], recurrent_lm.UNITS), np.float32)
 
     def loss():
@@ -468,43 +571,32 @@ def test_language_model_gradient():
         return -(lp * live.ravel()).sum() / live.sum()
 
     grads, _ = m.gradient(start, seen, target, fresh, live)
-    for n, at in (("u", (3, 5)), ("x", (int(seen[0, 0]), 20)), ("cw", (2, 1)), ("ww", (0, 4, 3)), ("b", (20,))):
+    for n, at in places(seen):
         old, e = m.parts[n][at], 1e-2
         m.parts[n][at] = old + e
         high = loss()
         m.parts[n][at] = old - e
         low = loss()
         m.parts[n][at] = old
-        assert abs(grads[n][at] - (high - low) / (2 * e)) < 2e-4
+        assert abs(grads[n][at] / live.sum() - (high - low) / (2 * e)) < 2e-4
+
+
+def test_language_model_gradient():
+    rng = np.random.default_rng(0)
+    m = recurrent_lm.Model.new(rng.integers(1, 50, 70).astype(float), 20.0)
+    docs = [np.append(rng.integers(1, 71, rng.integers(3, 40)), 0).astype(np.int32) for _ in range(5)]
+    check_gradient(m, docs, lambda seen: (("u", (3, 5)), ("x", (int(seen[0, 0]), 40)), ("cw", (2, 1)), ("ww", (0, 4, 3)), ("b", (20,)), ("b", (40,)), ("cb", (1,)), ("wb", (1, 2))))
 
 
 def test_language_model_tells_tail_words_apart():
     rng = np.random.default_rng(0)
     masses = rng.uniform(0.5, 9, 81)
     m = recurrent_lm.Model.new(np.array([50.0, 400, 300]), masses.sum(), slots=masses)
-    m.parts["tm"] = rng.normal(size=m.parts["tm"].shape) * 0.1
     states = rng.normal(size=(3, recurrent_lm.UNITS)).astype(np.float32)
     for s in states:
         assert abs(np.exp(m.log_probs(np.repeat(s[None], 84, 0), np.arange(84))).sum() - 1) < 1e-4
-    m.parts = {n: v.astype(np.float64) for n, v in m.parts.items()}
     docs = [np.append(rng.integers(1, 84, rng.integers(3, 40)), 0).astype(np.int32) for _ in range(5)]
-    seen, target, fresh, live, _, _ = recurrent_lm.lanes_of(docs, 3)
-    start = np.zeros((seen.shape[1], recurrent_lm.UNITS), np.float32)
-
-    def loss():
-        after = m.steps(start, seen, fresh)[1]
-        lp = m.log_probs(after.reshape(-1, recurrent_lm.UNITS).astype(np.float64), target.ravel())
-        return -(lp * live.ravel()).sum() / live.sum()
-
-    grads, _ = m.gradient(start, seen, target, fresh, live)
-    for n, at in (("xr", (4, 20)), ("xc", (5, 3)), ("tw", (0, 3, 1)), ("tw", (3, 2, 2)), ("tm", (1, 0, 2, 4)), ("tm", (3, 2, 1, 5)), ("u", (3, 5))):
-        old, e = m.parts[n][at], 1e-2
-        m.parts[n][at] = old + e
-        high = loss()
-        m.parts[n][at] = old - e
-        low = loss()
-        m.parts[n][at] = old
-        assert abs(grads[n][at] - (high - low) / (2 * e)) < 2e-4
+    check_gradient(m, docs, lambda seen: (("xr", (4, 20)), ("xc", (5, 3)), ("tw", (3, 1)), ("tw", (2, 8)), ("u", (3, 5))))
     # two tail words that follow each other: the order is learned
     m = recurrent_lm.Model.new(np.array([50.0, 400, 300]), 3000.0, slots=np.full(81, 10.0))
     docs = [np.array([13, 64] * 20 + [0], np.int32) for _ in range(64)]
@@ -513,6 +605,16 @@ def test_language_model_tells_tail_words_apart():
     assert right > wrong + 40
 
 
+def test_language_model_averages_in_a_tree(spark, docs, monkeypatch):
+    """Parameters of many partitions meet a few at a time, and weigh by tokens."""
+    import pyarrow as pa
+
+    rows = [(np.full(3, float(i), np.float32), i + 1) for i in range(9)]
+    out = next(recurrent_lm._average([recurrent_lm._params_row(v, n) for v, n in rows]))
+    assert out.column(1)[0].as_py() == 45 and np.allclose(np.frombuffer(out.column(0)[0].as_py(), np.float32), sum(i * (i + 1) for i in range(9)) / 45)
+    assert list(recurrent_lm._average([])) == [] and isinstance(out, pa.RecordBatch)
+
+
 def test_language_model_slots_follow_the_vocabulary(spark):
     counts = Counter({f"w{i}": 1 + i % 9 for i in range(9000)}) + Counter({recurrent_lm.END: 50})
     v = recurrent_lm._vocabulary(spark.createDataFrame(list(counts.items()), "word string, n long"))

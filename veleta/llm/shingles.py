@@ -1,39 +1,34 @@
-"""Five-word shingles of whole texts as 64-bit hashes, vectorised over a batch of documents."""
+"""Five-word shingles of whole texts as 64-bit hashes, vectorised over a batch of documents.
+
+A word's hash is a keyed digest of its bytes, so that no structure of words or
+texts makes two hashes meet. A shingle's hash is a sum of its words' hashes,
+each times an odd multiplier of its place, spread by a bijection.
+"""
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from functools import lru_cache
+from hashlib import blake2b
+from itertools import chain
 
 import numpy as np
 
+from veleta.llm.cache import Memo
+from veleta.llm.text import byte_words
+
 SIZE = 5
-#: Odd multipliers of the word hash, its inverse modulo 2^64, and of the places in a shingle.
-_R = 0x9E3779B97F4A7C15
-_R_INVERSE = pow(_R, -1, 1 << 64)
+# Odd multipliers of the places in a shingle, for the hash and for a second one.
 _PLACES = np.array([0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
+_SECOND = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xFF51AFD7ED558CCD, 0xC4CEB9FE1A85EC53], np.uint64)
 #: Bytes of text that are hashed at a time; a longer document is hashed by itself.
 BATCH_BYTES = 1 << 20
 
-_powers: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-
-def _tables(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """Powers of the multiplier and of its inverse, at least n of each."""
-    size = max(1 << 16, 1 << (n - 1).bit_length())
-    if size not in _powers:
-        if size > BATCH_BYTES * 2:
-            _powers.clear()
-
-        def table(base: int) -> np.ndarray:
-            out = np.empty(size, np.uint64)
-            out[0], done = 1, 1
-            while done < size:  # doubling
-                out[done : 2 * done] = out[:done] * np.uint64(pow(base, done, 1 << 64))
-                done *= 2
-            return out
 
-        _powers[size] = table(_R), table(_R_INVERSE)
-    return _powers[size]
+@lru_cache(maxsize=1)
+def _words() -> Memo:
+    """Hashes of the words that this worker has met."""
+    return Memo(lambda w: int.from_bytes(blake2b(w, digest_size=8, key=b"shingles").digest(), "little"))
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -45,45 +40,61 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def _hash_batch(texts: list[bytes]) -> list[np.ndarray]:
-    sizes = np.fromiter((len(t) for t in texts), np.int64, len(texts))
-    ends = np.cumsum(sizes + 1)  # one separator after each
-    data = np.frombuffer(b"\n".join([*texts, b""]), np.uint8)
-    lower = data + ((data >= 65) & (data <= 90)).astype(np.uint8) * np.uint8(32)
-    inside = np.zeros(len(data) + 2, np.int8)
-    inside[1:-1] = (data != 32) & ((data < 9) | (data > 13))
-    step = np.diff(inside)
-    start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
-    power, inverse = _tables(len(data) + 1)
-    total = np.zeros(len(data) + 1, np.uint64)
-    np.cumsum((lower.astype(np.uint64) + np.uint64(1)) * power[: len(data)], out=total[1:])
-    word = mix((total[end] - total[start]) * inverse[start] + (end - start).astype(np.uint64))
-    first = np.searchsorted(start, np.concatenate([[0], ends[:-1]]))
-    last = np.append(first[1:], len(start))
-    n = len(word) - SIZE + 1
-    grams = np.zeros(max(n, 0), np.uint64)
-    for k in range(SIZE if n > 0 else 0):
-        grams += word[k : k + n] * _PLACES[k]
-    grams = mix(grams)
-    out = []
-    for a, b in zip(first.tolist(), last.tolist()):
-        if b - a >= SIZE:
-            out.append(np.unique(grams[a : b - SIZE + 1]))
-        elif b > a:  # the whole sequence as one
-            out.append(mix(np.atleast_1d((word[a:b] * _PLACES[: b - a]).sum(dtype=np.uint64) + np.uint64(b - a))))
-        else:
-            out.append(np.empty(0, np.uint64))
-    return out
-
-
-def hash_sets(texts: list[bytes]) -> Iterator[np.ndarray]:
-    """Sorted distinct shingle hashes of each UTF-8 text; A-Z count as a-z."""
+def _grams(word: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """Hashes of all windows of as many words as there are places."""
+    n = max(0, len(word) - len(places) + 1)
+    out = np.full(n, len(places), np.uint64)
+    for k, p in enumerate(places if n else ()):
+        out += word[k : k + n] * p
+    return mix(out)
+
+
+def _hash_batch(texts: list[bytes], second: bool) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
+    words = [byte_words(t) for t in texts]
+    sizes = [len(w) for w in words]
+    word = np.fromiter(map(_words().__getitem__, chain.from_iterable(words)), np.uint64, sum(sizes))
+    grams = _grams(word, _PLACES)
+    others = _grams(word, _SECOND) if second else None
+    at = 0
+    for n in sizes:
+        if n >= SIZE:
+            cut = slice(at, at + n - SIZE + 1)
+            if second:
+                found, first = np.unique(grams[cut], return_index=True)
+                yield found, others[cut][first]
+            else:
+                yield np.unique(grams[cut]), None
+        else:  # the whole sequence as one
+            own = word[at : at + n]
+            yield _grams(own, _PLACES[:n])[: min(n, 1)], _grams(own, _SECOND[:n])[: min(n, 1)] if second else None
+        at += n
+
+
+def _batched(texts: Iterable[bytes], second: bool) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
     held, size = [], 0
     for t in texts:
         if held and size + len(t) > BATCH_BYTES:
-            yield from _hash_batch(held)
+            yield from _hash_batch(held, second)
             held, size = [], 0
         held.append(t)
         size += len(t)
     if held:
-        yield from _hash_batch(held)
+        yield from _hash_batch(held, second)
+
+
+def hash_sets(texts: Iterable[bytes]) -> Iterator[np.ndarray]:
+    """Sorted distinct shingle hashes of each UTF-8 text; A-Z count as a-z."""
+    return (found for found, _ in _batched(texts, False))
+
+
+def double_hash_sets(texts: Iterable[bytes]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The same, and beside them second hashes of the same shingles by other multipliers."""
+    return _batched(texts, True)
+
+
+def word_shingles(text: bytes) -> set[tuple[bytes, ...]]:
+    """The shingles themselves."""
+    w = byte_words(text)
+    if len(w) < SIZE:
+        return {tuple(w)} if w else set()
+    return set(zip(*(w[i:] for i in range(SIZE))))
