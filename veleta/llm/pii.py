@@ -7,19 +7,24 @@ it), neighbours in the text are joined by chain edges, and equal or similar
 tokens anywhere in the document by skip edges. Loopy message passing lets the
 label of one mention reach the others: a number that is written once as a
 phone number and later without its plus sign becomes a phone number there too.
-Tokens that the field labels with certainty are added as spans; base spans are
-never changed, and a document without a base span gets none, for then nothing
-in it can be consistent with anything.
+Beside the four kinds of the patterns the field knows secrets: long runs of
+letters and digits, announced by a word such as "token". The field runs on every
+document that has a token; what it labels with certainty (`CERTAIN`) is added as
+spans, and base spans are never changed.
 
 Skip edges link a token to the previous one with the same key and to the first
-one, so a token repeated m times has 2m edges, not m * m. Texts are read whole;
-only documents with a digit or "@" come to a pattern at all.
-
-The weights are learned: base spans label their tokens, every other token has
-no label, and the weights maximise the pseudo-likelihood of those labels given
-the labels around them, with a normal prior around `WEIGHTS`. Tokens are
-counted by their features over all documents, so that learning sees a small
-table of counts whatever the size of the corpus.
+one, so a token repeated m times has 2m edges, not m * m. Numbers are similar
+when they end in the same nine digits, addresses when they share the part
+before "@". Texts are read whole; only documents with a digit or "@" come to a
+pattern at all.
+
+The weights are learned: base spans label their tokens. A token without a base
+span has no label, unless a skip edge or the shape of a secret could give it
+one: that is what the field is to find out, so it is hidden from learning. The
+weights maximise the mean pseudo-likelihood of the labels given the labels
+around them, with a normal prior around `WEIGHTS` of strength `PRIOR`. Tokens
+are counted by their features over all documents; every Newton step is a sum
+over that table of counts, taken where its partitions lie.
 
 Defined results: null text counts as empty; an empty text has no spans;
 repeated rows and tied identifiers are labelled row by row; an empty table
@@ -40,6 +45,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veleta.llm.shared import forget, keep, small_batches
+
 KINDS = ("email", "ip", "card", "phone")
 #: The patterns of the base spans.
 PATTERNS = {
@@ -51,8 +58,13 @@ PATTERNS = {
 _EMAIL_LOCAL = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789._%+-")
 _DIGIT = re.compile(r"[0-9]")
 _NOT_DIGIT = re.compile(r"[^0-9]")
-#: A token of the field: digits with the marks that numbers are written with, or anything around "@".
-_TOKEN = re.compile(r"[^\x20\x09-\x0D@]*@[^\x20\x09-\x0D]*|\+?\(?[0-9](?:[\x20().-]{0,2}[0-9])+")
+#: Kinds that the field labels.
+LABELS = (*KINDS, "secret")
+#: Tokens of the field: words with "@", long runs that hold letters and digits, and digits with the marks that numbers are written with.
+_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_RUN = re.compile(r"[A-Za-z0-9+/=_-]{20,}")
+_LETTER = re.compile(r"[A-Za-z]")
+_NUMBER = re.compile(r"\+?\(?[0-9](?:[\x20().-]{0,2}[0-9])+")
 
 Span = tuple[str, int, int]
 
@@ -67,14 +79,18 @@ class Weights:
     chain: float = 0.2  # neighbours in the text agree
     same: float = 5.0  # tokens with the same key agree
     similar: float = 3.0  # numbers that end in the same digits agree
+    secret_shape: float = 4.0  # shape and cue of a secret, which no pattern of its own labels
+    secret_cue: float = 6.0
 
 
 #: Means of the prior.
 WEIGHTS = Weights()
 #: Log potential that holds a token to the kind of its base span.
 HELD = 25.0
-#: At most so many feature patterns, the most frequent ones, enter the fit.
-MOST_PATTERNS = 20_000
+#: Weight of the prior against the mean log-likelihood of a token, whatever the number of tokens.
+PRIOR = 1e-3
+#: Feature patterns that a task counts before it hands them on.
+HELD_PATTERNS = 20_000
 #: A span is added where its label has at least this probability.
 CERTAIN = 0.9
 ROUNDS = 12
@@ -84,6 +100,7 @@ CUES = {
     "ip": {"ip", "host", "server", "addr"},
     "card": {"card", "visa", "karte", "carte", "tarjeta", "cc"},
     "phone": {"phone", "tel", "tel.", "call", "fax", "mobile", "telefon", "téléphone", "teléfono"},
+    "secret": {"token", "secret", "password", "passwd", "pwd", "key", "apikey", "api_key", "api-key", "bearer", "passwort", "contraseña"},
 }
 
 
@@ -128,14 +145,32 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
+def _is_secret(token: str) -> bool:
+    """Whether a token has the form of a secret."""
+    return bool(_RUN.fullmatch(token) and _DIGIT.search(token) and _LETTER.search(token))
+
+
 def _key(token: str) -> str:
-    return token.lower().rstrip(".,;:!?)") if "@" in token else _NOT_DIGIT.sub("", token)
+    """What repeats of a token share: an address in lower case, a secret as it is, the digits of a number."""
+    if "@" in token:
+        return token.lower().rstrip(".,;:!?)")
+    return token if _is_secret(token) else _NOT_DIGIT.sub("", token)
+
+
+def _ending(key: str) -> str | None:
+    """What similar keys share: the part of an address before "@", the last nine digits of a number."""
+    if "@" in key:
+        name = key.partition("@")[0]
+        return f"{name}@" if len(name) >= 4 else None
+    return key[-9:] if len(key) >= 9 and key.isdigit() else None
 
 
 def _similar(a: str, b: str) -> bool:
-    """Numbers that end in the same nine digits or more."""
+    """Numbers of which one ends in the other, nine digits or more, or addresses of one name."""
+    if "@" in a or "@" in b:
+        return _ending(a) is not None and _ending(a) == _ending(b)
     n = min(len(a), len(b))
-    return n >= 9 and "@" not in a + b and a[-n:] == b[-n:]
+    return n >= 9 and a[-n:] == b[-n:]
 
 
 def _shape(kind: str, token: str, key: str) -> bool:
@@ -144,7 +179,9 @@ def _shape(kind: str, token: str, key: str) -> bool:
     if kind == "ip":
         return token.count(".") == 3
     if kind == "card":
-        return 16 <= len(key) <= 19 and luhn(key) and "@" not in token
+        return key.isdigit() and 16 <= len(key) <= 19 and luhn(key)
+    if kind == "secret":
+        return _is_secret(token)
     return token.startswith("+") and 8 <= len(key) <= 15
 
 
@@ -152,8 +189,19 @@ Edge = tuple[int, int, str]
 
 
 def _tokens(text: str) -> list[tuple[int, int]]:
-    found = (m.span() for m in _TOKEN.finditer(text))
-    return [(a, b) for a, b in found if "@" in text[a:b] or len(_key(text[a:b])) >= 8]
+    """Places of the tokens; where they would overlap, addresses go before secrets and those before numbers."""
+    digits = _DIGIT.search(text)
+    found = [m.span() for m in _WORD.finditer(text) if "@" in m.group()] if "@" in text else []
+    for pattern, fits in ((_RUN, _is_secret), (_NUMBER, lambda t: len(_NOT_DIGIT.sub("", t)) >= 8)) if digits else ():
+        taken, free, k = found, [], 0
+        for m in pattern.finditer(text):
+            a, b = m.span()
+            while k < len(taken) and taken[k][1] <= a:
+                k += 1
+            if (k == len(taken) or taken[k][0] >= b) and fits(m.group()):
+                free.append((a, b))
+        found = sorted(taken + free)
+    return found
 
 
 def _labels(tokens: list[tuple[int, int]], spans: list[Span]) -> list[int]:
@@ -168,13 +216,14 @@ def _labels(tokens: list[tuple[int, int]], spans: list[Span]) -> list[int]:
 
 
 def _features(text: str, tokens: list[tuple[int, int]]) -> np.ndarray:
-    """Shape and cue of each token for no label and for each kind."""
-    out = np.zeros((len(tokens), len(KINDS) + 1, 2), np.int8)
+    """Of each token, for no label and for each kind: shape and cue, and the same of a secret."""
+    out = np.zeros((len(tokens), len(LABELS) + 1, 4), np.int8)
     for i, (a, b) in enumerate(tokens):
         key = _key(text[a:b])
         before = set(re.findall(r"[^\s:=]+", text[max(0, a - 40) : a].lower())[-2:])
-        for n, k in enumerate(KINDS, 1):
-            out[i, n] = _shape(k, text[a:b], key), bool(before & CUES[k])
+        for n, k in enumerate(LABELS, 1):
+            at = 2 if k == "secret" else 0
+            out[i, n, at : at + 2] = _shape(k, text[a:b], key), bool(before & CUES[k])
     return out
 
 
@@ -182,7 +231,7 @@ def _edges(keys: list[str]) -> list[Edge]:
     edges: list[Edge] = [(i, i + 1, "chain") for i in range(len(keys) - 1)]
     first: dict[str, int] = {}
     last: dict[str, int] = {}
-    tails: dict[str, int] = {}  # last token of each nine-digit end
+    tails: dict[str, int] = {}  # last token of each ending
     for i, k in enumerate(keys):
         if k in last:
             edges.append((last[k], i, "same"))
@@ -190,12 +239,12 @@ def _edges(keys: list[str]) -> list[Edge]:
                 edges.append((first[k], i, "same"))
         else:
             first[k] = i
-            j = tails.get(k[-9:])
+            j = tails.get(_ending(k))
             if j is not None and _similar(keys[j], k):
                 edges.append((j, i, "similar"))
         last[k] = i
-        if len(k) >= 9 and "@" not in k:
-            tails[k[-9:]] = i
+        if (end := _ending(k)) is not None:
+            tails[end] = i
     return edges
 
 
@@ -203,62 +252,111 @@ _EDGE_KINDS = ("chain", "same", "similar")
 
 
 def token_patterns(text: str) -> Iterator[tuple[str, int]]:
-    """Feature pattern and label of each token: per label its shape, cue, and neighbours with that label by edge kind."""
+    """Feature pattern and label of each token that learning sees.
+
+    Features: for each label the token's shapes and cues, and its neighbours
+    with that label by edge kind, 3 at most.
+    """
     tokens = _tokens(text)
     if not tokens:
         return
     labels = _labels(tokens, base_spans(text))
-    around = np.zeros((len(tokens), len(KINDS) + 1, len(_EDGE_KINDS)), np.int8)
-    for i, j, kind in _edges([_key(text[a:b]) for a, b in tokens]):
+    edges = _edges([_key(text[a:b]) for a, b in tokens])
+    hidden = {y for i, j, kind in edges if kind != "chain" for x, y in ((i, j), (j, i)) if labels[x] > 0 and not labels[y]}
+    hidden |= {i for i, (a, b) in enumerate(tokens) if not labels[i] and _is_secret(text[a:b])}
+    around = np.zeros((len(tokens), len(LABELS) + 1, len(_EDGE_KINDS)), np.int8)
+    for i, j, kind in edges:
         for x, y in ((i, j), (j, i)):
-            if labels[y] >= 0:
+            if labels[y] >= 0 and y not in hidden:
                 at = around[x, labels[y]]
                 at[_EDGE_KINDS.index(kind)] = min(at[_EDGE_KINDS.index(kind)] + 1, 3)
-    for row, label in zip(np.concatenate([_features(text, tokens), around], 2), labels):
-        if label >= 0:
+    for i, (row, label) in enumerate(zip(np.concatenate([_features(text, tokens), around], 2), labels)):
+        if label >= 0 and i not in hidden:
             yield "".join(map(str, row.ravel().tolist())), label
 
 
-def fit(docs: DataFrame, text_col: str = "text", steps: int = 200) -> Weights:
-    """Weights by maximum pseudo-likelihood over the tokens of all documents, with the prior."""
+#: Fields of Weights in the order of the features, after that of no label.
+_FIELDS = ("other", "shape", "cue", "secret_shape", "secret_cue", *_EDGE_KINDS)
+
+
+def _texts(batches: Iterable[pa.RecordBatch], column: int, rows: int = 64) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """Slices of batches with the texts of a column."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            part = batch.slice(at, rows)
+            yield part, part.column(column).to_pylist()
+
+
+def _pattern_sums(patterns: list[str], labels: np.ndarray, n: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Tokens, and the gradient and the negative second derivatives of their log-likelihood, in one vector."""
+    width, total = len(LABELS) + 1, np.zeros(1 + len(w) + len(w) ** 2)
+    for at in range(0, len(patterns), 4096):
+        x = np.array([[int(c) for c in p] for p in patterns[at : at + 4096]], float)
+        x = x.reshape(len(x), width, -1)
+        none = np.zeros((len(x), width, 1))
+        none[:, 0] = 1
+        x = np.concatenate([none, x], 2)
+        y, times = labels[at : at + 4096], n[at : at + 4096]
+        p = np.exp((s := x @ w) - s.max(1, keepdims=True))
+        p /= p.sum(1, keepdims=True)
+        mean = (p[:, :, None] * x).sum(1)
+        gradient = (times[:, None] * (x[np.arange(len(x)), y] - mean)).sum(0)
+        spread = np.einsum("i,ij,ijk,ijl->kl", times, p, x, x) - np.einsum("i,ik,il->kl", times, mean, mean)
+        total += np.concatenate([[times.sum()], gradient, spread.ravel()])
+    return total
+
+
+def pattern_counts(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """pattern, label, n over the tokens of all documents."""
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
-        for batch in batches:
-            for text in batch.column(0).to_pylist():
+        for _, texts in _texts(batches, 0):
+            for text in texts:
                 counts.update(token_patterns(text))
-            if len(counts) > MOST_PATTERNS:  # hand on early, summed later
+            if len(counts) > HELD_PATTERNS:  # handed on early, summed later
                 yield _pattern_batch(counts)
                 counts.clear()
         if counts:
             yield _pattern_batch(counts)
 
     found = docs.filter(F.col(text_col).rlike("[0-9@]")).select(F.col(text_col).alias("text"))
-    table = found.mapInArrow(run, "pattern string, label int, n long").groupBy("pattern", "label").agg(F.sum("n").alias("n"))
-    rows = table.orderBy(F.desc("n"), "pattern", "label").limit(MOST_PATTERNS).toPandas()
-    prior = np.array([getattr(WEIGHTS, f) for f in ("other", "shape", "cue", *_EDGE_KINDS)])
-    if rows.empty:
-        return WEIGHTS
-    width = len(KINDS) + 1
-    x = np.array([[int(c) for c in p] for p in rows["pattern"]], float).reshape(len(rows), width, -1)
-    none = np.zeros((len(rows), width, 1))
-    none[:, 0] = 1
-    x = np.concatenate([none, x], 2)
-    y, n = rows["label"].to_numpy(int), rows["n"].to_numpy(float)
-    n = n / n.sum() * min(n.sum(), 1000.0)  # the prior counts however many tokens there are
+    return found.mapInArrow(run, "pattern string, label int, n long").groupBy("pattern", "label").agg(F.sum("n").alias("n"))
+
+
+def fit(docs: DataFrame, text_col: str = "text", steps: int = 50) -> Weights:
+    """Weights by maximum mean pseudo-likelihood over the tokens of all documents, with the prior."""
+    spark = docs.sparkSession
+    small_batches(spark)
+    table = keep(spark, pattern_counts(docs, text_col), "patterns")
+    prior = np.array([getattr(WEIGHTS, f) for f in _FIELDS])
+
+    def sums(w: np.ndarray) -> np.ndarray:
+        def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            total = 0
+            for batch in batches:
+                total = total + _pattern_sums(batch.column(0).to_pylist(), batch.column(1).to_numpy(), batch.column(2).to_numpy().astype(float), w)
+            if not isinstance(total, int):
+                yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(total))), pa.array(total)], names=["place", "value"])
+
+        out = np.zeros(1 + len(w) + len(w) ** 2)
+        for r in table.mapInArrow(run, "place long, value double").groupBy("place").agg(F.sum("value").alias("value")).collect():  # one row a place
+            out[r.place] = r.value
+        return out
+
     w = prior.copy()
-    seen = x[np.arange(len(y)), y]
-    for _ in range(steps):  # Newton steps on a concave function of six weights
-        p = np.exp((s := x @ w) - s.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        mean = (p[:, :, None] * x).sum(1)
-        gradient = (n[:, None] * (seen - mean)).sum(0) - (w - prior)
-        spread = np.einsum("i,ij,ijk,ijl->kl", n, p, x, x) - np.einsum("i,ik,il->kl", n, mean, mean)
-        step = np.linalg.solve(spread + np.eye(len(w)), gradient)
-        w = w + step
-        if np.abs(step).max() < 1e-8:
+    for _ in range(steps):  # Newton steps on a concave function of a few weights
+        found = sums(w)
+        if not found[0]:
+            break
+        gradient = found[1 : 1 + len(w)] / found[0] - PRIOR * (w - prior)
+        spread = found[1 + len(w) :].reshape(len(w), len(w)) / found[0]
+        step = np.linalg.solve(spread + PRIOR * np.eye(len(w)), gradient)
+        w = w + step * min(1.0, 2.0 / max(np.abs(step).max(), 1e-9))  # far steps are cut short
+        if np.abs(step).max() < 1e-6:
             break
-    return Weights(*map(float, w))
+    forget(spark, table)
+    return Weights(**dict(zip(_FIELDS, map(float, w))))
 
 
 def _pattern_batch(counts: Counter) -> pa.RecordBatch:
@@ -302,13 +400,11 @@ def marginals(evidence: np.ndarray, edges: list[tuple[int, int, float]], rounds:
 
 def added_spans(text: str, spans: list[Span], w: Weights = WEIGHTS) -> list[Span]:
     """Spans that the field adds to the base spans."""
-    if not spans:
-        return []
     tokens = _tokens(text)
     labels = _labels(tokens, spans)
     if 0 not in labels:
         return []
-    evidence = _features(text, tokens) @ np.array([w.shape, w.cue])
+    evidence = _features(text, tokens) @ np.array([w.shape, w.cue, w.secret_shape, w.secret_cue])
     evidence[:, 0] += w.other
     for i, label in enumerate(labels):
         if label:
@@ -316,11 +412,11 @@ def added_spans(text: str, spans: list[Span], w: Weights = WEIGHTS) -> list[Span
     edges = [(i, j, getattr(w, kind)) for i, j, kind in _edges([_key(text[a:b]) for a, b in tokens])]
     p = marginals(evidence, edges)
     best = p.argmax(1)
-    return [(KINDS[best[i] - 1], *tokens[i]) for i, label in enumerate(labels) if not label and best[i] and p[i, best[i]] >= CERTAIN]
+    return [(LABELS[best[i] - 1], *tokens[i]) for i, label in enumerate(labels) if not label and best[i] and p[i, best[i]] >= CERTAIN]
 
 
 def joined(spans: Iterable[Span]) -> str:
-    return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (KINDS.index(s[0]), s[1], s[2])))
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in sorted(spans, key=lambda s: (LABELS.index(s[0]), s[1], s[2])))
 
 
 _FOUND = pa.struct([("kind", pa.string()), ("start", pa.int64()), ("end", pa.int64()), ("base", pa.bool_())])
@@ -339,10 +435,11 @@ def _found(text: str, w: Weights = WEIGHTS) -> list[dict]:
 def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", weights: Weights = WEIGHTS) -> DataFrame:
     """id_col and `spans`: kind, start, end (code points, end exclusive), and whether a pattern found it."""
     kind = docs.schema[id_col].dataType.simpleString()
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            spans = [[] if t is None else _found(t, weights) for t in batch.column(1).to_pylist()]
+        for batch, texts in _texts(batches, 1):
+            spans = [[] if t is None else _found(t, weights) for t in texts]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(spans, pa.list_(_FOUND))], names=[id_col, "spans"])
 
     # only texts with a digit or "@" are handed over; an other text has no spans
@@ -353,19 +450,21 @@ def detect(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", weig
 def _joined(spans, only_base: bool):
     if only_base:
         spans = F.filter(spans, lambda s: s["base"])
-    order = F.array(*[F.lit(k) for k in KINDS])
+    order = F.array(*[F.lit(k) for k in LABELS])
     keyed = F.transform(spans, lambda s: F.struct(F.array_position(order, s["kind"]).alias("k"), s["start"].alias("a"), s["end"].alias("b"), s["kind"].alias("kind")))
     return F.array_join(F.transform(F.array_sort(keyed), lambda s: F.concat_ws(":", s["kind"], s["a"].cast("string"), s["b"].cast("string"))), ",")
 
 
 def report(detected: DataFrame, id_col: str = "doc_id") -> DataFrame:
-    """Base counts by kind, the digest of the base spans, and all spans."""
+    """Base counts by kind, the digest of the base spans, all spans, how many they are, and how many the field added."""
     count = lambda k: F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == k))).cast("long").alias(f"n_{k}")
     return detected.select(
         id_col,
         *[count(k) for k in KINDS],
         F.sha2(_joined(F.col("spans"), True), 256).alias("base_sha256"),
         _joined(F.col("spans"), False).alias("spans"),
+        F.size("spans").cast("long").alias("n_spans"),
+        F.size(F.filter("spans", lambda s: ~s["base"])).cast("long").alias("n_added"),
     )
 
 
@@ -385,10 +484,11 @@ def redact_text(text: str, w: Weights = WEIGHTS) -> str:
 def redact(docs: DataFrame, text_col: str = "text", weights: Weights = WEIGHTS) -> DataFrame:
     """`docs` with personal data replaced in the text; other columns stay as they are."""
     schema, at = docs.schema, docs.columns.index(text_col)
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = [t if t is None else redact_text(t, weights) for t in batch.column(at).to_pylist()]
+        for batch, texts in _texts(batches, at):
+            texts = [t if t is None else redact_text(t, weights) for t in texts]
             columns = [pa.array(texts, pa.string()) if i == at else c for i, c in enumerate(batch.columns)]
             yield pa.RecordBatch.from_arrays(columns, names=batch.schema.names)
 
