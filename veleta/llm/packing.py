@@ -6,8 +6,9 @@ goes, longest first, to where the sum over residual gaps of the squared number
 of open sequences with that gap becomes smallest.
 
 Texts are tokenized once; only piece lengths and check sums are shuffled, never
-tokens. Pieces are packed in groups of bounded size (a hash of document and
-piece), so work grows with the input and no task sees all pieces. What the
+tokens. Pieces that are not full are packed in groups of bounded size (a hash of
+document and piece, dealt out by ranges of group numbers, so that each group is
+a task), so work grows with the input and no task sees all pieces. What the
 groups leave in sequences that are not filled is packed again, in fewer
 groups, so that the waste of a group does not add up.
 
@@ -32,7 +33,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veleta.llm.cache import Memo
-from veleta.llm.shared import keep
+from veleta.llm.shared import forget, keep, small_batches
 
 CAPACITY = 4096
 END_ID = 1
@@ -63,14 +64,13 @@ class WordTokenizer:
         self.mark = next(iter(self.tokenizer.get_added_tokens_decoder().values())).content
         self.mark_id = self.tokenizer.token_to_id(self.mark)
         self.known = Memo(self._one)
-        self.known[""] = b""
 
     def _one(self, chunk: str) -> bytes:
         return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
 
     def _learn(self, chunks: set[str]) -> None:
         """Tokenize new chunks in one call, told apart by a special token between them."""
-        new = [c for c in chunks if c not in self.known and c not in self.known.older and self.mark not in c]
+        new = [c for c in chunks if self.known.lacks(c) and self.mark not in c]
         if not new:
             return
         ids = np.array(self.tokenizer.encode_batch_fast([f" {self.mark} ".join(new)], add_special_tokens=False)[0].ids, "<u4")
@@ -78,7 +78,7 @@ class WordTokenizer:
         if len(cuts) != len(new) - 1:  # not to be told apart: one by one
             return
         for chunk, a, b in zip(new, [0, *(cuts + 1)], [*cuts, len(ids)]):
-            self.known[chunk] = ids[a:b].tobytes()
+            self.known.put(chunk, ids[a:b].tobytes())
 
     def encode(self, texts: list[str]) -> list[bytes]:
         split = [t.replace("\n", " ").split(" ") for t in texts]
@@ -161,22 +161,27 @@ def _pack_groups(rows: DataFrame, n_groups: int, capacity: int, level: int) -> D
 
     key = F.pmod(F.xxhash64("doc_id", "copy", "piece", F.lit(level)), F.lit(n_groups)).cast("int")
     schema = f"{PIECE_FIELDS}, group_ int, sequence_ long, offset_ long, filled_ long"
-    return rows.withColumn("group_", key).groupBy("group_").applyInPandas(pack, schema)
+    return rows.withColumn("group_", key).repartitionByRange(n_groups, "group_").groupBy("group_").applyInPandas(pack, schema)
 
 
 def pack(spark: SparkSession, docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Pieces with sequence_id and offset; no sequence is longer than `capacity`."""
+    small_batches(spark)
     cut = keep(spark, pieces(docs, path, capacity, id_col, text_col), "pieces")
-    n_groups = max(1, -(-cut.filter(F.col("length") < capacity).count() // GROUP_PIECES))
-    first = keep(spark, _pack_groups(cut, n_groups, capacity, 0), "packed")
+    full, partial = cut.filter(F.col("length") == capacity), cut.filter(F.col("length") < capacity)
+    n_groups = max(1, -(-partial.count() // GROUP_PIECES))
+    first = keep(spark, _pack_groups(partial, n_groups, capacity, 0), "packed")
     well = F.col("filled_") >= capacity - (CAPACITY - WELL_FILLED)
     loose = first.filter(~well).select(*[x.split()[0] for x in PIECE_FIELDS.split(", ")])
     n_again = max(1, -(-loose.count() // GROUP_PIECES))
     second = _pack_groups(loose, n_again, capacity, 1)
 
-    def numbered(packed: DataFrame, level: int) -> DataFrame:
-        # a sequence number from level, group and place; places stay far below 2^31
-        number = F.lit(level).cast("long") * F.lit(1 << 62) + F.col("group_").cast("long") * F.lit(1 << 31) + F.col("sequence_")
-        return packed.select("doc_id", "piece", "start", "length", "ids_crc32", number.alias("sequence_id"), F.col("offset_").alias("offset"))
+    def numbered(packed: DataFrame, number, offset) -> DataFrame:
+        return packed.select("doc_id", "piece", "start", "length", "ids_crc32", number.cast("long").alias("sequence_id"), offset.cast("long").alias("offset"))
 
-    return numbered(first.filter(well), 0).unionByName(numbered(second, 1))
+    # a sequence number from level, group and place (places stay far below 2^31); full pieces have the numbers below 0
+    place = F.col("group_").cast("long") * F.lit(1 << 31) + F.col("sequence_")
+    out = numbered(first.filter(well), place, F.col("offset_")).unionByName(numbered(second, place + F.lit(1 << 62), F.col("offset_")))
+    out = keep(spark, out.unionByName(numbered(full, -1 - F.monotonically_increasing_id(), F.lit(0))), "sequences")
+    forget(spark, cut, first)
+    return out
