@@ -2,34 +2,40 @@
 
 An archive is a table of rows (record_id, chunk_no, data): the data of a
 record's rows in order are its WARC bytes as gzip members, header block first,
-so that joined they are a .warc.gz record. Payloads are cut into chunks, and each row carries the SHA-1 of the payload up to its end,
-so that writer and reader hold one chunk and one running digest, never a whole
-record, and a lost or damaged chunk shows at once. The table is written to the
-shared folder and read back from there.
+so that joined they are a .warc.gz record. Payloads are cut into chunks where
+they are read, before any row is handed to Python, and each row carries the
+SHA-1 of the payload up to its end, so that writer and reader hold one chunk and
+one running digest, never a whole record, and a lost or damaged chunk shows at
+once. The table is written to the shared folder and read back from there.
 
 Of records with equal payloads of at least `least` bytes the one with the
 largest page identifier is a response and the others are revisits of it.
-Payload equality goes by SHA-256 and length; the groups are pre-aggregated.
+Payload equality goes by SHA-256 and length; the groups are pre-aggregated, and
+only groups of several rows are joined back: by broadcast where they are few
+(`BROADCAST_GROUPS`), so that no payload is shuffled, by a shuffle beyond.
+
+Records are named by a random UUID each; the page identifier is a field of its
+own. All of them carry the date of writing, for the tables hold none of
+fetching.
 
 Defined results: null payload counts as empty; an empty payload has one header
 row; null urls leave the target field out; repeated page identifiers each get
-a record of their own (rows are told apart by a random record key), and all of
-them that carry the largest identifier are responses; an empty table gives an
-empty archive; further columns are ignored.
+a record of their own, and all of them that carry the largest identifier are
+responses; an empty table gives an empty archive; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import gzip
 import hashlib
-import uuid
 from collections.abc import Iterable, Iterator
+from datetime import datetime, timezone
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veleta.llm.shared import shared_folder
+from veleta.llm.shared import shared_folder, small_batches
 
 #: Payload bytes in a chunk row.
 CHUNK_BYTES = 64 << 10
@@ -37,6 +43,8 @@ CHUNK_BYTES = 64 << 10
 HEADER_BYTES = 1 << 20
 #: Payloads of fewer bytes are always stored.
 LEAST_BYTES = 1000
+#: Up to so many groups of equal payloads are broadcast (about 200 bytes each).
+BROADCAST_GROUPS = 1 << 16
 GZIP_LEVEL = 3
 _END = b"\r\n\r\n"
 
@@ -60,13 +68,6 @@ def _batches(rows: Iterable[tuple], schema: pa.Schema, size_of, most: int = 4 <<
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*held), schema.types)], schema=schema)
 
 
-def _sha1(pieces: Iterable[bytes]) -> str:
-    digest = hashlib.sha1()
-    for p in pieces:
-        digest.update(p)
-    return digest.hexdigest()
-
-
 def _clean(value: str) -> str:
     """A header value on one line."""
     return value.replace("\r", "%0D").replace("\n", "%0A")
@@ -77,45 +78,60 @@ def _member(data: bytes) -> bytes:
     return gzip.compress(data, compresslevel=GZIP_LEVEL, mtime=0)
 
 
-def record_chunks(page_id, url, payload: memoryview, refers_to, revisit: bool, chunk: int = CHUNK_BYTES) -> Iterator[tuple]:
-    """Rows of one record: its header block, then its payload chunk by chunk."""
-    key = uuid.uuid4().hex
-    cuts = range(0, len(payload), chunk)
-    digest = _sha1(payload[i : i + chunk] for i in cuts)
-    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + b"Content-Length: %d" % len(payload) + _END
+def header(key: str, page_id, url, n: int, digest: str, revisit: bool, refers_to, refers_url, date: str) -> bytes:
+    """WARC and HTTP header blocks of a record."""
+    http = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n" + b"Content-Length: %d" % n + _END
     fields = [
         "WARC/1.1",
         f"WARC-Type: {'revisit' if revisit else 'response'}",
-        f"WARC-Record-ID: <urn:page:{'' if page_id is None else page_id}>",
+        f"WARC-Record-ID: <urn:uuid:{key}>",
+        f"WARC-Date: {date}",
         *([f"WARC-Target-URI: {_clean(url)}"] if url is not None else []),
         f"WARC-Payload-Digest: sha1:{digest}",
-        f"X-Payload-Length: {len(payload)}",
-        *([f"WARC-Refers-To: <urn:page:{refers_to}>", "WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"] if revisit else []),
-        "Content-Type: application/http; msgtype=response",
-        f"Content-Length: {len(http) + (0 if revisit else len(payload))}",
+        *([f"X-Page-ID: {page_id}"] if page_id is not None else []),
+        f"X-Payload-Length: {n}",
     ]
-    head = "\r\n".join(fields).encode() + _END + http
-    running = hashlib.sha1()
-    if revisit or not len(payload):
-        yield key, 0, running.hexdigest(), _member(head + _END)
-        return
-    yield key, 0, running.hexdigest(), _member(head)
-    for no, i in enumerate(cuts, 1):
-        piece = payload[i : i + chunk]
-        running.update(piece)
-        last = i + chunk >= len(payload)
-        yield key, no, running.hexdigest(), _member(bytes(piece) + (_END if last else b""))
-
-
-def write_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    def rows() -> Iterator[tuple]:
-        for batch in batches:
-            page_id, url, payload, revisit, refers_to = (batch.column(i) for i in range(5))
-            for i in range(batch.num_rows):
-                body = memoryview(payload[i].as_buffer() or b"")  # no copy of the payload
-                yield from record_chunks(page_id[i].as_py(), url[i].as_py(), body, refers_to[i].as_py(), revisit[i].as_py())
+    if revisit:
+        fields += ["WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest", f"X-Refers-To-Page: {refers_to}", f"WARC-Refers-To-Date: {date}"]
+        fields += [f"WARC-Refers-To-Target-URI: {_clean(refers_url)}"] if refers_url is not None else []
+    fields += ["Content-Type: application/http; msgtype=response", f"Content-Length: {len(http) + (0 if revisit else n)}"]
+    return "\r\n".join(fields).encode() + _END + http
+
+
+class RecordWriter:
+    """Makes the rows of records from their chunks, with a running digest."""
+
+    def __init__(self, date: str):
+        self.date, self.running = date, hashlib.sha1()
+
+    def rows(self, key, page_id, url, n, digest, revisit, refers_to, refers_url, no, last, piece) -> Iterator[tuple]:
+        """Rows for one chunk; before the first one goes the header, which is all of a revisit or of an empty payload."""
+        if no == 0:
+            self.running = hashlib.sha1()
+            head = header(key, page_id, url, n, digest, revisit, refers_to, refers_url, self.date)
+            yield key, 0, self.running.hexdigest(), _member(head if piece is not None else head + _END)
+        if piece is not None:
+            self.running.update(piece)
+            if last and self.running.hexdigest() != digest:
+                raise ValueError(f"the chunks of page {page_id} do not make its payload")
+            yield key, no + 1, self.running.hexdigest(), _member(piece + _END if last else piece)
 
-    yield from _batches(rows(), _CHUNKS, lambda r: len(r[3]) + 100)
+
+def write_rows(date: str):
+    """mapInArrow function: chunk rows of records from `plan_chunks`, whose order it relies on."""
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        writer = RecordWriter(date)
+
+        def rows() -> Iterator[tuple]:
+            for batch in batches:
+                for at in range(0, batch.num_rows, 64):
+                    for row in zip(*(c.to_pylist() for c in batch.slice(at, 64).columns)):
+                        yield from writer.rows(*row)
+
+        yield from _batches(rows(), _CHUNKS, lambda r: len(r[3]) + 100)
+
+    return run
 
 
 class RecordReader:
@@ -155,10 +171,9 @@ class RecordReader:
         digest, revisit = f["WARC-Payload-Digest"].removeprefix("sha1:"), f["WARC-Type"] == "revisit"
         if not revisit and (self.digest.hexdigest() != digest or self.seen != int(f["X-Payload-Length"])):
             raise ValueError("payload and digest differ")
-        number = lambda v: int(v) if (v := v.removeprefix("<urn:page:").removesuffix(">")) else None
-        refers = number(f["WARC-Refers-To"]) if revisit else None
+        number = lambda v: None if v is None else int(v)
         size = int(f["X-Payload-Length"]) if revisit else self.seen
-        return number(f["WARC-Record-ID"]), f.get("WARC-Target-URI"), size, digest, f["WARC-Type"], refers
+        return number(f.get("X-Page-ID")), f.get("WARC-Target-URI"), size, digest, f["WARC-Type"], number(f.get("X-Refers-To-Page"))
 
 
 def read_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,28 +195,36 @@ def read_rows(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from _batches(rows(), _RECORDS, lambda r: 200)
 
 
-def plan_records(pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
-    """page_id, url, payload, revisit, refers_to for every row of `pages` (page_id, url, html)."""
-    rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
-    rows = rows.withColumn("h_", F.sha2("html", 256)).withColumn("n_", F.octet_length("html"))
+def plan_chunks(spark: SparkSession, pages: DataFrame, least: int = LEAST_BYTES, chunk: int = CHUNK_BYTES) -> DataFrame:
+    """The chunks of every row of `pages` (page_id, url, html), each record's in order, one without data for records that have none.
+
+    key, page_id, url, n, digest, revisit, refers_to, refers_url, no, last, piece.
+    """
+    page = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
+    own = lambda df: df.withColumns({"h": F.sha2("html", 256), "n": F.octet_length("html")})
     shared = (
-        pages.select("page_id", F.coalesce("html", F.lit("")).alias("html"))
-        .select(F.col("page_id").cast("long").alias("id_"), F.sha2("html", 256).alias("h_"), F.octet_length("html").alias("n_"))
-        .filter(F.col("n_") >= least)
-        .groupBy("h_", "n_")
-        .agg(F.max("id_").alias("keep_"), F.count(F.lit(1)).alias("rows_"))
-        .filter("rows_ > 1 and keep_ is not null")
-    )
-    joined = rows.join(shared, ["h_", "n_"], "left")
-    revisit = F.col("keep_").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keep_"))
-    return joined.select(
-        "page_id", "url", F.col("html").cast("binary").alias("payload"), revisit.alias("revisit"), F.when(revisit, F.col("keep_")).alias("refers_to")
+        own(page).filter(F.col("n") >= least)
+        .groupBy("h", "n")
+        .agg(F.max("page_id").alias("keep"), F.max_by("url", "page_id").alias("keep_url"), F.count(F.lit(1)).alias("rows"))
+        .filter("rows > 1 and keep is not null")
+        .drop("rows")
     )
-
-
-def write_archive(pages: DataFrame, path: str, least: int = LEAST_BYTES) -> None:
+    few = shared.limit(BROADCAST_GROUPS + 1).count() <= BROADCAST_GROUPS
+    rows = own(page).join(F.broadcast(shared) if few else shared, ["h", "n"], "left")
+    revisit = F.col("keep").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("keep"))
+    rows = rows.select(F.uuid().alias("key"), "page_id", "url", "n", F.sha1("html").alias("digest"), revisit.alias("revisit"), F.when(revisit, F.col("keep")).alias("refers_to"), F.when(revisit, F.col("keep_url")).alias("refers_url"), F.col("html").cast("binary").alias("body"))
+    cuts = F.transform(F.sequence(F.lit(0), F.floor((F.greatest(F.col("n"), F.lit(1)) - 1) / chunk).cast("int")), lambda i: F.substr("body", i * chunk + 1, F.lit(chunk)))
+    pieces = F.when(F.col("revisit") | (F.col("n") == 0), F.array(F.lit(None).cast("binary"))).otherwise(cuts)
+    names = ["key", "page_id", "url", "n", "digest", "revisit", "refers_to", "refers_url"]
+    made = rows.select(*names, F.posexplode(pieces).alias("no", "piece"))
+    return made.select(*names, "no", ((F.col("no") + 1) * chunk >= F.col("n")).alias("last"), "piece")
+
+
+def write_archive(spark: SparkSession, pages: DataFrame, path: str, least: int = LEAST_BYTES) -> None:
     """Write the chunked record table of `pages`."""
-    plan_records(pages, least).mapInArrow(write_rows, CHUNK_FIELDS).write.mode("errorifexists").parquet(path)
+    small_batches(spark)
+    date = datetime.now(timezone.utc).strftime("%Y-%m-%dT%H:%M:%SZ")
+    plan_chunks(spark, pages, least).mapInArrow(write_rows(date), CHUNK_FIELDS).write.mode("errorifexists").parquet(path)
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
@@ -213,7 +236,7 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
 
 def round_trip(spark: SparkSession, pages: DataFrame, least: int = LEAST_BYTES) -> DataFrame:
     path = shared_folder(spark, "warc")
-    write_archive(pages, path, least)
+    write_archive(spark, pages, path, least)
     return read_archive(spark, path)
 
 
