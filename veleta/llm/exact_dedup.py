@@ -7,7 +7,9 @@ number of rows.
 
 1. Every input partition first fills a trie of its own, so that a text leaves
    a partition about once however many copies it has there. A trie over its
-   memory bound spills its largest subtree: the owners in it are handed on.
+   memory bound spills its largest subtree: the owners in it are handed on. So
+   a hot text comes from each input partition about once, and the task of its
+   hash reads that many copies of it, one after the other.
 2. Owners are shuffled by (hash, length) and sorted by them, so that a trie
    holds only the subtree of the current hash: when the next hash begins, the
    finished subtree is spilled to the output and forgotten.
@@ -31,6 +33,9 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veleta.llm.shared import small_batches
+from veleta.llm.text import packed
+
 #: Bytes of distinct text that one trie may hold before it spills a subtree.
 TRIE_BYTES = 48 << 20
 
@@ -193,6 +198,7 @@ def settle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Texts that several rows share: text_sha256, n_bytes, owner (smallest identifier), n_rows."""
+    small_batches(docs.sparkSession)
     text = docs.select(normalised(F.col(text_col)).alias("t"), F.col(id_col).cast("long").alias("owner"))
     keyed = text.select(F.xxhash64("t").alias("h"), F.octet_length("t").alias("n"), F.col("t").cast("binary").alias("body"), "owner")
     local = keyed.mapInArrow(combine, OWNER_FIELDS)
@@ -216,15 +222,11 @@ def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> D
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The documents that stay, with their own columns."""
-    names = docs.columns
-    marked = docs.withColumn("n_", normalised(F.col(text_col)))
-    marked = marked.withColumn("s_", F.sha2("n_", 256)).withColumn("l_", F.octet_length("n_")).drop("n_")
-    shared = owners(docs, id_col, text_col).select(
-        F.col("text_sha256").alias("os_"), F.col("n_bytes").alias("ol_"), F.col("owner").alias("o_"), F.col("n_rows").alias("r_")
-    )
-    joined = marked.join(shared, (F.col("s_") == F.col("os_")) & (F.col("l_") == F.col("ol_")), "left")
-    return joined.filter(F.col("r_").isNull() | F.col(id_col).eqNullSafe(F.col("o_"))).select(*[F.col(f"`{c}`") for c in names])
+    """The documents that stay, with their own columns, whatever their names."""
+    rows = docs.select(packed(docs).alias("r"), F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("t"))
+    keys = rows.select("r", "id", F.sha2("t", 256).alias("text_sha256"), F.octet_length("t").alias("n_bytes"))
+    joined = keys.join(owners(docs, id_col, text_col), ["text_sha256", "n_bytes"], "left")
+    return joined.filter(F.col("n_rows").isNull() | F.col("id").eqNullSafe(F.col("owner"))).select("r.*")
 
 
 ORACLE_SQL = r"""

@@ -17,7 +17,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veleta.llm.text import WORD, count_chars, let, words
+from veleta.llm.text import WORD, count_chars, let, packed, words
 
 #: Frequent function words of English, French, German and Spanish.
 STOP_WORDS = (
@@ -150,7 +150,7 @@ def _metrics(text: Column) -> Column:
 
 
 def metrics(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """All columns of `docs` and, under the struct column `q_`, its metrics."""
+    """All columns of `docs` and, under the struct column `q_` (which a column of that name gives way to), its metrics."""
     return docs.withColumn("q_", _metrics(F.col(text_col)))
 
 
@@ -193,17 +193,17 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", rules
 
 
 def filter_documents(docs: DataFrame, text_col: str = "text", rules: tuple[Rule, ...] = RULES) -> DataFrame:
-    """The documents that pass every rule, with their own columns only."""
+    """The documents that pass every rule, with their own columns only, whatever their names."""
     ok = F.lit(True)
     for r in rules:
         ok = ok & passes(r)
-    return metrics(docs, text_col).filter(ok).drop("q_")
+    return docs.select(packed(docs).alias("r"), _metrics(F.col(text_col)).alias("q_")).filter(ok).select("r.*")
 
 
 _STOP_SQL = ", ".join(f"'{w}'" for w in dict.fromkeys(STOP_WORDS))
 
-ORACLE_SQL = rf"""
-WITH d AS (
+#: The metrics of every document, as the table m.
+METRICS_SQL = r"""d AS (
   SELECT doc_id, row_number() OVER () AS r, coalesce(text, '') AS text FROM documents
 ), t AS (
   SELECT doc_id, r, text,
@@ -224,12 +224,15 @@ WITH d AS (
     (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
     coalesce(rep.n, 0)::BIGINT AS n_repeat_words,
     len(l)::BIGINT AS n_lines,
-    len(list_filter(w, lambda x: lower(x) IN ({_STOP_SQL})))::BIGINT AS n_stop_words,
+    len(list_filter(w, lambda x: lower(x) IN (STOP_WORDS)))::BIGINT AS n_stop_words,
     len(regexp_extract_all(text, '!'))::BIGINT AS n_shouts,
     len(list_filter(l, lambda x: regexp_matches(x, '^\s*[-*•]')))::BIGINT AS n_bullets,
     len(list_filter(l, lambda x: regexp_matches(x, '(\.\.\.|…)\s*$')))::BIGINT AS n_ellipses
   FROM t LEFT JOIN rep USING (r)
-), v AS (
+)""".replace("STOP_WORDS", _STOP_SQL)
+
+ORACLE_SQL = rf"""
+WITH {METRICS_SQL}, v AS (
   SELECT *,
     n_words < 50 AS f1,
     n_repeat_words * 1000 > 500 * n_words AS f2,

@@ -16,7 +16,8 @@ Defined results: a null or unparsable url matches no entry and is allowed; a
 null fetch time matches no entry; entries with a null key or date are ignored;
 entries of one key at the same time are decided in favour of "block" and
 repeated entries count once; repeated captures are judged row by row; empty
-tables give empty results or matches; further columns of captures are kept.
+tables give empty results or matches; further columns of captures are kept,
+except that one with the name of a result column gives way to it.
 """
 
 from __future__ import annotations
@@ -25,6 +26,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from veleta.llm.text import packed
+
 _URL = r"^[A-Za-z][A-Za-z0-9+.-]*://([^/?#]+)(/[^/?#]*)?"
 
 
@@ -52,6 +55,9 @@ def intervals(entries: DataFrame) -> DataFrame:
     return one.select("list_key", "action", F.col("listed_at").alias("valid_from"), F.lead("listed_at").over(by_key).alias("valid_to"))
 
 
+_RESULTS = ("verdict", "deciding_key", "n_active")
+
+
 def judge(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_col: str = "fetched_at") -> DataFrame:
     """`captures` with verdict ("block" or "allow"), deciding_key and n_active, the entries that hold at fetch time.
 
@@ -70,9 +76,10 @@ def judge(captures: DataFrame, entries: DataFrame, url_col: str = "url", time_co
         .groupBy("url_", "at_")
         .agg(F.min(F.struct("rank_", "key_", "action")).alias("first_"), F.count(F.lit(1)).alias("active_"))
     )
-    judged = captures.join(found, (F.col(url_col) == F.col("url_")) & (F.col(time_col) == F.col("at_")), "left")
+    rows = captures.select(packed(captures.drop(*_RESULTS)).alias("row_"), F.col(url_col).alias("u_"), F.col(time_col).alias("t_"))
+    judged = rows.join(found, (F.col("u_") == F.col("url_")) & (F.col("t_") == F.col("at_")), "left")
     return judged.select(
-        *[captures[f"`{c}`"] for c in captures.columns],
+        "row_.*",
         F.coalesce(F.col("first_.action"), F.lit("allow")).alias("verdict"),
         F.col("first_.key_").alias("deciding_key"),
         F.coalesce("active_", F.lit(0)).cast("long").alias("n_active"),
