@@ -30,6 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veleta.llm.cache import Memo
+from veleta.llm.shared import small_batches
 
 #: Fixed value: the pre-tokenizer pattern of byte-level vocabularies.
 PIECE = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\p{White_Space}\p{L}\p{N}]+|\p{White_Space}+(?!\P{White_Space})|\p{White_Space}+"
@@ -73,8 +74,8 @@ class Vocabulary:
         self.inside = bytes(inside)
         self.piece = regex.compile(PIECE)
         self.split_special = regex.compile("|".join(f"({regex.escape(t)})" for t in self.special)) if self.special else None
-        self.fragments = Memo(self._fragment)
-        self.pieces = Memo(self._piece)
+        self.fragments = Memo(self._fragment, 100_000)
+        self.pieces = Memo(self._piece, 200_000)
 
     def cut(self, body: bytes) -> list[bytes]:
         """Fragments between certain cuts."""
@@ -190,6 +191,7 @@ def decode(encoded: DataFrame, path: str, id_col: str = "doc_id", ids_col: str =
 def round_trip(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id_col, `ids` and `decoded`: the identifiers, and the text decoded from those identifiers."""
     name, kind = id_col, docs.schema[id_col].dataType.simpleString()
+    small_batches(docs.sparkSession)
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         decode_one = vocabulary(path).decode

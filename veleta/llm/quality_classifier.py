@@ -2,34 +2,45 @@
 
 A document's own evidence comes from a naive Bayes classifier over binned text
 ratios. Sites add evidence of a second kind: labelled documents of a path
-(`source` and `lang` here) and of its host (`source`) are counted, and the
-share of good documents of a path is shrunk towards that of its host, and that
-of the host towards the share of all, by Beta priors whose strength is
-estimated from the spread between sites. A sparse site therefore says little.
-Document and site evidence are added on the log-odds scale.
+and of its host are counted, and the share of good documents of a path is
+shrunk towards that of its host, and that of the host towards the share of all,
+by Beta priors whose strength is estimated from the spread between sites. A
+sparse site therefore says little. Document and site evidence are added on the
+log-odds scale. The tables name no host and no path: `source` stands for the
+host, `source` and `lang` together for the path.
+
+The toxic label is judged beside it in the same way: sites by the same shrunken
+shares, and words for the document's own evidence. Words that many toxic and few
+other labelled documents hold are listed, the most frequent `TOXIC_WORDS` of
+them; a document's distinct listed words add their log odds.
 
 All counts are grouped aggregates over all labelled rows: class by feature bin,
-class by host, class by path. Each is combined before its shuffle. Bin counts
-are a table of fixed size and broadcast; site posteriors are joined by key,
-with adaptive handling of hot sites. A document's own label never enters its
-own site evidence (it is taken out again), so that scores of labelled
-documents mean the same as those of others.
+class by word, class by host, class by path. Each is combined before its
+shuffle. Bin counts and listed words are tables of fixed size and broadcast;
+site posteriors are joined by key, with adaptive handling of hot sites. Labels
+are broadcast to the texts up to `BROADCAST_LABELS` of them and joined by a
+shuffle beyond. A document's own label never enters its own site evidence (it is
+taken out again), so that scores of labelled documents mean the same as those
+of others.
 
 Defined results: null text counts as empty; a null host or path is a site of
 its own; a document without labelled neighbours gets the prior of the level
 above; without any labels every prior is one half; labels outside 0 and 1 are
-ignored, several labels of a document count by the smallest; repeated rows are
-scored row by row; an empty table gives an empty result; further columns are
-ignored.
+ignored, several labels of a document count by the worse one; labels without a
+column toxic leave every document to the prior; repeated rows are scored row by
+row; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import string
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veleta.llm.quality_rules import metrics
+from veleta.llm.quality_rules import METRICS_SQL, metrics
 from veleta.llm.shared import keep
+from veleta.llm.text import words
 
 #: Bins of a ratio in thousandths, by upper bounds; the last bin is open.
 BINS = {
@@ -46,6 +57,17 @@ FEW_WORDS = 20
 SMOOTHING = 1.0
 #: Bounds of a prior's strength, in documents.
 STRENGTH = (1.0, 1000.0)
+#: A listed word is in so many toxic documents, and in so many times the share of them that it is in of others.
+TOXIC_LEAST = 5
+TOXIC_RATIO = 8
+#: At most so many words are listed, the ones in most toxic documents.
+TOXIC_WORDS = 512
+#: Up to so many labelled documents are broadcast to the texts.
+BROADCAST_LABELS = 1 << 20
+
+_MARKS = ".,;:!?\"()[]"
+#: Letters and marks of a word for the list, and what becomes of them.
+_FROM, _TO = string.ascii_uppercase + _MARKS, string.ascii_lowercase + " " * len(_MARKS)
 
 
 def _permille(num, den):
@@ -59,25 +81,61 @@ def _bin(value, bounds: tuple[int, ...]):
     return out
 
 
-def binned(docs: DataFrame) -> DataFrame:
-    """doc_id, host, path and one bin number for each ratio."""
-    rows = docs.select("doc_id", "text", F.col("source").alias("host"), F.struct("source", "lang").alias("path"))
+def _bounded(x: Column) -> Column:
+    return F.least(F.greatest(x, F.lit(1e-6)), F.lit(1 - 1e-6))
+
+
+def _logit(x: Column) -> Column:
+    return F.log(_bounded(x) / (1 - _bounded(x)))
+
+
+def _sigmoid(x: Column) -> Column:
+    return F.round(1 / (1 + F.exp(-x)), 6)
+
+
+def clean_labels(labels: DataFrame) -> DataFrame:
+    """doc_id, y (good), z (toxic); null where there is no such label."""
+    toxic = F.col("toxic") if "toxic" in labels.columns else F.lit(None).cast("int")
+    valid = lambda c: F.when(c.isin(0, 1), c.cast("int"))
+    return labels.filter("doc_id is not null").groupBy("doc_id").agg(F.min(valid(F.col("quality"))).alias("y"), F.max(valid(toxic)).alias("z"))
+
+
+def distinct_words(text: Column) -> Column:
+    return F.array_distinct(words(F.translate(F.coalesce(text, F.lit("")), _FROM, _TO)))
+
+
+def toxic_words(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """One row: the listed words, and the log odds of each of them."""
+    known = labels.filter("z is not null").select("doc_id", "z")
+    few = known.limit(BROADCAST_LABELS + 1).count() <= BROADCAST_LABELS
+    labelled = docs.select("doc_id", distinct_words(F.col("text")).alias("w")).join(F.broadcast(known) if few else known, "doc_id")
+    total = labelled.agg(F.coalesce(F.sum("z"), F.lit(0)).cast("double").alias("all_toxic"), F.count(F.lit(1)).cast("double").alias("all_"))
+    counts = labelled.select("z", F.explode("w").alias("word")).groupBy("word").agg(F.sum("z").cast("double").alias("t"), F.count(F.lit(1)).cast("double").alias("n"))
+    others, all_others = F.col("n") - F.col("t"), F.col("all_") - F.col("all_toxic")
+    listed = counts.filter(F.col("t") >= TOXIC_LEAST).join(F.broadcast(total))
+    listed = listed.filter(F.col("t") * (all_others + 1) >= TOXIC_RATIO * (others + 1) * F.col("all_toxic"))
+    odds = F.log(((F.col("t") + 1) / (F.col("all_toxic") + 2)) / ((others + 1) / (all_others + 2)))
+    top = listed.orderBy(F.desc("t"), "word").limit(TOXIC_WORDS).select("word", odds.alias("odds"))
+    return top.agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("word", "odds")))).alias("toxic"))
+
+
+def binned(docs: DataFrame, toxic: DataFrame) -> DataFrame:
+    """doc_id, host, path, one bin number for each ratio, and the evidence of the listed words."""
+    rows = docs.select("doc_id", "text", F.col("source").alias("host"), F.struct("source", "lang").alias("path")).join(F.broadcast(toxic))
     q = metrics(rows, "text")
-    words, lines = F.col("q_.w.n_words"), F.col("q_.l.n_lines")
+    n_words, lines = F.col("q_.w.n_words"), F.col("q_.l.n_lines")
     value = {
-        "symbols": _permille(F.col("q_.n_symbols"), words),
-        "shouts": _permille(F.col("q_.n_shouts"), words),
-        "stop_words": _permille(F.col("q_.w.n_stop_words"), words),
-        "repeated": _permille(F.col("q_.w.n_repeat_words"), words),
+        "symbols": _permille(F.col("q_.n_symbols"), n_words),
+        "shouts": _permille(F.col("q_.n_shouts"), n_words),
+        "stop_words": _permille(F.col("q_.w.n_stop_words"), n_words),
+        "repeated": _permille(F.col("q_.w.n_repeat_words"), n_words),
         "dup_lines": _permille(F.col("q_.l.n_dup_lines"), lines),
-        "word_length": _permille(F.col("q_.w.word_chars"), words),
+        "word_length": _permille(F.col("q_.w.word_chars"), n_words),
     }
-    own = lambda n, v: F.when(words < FEW_WORDS, len(BINS[n]) + 1).otherwise(_bin(v, BINS[n]))
-    return q.select("doc_id", "host", "path", *[own(n, v).alias(n) for n, v in value.items()])
-
-
-def clean_labels(labels: DataFrame) -> DataFrame:
-    return labels.filter("quality in (0, 1) and doc_id is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("y"))
+    own = lambda n, v: F.when(n_words < FEW_WORDS, len(BINS[n]) + 1).otherwise(_bin(v, BINS[n]))
+    found = F.array_sort(F.array_intersect(distinct_words(F.col("text")), F.map_keys("toxic")))
+    evidence = F.aggregate(F.transform(found, lambda w: F.element_at(F.col("toxic"), w)), F.lit(0.0), lambda acc, x: acc + x)
+    return q.select("doc_id", "host", "path", *[own(n, v).alias(n) for n, v in value.items()], F.size(found).cast("long").alias("n_toxic_words"), evidence.alias("word_odds"))
 
 
 def bin_evidence(labelled: DataFrame) -> DataFrame:
@@ -102,62 +160,117 @@ def bin_evidence(labelled: DataFrame) -> DataFrame:
         share = lambda side, all_: (F.col(f"{side}_{n}_{i}") + SMOOTHING) / (F.col(all_) + SMOOTHING * k)
         return F.log(share("g", "all_good") / share("b", "all_bad"))
 
-    arrays = [F.array(*[odds(n, i, len(b) + 2) for i in range(len(b) + 2)]).alias(f"odds_{n}") for n, b in BINS.items()]
-    prior = (F.col("all_good") + 0.5) / (F.col("all_good") + F.col("all_bad") + 1.0)
-    return wide.select(prior.alias("prior"), *arrays)
+    return wide.select(*[F.array(*[odds(n, i, len(b) + 2) for i in range(len(b) + 2)]).alias(f"odds_{n}") for n, b in BINS.items()])
 
 
-def _strength(sites: DataFrame, centre) -> DataFrame:
-    """One row: the Beta strength by moments, from the spread of site shares around `centre` beyond binomial noise."""
-    n, p = F.col("n"), F.col("good") / F.col("n")
+def _strength(sites: DataFrame, name: str) -> DataFrame:
+    """One row: the Beta strength by moments, from the spread of site shares (good, n) around `centre` beyond binomial noise."""
+    n, p, centre = F.col("n"), F.col("good") / F.col("n"), F.col("centre")
     # expected squared deviation of a share: c (1 - c) (1 / n + rho) with rho = 1 / (strength + 1)
     excess = F.sum(n * F.pow(p - centre, 2)) - F.sum(centre * (1 - centre))
     scale = F.sum((n - 1) * centre * (1 - centre))
     rho = F.when(scale > 0, excess / scale)
     rho = F.greatest(F.least(F.coalesce(rho, F.lit(0.0)), F.lit(1.0)), F.lit(1e-6))
-    return sites.filter("n > 0").agg(F.least(F.greatest(1 / rho - 1, F.lit(STRENGTH[0])), F.lit(STRENGTH[1])).alias("strength"))
+    return sites.filter("n > 0").agg(F.least(F.greatest(1 / rho - 1, F.lit(STRENGTH[0])), F.lit(STRENGTH[1])).alias(name))
 
 
-def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, p_document, p_host, p_path, p_good, kept."""
-    # the ratios are worked out once; counts, site posteriors and scores read the small table of bins
-    rows = keep(docs.sparkSession, binned(docs), "bins").join(clean_labels(labels), "doc_id", "left")
-    labelled = rows.filter("y is not null")
-    evidence = bin_evidence(labelled)
-    # counts of paths are summed again to hosts; both are combined before they are shuffled
-    paths = labelled.groupBy("host", "path").agg(F.sum("y").alias("good"), F.count(F.lit(1)).alias("n"))
+def sites(rows: DataFrame, label: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Labelled and positive documents by host and by path, and one row with the prior and both strengths; columns end in the label."""
+    paths = rows.filter(F.col(label).isNotNull()).groupBy("host", "path").agg(F.sum(label).alias("good"), F.count(F.lit(1)).alias("n"))
+    # counts of paths are summed again to hosts
     hosts = paths.groupBy("host").agg(F.sum("good").alias("good"), F.sum("n").alias("n"))
-    prior = F.broadcast(evidence.select("prior"))
-    host_strength = F.broadcast(_strength(hosts.join(prior), F.col("prior")).withColumnRenamed("strength", "host_strength"))
+    total = hosts.agg(((F.coalesce(F.sum("good"), F.lit(0)) + 0.5) / (F.coalesce(F.sum("n"), F.lit(0)) + 1.0)).alias(f"prior_{label}"))
     above = hosts.select(F.col("host").alias("host_"), (F.col("good") / F.col("n")).alias("centre"))
-    by_path = paths.join(above, F.col("host").eqNullSafe(F.col("host_")))
-    path_strength = F.broadcast(_strength(by_path, F.col("centre")).withColumnRenamed("strength", "path_strength"))
-
-    h = hosts.select(F.col("host").alias("host_"), F.col("good").alias("hg"), F.col("n").alias("hn"))
-    p = paths.select(F.col("path").alias("path_"), F.col("good").alias("pg"), F.col("n").alias("pn"))
-    wide = (
-        rows.join(h, F.col("host").eqNullSafe(F.col("host_")), "left")
-        .join(p, F.col("path").eqNullSafe(F.col("path_")), "left")
-        .join(F.broadcast(evidence))
-        .join(host_strength)
-        .join(path_strength)
-    )
-    own, one = F.coalesce("y", F.lit(0)), F.when(F.col("y").isNotNull(), 1).otherwise(0)  # a document's own label is taken out
-    good = lambda c: F.coalesce(c, F.lit(0)) - own
-    count = lambda c: F.coalesce(c, F.lit(0)) - one
-    p_host = (good("hg") + F.col("host_strength") * F.col("prior")) / (count("hn") + F.col("host_strength"))
-    wide = wide.withColumn("p_host", p_host)
-    p_path = (good("pg") + F.col("path_strength") * F.col("p_host")) / (count("pn") + F.col("path_strength"))
-    logit = lambda x: F.log(x / (1 - x))
+    one = total.join(F.broadcast(_strength(hosts.join(F.broadcast(total.withColumnRenamed(f"prior_{label}", "centre"))), f"host_strength_{label}")))
+    one = one.join(F.broadcast(_strength(paths.join(above, F.col("host").eqNullSafe(F.col("host_"))), f"path_strength_{label}")))
+    h = hosts.select(F.col("host").alias(f"host_{label}"), F.col("good").alias(f"hg_{label}"), F.col("n").alias(f"hn_{label}"))
+    p = paths.select(F.col("path").alias(f"path_{label}"), F.col("good").alias(f"pg_{label}"), F.col("n").alias(f"pn_{label}"))
+    return h, p, one
+
+
+def classify(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, p_document, p_host, p_path, p_good, kept, and p_toxic, n_toxic_words, toxic."""
+    # the ratios are worked out once; counts, site posteriors and scores read the small table of bins
+    known = clean_labels(labels)
+    rows = keep(docs.sparkSession, binned(docs, toxic_words(docs, known)).join(known, "doc_id", "left"), "bins")
+    wide = rows.join(F.broadcast(bin_evidence(rows.filter("y is not null"))))
+    for label in "yz":
+        h, p, one = sites(rows, label)
+        wide = wide.join(h, F.col("host").eqNullSafe(F.col(f"host_{label}")), "left").join(p, F.col("path").eqNullSafe(F.col(f"path_{label}")), "left").join(F.broadcast(one))
+        # a document's own label is taken out
+        own, times = F.coalesce(label, F.lit(0)), F.when(F.col(label).isNotNull(), 1).otherwise(0)
+        host = (F.coalesce(f"hg_{label}", F.lit(0)) - own + F.col(f"host_strength_{label}") * F.col(f"prior_{label}")) / (F.coalesce(f"hn_{label}", F.lit(0)) - times + F.col(f"host_strength_{label}"))
+        wide = wide.withColumn(f"p_host_{label}", host)
+        path = (F.coalesce(f"pg_{label}", F.lit(0)) - own + F.col(f"path_strength_{label}") * F.col(f"p_host_{label}")) / (F.coalesce(f"pn_{label}", F.lit(0)) - times + F.col(f"path_strength_{label}"))
+        wide = wide.withColumn(f"p_path_{label}", path)
     own_odds = sum((F.get(F.col(f"odds_{n}"), F.col(n)) for n in BINS), F.lit(0.0))
-    bounded = lambda x: F.least(F.greatest(x, F.lit(1e-6)), F.lit(1 - 1e-6))
-    sigmoid = lambda x: 1 / (1 + F.exp(-x))
-    wide = wide.withColumn("p_path", p_path).withColumn("own_odds", own_odds)
-    out = wide.select(
+    out = wide.withColumn("own_odds", own_odds).select(
         "doc_id",
-        sigmoid(F.col("own_odds") + logit(bounded(F.col("prior")))).alias("p_document"),
-        "p_host",
-        "p_path",
-        sigmoid(F.col("own_odds") + logit(bounded(F.col("p_path")))).alias("p_good"),
+        _sigmoid(F.col("own_odds") + _logit(F.col("prior_y"))).alias("p_document"),
+        F.round("p_host_y", 6).alias("p_host"),
+        F.round("p_path_y", 6).alias("p_path"),
+        _sigmoid(F.col("own_odds") + _logit(F.col("p_path_y"))).alias("p_good"),
+        _sigmoid(F.col("word_odds") + _logit(F.col("p_path_z"))).alias("p_toxic"),
+        "n_toxic_words",
     )
-    return out.withColumn("kept", F.col("p_good") >= 0.5)
+    return out.withColumns({"kept": F.col("p_good") >= 0.5, "toxic": (F.col("p_toxic") >= 0.5) & (F.col("n_toxic_words") > 0)})
+
+
+def _oracle_sql() -> str:
+    """The same by plain SQL, one table after the other."""
+    ratios = {
+        "symbols": ("n_symbols", "n_words"), "shouts": ("n_shouts", "n_words"), "stop_words": ("n_stop_words", "n_words"),
+        "repeated": ("n_repeat_words", "n_words"), "dup_lines": ("n_dup_lines", "n_lines"), "word_length": ("word_chars", "n_words"),
+    }
+    long = []
+    for name, bounds in BINS.items():
+        num, den = ratios[name]
+        value = f"(CASE WHEN {den} > 0 THEN {num} * 1000 / {den}::DOUBLE ELSE 0 END)"
+        bins = " ".join(f"WHEN {value} < {b} THEN {i}" for i, b in enumerate(bounds))
+        long.append(f"SELECT doc_id, '{name}' AS ratio, {len(bounds) + 2} AS k, CASE WHEN n_words < {FEW_WORDS} THEN {len(bounds) + 1} {bins} ELSE {len(bounds)} END AS bin FROM m")
+    rho = "greatest(least(coalesce(CASE WHEN sum((n - 1) * c * (1 - c)) > 0 THEN (sum(n * pow(g / n - c, 2)) - sum(c * (1 - c))) / sum((n - 1) * c * (1 - c)) END, 0), 1), 1e-6)"
+    strength = f"least(greatest(1 / {rho} - 1, {STRENGTH[0]}), {STRENGTH[1]})::DOUBLE"
+    part = """, p{x} AS (SELECT source, lang, sum({x})::DOUBLE AS g, count(*)::DOUBLE AS n FROM r WHERE {x} IS NOT NULL GROUP BY 1, 2),
+h{x} AS (SELECT source, sum(g) AS g, sum(n) AS n FROM p{x} GROUP BY 1),
+t{x} AS (SELECT (coalesce(sum(g), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1) AS prior FROM h{x}),
+a{x} AS (SELECT {strength} AS s FROM (SELECT g, n, (SELECT prior FROM t{x}) AS c FROM h{x})),
+b{x} AS (SELECT {strength} AS s FROM (SELECT p.g, p.n, h.g / h.n AS c FROM p{x} p JOIN h{x} h ON p.source IS NOT DISTINCT FROM h.source)),
+e{x} AS (SELECT r.doc_id, (SELECT prior FROM t{x}) AS prior,
+    (coalesce(h.g, 0) - coalesce({x}, 0) + (SELECT s FROM a{x}) * (SELECT prior FROM t{x})) / (coalesce(h.n, 0) - ({x} IS NOT NULL)::INTEGER + (SELECT s FROM a{x})) AS ph,
+    (coalesce(p.g, 0) - coalesce({x}, 0)) AS pg, (coalesce(p.n, 0) - ({x} IS NOT NULL)::INTEGER) AS pn
+  FROM r LEFT JOIN h{x} h ON r.source IS NOT DISTINCT FROM h.source LEFT JOIN p{x} p ON r.source IS NOT DISTINCT FROM p.source AND r.lang IS NOT DISTINCT FROM p.lang),
+f{x} AS (SELECT *, (pg + (SELECT s FROM b{x}) * ph) / (pn + (SELECT s FROM b{x})) AS pp FROM e{x})"""
+    logit = lambda x: f"ln(least(greatest({x}, 1e-6), 1 - 1e-6) / (1 - least(greatest({x}, 1e-6), 1 - 1e-6)))"
+    sigmoid = lambda x: f"round(1 / (1 + exp(-({x}))), 6)"
+    marks, blanks = _FROM.replace("'", "''"), _TO
+    return f"""
+WITH {METRICS_SQL}, y AS (
+  SELECT doc_id, min(CASE WHEN quality IN (0, 1) THEN quality END)::INTEGER AS y, max(CASE WHEN toxic IN (0, 1) THEN toxic END)::INTEGER AS z FROM labels WHERE doc_id IS NOT NULL GROUP BY 1
+), r AS (
+  SELECT doc_id, source, lang, y, z FROM documents LEFT JOIN y USING (doc_id)
+), words AS (
+  SELECT DISTINCT doc_id, word FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{marks}', '{blanks}'), '[^\\x20\\x09-\\x0D]+')) AS word FROM documents)
+), tw AS (
+  SELECT word, sum(z)::DOUBLE AS t, count(*)::DOUBLE AS n, (SELECT sum(z) FROM r)::DOUBLE AS at, (SELECT count(z) FROM r)::DOUBLE AS al FROM words JOIN r USING (doc_id) WHERE z IS NOT NULL GROUP BY 1
+), listed AS (
+  SELECT word, ln(((t + 1) / (at + 2)) / ((n - t + 1) / (al - at + 2))) AS odds FROM tw
+  WHERE t >= {TOXIC_LEAST} AND t * (al - at + 1) >= {TOXIC_RATIO} * (n - t + 1) * at ORDER BY t DESC, word LIMIT {TOXIC_WORDS}
+), hits AS (
+  SELECT doc_id, count(*)::BIGINT AS n, sum(odds) AS odds FROM words JOIN listed USING (word) GROUP BY 1
+), bins AS (
+  {" UNION ALL ".join(long)}
+), counts AS (
+  SELECT ratio, bin, sum(y)::DOUBLE AS g, sum(1 - y)::DOUBLE AS b FROM bins JOIN r USING (doc_id) WHERE y IS NOT NULL GROUP BY 1, 2
+), own AS (
+  SELECT doc_id, sum(ln(((coalesce(g, 0) + {SMOOTHING}::DOUBLE) / ((SELECT coalesce(sum(y), 0) FROM r) + {SMOOTHING}::DOUBLE * k)) / ((coalesce(b, 0) + {SMOOTHING}::DOUBLE) / ((SELECT coalesce(sum(1 - y), 0) FROM r) + {SMOOTHING}::DOUBLE * k)))) AS odds
+  FROM bins LEFT JOIN counts USING (ratio, bin) GROUP BY 1
+){part.format(x="y", strength=strength)}{part.format(x="z", strength=strength)}, out AS (
+  SELECT doc_id, {sigmoid("own.odds + " + logit("fy.prior"))} AS p_document, round(fy.ph, 6) AS p_host, round(fy.pp, 6) AS p_path, {sigmoid("own.odds + " + logit("fy.pp"))} AS p_good,
+    {sigmoid("coalesce(hits.odds, 0) + " + logit("fz.pp"))} AS p_toxic, coalesce(hits.n, 0)::BIGINT AS n_toxic_words
+  FROM own JOIN fy USING (doc_id) JOIN fz USING (doc_id) LEFT JOIN hits USING (doc_id)
+)
+SELECT *, p_good >= 0.5 AS kept, p_toxic >= 0.5 AND n_toxic_words > 0 AS toxic FROM out
+"""
+
+
+ORACLE_SQL = _oracle_sql()

@@ -80,6 +80,7 @@ QUERIES = {
 ORACLES = {
     "op1_quality_rules": quality_rules.ORACLE_SQL,
     "op3_url_filters": url_filters.ORACLE_SQL,
+    "op4_quality_classifier": quality_classifier.ORACLE_SQL,
     "op8_warc": warc.ORACLE_SQL,
     "op10_exact_dedup": exact_dedup.ORACLE_SQL,
 }
