@@ -1,8 +1,10 @@
 """Operators on hand-made rows."""
 
+import datetime
 import json
 
 import pytest
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from veleta import contracts
@@ -62,6 +64,21 @@ def test_surrogate_keys_are_stable(spark):
     assert second["a"] == (51, "y") and second["n010"] == (ids["n010"], "z") and second["n049"] == (ids["n049"], "x")
 
 
+def test_numbering_loses_nothing_and_repeats_nothing(spark):
+    """A million wide rows over 200 shuffle partitions, most of their ranges uneven."""
+    rows, partitions = 1_000_000, spark.conf.get("spark.sql.shuffle.partitions")
+    wide = spark.range(rows).select(F.sha2(F.col("id").cast("string"), 256).alias("key"), *[F.xxhash64("id", F.lit(k)).alias(f"c{k}") for k in range(8)], F.repeat(F.lit("x"), 60).alias("text"))
+    spark.conf.set("spark.sql.shuffle.partitions", "200")
+    try:
+        out = keys.numbered_by(wide, ["key"], "number")
+        r = out.agg(F.count("*").alias("n"), F.min("number").alias("a"), F.max("number").alias("b"), F.count_distinct("number").alias("d"), F.count_distinct("key").alias("k")).first()
+        assert (r.n, r.a, r.b, r.d, r.k) == (rows, 1, rows, rows, rows)
+        later = out.select("number", F.lead("key").over(W.partitionBy(F.floor(F.col("number") / 5000)).orderBy("number")).alias("next"), "key")
+        assert later.filter("next < key").count() == 0  # in the order of the key
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", partitions)
+
+
 def test_fact_keeps_key_and_first_lineage(spark):
     old = spark.createDataFrame([(7, "g1", "raw:1", 2)], "id long, grain string, lineage string, n long")
     new = spark.createDataFrame([("g1", "raw:9", 9), ("g2", "raw:10", 1)], "grain string, lineage string, n long")
@@ -75,6 +92,48 @@ def test_consolidation(spark):
     assert sorted(str(tuple(r)) for r in keys.consolidate(new, old, "id").collect()) == ["(1, 'new')", "(2, 'b')", "(3, 'c')", "(99, 'z')", "(None, 'n')"]
 
 
+def test_identity_folds_missing_parts(spark):
+    df = spark.createDataFrame([(None, "a", 1, "x"), (None, "a", 3, "y"), ("N/A", "a", 2, "z"), ("b", None, 1, "w")], "p string, q string, v long, t string")
+    assert sorted(map(str, keys.snapshot_dedup(df, ["p", "q"], ["v"]).collect())) == sorted(map(str, df.filter("t in ('y', 'w')").collect()))
+    assert keys.snapshot_removed(df, ["p", "q"]).first().eliminados == 2
+    up = keys.upsert_newest(df.filter("v = 3"), df.filter("v < 3"), ["p", "q"], ["v"])
+    assert sorted(r.t for r in up.collect()) == ["w", "y"]
+
+
+def test_ledger(spark):
+    files = spark.createDataFrame([(1, "github"), (2, "github"), (3, "reddit")], "id long, fuente string")
+    rows = spark.createDataFrame([(1,), (1,), (3,)], "raw_file_id long")
+    new = keys.processed_counts(files.filter("id < 3"), rows, "v2", "r")
+    old = spark.createDataFrame([(1, "v1", "q", 9), (3, "v1", "q", 1)], new.schema)
+    out = {r.file_id: (r.transformation_version, r.records_processed) for r in keys.ledger_upsert(old, new).collect()}
+    assert out == {1: ("v2", 2), 2: ("v2", 0), 3: ("v1", 1)}
+    assert [r.file_id for r in keys.processed_of(keys.ledger_upsert(old, new), files, ["reddit"]).collect()] == [3]
+
+
+def test_star_schema_is_loaded_twice(spark):
+    """The same entity again: fact id, first lineage and dimension keys stay, the rest is refreshed; empty staging deletes nothing."""
+    kinds = contracts.STAGING
+    base = {"id_origen_registro": "repo-1", "fuente": "github", "tipo_fuente": "api", "plataforma": "VS Code", "categoria": "comunidad", "nombre_agente": "Codex", "fecha_evento": datetime.date(2026, 1, 1), "dim_nombre_plataforma": "VS Code", "dim_tipo_plataforma": "IDE", "dim_ecosistema": "a", "dim_nombre_tecnologia": "Python", "dim_categoria_tecnologia": "x", "dim_nombre_comunidad": " ", "cantidad_menciones": 1, "cantidad_interacciones": 2, "raw_file_id": 1, "raw_record_id": 10, "titulo": "old"}
+    schema = ", ".join(f"{c} {t}" for c, t in kinds.items())
+    staged = lambda *rows: spark.createDataFrame([tuple((base | r).get(c) for c in kinds) for r in rows], schema)
+    dims, facts = gold.load(staged({}, {"id_origen_registro": "repo-2", "nombre_agente": "Cline", "raw_record_id": 11}))
+    first = {r.id_origen_registro: r for r in facts.collect()}
+    assert sorted(r.id_hecho for r in first.values()) == [1, 2] and first["repo-1"].fact_lineage_key == "raw:10" and first["repo-1"].score_comunidad == 3
+    assert [r.nombre_comunidad for r in dims["comunidad"].collect()] == ["Comunidad no determinada"]
+    again = {"cantidad_interacciones": 9, "raw_record_id": 12, "titulo": "new", "dim_ecosistema": "b", "fecha_evento": datetime.date(2026, 2, 1), "raw_file_id": 2}
+    dims2, facts2 = gold.load(staged(again), dims, facts)
+    second = {r.id_origen_registro: r for r in facts2.collect()}
+    r, old = second["repo-1"], first["repo-1"]
+    assert len(second) == 2 and (r.id_hecho, r.fact_lineage_key, r.id_agente, r.id_plataforma, r.id_comunidad) == (old.id_hecho, "raw:10", old.id_agente, old.id_plataforma, old.id_comunidad)
+    assert (r.raw_record_id, r.titulo, r.cantidad_interacciones) == (12, "new", 9) and dims2["plataforma"].first().ecosistema == "b" and r.id_tiempo == 2
+    assert gold.load(staged({}).limit(0), dims2, facts2)[1].count() == 2
+
+
+def test_profiles():
+    with pytest.raises(ValueError, match="profile"):
+        gold.in_profile(F.lit("x"), ("github",), "nothing")
+
+
 # dates and values
 
 
@@ -86,6 +145,17 @@ def test_dates(spark):
     ]
 
 
+def test_title_case(spark):
+    got = spark.createDataFrame([("o'NEIL jean-luc 3d élan",)], "s string").select(cleaning.title_case(F.col("s"))).first()[0]
+    assert got == "o'NEIL jean-luc 3d élan".title()
+
+
+def test_rules_know_accented_capitals(spark):
+    df = spark.createDataFrame([("REVISIÓN DE CÓDIGO",), ("DEPURACIÓN lenta",), ("ótesting",)], "s string")
+    found = rules.first_match(F.col("s"), rules.TECHNOLOGY_RULES, ("name", "category", "domain"))
+    assert [r[0] for r in df.select(found["name"]).collect()] == ["Revisión de código", "Depuración", None]
+
+
 def test_written_numbers_and_names(spark):
     df = spark.createDataFrame([("3k",), ("1,200",), ("1.5k",), ("none",), ("",), (None,), ("abc",)], "v string")
     assert [r[0] for r in df.select(cleaning.dirty_number(F.col("v"))).collect()] == [3000, 1200, 15000, 0, 0, 0, 0]
@@ -311,10 +381,10 @@ def test_top_and_others(spark):
 def test_upsert_stream(spark, tmp_path):
     source, schema = tmp_path / "in", "k string, v long, t string"
     source.mkdir()
-    table = incremental.VersionedTable(spark, str(tmp_path / "table"), schema)
+    table = incremental.VersionedTable(spark, str(tmp_path / "table"), schema, ["k"])
 
     def run():
-        q = incremental.upsert_stream(incremental.landing(spark, str(source), schema), table, ["k"], ["v"], str(tmp_path / "ck"))
+        q = incremental.upsert_stream(incremental.landing(spark, str(source), schema), table, ["v"], str(tmp_path / "ck"))
         q.awaitTermination(120)
 
     (source / "1.json").write_text('{"k":"a","v":2,"t":"x"}\n{"k":"b","v":1,"t":"x"}\n')

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-
-
-
+# Names and types of the columns of each layer.
 RAW_FILES = "id long, fuente string, tipo_fuente string, ruta string, registros long, columnas int, bytes long, hash_sha256 string, fecha_carga timestamp, run_id string"
 RAW_RECORDS = "id long, raw_file_id long, raw_data string, run_id string"
 

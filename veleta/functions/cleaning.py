@@ -80,10 +80,17 @@ def dirty_number(column: Column) -> Column:
 NAME_PARTS = (("copilot", "GitHub Copilot"), ("chatgpt", "ChatGPT"), ("gpt", "ChatGPT"), ("claude", "Claude"), ("cursor", "Cursor"), ("devin", "Devin"))
 
 
+def title_case(text: Column) -> Column:
+    """Letters after anything but a letter in upper case, all others in lower case."""
+    chars = F.split(text, "")
+    after_letter = lambda i: (i > 0) & F.get(chars, i - 1).rlike(r"\p{L}")
+    return F.array_join(F.transform(chars, lambda c, i: F.when(after_letter(i), F.lower(c)).otherwise(F.upper(c))), "")
+
+
 def standard_name(column: Column, parts: Sequence[tuple[str, str]] = NAME_PARTS) -> Column:
     text = F.trim(column)
     found = [F.when(F.contains(F.lower(text), F.lit(p)), F.lit(n)) for p, n in parts]
-    return F.when(column.isNull(), F.lit("Desconocido")).otherwise(F.coalesce(*found, F.initcap(text)))
+    return F.when(column.isNull(), F.lit("Desconocido")).otherwise(F.coalesce(*found, title_case(text)))
 
 
 def impute(df: DataFrame, strategies: Mapping[str, str]) -> DataFrame:

@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from veleta.scratch import keep
+
 
 def latest_per_key(df: DataFrame, keys: Sequence[str | Column], order: Sequence[Column]) -> DataFrame:
     """The first row of each key in the given order."""
@@ -32,17 +34,37 @@ def newest_by_aggregate(df: DataFrame, keys: Sequence[str], version: Sequence[st
 SNAPSHOT_KEY = ("fuente", "plataforma", "id_origen_registro", "nombre_agente")
 
 
+def identity(df: DataFrame, keys: Sequence[str] = SNAPSHOT_KEY) -> list[Column]:
+    """Key parts as text, missing ones as 'N/A'."""
+    return [F.coalesce(F.col(k).cast("string"), F.lit("N/A")).alias(f"key_{i}_") for i, k in enumerate(keys)]
+
+
+def _newest(df: DataFrame, keys: Sequence[Column], version: Sequence[Column]) -> DataFrame:
+    """The row of the greatest version of each key, nulls lowest; combined before the shuffle."""
+    picked = df.groupBy(*keys).agg(F.max_by(F.struct(*[F.col(f"`{c}`") for c in df.columns]), F.struct(*version)).alias("row_"))
+    return picked.select("row_.*")
+
+
 def snapshot_dedup(df: DataFrame, keys: Sequence[str] = SNAPSHOT_KEY, version: Sequence[str] = ("fecha_evento", "raw_file_id", "raw_record_id")) -> DataFrame:
     """One row per identity: the greatest version, nulls lowest."""
-    parts = [F.coalesce(F.col(k).cast("string"), F.lit("N/A")) for k in keys]
-    return latest_per_key(df, parts, [F.col(v).desc_nulls_last() for v in version])
+    return _newest(df, identity(df, keys), [F.col(v) for v in version])
+
+
+def snapshot_removed(df: DataFrame, keys: Sequence[str] = SNAPSHOT_KEY) -> DataFrame:
+    """One row: how many rows `snapshot_dedup` takes out."""
+    return df.groupBy(*identity(df, keys)).agg(F.count(F.lit(1)).alias("n")).agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).cast("long").alias("eliminados"))
 
 
 def upsert_newest(old: DataFrame, new: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
-    """Old and new rows, the newest version of each key; on equal versions the old row stays."""
-    both = old.withColumn("is_new_", F.lit(0)).unionByName(new.withColumn("is_new_", F.lit(1)), allowMissingColumns=True)
-    order = [*(F.col(v).desc_nulls_last() for v in version), F.col("is_new_").asc()]
-    return latest_per_key(both, keys, order).drop("is_new_")
+    """Old and new rows, the newest version of each identity; on equal versions the old row stays."""
+    both = old.withColumn("is_old_", F.lit(1)).unionByName(new.withColumn("is_old_", F.lit(0)), allowMissingColumns=True)
+    return _newest(both, identity(both, keys), [*map(F.col, version), F.col("is_old_")]).drop("is_old_")
+
+
+def last_wins(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
+    """Of records that share a key, the last one in the given order; the key is the first of `keys` that is not empty."""
+    key = F.coalesce(*[F.nullif(F.trim(F.col(k).cast("string")), F.lit("")) for k in keys])
+    return _newest(df.withColumn("key_", key), [F.col("key_")], [F.col(c) for c in order]).drop("key_")
 
 
 def pending(available: DataFrame, processed: DataFrame, key: str, version_col: str, version: str, rebuild: bool = False) -> DataFrame:
@@ -54,6 +76,24 @@ def pending(available: DataFrame, processed: DataFrame, key: str, version_col: s
     return available.join(processed.select(key), key, "left_anti")
 
 
+def processed_of(processed: DataFrame, files: DataFrame, sources: Sequence[str] | None = None, key: str = "file_id") -> DataFrame:
+    """Ledger rows of files that are still landed, of the given sources."""
+    wanted = files if sources is None else files.filter(F.col("fuente").isin(*sources))
+    return processed.join(wanted.select(F.col("id").alias(key)), key, "left_semi")
+
+
+def processed_counts(files: DataFrame, rows: DataFrame, version: str, run_id: str) -> DataFrame:
+    """A ledger row for each processed file, with the number of rows that came of it, 0 where none did."""
+    counts = rows.groupBy("raw_file_id").agg(F.count(F.lit(1)).alias("n_"))
+    joined = files.select(F.col("id").alias("file_id")).join(counts, F.col("file_id") == F.col("raw_file_id"), "left")
+    return joined.select("file_id", F.lit(version).alias("transformation_version"), F.lit(run_id).alias("run_id"), F.coalesce("n_", F.lit(0)).cast("long").alias("records_processed"))
+
+
+def ledger_upsert(old: DataFrame, new: DataFrame, key: str = "file_id") -> DataFrame:
+    """The next version of the ledger: new rows take the place of old ones of the same file."""
+    return old.join(new.select(key), key, "left_anti").unionByName(new, allowMissingColumns=True)
+
+
 def with_surrogate_keys(new: DataFrame, old: DataFrame, natural: Sequence[str], key: str) -> DataFrame:
     """SCD-1 upsert of a dimension: known members keep their key, new ones continue after the greatest.
 
@@ -80,14 +120,21 @@ def with_surrogate_keys(new: DataFrame, old: DataFrame, natural: Sequence[str],
 
 
 def numbered_by(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """1 .. n in the given order without one task for all rows: ranks inside hash buckets of ranges are offset by range counts."""
-    ranged = df.repartitionByRange(*order).withColumn("part_", F.spark_partition_id())
-    inside = ranged.withColumn("in_part_", F.row_number().over(W.partitionBy("part_").orderBy(*order)))
-    counts = inside.groupBy("part_").agg(F.max("in_part_").alias("size_"))  # one row per range
-    before = counts.withColumn("before_", F.coalesce(F.sum("size_").over(W.orderBy("part_").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
-    return inside.join(before.select("part_", "before_"), "part_").withColumn(name, (F.col("before_") + F.col("in_part_")).cast("long")).drop(
-        "part_", "in_part_", "before_"
-    )
+    """1 .. n in the given order without one task for all rows.
+
+    The rows are dealt by ranges, sorted and numbered inside each range, and
+    written once to the shared folder; sizes of ranges and rows are read from
+    there, so that both see the same ranges.
+    """
+    sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    # such an identifier is the number of the range and, in its lower 33 bits, the place in it
+    ranged = keep(df.sparkSession, sorted_.withColumn("at_", F.monotonically_increasing_id()), "numbered")
+    part = F.shiftright("at_", 33)
+    sizes = ranged.groupBy(part.alias("part_")).agg(F.count(F.lit(1)).alias("size_"))  # one row per range
+    before = sizes.withColumn("before_", F.coalesce(F.sum("size_").over(W.orderBy("part_").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
+    place = F.col("at_").bitwiseAND(F.lit((1 << 33) - 1))
+    joined = ranged.withColumn("part_", part).join(before.select("part_", "before_"), "part_")
+    return joined.withColumn(name, (F.col("before_") + place + 1).cast("long")).drop("part_", "at_", "before_")
 
 
 def upsert_fact(new: DataFrame, old: DataFrame, grain: Sequence[str], key: str, lineage: str) -> DataFrame:
@@ -125,6 +172,14 @@ def consolidate(new: DataFrame, old: DataFrame, key: str) -> DataFrame:
     return new.unionByName(legacy, allowMissingColumns=True)
 
 
+def lost_keys(result: DataFrame, sources: Sequence[DataFrame], key: str) -> DataFrame:
+    """Keys of the sources that the result does not hold; a consolidation must leave none."""
+    every = sources[0].select(key)
+    for df in sources[1:]:
+        every = every.unionByName(df.select(key))
+    return every.filter(F.col(key).isNotNull()).distinct().join(result.select(key), key, "left_anti")
+
+
 def key_report(df: DataFrame, key: str) -> DataFrame:
     """rows, distinct keys and null keys; duplicates are rows - distinct - nulls."""
     return df.agg(

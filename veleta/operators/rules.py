@@ -143,7 +143,7 @@ def first_match(text: Column, rules: Sequence[tuple], names: Sequence[str], meth
         fields = [F.lit(v).alias(n) for n, v in zip(names, values)]
         if method is not None:
             fields.append(F.lit(method).alias("method"))
-        found.append(F.when(text.rlike("(?i)" + pattern), F.struct(*fields)))
+        found.append(F.when(text.rlike("(?iuU)" + pattern), F.struct(*fields)))
     return F.coalesce(*found)
 
 
@@ -172,7 +172,7 @@ def detect_agent(direct: Column, title: Column, text: Column, aliases: Sequence[
     context = F.replace(context, F.lit("_"), F.lit(" "))
 
     def chain(value: Column) -> Column:
-        return F.coalesce(*[F.when(value.rlike(rf"\b{alias}\b"), F.lit(name)) for alias, name in aliases])
+        return F.coalesce(*[F.when(value.rlike(rf"(?U)\b{alias}\b"), F.lit(name)) for alias, name in aliases])
 
     return F.coalesce(chain(named), chain(context), F.lit(OTHER_AGENT))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from veleta import contracts
 from veleta.functions.cleaning import clamped, dated
-from veleta.operators.keys import snapshot_dedup
+from veleta.operators.keys import SNAPSHOT_KEY, snapshot_dedup
 from veleta.operators.rules import OTHER_AGENT, category, detect_agent, enrich
 from veleta.sources.mappers import normalize
 from veleta.sources.raw import parsed
@@ -27,14 +27,30 @@ def normalized(records: DataFrame, schemas: Mapping[str, str]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def classified(rows: DataFrame) -> DataFrame:
-    """Dates, agents (rows without one are noise), category and semantic dimensions."""
+def candidates(rows: DataFrame) -> DataFrame:
+    """Dates, agents, category and semantic dimensions of observations, those without a known agent included."""
     rows = dated(rows)
-    rows = rows.withColumn("nombre_agente", detect_agent(F.col("agente"), F.col("titulo"), F.col("texto"))).filter(F.col("nombre_agente") != OTHER_AGENT)
+    rows = rows.withColumn("nombre_agente", detect_agent(F.col("agente"), F.col("titulo"), F.col("texto")))
     rows = rows.withColumn("categoria", category(F.col("fuente"), F.col("stars_github")))
     return clamped(enrich(rows), contracts.WIDTHS)
 
 
+def classified(rows: DataFrame) -> DataFrame:
+    """Candidates with a known agent; the others are noise."""
+    return candidates(rows).filter(F.col("nombre_agente") != OTHER_AGENT)
+
+
+def replayed(records: DataFrame, schemas: Mapping[str, str]) -> DataFrame:
+    """Candidates of raw records as they would be staged, without loading them and without cached answers; missing key parts are 'N/A'."""
+    rows = candidates(normalized(records, schemas))
+    return rows.withColumns({k: F.coalesce(F.col(k).cast("string"), F.lit("N/A")) for k in SNAPSHOT_KEY})
+
+
+def for_enrichment(rows: DataFrame) -> DataFrame:
+    """Rows that cached answers may enrich: free text that is not empty, of an unstructured source."""
+    return rows.filter(F.col("fuente").isin(*UNSTRUCTURED) & (F.trim(F.coalesce("texto", F.lit(""))) != ""))
+
+
 def staged(records: DataFrame, schemas: Mapping[str, str]) -> DataFrame:
     rows = snapshot_dedup(classified(normalized(records, schemas)))
     return rows.select(*[F.col(c).cast(t).alias(c) for c, t in contracts.STAGING.items()])

@@ -6,51 +6,61 @@ report takes such a frame, whatever tables it comes from.
 
 from __future__ import annotations
 
+from collections.abc import Collection
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Columns of an activity row that reports read.
-COLUMNS = (
-    "fecha_evento", "nombre_agente", "categoria_agente", "nombre_fuente", "tipo_fuente", "nombre_plataforma", "tipo_plataforma",
-    "nombre_tecnologia", "categoria_tecnologia", "nombre_comunidad", "id_origen_registro", "cantidad_menciones",
-    "cantidad_interacciones", "score_adopcion", "score_popularidad", "score_actividad", "o_orderkey",
-)
-
-
 def read(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reports select what they need; Catalyst prunes the joins' columns, not the joins (keys must exist)."""
-    t = lambda n: read(spark, sf_dir, n)
-    joined = (
-        t("lineitem")
-        .join(t("orders"), F.col("l_orderkey") == F.col("o_orderkey"))
-        .join(t("part"), F.col("l_partkey") == F.col("p_partkey"))
-        .join(t("customer"), F.col("o_custkey") == F.col("c_custkey"))
-        .join(t("nation"), F.col("c_nationkey") == F.col("n_nationkey"))
-        .join(t("region"), F.col("n_regionkey") == F.col("r_regionkey"))
-    )
-    return joined.select(
-        F.to_date("o_orderdate").alias("fecha_evento"),
-        F.col("p_brand").alias("nombre_agente"),
-        F.col("p_type").alias("categoria_agente"),
-        F.col("o_orderpriority").alias("nombre_fuente"),
-        F.col("o_orderstatus").alias("tipo_fuente"),
-        F.col("r_name").alias("nombre_plataforma"),
-        F.col("n_name").alias("tipo_plataforma"),
-        F.col("l_returnflag").alias("nombre_tecnologia"),
-        F.col("l_linestatus").alias("categoria_tecnologia"),
-        F.col("c_mktsegment").alias("nombre_comunidad"),
-        F.concat_ws(":", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id_origen_registro"),
-        F.col("l_linenumber").cast("long").alias("cantidad_menciones"),
-        F.col("l_quantity").cast("int").alias("cantidad_interacciones"),
-        (F.col("l_discount") * 100).cast("decimal(12,4)").alias("score_adopcion"),
-        (F.col("l_tax") * 100).cast("decimal(12,4)").alias("score_popularidad"),
-        F.col("l_extendedprice").cast("decimal(14,4)").alias("score_actividad"),
-        F.col("o_orderkey"),
-    )
+#: Tables beside `lineitem`, each with the table that it is reached through, its join, and its columns of the view.
+_JOINS = {
+    "orders": (None, ("l_orderkey", "o_orderkey")),
+    "part": (None, ("l_partkey", "p_partkey")),
+    "customer": ("orders", ("o_custkey", "c_custkey")),
+    "nation": ("customer", ("c_nationkey", "n_nationkey")),
+    "region": ("nation", ("n_regionkey", "r_regionkey")),
+}
+_VIEW = {
+    "fecha_evento": ("orders", "to_date(o_orderdate)"),
+    "nombre_agente": ("part", "p_brand"),
+    "categoria_agente": ("part", "p_type"),
+    "nombre_fuente": ("orders", "o_orderpriority"),
+    "tipo_fuente": ("orders", "o_orderstatus"),
+    "nombre_plataforma": ("region", "r_name"),
+    "tipo_plataforma": ("nation", "n_name"),
+    "nombre_tecnologia": (None, "l_returnflag"),
+    "categoria_tecnologia": (None, "l_linestatus"),
+    "nombre_comunidad": ("customer", "c_mktsegment"),
+    "id_origen_registro": (None, "concat_ws(':', l_orderkey, l_linenumber, l_partkey, l_suppkey)"),
+    "cantidad_menciones": (None, "cast(l_linenumber as long)"),
+    "cantidad_interacciones": (None, "cast(l_quantity as int)"),
+    "score_adopcion": (None, "cast(l_discount * 100 as decimal(12,4))"),
+    "score_popularidad": (None, "cast(l_tax * 100 as decimal(12,4))"),
+    "score_actividad": (None, "cast(l_extendedprice as decimal(14,4))"),
+    "o_orderkey": ("orders", "o_orderkey"),
+}
+
+
+def activity(spark: SparkSession, sf_dir: str, columns: Collection[str] = tuple(_VIEW)) -> DataFrame:
+    """The view with the given columns, over the tables that these come from.
+
+    Every key of a fact has its row in the other tables, as foreign keys say,
+    so a table that gives no column is not joined.
+    """
+    tables, waiting = {}, {_VIEW[c][0] for c in columns} - {None}
+    while waiting:
+        name = waiting.pop()
+        tables[name] = None
+        if (through := _JOINS[name][0]) is not None:
+            waiting.add(through)
+    joined = read(spark, sf_dir, "lineitem")
+    for name, (_, (left, right)) in _JOINS.items():
+        if name in tables:
+            joined = joined.join(read(spark, sf_dir, name), F.col(left) == F.col(right))
+    return joined.select(*[F.expr(_VIEW[c][1]).alias(c) for c in columns])
 
 
 SQL = """act AS (

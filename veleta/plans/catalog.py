@@ -75,41 +75,77 @@ def tasks_by_pr(tasks: DataFrame) -> DataFrame:
 _REVIEWS = ("review_count", "human_review_count", "bot_review_count", "approved_review_count", "changes_requested_review_count")
 
 
-def grouped(prs: DataFrame, reviews: DataFrame, tasks: DataFrame, users: DataFrame) -> DataFrame:
-    """18 roll-ups for each agent and repository key."""
+def _cells(prs: DataFrame, reviews: DataFrame, tasks: DataFrame, users: DataFrame) -> DataFrame:
+    """Roll-ups for each agent, repository key, user and task type: the one wide join, combined before its shuffle."""
     people = users.filter("id is not null").select(F.col("id").cast("long").alias("known_id")).distinct()
+    needed = prs.select("id", "agent", "repo_key", "repo_id", "repo_url", "user_id", "title", "html_url", "created_at", "merged_at")
     joined = (
-        prs.join(reviews_by_pr(reviews), prs["id"] == F.col("pr_id"), "left")
-        .join(tasks_by_pr(tasks).select(F.col("id").alias("task_id"), "type", "confidence"), prs["id"] == F.col("task_id"), "left")
-        .join(people, prs["user_id"] == F.col("known_id"), "left")
+        needed.join(reviews_by_pr(reviews), needed["id"] == F.col("pr_id"), "left")
+        .join(tasks_by_pr(tasks).select(F.col("id").alias("task_id"), "type", "confidence"), needed["id"] == F.col("task_id"), "left")
+        .join(people, needed["user_id"] == F.col("known_id"), "left")
+    )
+    return joined.groupBy("agent", "repo_key", "user_id", "type").agg(
+        F.min("repo_id").alias("repo_id"),
+        F.min("repo_url").alias("repo_url"),
+        F.count(F.lit(1)).alias("prs"),
+        F.count("merged_at").alias("merged"),
+        F.max("known_id").alias("known_id"),
+        F.min("created_at").alias("first"),
+        F.max("created_at").alias("last"),
+        F.min(F.struct(needed["id"].alias("id"), "title", "html_url")).alias("sample"),
+        F.count("pr_id").alias("reviewed"),
+        *[F.sum(c).alias(c) for c in _REVIEWS],
+        F.sum("confidence").alias("confidence"),
+        F.count("confidence").alias("confidences"),
+    )
+
+
+def _groups(cells: DataFrame) -> DataFrame:
+    by_user = cells.groupBy("agent", "repo_key", "user_id").agg(
+        F.min("repo_id").alias("repo_id"),
+        F.min("repo_url").alias("repo_url"),
+        F.max("known_id").alias("known_id"),
+        F.min("first").alias("first"),
+        F.max("last").alias("last"),
+        F.min("sample").alias("sample"),
+        F.sum(F.when(F.col("type").isNotNull(), F.col("prs")).otherwise(0)).alias("typed"),
+        *[F.sum(c).alias(c) for c in ("prs", "merged", "reviewed", *_REVIEWS, "confidence", "confidences")],
     )
     iso = "yyyy-MM-dd'T'HH:mm:ss'Z'"
-    return joined.groupBy("agent", "repo_key").agg(
+    return by_user.groupBy("agent", "repo_key").agg(
         F.min("repo_id").alias("repo_id"),
         F.min("repo_url").alias("repo_url"),
-        F.count(F.lit(1)).alias("pull_requests_count"),
-        F.count("merged_at").alias("merged_pull_requests"),
-        F.count_distinct("user_id").alias("unique_contributors"),
-        F.count_distinct("known_id").alias("known_contributors"),
-        F.date_format(F.min("created_at"), iso).alias("first_activity"),
-        F.date_format(F.max("created_at"), iso).alias("last_activity"),
-        F.min_by("title", prs["id"]).alias("sample_pr_title"),
-        F.min_by("html_url", prs["id"]).alias("sample_pr_url"),
-        F.count("pr_id").alias("reviewed_pull_requests"),
+        F.sum("prs").alias("pull_requests_count"),
+        F.sum("merged").alias("merged_pull_requests"),
+        F.count("user_id").alias("unique_contributors"),
+        F.count("known_id").alias("known_contributors"),
+        F.date_format(F.min("first"), iso).alias("first_activity"),
+        F.date_format(F.max("last"), iso).alias("last_activity"),
+        F.min("sample")["title"].alias("sample_pr_title"),
+        F.min("sample")["html_url"].alias("sample_pr_url"),
+        F.sum("reviewed").alias("reviewed_pull_requests"),
         *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in _REVIEWS],
-        F.count("type").alias("task_classified_pull_requests"),
-        F.avg("confidence").alias("task_confidence_mean"),
+        F.sum("typed").alias("task_classified_pull_requests"),
+        (F.sum("confidence") / F.nullif(F.sum("confidences"), F.lit(0))).alias("task_confidence_mean"),
     )
 
 
-def task_counts(prs: DataFrame, tasks: DataFrame) -> DataFrame:
-    """Map of task type to pull requests, sorted by type, for each agent and repository key."""
-    by = prs.join(tasks_by_pr(tasks).filter("type is not null").select(F.col("id").alias("task_id"), "type"), prs["id"] == F.col("task_id"))
-    counts = by.groupBy("agent", "repo_key", "type").agg(F.count(F.lit(1)).alias("n"))
+def _type_maps(cells: DataFrame) -> DataFrame:
+    counts = cells.filter("type is not null").groupBy("agent", "repo_key", "type").agg(F.sum("prs").alias("n"))
     pairs = F.sort_array(F.collect_list(F.struct("type", "n")))  # as many as there are types
     return counts.groupBy("agent", "repo_key").agg(F.map_from_entries(pairs).alias("task_type_counts"))
 
 
+def grouped(prs: DataFrame, reviews: DataFrame, tasks: DataFrame, users: DataFrame) -> DataFrame:
+    """18 roll-ups for each agent and repository key."""
+    return _groups(_cells(prs, reviews, tasks, users))
+
+
+def task_counts(prs: DataFrame, reviews: DataFrame, tasks: DataFrame, users: DataFrame) -> DataFrame:
+    """Map of task type to pull requests, sorted by type, for each agent and repository key."""
+    return _type_maps(_cells(prs, reviews, tasks, users))
+
+
 #: Start of a repository address that is not part of its name.
 ADDRESS = r"^https?://(api\.)?github\.com/(repos/)?"
 
@@ -119,9 +155,10 @@ def catalog(prs: DataFrame, repos: DataFrame, reviews: DataFrame, tasks: DataFra
     r = repos.select(
         F.col("id").alias("r_id"), F.col("url").alias("repo_api_url"), F.col("full_name").alias("r_name"), "language", "license", F.col("stars").alias("r_stars"), F.col("forks").alias("r_forks")
     )
-    g = grouped(prs, reviews, tasks, users)
+    cells = _cells(prs, reviews, tasks, users)  # both roll-ups read one shuffle of them
+    g = _groups(cells)
     name = F.coalesce(F.nullif("r_name", F.lit("")), F.nullif(F.regexp_replace("repo_url", ADDRESS, ""), F.lit("")), F.col("repo_key"))
-    out = g.join(r, F.col("repo_id") == F.col("r_id"), "left").join(task_counts(prs, tasks), ["agent", "repo_key"], "left")
+    out = g.join(r, F.col("repo_id") == F.col("r_id"), "left").join(_type_maps(cells), ["agent", "repo_key"], "left")
     return out.withColumns({"full_name": name, "stars": F.coalesce("r_stars", F.lit(0)).cast("long"), "forks": F.coalesce("r_forks", F.lit(0)).cast("long")}).drop(
         "r_id", "r_name", "r_stars", "r_forks"
     )
@@ -148,12 +185,36 @@ def records(rows: DataFrame, total_users: int, dataset: str) -> DataFrame:
     return out.drop("repo_key")
 
 
-def statistics(prs: DataFrame, rows: DataFrame) -> DataFrame:
-    """One row: pull requests, unresolved ones, groups, linked reviews and tasks."""
+def in_order(rows: DataFrame) -> DataFrame:
+    """Catalog records as they are written: most pull requests first."""
+    return rows.orderBy(F.desc("pull_requests_count"), "agent", "repo_key")
+
+
+def input_counts(**tables: DataFrame) -> DataFrame:
+    """One row: rows of each input table."""
+    out = None
+    for name, df in tables.items():
+        one = df.agg(F.count(F.lit(1)).alias(f"{name}_rows_input"))
+        out = one if out is None else out.join(one)
+    return out
+
+
+def agent_counts(prs: DataFrame) -> DataFrame:
+    """Pull requests of each agent."""
+    return prs.groupBy("agent").agg(F.count(F.lit(1)).alias("pull_requests"))
+
+
+def statistics(prs: DataFrame, rows: DataFrame, repos: DataFrame | None = None, users: DataFrame | None = None) -> DataFrame:
+    """One row: pull requests, unresolved ones, groups, linked reviews and tasks; repositories and users where they are given."""
     read = prs.agg(F.count(F.lit(1)).alias("pull_request_rows_read"), F.count_if(F.col("repo_id").isNull()).alias("unresolved_repository_prs"))
     made = rows.agg(
         F.count(F.lit(1)).alias("records_generated"),
         F.coalesce(F.sum("review_count"), F.lit(0)).alias("review_rows_linked"),
         F.coalesce(F.sum("task_classified_pull_requests"), F.lit(0)).alias("task_rows_linked"),
     )
-    return read.join(made)
+    out = read.join(made)
+    if repos is not None:
+        out = out.join(repos.agg(F.count(F.lit(1)).alias("repository_rows_read")))
+    if users is not None:
+        out = out.join(users.agg(F.count(F.lit(1)).alias("user_rows_read"), F.count_distinct("id").alias("unique_users")))
+    return out

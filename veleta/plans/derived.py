@@ -33,6 +33,36 @@ def leader(act: DataFrame) -> DataFrame:
     )
 
 
+def executive(act: DataFrame) -> DataFrame:
+    """One row by adoption: leader, runner-up, their gap in percent, growth of the last month, and the agent with most adoption an observation."""
+    by = act.groupBy("nombre_agente").agg(F.sum("score_adopcion").cast("double").alias("a_"), F.count(F.lit(1)).alias("n_"))
+    ranked = by.withColumn("rn_", F.row_number().over(W.orderBy(F.desc("a_"), "nombre_agente")))
+    at = lambda c, i: F.max(F.when(F.col("rn_") == i, F.col(c)))
+    first, second = at("a_", 1), at("a_", 2)
+    one = ranked.agg(
+        at("nombre_agente", 1).alias("lider"),
+        at("nombre_agente", 2).alias("segundo"),
+        F.round((first - second) * 100.0 / F.greatest(second, F.lit(1.0)), 2).alias("brecha_pct"),
+        F.max_by("nombre_agente", F.struct((F.col("a_") / F.col("n_")).alias("v"), "nombre_agente")).alias("lider_intensidad"),
+    )
+    months = act.groupBy(F.year("fecha_evento").alias("anio"), F.month("fecha_evento").alias("mes")).agg(F.sum("score_adopcion").cast("double").alias("m_"))
+    last = months.withColumn("p_", F.lag("m_").over(W.orderBy("anio", "mes"))).agg(F.max_by(F.struct("m_", "p_"), F.struct("anio", "mes")).alias("l_"))
+    growth = F.round((F.col("l_.m_") - F.col("l_.p_")) * 100.0 / F.nullif(F.col("l_.p_"), F.lit(0.0)), 2)
+    return one.join(last.select(growth.alias("crecimiento_mensual_pct")))
+
+
+def top_sources(act: DataFrame, most: int = 7, without_type: str | None = None) -> DataFrame:
+    """Sources with the greatest share of the observations, of all or of all but one type."""
+    rows = act if without_type is None else act.filter(F.col("tipo_fuente") != without_type)
+    by = rows.groupBy("nombre_fuente").agg(kpi.rows()).withColumn("participacion", share("total_observaciones"))
+    return by.orderBy(F.desc("total_observaciones"), "nombre_fuente").limit(most)
+
+
+def top_popularity(act: DataFrame, most: int = 10) -> DataFrame:
+    by = act.groupBy("nombre_agente").agg(F.sum("score_popularidad").cast("double").alias("s_"))
+    return by.select("nombre_agente", F.round("s_", 4).alias("popularidad")).orderBy(F.desc("popularidad"), "nombre_agente").limit(most)
+
+
 def valid_scores(points: DataFrame, columns: list[str]) -> DataFrame:
     """Rows whose scores are finite numbers of at least 0, scores as doubles."""
     rows = points
@@ -47,7 +77,7 @@ def valid_scores(points: DataFrame, columns: list[str]) -> DataFrame:
 
 def quadrants(points: DataFrame, label: str = "nombre_agente", x: str = "adopcion", y: str = "popularidad", volume: str = "total_observaciones") -> DataFrame:
     """Quadrant of each point by the medians of both scores, and logarithmic places."""
-    rows = valid_scores(points, [x, y])
+    rows = valid_scores(points.filter(F.col(label).isNotNull() & (F.col(label) != "")), [x, y])
     medians = rows.agg(F.median(x).alias("mx_"), F.median(y).alias("my_"))
     size = F.coalesce(F.expr(f"try_cast(`{volume}` as double)"), F.lit(0.0))
     size = F.when(F.isnan(size) | (F.abs(size) == float("inf")) | (size < 0), 0.0).otherwise(size)
@@ -65,6 +95,12 @@ def quadrants(points: DataFrame, label: str = "nombre_agente", x: str = "adopcio
     )
 
 
+def omitted(points: DataFrame, label: str = "nombre_agente", x: str = "adopcion", y: str = "popularidad") -> DataFrame:
+    """One row: how many points `quadrants` leaves out, nameless ones and those without valid scores."""
+    kept = valid_scores(points.filter(F.col(label).isNotNull() & (F.col(label) != "")), [x, y]).agg(F.count(F.lit(1)).alias("kept_"))
+    return points.agg(F.count(F.lit(1)).alias("all_")).join(kept).select((F.col("all_") - F.col("kept_")).alias("omitidos"))
+
+
 def agent_points(act: DataFrame) -> DataFrame:
     return act.groupBy("nombre_agente").agg(
         F.round(F.sum("score_adopcion").cast("double"), 4).alias("adopcion"),
@@ -85,6 +121,14 @@ def heat_map(act: DataFrame, months: int = 18) -> DataFrame:
     )
 
 
+def heat_map_top(act: DataFrame, months: int = 18, most: int = 20) -> DataFrame:
+    """Adoption by agent and month, of the last months and the agents with most adoption in them."""
+    cells = act.groupBy("nombre_agente", F.year("fecha_evento").alias("anio"), F.month("fecha_evento").alias("mes")).agg(F.sum("score_adopcion").alias("a_"))
+    recent = cells.withColumn("r_", F.dense_rank().over(W.orderBy(F.desc("anio"), F.desc("mes")))).filter(F.col("r_") <= months)
+    agents = recent.groupBy("nombre_agente").agg(F.sum("a_").alias("t_")).orderBy(F.desc("t_"), "nombre_agente").limit(most)
+    return recent.join(agents.select("nombre_agente"), "nombre_agente").select("nombre_agente", "anio", "mes", F.round(F.col("a_").cast("double"), 4).alias("adopcion"))
+
+
 def category_others(act: DataFrame, most: int = 6) -> DataFrame:
     by = act.groupBy("categoria_agente").agg(kpi.rows())
     return top_and_others(by, "categoria_agente", "total_observaciones", most).withColumn("porcentaje", share("total_observaciones"))

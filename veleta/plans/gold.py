@@ -2,19 +2,32 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veleta.operators.keys import newest_by_aggregate
+from veleta.operators.keys import newest_by_aggregate, upsert_fact, with_surrogate_keys
 from veleta.operators.rules import OTHER_AGENT, lookup
 
+# Default members of the dimensions.
 UNKNOWN = "No especificado"
+UNDETERMINED = {
+    "dim_nombre_plataforma": "No determinada",
+    "dim_tipo_plataforma": "No determinado",
+    "dim_ecosistema": "No determinado",
+    "dim_nombre_tecnologia": "No determinada",
+    "dim_categoria_tecnologia": "No determinada",
+    "dim_dominio_tecnologico": "No determinado",
+    "dim_tipo_senal": "Observación digital",
+    "dim_nombre_comunidad": "Comunidad no determinada",
+    "dim_tipo_comunidad": "comunidad no determinada",
+    "dim_region_comunidad": UNKNOWN,
+}
 
 # Spanish names of months and weekdays.
 MONTHS = ("Enero", "Febrero", "Marzo", "Abril", "Mayo", "Junio", "Julio", "Agosto", "Septiembre", "Octubre", "Noviembre", "Diciembre")
-WEEKDAYS = ("Lunes", "Martes", "Miércoles", "Jueves", "Viernes", "Sábado", "Domingo")
+WEEKDAYS = ("Lunes", "Martes", "Miercoles", "Jueves", "Viernes", "Sabado", "Domingo")
 
 
 def time_dimension(rows: DataFrame, date: str) -> DataFrame:
@@ -109,6 +122,130 @@ def lineage(record_id: Column, parts: Sequence[Column]) -> Column:
     return F.when(record_id.isNotNull(), F.concat(F.lit("raw:"), record_id.cast("string"))).otherwise(F.concat(F.lit("legacy:"), F.md5(joined)))
 
 
+def in_profile(source: Column, active: Sequence[str], profile: str = "all") -> Column:
+    """Rows of active sources that a profile loads: all, main (all but the code host) or one source by name."""
+    wanted = F.lit(True) if profile == "all" else F.coalesce(source, F.lit("")) != "github" if profile == "main" else source == profile
+    if profile not in ("all", "main", *active):
+        raise ValueError(f"unknown profile {profile}")
+    return source.isin(*active) & wanted
+
+
+def source_dimension(rows: DataFrame) -> DataFrame:
+    """Sources with their type, which is their category too; nothing tells how reliable they are."""
+    by = rows.filter("fuente is not null").select(default_member(F.col("fuente"), UNKNOWN).alias("nombre_fuente"), default_member(F.col("tipo_fuente"), UNKNOWN).alias("tipo_fuente")).distinct()
+    return by.withColumns({"categoria_fuente": F.col("tipo_fuente"), "confiabilidad_fuente": F.lit(UNKNOWN)})
+
+
+#: Dimension columns of staging, by the dimension's own names; the natural key comes first.
+PLATFORM = {"nombre_plataforma": "dim_nombre_plataforma", "tipo_plataforma": "dim_tipo_plataforma", "ecosistema": "dim_ecosistema"}
+TECHNOLOGY = {
+    "nombre_tecnologia": "dim_nombre_tecnologia", "categoria_tecnologia": "dim_categoria_tecnologia",
+    "dominio_tecnologico": "dim_dominio_tecnologico", "tipo_senal": "dim_tipo_senal",
+}
+COMMUNITY = {
+    "nombre_comunidad": "dim_nombre_comunidad", "tipo_comunidad": "dim_tipo_comunidad",
+    "plataforma_comunidad": "dim_nombre_plataforma", "region": "dim_region_comunidad",
+}
+_VERSION = ("fecha_evento", "raw_file_id", "raw_record_id")
+
+
+def _of_newest(rows: DataFrame, columns: Mapping[str, str], natural: int) -> DataFrame:
+    """Members by their natural key (the first columns), blanks under the default members, attributes of the newest row."""
+    names = list(columns)
+    known = rows.filter(F.col(columns[names[0]]).isNotNull())
+    clean = known.select(*_VERSION, *[default_member(F.col(c), UNDETERMINED[c]).alias(n) for n, c in columns.items()])
+    return latest_attributes(clean, names[:natural], names[natural:], _VERSION)
+
+
+def platform_dimension(rows: DataFrame) -> DataFrame:
+    return _of_newest(rows, PLATFORM, 1)
+
+
+def technology_dimension(rows: DataFrame) -> DataFrame:
+    return _of_newest(rows, TECHNOLOGY, 2)
+
+
+def community_dimension(rows: DataFrame) -> DataFrame:
+    return _of_newest(rows, COMMUNITY, 3)
+
+
+#: Natural key and surrogate key of each dimension.
+DIMENSIONS = {
+    "tiempo": (("fecha",), "id_tiempo"),
+    "agente": (("nombre_agente",), "id_agente"),
+    "fuente": (("nombre_fuente", "tipo_fuente"), "id_fuente"),
+    "plataforma": (("nombre_plataforma",), "id_plataforma"),
+    "tecnologia": (("nombre_tecnologia", "categoria_tecnologia"), "id_tecnologia"),
+    "comunidad": (("nombre_comunidad", "tipo_comunidad", "plataforma_comunidad"), "id_comunidad"),
+}
+#: Columns that a row must have to become a fact.
+REQUIRED = ("id_origen_registro", "fecha_evento", "nombre_agente", "fuente", "tipo_fuente", "plataforma", "categoria", "dim_nombre_plataforma", "dim_nombre_tecnologia", "dim_nombre_comunidad")
+#: A fact is one record of one source about one agent on one platform.
+GRAIN = ("id_agente", "id_fuente", "id_plataforma", "id_origen_registro")
+
+
+def dimensions(rows: DataFrame, old: Mapping[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+    """The six dimensions with stable surrogate keys, from staging rows and the dimensions of the last load."""
+    made = {
+        "tiempo": time_dimension(rows, "fecha_evento"),
+        "agente": agent_dimension(rows, "nombre_agente"),
+        "fuente": source_dimension(rows),
+        "plataforma": platform_dimension(rows),
+        "tecnologia": technology_dimension(rows),
+        "comunidad": community_dimension(rows),
+    }
+    out = {}
+    for name, new in made.items():
+        natural, key = DIMENSIONS[name]
+        empty = new.limit(0).withColumn(key, F.lit(None).cast("long"))
+        out[name] = with_surrogate_keys(new, (old or {}).get(name, empty), list(natural), key)
+    return out
+
+
+def with_keys(rows: DataFrame, dims: Mapping[str, DataFrame]) -> DataFrame:
+    """Staging rows with the surrogate keys of the six dimensions, found by their natural keys; rows without a member are left out."""
+    member = lambda c: default_member(F.col(c), UNDETERMINED[c])
+    natural = {
+        "tiempo": [F.col("fecha_evento")],
+        "agente": [default_member(F.col("nombre_agente"), UNKNOWN)],
+        "fuente": [default_member(F.col("fuente"), UNKNOWN), default_member(F.col("tipo_fuente"), UNKNOWN)],
+        "plataforma": [member("dim_nombre_plataforma")],
+        "tecnologia": [member("dim_nombre_tecnologia"), member("dim_categoria_tecnologia")],
+        "comunidad": [member("dim_nombre_comunidad"), member("dim_tipo_comunidad"), member("dim_nombre_plataforma")],
+    }
+    out = rows
+    for name, columns in natural.items():
+        keys, surrogate = DIMENSIONS[name]
+        dim = dims[name].select(*[F.col(k).alias(f"{name}_{i}_") for i, k in enumerate(keys)], surrogate)
+        on = F.lit(True)
+        for i, c in enumerate(columns):
+            on = on & (c == F.col(f"{name}_{i}_"))
+        out = out.join(dim, on).drop(*[f"{name}_{i}_" for i in range(len(keys))])
+    return out
+
+
+#: Measures and attributes of a fact.
+_FACT = (
+    "cantidad_menciones", "cantidad_interacciones", "score_popularidad", "score_actividad", "score_comunidad", "score_adopcion", "score_innovacion",
+    "valor_numerico_normalizado", "stars_github", "forks_github", "issues_abiertos", "releases", "sentimiento_promedio", "titulo", "url", "is_imputed_date",
+)
+
+
+def facts(rows: DataFrame, dims: Mapping[str, DataFrame], old: DataFrame | None = None) -> DataFrame:
+    """The fact table: eligible staging rows on their surrogate keys, upserted on the grain of the last load."""
+    keyed = with_keys(fact_scores(eligible(rows, REQUIRED)), dims)
+    line = lineage(F.col("raw_record_id"), [F.col(c) for c in ("fuente", "plataforma", "id_origen_registro", "nombre_agente")])
+    new = keyed.select(*[k for _, k in DIMENSIONS.values()], "id_origen_registro", "raw_file_id", "raw_record_id", line.alias("fact_lineage_key"), *_FACT)
+    old = new.limit(0).withColumn("id_hecho", F.lit(None).cast("long")) if old is None else old
+    return upsert_fact(new, old, list(GRAIN), "id_hecho", "fact_lineage_key")
+
+
+def load(rows: DataFrame, old_dims: Mapping[str, DataFrame] | None = None, old_facts: DataFrame | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
+    """One load of the star schema: dimensions first, then facts on their keys."""
+    dims = dimensions(rows, old_dims)
+    return dims, facts(rows, dims, old_facts)
+
+
 def eligible(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
     """Rows that may become facts: none of the columns is null."""
     return rows.dropna(subset=list(columns))

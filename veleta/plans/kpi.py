@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from veleta.operators.measures import change, mean, share
+from veleta.plans.gold import MONTHS
 
 
 def rows():
@@ -129,3 +130,27 @@ def community_rank(act: DataFrame) -> DataFrame:
 def technology_share(act: DataFrame) -> DataFrame:
     by = act.groupBy("nombre_tecnologia", "categoria_tecnologia").agg(rows(), F.count_distinct("nombre_agente").alias("agentes"), mentions())
     return by.withColumn("porcentaje", share("total_observaciones"))
+
+
+def monthly_adoption(act: DataFrame, first_year: int, last_year: int) -> DataFrame:
+    """Adoption of each month, of the month before, and its change."""
+    months = act.filter(F.year("fecha_evento").between(first_year, last_year)).withColumns({"anio": F.year("fecha_evento"), "mes": F.month("fecha_evento")})
+    by = months.groupBy("anio", "mes").agg(
+        rows(), mentions(), interactions(), mean("score_adopcion").alias("promedio_score_adopcion"), F.sum("score_adopcion").alias("s_")
+    )
+    before = F.lag("s_").over(W.orderBy("anio", "mes"))
+    by = by.withColumn("p_", before)
+    number = lambda c: F.round(c.cast("double"), 4)
+    return by.select(
+        "anio",
+        "mes",
+        F.element_at(F.array(*[F.lit(m) for m in MONTHS]), F.col("mes")).alias("nombre_mes"),
+        "total_observaciones",
+        "total_menciones",
+        "total_interacciones",
+        "promedio_score_adopcion",
+        number(F.col("s_")).alias("score_adopcion_total"),
+        number(F.col("p_")).alias("score_adopcion_mes_anterior"),
+        number(F.col("s_") - F.coalesce("p_", F.lit(0))).alias("variacion_absoluta_adopcion"),
+        F.round((F.col("s_") - F.col("p_")).cast("double") * 100.0 / F.nullif(F.col("p_").cast("double"), F.lit(0.0)), 2).alias("variacion_porcentual_adopcion"),
+    )

@@ -8,8 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from veleta.operators.keys import SNAPSHOT_KEY, latest_per_key
+from veleta.operators.keys import SNAPSHOT_KEY, identity, latest_per_key, snapshot_removed
 from veleta.operators.measures import first_per_stratum
+from veleta.operators.rules import OTHER_AGENT
 
 #: Texts that count as not covered.
 BLANKS = ("", "n/a", "na", "none", "unknown", "otro", "sin clasificar")
@@ -138,7 +139,7 @@ def critical_nulls(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
 
 def dedup_report(frame: DataFrame, source: str, keys: Sequence[str] = SNAPSHOT_KEY) -> DataFrame:
     """By source: rows of groups with several rows, rows to be removed, rows kept."""
-    groups = frame.groupBy(F.col(source).alias("source"), *[F.col(k).alias(f"k_{i}") for i, k in enumerate(keys)]).agg(F.count(F.lit(1)).alias("n"))
+    groups = frame.groupBy(F.col(source).alias("source"), *identity(frame, keys)).agg(F.count(F.lit(1)).alias("n"))
     return groups.groupBy("source").agg(
         F.sum(F.when(F.col("n") > 1, F.col("n")).otherwise(0)).alias("detectados"),
         F.sum(F.col("n") - 1).alias("eliminados"),
@@ -166,6 +167,56 @@ def issues(frame: DataFrame, metrics: Mapping[str, Column]) -> DataFrame:
     return wide.unpivot([], list(metrics), "metrica", "valor")
 
 
+def unmapped(frame: DataFrame, agent: str = "nombre_agente") -> DataFrame:
+    """One row: rows whose agent no alias knows."""
+    return frame.agg(F.count_if(F.col(agent) == OTHER_AGENT).alias("sin_homologar"))
+
+
+def run_of(rows: DataFrame, files: DataFrame, run_id: str | None, own: str | None = None) -> DataFrame:
+    """Rows of a run: by their own run where they have one, else by that of their file; all rows without a run to look for."""
+    if run_id is None:
+        return rows
+    f = files.select(F.col("id").alias("file_"), F.col("run_id").alias("file_run_"))
+    run = F.col("file_run_") if own is None else F.coalesce(own, "file_run_")
+    return rows.join(f, rows["raw_file_id"] == F.col("file_"), "left").filter(run == run_id).drop("file_", "file_run_")
+
+
+def overall_metrics(records: DataFrame, files: DataFrame, candidates: DataFrame, staging: DataFrame, critical: Sequence[str], run_id: str | None = None, keys: Sequence[str] = SNAPSHOT_KEY) -> DataFrame:
+    """One row for a run (or all): its raw, eligible, duplicate and staged rows reconciled, and critical nulls."""
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name))
+    eligible = run_of(candidates, files, run_id).filter(F.col("nombre_agente") != OTHER_AGENT)
+    staged = run_of(staging, files, run_id)
+    one = (
+        count(run_of(records, files, run_id, "run_id"), "raw")
+        .join(count(eligible, "eligible"))
+        .join(snapshot_removed(eligible, keys).withColumnRenamed("eliminados", "duplicates"))
+        .join(count(staged, "materialized"))
+        .join(critical_nulls(staged, critical).withColumnRenamed("filas_con_nulo_critico", "total_nulls_removed"))
+    )
+    return reconcile(one)
+
+
+def issue_breakdown(records: DataFrame, candidates: DataFrame, staging: DataFrame, errors: DataFrame, critical: Sequence[str], numeric: Mapping[str, str], keys: Sequence[str] = SNAPSHOT_KEY) -> DataFrame:
+    """Eight counts over all runs: what came in, what stayed, and what accounts for the difference."""
+    http = F.col("error_type").ilike("%HTTP%") | F.col("description").ilike("%429%") | F.col("description").ilike("%403%")
+    failed = casts(candidates, "fuente", numeric).agg(F.coalesce(F.sum("fallos"), F.lit(0)).alias("casting_or_transformation_errors"))
+    one = (
+        records.agg(F.count(F.lit(1)).alias("raw_records"))
+        .join(staging.agg(F.count(F.lit(1)).alias("staging_records")))
+        .join(snapshot_removed(candidates, keys).withColumnRenamed("eliminados", "real_duplicate_records_removed"))
+        .join(errors.agg(F.count_if(F.coalesce(http, F.lit(False))).alias("http_errors_logged")))
+        .join(unmapped(staging).withColumnRenamed("sin_homologar", "unmapped_agent_records"))
+        .join(critical_nulls(staging, critical).withColumnRenamed("filas_con_nulo_critico", "critical_null_records"))
+        .join(failed)
+    )
+    zero = F.lit(0).cast("long")
+    lost = F.greatest(F.col("raw_records") - F.col("staging_records"), zero)
+    rest = F.greatest(lost - F.col("real_duplicate_records_removed") - F.col("critical_null_records"), zero)
+    one = one.withColumn("key_conflicts_or_preexisting_records", rest)
+    names = ["raw_records", "staging_records", "real_duplicate_records_removed", "key_conflicts_or_preexisting_records", "http_errors_logged", "unmapped_agent_records", "critical_null_records", "casting_or_transformation_errors"]
+    return one.select(*[F.col(n).cast("long").alias(n) for n in names]).unpivot([], names, "metric_name", "metric_value")
+
+
 def contract(frame: DataFrame) -> list[tuple[int, str, str, bool]]:
     """Position, name, type and nullability of each column."""
     return [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(frame.schema.fields, 1)]

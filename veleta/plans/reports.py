@@ -25,6 +25,7 @@ class Filters:
     platform: str | None = None
     technology: str | None = None
     exclude: tuple[str, ...] = ()  # unidentified agents
+    without_type: str | None = None  # a type of source that is left out
     scope: tuple[str, ...] = ()  # active sources; holds whatever the user asks for
 
     def condition(self) -> Column:
@@ -40,6 +41,8 @@ class Filters:
                 found = found & (F.col(column) == value)
         if self.source:
             found = found & (F.lower("nombre_fuente") == self.source.lower())
+        if self.without_type:
+            found = found & (F.col("tipo_fuente") != self.without_type)
         if self.exclude:
             found = found & ~F.col("nombre_agente").isin(*self.exclude)
         if self.scope:

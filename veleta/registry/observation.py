@@ -5,13 +5,17 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from veleta import contracts
 from veleta.functions import cleaning
 from veleta.operators import rules, staging
 from veleta.operators.measures import first_per_stratum
+from veleta.plans import gold
 from veleta.plans.activity import SQL as ACT
 from veleta.plans.activity import activity, read
 from veleta.plans.reports import prefer_annual
-from veleta.sources import mappers
+from veleta.scratch import shared_folder
+from veleta.sources import mappers, raw
+from veleta.streaming import incremental
 
 QUERIES, ORACLES = {}, {}
 
@@ -116,6 +120,7 @@ _add(
 # Vocabularies of words that occur in the given documents.
 _RULES = (("Licencia", "legal", r"\blicensed?\b"), ("Secreto", "seguridad", r"\btoken\b"), ("Correo", "contacto", "@"), ("Comun", "otro", r" (the|der|les) "))
 _RULE_SQL = "CASE WHEN regexp_matches({0}, '(?i)\\blicensed?\\b') THEN 'Licencia' WHEN regexp_matches({0}, '(?i)\\btoken\\b') THEN 'Secreto' WHEN regexp_matches({0}, '(?i)@') THEN 'Correo' WHEN regexp_matches({0}, '(?i) (the|der|les) ') THEN 'Comun' END"
+_SOURCE_RULES = (("Fuente uno", "origen", "^SRC1.*"), ("Fuente siete", "origen", "7$"))
 _ALIASES = (("licensed under", "Licencia"), ("token", "Secreto"), ("version", "Version"))
 
 
@@ -131,14 +136,14 @@ _add(
 
 
 def _two_pass(spark, sf_dir) -> DataFrame:
-    first = rules.first_match(F.substring("text", 1, 60), _RULES, ("nombre", "tipo"), "metadata_estructurada")
+    first = rules.first_match(F.col("source"), _SOURCE_RULES, ("nombre", "tipo"), "metadata_estructurada")
     second = rules.first_match(F.col("text"), _RULES, ("nombre", "tipo"), "regla_contextual")
     third = rules.lookup(F.col("lang"), {"es": ("Espanol", "idioma")}, ("nombre", "tipo"), "regla_agente")
     rest = F.struct(F.lit("No determinada").alias("nombre"), F.lit("ninguno").alias("tipo"), F.lit("sin_evidencia").alias("method"))
     return _docs(spark, sf_dir).select("doc_id", F.coalesce(first, second, third, rest).alias("r")).select("doc_id", "r.nombre", "r.method")
 
 
-_TWO_SQL = f"""t AS (SELECT doc_id, lang, {_RULE_SQL.format('substr(text, 1, 60)')} AS a, {_RULE_SQL.format('text')} AS b FROM documents),
+_TWO_SQL = f"""t AS (SELECT doc_id, lang, CASE WHEN regexp_matches(source, '(?i)^SRC1.*') THEN 'Fuente uno' WHEN regexp_matches(source, '(?i)7$') THEN 'Fuente siete' END AS a, {_RULE_SQL.format('text')} AS b FROM documents),
 m AS (SELECT doc_id, coalesce(a, b, CASE WHEN lang = 'es' THEN 'Espanol' END, 'No determinada') AS nombre, CASE WHEN a IS NOT NULL THEN 'metadata_estructurada' WHEN b IS NOT NULL THEN 'regla_contextual' WHEN lang = 'es' THEN 'regla_agente' ELSE 'sin_evidencia' END AS method FROM t)"""
 _add("rule_two_pass", _two_pass, f"WITH {_TWO_SQL} SELECT * FROM m")
 _add("rule_method_share", lambda spark, sf_dir: rules.method_shares(_two_pass(spark, sf_dir), "method"), f"WITH {_TWO_SQL} SELECT method, count(*)::BIGINT AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 2)::DOUBLE AS pct FROM m GROUP BY 1")
@@ -183,7 +188,7 @@ _add("pilot_sample", lambda spark, sf_dir: first_per_stratum(_docs(spark, sf_dir
 
 _add(
     "union_counts",
-    lambda spark, sf_dir: activity(spark, sf_dir).agg(F.count(F.lit(1)).alias("filas"), F.count_distinct("nombre_agente").alias("agentes"), F.count_distinct("nombre_comunidad").alias("comunidades")).unpivot([], ["filas", "agentes", "comunidades"], "medida", "n"),
+    lambda spark, sf_dir: activity(spark, sf_dir, ["nombre_agente", "nombre_comunidad"]).agg(F.count(F.lit(1)).alias("filas"), F.count_distinct("nombre_agente").alias("agentes"), F.count_distinct("nombre_comunidad").alias("comunidades")).unpivot([], ["filas", "agentes", "comunidades"], "medida", "n"),
     f"WITH {ACT} SELECT 'filas' AS medida, count(*)::BIGINT AS n FROM act UNION ALL SELECT 'agentes', count(DISTINCT nombre_agente) FROM act UNION ALL SELECT 'comunidades', count(DISTINCT nombre_comunidad) FROM act",
 )
 _add(
@@ -209,8 +214,8 @@ _add(
 )
 _add(
     "eligible_rows",
-    lambda spark, sf_dir: read(spark, sf_dir, "orders").select("o_orderkey", F.nullif("o_orderstatus", F.lit("P")).alias("s"), F.nullif(F.col("o_custkey") % 9, F.lit(0)).alias("c")).dropna(subset=["s", "c"]).select("o_orderkey"),
-    "SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P' AND o_custkey % 9 <> 0",
+    lambda spark, sf_dir: read(spark, sf_dir, "orders").transform(lambda d: gold.eligible(d.withColumns({"s": F.nullif("o_orderstatus", F.lit("P")), "c": F.nullif("o_orderpriority", F.lit("5-LOW"))}), ["s", "c"])).select("o_orderkey"),
+    "SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P' AND o_orderpriority <> '5-LOW'",
 )
 
 
@@ -221,3 +226,97 @@ def _annual(spark, sf_dir) -> DataFrame:
 
 
 _add("annual_preference", _annual, "SELECT CASE WHEN o_orderkey % 3 > 0 THEN 'catalogo' ELSE 'github' END AS fuente, count(*)::BIGINT AS n FROM orders WHERE o_orderkey % 3 = 0 OR o_orderkey % 2 = 0 GROUP BY 1")
+
+
+# Landing and staging: events as JSON files of a source each, landed once, read back, mapped and staged.
+
+
+def _json_files(spark, sf_dir) -> str:
+    """A folder of JSON lists, at most 5,000 events each, in a sub-folder for each event type."""
+    item = F.struct("event_id", "user_id", "event_type", "value")
+    lists = _events(spark, sf_dir).groupBy(F.col("event_type").alias("fuente"), F.floor(F.col("event_id") / 5000).alias("part")).agg(F.to_json(F.sort_array(F.collect_list(item))).alias("value"))
+    root = shared_folder(spark, "landing")
+    lists.select("fuente", "value").write.option("maxRecordsPerFile", 1).partitionBy("fuente").text(root)
+    return root
+
+
+def _landed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
+    files = raw.scan_files(spark, _json_files(spark, sf_dir), "*.txt")
+    none = spark.createDataFrame([], contracts.RAW_FILES)
+    fresh = raw.new_files(files, none)
+    return raw.land(fresh, raw.json_records(fresh), none, "run-1")
+
+
+_add(
+    "land_files",
+    lambda spark, sf_dir: _landed(spark, sf_dir)[0].select(F.substring_index("fuente", "=", -1).alias("fuente"), "registros", "columnas", F.length("hash_sha256").alias("digitos")),
+    "SELECT event_type AS fuente, count(*)::BIGINT AS registros, 4 AS columnas, 64 AS digitos FROM events GROUP BY event_type, event_id // 5000",
+)
+_add(
+    "land_records",
+    lambda spark, sf_dir: _landed(spark, sf_dir)[1].select(F.get_json_object("raw_data", "$.event_id").cast("long").alias("event_id"), F.get_json_object("raw_data", "$.event_type").alias("event_type")),
+    "SELECT event_id, event_type FROM events",
+)
+_add(
+    "land_inventory",
+    lambda spark, sf_dir: (lambda files, records: raw.inventory(files, records).groupBy("registros", "cargados", "diferencia").agg(F.count(F.lit(1)).alias("n")))(*_landed(spark, sf_dir)),
+    "WITH f AS (SELECT count(*)::BIGINT AS c FROM events GROUP BY event_type, event_id // 5000) SELECT c AS registros, c AS cargados, 0::BIGINT AS diferencia, count(*)::BIGINT AS n FROM f GROUP BY 1",
+)
+
+
+def _raw_events(spark, sf_dir) -> DataFrame:
+    """Raw records of a forum, as JSON: a title that names an agent, a time, points; every event twice, as two snapshots."""
+    title = F.when(F.col("event_type") == "click", "codex tool").when(F.col("event_type") == "view", "a cursor kit").otherwise("noise")
+    item = F.to_json(F.struct(F.col("event_id").cast("string").alias("id"), title.alias("title"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss'Z'").alias("created_at"), (F.col("user_id") % 100 + F.col("shot")).alias("points")))
+    e = _events(spark, sf_dir).withColumn("shot", F.explode(F.array(F.lit(0), F.lit(1))))
+    return e.select((F.col("event_id") * 2 + F.col("shot")).alias("raw_record_id"), F.col("shot").cast("long").alias("raw_file_id"), item.alias("raw_data"), F.lit("hackernews").alias("fuente"), F.lit("comunidad").alias("tipo_fuente"), F.lit("2024-03-01").cast("timestamp").alias("fecha_carga_raw"))
+
+
+_FORUM = {"hackernews": "id string, title string, created_at string, points long"}
+_add(
+    "staged_records",
+    lambda spark, sf_dir: staging.staged(_raw_events(spark, sf_dir), _FORUM).select("id_origen_registro", "nombre_agente", "fecha_evento", "cantidad_interacciones", "raw_file_id", "categoria", "dim_nombre_comunidad"),
+    "SELECT event_id::VARCHAR AS id_origen_registro, CASE event_type WHEN 'click' THEN 'Codex' ELSE 'Cursor Agent' END AS nombre_agente, ts::DATE AS fecha_evento, user_id % 100 + 1 AS cantidad_interacciones, 1::BIGINT AS raw_file_id, 'comunidad' AS categoria, 'Hacker News' AS dim_nombre_comunidad FROM events WHERE event_type IN ('click', 'view')",
+)
+_add(
+    "replayed_candidates",
+    lambda spark, sf_dir: staging.replayed(_raw_events(spark, sf_dir), _FORUM).groupBy("nombre_agente", "raw_file_id").agg(F.count(F.lit(1)).alias("n")),
+    "SELECT CASE event_type WHEN 'click' THEN 'Codex' WHEN 'view' THEN 'Cursor Agent' ELSE 'Otro Agente IA' END AS nombre_agente, unnest([0, 1])::BIGINT AS raw_file_id, count(*)::BIGINT AS n FROM events GROUP BY 1, 2",
+)
+_add(
+    "enrichment_rows",
+    lambda spark, sf_dir: staging.for_enrichment(_docs(spark, sf_dir).select("doc_id", F.when(F.col("lang") == "en", "reddit").when(F.col("lang") == "fr", "devto").otherwise("github").alias("fuente"), F.when(F.col("n_chars") > 500, F.col("text")).alias("texto"))).select("doc_id"),
+    "SELECT doc_id FROM documents WHERE lang IN ('en', 'fr') AND n_chars > 500 AND trim(text) <> ''",
+)
+
+
+def _stream_path(sf_dir: str) -> str:
+    """A pattern, for a stream takes a plain path as a folder; the table may be one file."""
+    return f"{sf_dir}/event[s].parquet"
+
+
+def _streamed(spark, sf_dir) -> DataFrame:
+    """Events as a stream, merged into a table of the newest event of each user and type."""
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double"
+    table = incremental.VersionedTable(spark, shared_folder(spark, "stream"), schema, ["event_type", "user_id"])
+    stream = spark.readStream.schema(schema).parquet(_stream_path(sf_dir))
+    incremental.upsert_stream(stream, table, ["ts", "event_id"], shared_folder(spark, "stream-checkpoint")).awaitTermination()
+    return table.current().select("event_type", "user_id", "event_id")
+
+
+_add("stream_upsert", _streamed, "SELECT event_type, user_id, event_id FROM events QUALIFY row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC, event_id DESC) = 1")
+
+
+def _stream_freshness(spark, sf_dir) -> DataFrame:
+    schema = "event_id long, ts timestamp, user_id long, event_type string, value double"
+    e = spark.readStream.schema(schema).parquet(_stream_path(sf_dir))
+    status = F.when(F.col("event_type") == "error", "failed").when(F.col("event_type") == "view", "empty").otherwise("success")
+    outcomes = e.select(F.col("user_id").cast("string").alias("source"), status.alias("status"), F.floor("value").cast("long").alias("records_extracted"), F.col("ts").alias("execution_timestamp"))
+    out = shared_folder(spark, "stream-freshness")
+    write = lambda batch, n: batch.write.mode("overwrite").parquet(f"{out}/{n}")
+    q = incremental.freshness_stream(outcomes).writeStream.outputMode("complete").foreachBatch(write).option("checkpointLocation", shared_folder(spark, "stream-checkpoint")).trigger(availableNow=True).start()
+    q.awaitTermination()
+    return spark.read.parquet(f"{out}/{q.lastProgress['batchId']}").select("source", "last_attempt_at", "last_success_at", "records_extracted")
+
+
+_add("stream_freshness", _stream_freshness, """SELECT user_id::VARCHAR AS source, max(ts) AS last_attempt_at, max(ts) FILTER (event_type <> 'error') AS last_success_at, sum(floor(value))::BIGINT AS records_extracted FROM events GROUP BY 1""")

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veleta.operators.measures import share
+from veleta.operators.rules import OTHER_AGENT
 from veleta.plans import governance
 from veleta.plans import quality as q
 from veleta.plans.activity import SQL as ACT
@@ -110,7 +111,7 @@ _add(
 
 _add(
     "q_comparable",
-    lambda spark, sf_dir: q.comparable(activity(spark, sf_dir), "nombre_fuente", "nombre_agente", ["cantidad_menciones", "cantidad_interacciones"]).withColumn("raw_value", F.round("raw_value", 6)),
+    lambda spark, sf_dir: q.comparable(activity(spark, sf_dir, ["nombre_fuente", "nombre_agente", "cantidad_menciones", "cantidad_interacciones"]), "nombre_fuente", "nombre_agente", ["cantidad_menciones", "cantidad_interacciones"]).withColumn("raw_value", F.round("raw_value", 6)),
     f"""WITH {ACT}, g AS (SELECT nombre_fuente AS source, nombre_agente AS agent, avg(cantidad_menciones) AS m, avg(cantidad_interacciones) AS i FROM act GROUP BY 1, 2),
 u AS (SELECT source, agent, 'cantidad_menciones' AS metric_name, m AS v FROM g UNION ALL SELECT source, agent, 'cantidad_interacciones', i FROM g)
 SELECT source, agent, metric_name, round(v, 6) AS raw_value, round_even(CASE WHEN max(v) OVER w = min(v) OVER w THEN 0.0 ELSE (v - min(v) OVER w) / (max(v) OVER w - min(v) OVER w) END, 6) AS normalized_value
@@ -148,19 +149,19 @@ _add(
 )
 _add(
     "cast_report",
-    lambda spark, sf_dir: q.casts(read(spark, sf_dir, "documents").select("source", F.substring("text", 1, 4).alias("inicio"), F.col("n_chars").cast("string").alias("largo")), "source", {"inicio": "double", "largo": "bigint"}),
-    "WITH u AS (SELECT source, 'inicio' AS columna, substr(text, 1, 4) AS v, try_cast(trim(substr(text, 1, 4)) AS DOUBLE) IS NULL AS bad FROM documents UNION ALL SELECT source, 'largo', n_chars::VARCHAR, false FROM documents) SELECT source, columna, (count(*) FILTER (bad AND v IS NOT NULL))::BIGINT AS fallos, min(v) FILTER (bad) AS ejemplo FROM u GROUP BY 1, 2",
+    lambda spark, sf_dir: q.casts(read(spark, sf_dir, "documents").select("source", F.col("text").alias("texto"), F.col("n_chars").cast("string").alias("largo")), "source", {"texto": "double", "largo": "bigint"}),
+    "WITH u AS (SELECT source, 'texto' AS columna, text AS v, try_cast(trim(text) AS DOUBLE) IS NULL AS bad FROM documents UNION ALL SELECT source, 'largo', n_chars::VARCHAR, false FROM documents) SELECT source, columna, (count(*) FILTER (bad AND v IS NOT NULL))::BIGINT AS fallos, min(v) FILTER (bad) AS ejemplo FROM u GROUP BY 1, 2",
 )
 _add("q_run_status", lambda spark, sf_dir: q.run_status(_outcomes(spark, sf_dir)), f"SELECT CASE WHEN bool_or(s = 'failed') AND (bool_or(s = 'success') OR sum(n) > 0) THEN 'partial_success' WHEN bool_or(s = 'failed') THEN 'failed' WHEN bool_or(s = 'success') THEN 'success' ELSE 'empty' END AS status FROM (SELECT {_STATUS} AS s, floor(value) AS n FROM events)")
 _add(
     "audit_staging_summary",
-    lambda spark, sf_dir: q.staging_summary(activity(spark, sf_dir), "fecha_evento", "nombre_fuente", "nombre_agente", "1995-01-01", "2001-12-31"),
+    lambda spark, sf_dir: q.staging_summary(activity(spark, sf_dir, ["fecha_evento", "nombre_fuente", "nombre_agente"]), "fecha_evento", "nombre_fuente", "nombre_agente", "1995-01-01", "2001-12-31"),
     f"WITH {ACT} SELECT count(*)::BIGINT AS total, count(DISTINCT nombre_fuente)::BIGINT AS fuentes, count(DISTINCT nombre_agente)::BIGINT AS agentes, min(fecha_evento) AS desde, max(fecha_evento) AS hasta, (max(fecha_evento) - min(fecha_evento))::INTEGER AS dias, CASE WHEN min(fecha_evento) >= DATE '1995-01-01' AND max(fecha_evento) <= DATE '2001-12-31' THEN 'VALIDO' ELSE 'FUERA DE RANGO' END AS periodo FROM act",
 )
 for _name, _column in (("source", "nombre_fuente"), ("agent", "nombre_agente"), ("technology", "nombre_tecnologia")):
     _add(
         f"audit_distribution_{_name}",
-        lambda spark, sf_dir, c=_column: q.distribution(activity(spark, sf_dir), c),
+        lambda spark, sf_dir, c=_column: q.distribution(activity(spark, sf_dir, [c]), c),
         f"WITH {ACT} SELECT {_column} AS valor, count(*)::BIGINT AS n, round(count(*) * 100.0 / sum(count(*)) OVER (), 2)::DOUBLE AS porcentaje FROM act GROUP BY 1",
     )
 _add(
@@ -173,13 +174,13 @@ _add(
     lambda spark, sf_dir: q.gold_checks(
         read(spark, sf_dir, "lineitem"),
         read(spark, sf_dir, "lineitem"),
-        {"orders": (read(spark, sf_dir, "orders").filter("o_orderkey % 10 > 0").withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey"), "part": (read(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey"), "l_partkey")},
+        {"orders": (read(spark, sf_dir, "orders").filter("o_orderstatus <> 'P'").withColumnRenamed("o_orderkey", "l_orderkey"), "l_orderkey"), "part": (read(spark, sf_dir, "part").withColumnRenamed("p_partkey", "l_partkey"), "l_partkey")},
         ["l_orderkey", "l_linenumber"],
         ["l_quantity", "l_discount"],
         "l_shipdate",
     ),
     """WITH v AS (SELECT 'fact_rows' AS check_name, count(*)::BIGINT AS value FROM lineitem UNION ALL SELECT 'staging_rows', count(*) FROM lineitem UNION ALL SELECT 'null_dates', count(*) FROM lineitem WHERE l_shipdate IS NULL
-UNION ALL SELECT 'negative_measures', count(*) FROM lineitem WHERE l_quantity < 0 OR l_discount < 0 UNION ALL SELECT 'orphans_orders', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 10 > 0)
+UNION ALL SELECT 'negative_measures', count(*) FROM lineitem WHERE l_quantity < 0 OR l_discount < 0 UNION ALL SELECT 'orphans_orders', count(*) FROM lineitem WHERE l_orderkey NOT IN (SELECT o_orderkey FROM orders WHERE o_orderstatus <> 'P')
 UNION ALL SELECT 'orphans_part', count(*) FROM lineitem WHERE l_partkey NOT IN (SELECT p_partkey FROM part) UNION ALL SELECT 'duplicate_grains', count(*) FROM (SELECT 1 FROM lineitem GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1))
 SELECT check_name, value, check_name IN ('fact_rows', 'staging_rows') OR value = 0 AS ok FROM v""",
 )
@@ -238,21 +239,69 @@ c AS (SELECT n.run_id, coalesce(s.r, n.r)::BIGINT AS total_raw, coalesce(s.d, n.
 _add(
     "gov_homologation",
     lambda spark, sf_dir: governance.homologation(
-        read(spark, sf_dir, "part").filter("p_partkey % 2 = 0").select("p_brand", F.lit("antes").alias("origen")).distinct(),
-        read(spark, sf_dir, "part").filter("p_partkey % 7 > 2").select("p_brand", F.lit("ahora").alias("origen")),
-        ["p_brand"],
+        read(spark, sf_dir, "part").filter("p_size < 25").select("p_name", F.lit("antes").alias("origen")).distinct(),
+        read(spark, sf_dir, "part").select("p_name", F.lit("ahora").alias("origen")),
+        ["p_name"],
     ),
-    "SELECT p_brand, CASE WHEN bool_or(p_partkey % 2 = 0) THEN 'antes' ELSE 'ahora' END AS origen FROM part WHERE p_partkey % 2 = 0 OR p_partkey % 7 > 2 GROUP BY 1",
+    "SELECT p_name, CASE WHEN bool_or(p_size < 25) THEN 'antes' ELSE 'ahora' END AS origen FROM part GROUP BY 1",
 )
 _add(
     "gov_dependent_runs",
-    lambda spark, sf_dir: governance.dependent_runs(_runs(spark, sf_dir).filter("event_id % 50 = 0"), _runs(spark, sf_dir).filter("event_id % 20 = 0").select("run_id", (F.col("run_id") % 40).alias("data_run_id")), "click"),
-    "WITH d AS (SELECT DISTINCT user_id AS run_id FROM events WHERE event_id % 50 = 0 AND event_type = 'click') SELECT run_id FROM d UNION SELECT user_id FROM events WHERE event_id % 20 = 0 AND user_id % 40 IN (SELECT run_id FROM d)",
+    lambda spark, sf_dir: governance.dependent_runs(_runs(spark, sf_dir).filter("records_extracted > 60"), _runs(spark, sf_dir).filter("fuente = 'signup'").select("run_id", F.col("records_extracted").alias("data_run_id")), "click"),
+    "WITH d AS (SELECT DISTINCT user_id AS run_id FROM events WHERE floor(value) > 60 AND event_type = 'click') SELECT run_id FROM d UNION SELECT user_id FROM events WHERE event_type = 'signup' AND floor(value)::BIGINT IN (SELECT run_id FROM d)",
 )
 _add(
     "gov_after_retirement",
     lambda spark, sf_dir: governance.after_retirement(
-        _runs(spark, sf_dir).groupBy("run_id").agg(F.count(F.lit(1)).alias("total")), _runs(spark, sf_dir).filter("fuente = 'click' and event_id % 50 = 0").select("run_id").distinct(), ["total"]
+        _runs(spark, sf_dir).groupBy("run_id").agg(F.count(F.lit(1)).alias("total")), _runs(spark, sf_dir).filter("fuente = 'click' and records_extracted > 60").select("run_id").distinct(), ["total"]
     ),
-    "SELECT user_id AS run_id, CASE WHEN bool_or(event_type = 'click' AND event_id % 50 = 0) THEN NULL ELSE count(*)::BIGINT END AS total FROM events GROUP BY 1",
+    "SELECT user_id AS run_id, CASE WHEN bool_or(event_type = 'click' AND floor(value) > 60) THEN NULL ELSE count(*)::BIGINT END AS total FROM events GROUP BY 1",
 )
+
+
+# Events as raw records of runs (the users), their types as agents; later versions of a user's events are duplicates.
+
+def _audit(spark, sf_dir) -> tuple[DataFrame, ...]:
+    """Files (one a day), records, candidates, staged rows and errors."""
+    e = read(spark, sf_dir, "events").withColumn("raw_file_id", F.dayofyear("ts").cast("long"))
+    files = e.groupBy(F.col("raw_file_id").alias("id")).agg(F.when(F.col("raw_file_id") <= 10, "r1").otherwise("r2").alias("run_id"))
+    records = e.select(F.col("event_id").alias("id"), "raw_file_id", F.when(F.col("event_type") == "signup", "r1").alias("run_id"))
+    agent = F.when(F.col("event_type") == "view", OTHER_AGENT).otherwise(F.col("event_type"))
+    candidates = e.select("raw_file_id", F.col("event_type").alias("fuente"), agent.alias("nombre_agente"), "user_id", "event_id", F.when(F.col("value") > 20, F.col("value")).alias("valor"), F.col("props").alias("texto"))
+    staged = candidates.filter("texto not like '%5}'")
+    errors = e.select(F.when(F.col("event_type") == "error", "HTTPError").otherwise("other").alias("error_type"), F.concat(F.lit("status 4"), F.floor("value")).alias("description"))
+    return files, records, candidates, staged, errors
+
+
+def _overall(spark, sf_dir) -> DataFrame:
+    files, records, candidates, staged, _ = _audit(spark, sf_dir)
+    return q.overall_metrics(records, files, candidates, staged, ["valor"], "r1", ["nombre_agente", "user_id"])
+
+
+_add(
+    "q_overall_metrics",
+    _overall,
+    """WITH e AS (SELECT *, CASE WHEN dayofyear(ts) <= 10 THEN 'r1' ELSE 'r2' END AS file_run FROM events), el AS (SELECT * FROM e WHERE file_run = 'r1' AND event_type <> 'view'), st AS (SELECT * FROM e WHERE file_run = 'r1' AND props NOT LIKE '%5}'),
+c AS (SELECT (SELECT count(*) FROM e WHERE event_type = 'signup' OR file_run = 'r1')::BIGINT AS raw, (SELECT count(*) FROM el)::BIGINT AS el, (SELECT coalesce(sum(n - 1), 0) FROM (SELECT count(*) AS n FROM el GROUP BY event_type, user_id))::BIGINT AS dup, (SELECT count(*) FROM st)::BIGINT AS done, (SELECT count(*) FROM st WHERE value <= 20 OR value IS NULL)::BIGINT AS nulls),
+d AS (SELECT *, el - dup AS ex, greatest(el - dup - done, 0) AS er FROM c)
+SELECT nulls AS total_nulls_removed, raw AS total_raw_records, el AS eligible_records, dup AS total_duplicates_removed, ex AS expected_staging_records, done AS total_staging_records, er AS load_error_records,
+  CASE WHEN ex = 0 THEN CASE WHEN raw > 0 THEN 100.0 ELSE 0.0 END ELSE least(round_even(done * 100.0 / ex, 2), 100.0) END::DOUBLE AS completion_rate, CASE WHEN ex = 0 THEN 0.0 ELSE round_even(er * 100.0 / ex, 2) END::DOUBLE AS overall_error_rate,
+  CASE WHEN el = 0 THEN 0.0 ELSE round_even(dup * 100.0 / el, 2) END::DOUBLE AS deduplication_rate FROM d""",
+)
+
+
+def _breakdown(spark, sf_dir) -> DataFrame:
+    _, records, candidates, staged, errors = _audit(spark, sf_dir)
+    return q.issue_breakdown(records, candidates, staged, errors, ["valor"], {"texto": "double"}, ["nombre_agente", "user_id"])
+
+
+_add(
+    "q_issue_breakdown",
+    _breakdown,
+    """WITH st AS (SELECT * FROM events WHERE props NOT LIKE '%5}'), c AS (SELECT (SELECT count(*) FROM events)::BIGINT AS a, (SELECT count(*) FROM st)::BIGINT AS b, (SELECT sum(n - 1) FROM (SELECT count(*) AS n FROM events GROUP BY event_type, user_id))::BIGINT AS d,
+  (SELECT count(*) FROM events WHERE event_type = 'error' OR ('4' || floor(value)::BIGINT) LIKE '%429%' OR ('4' || floor(value)::BIGINT) LIKE '%403%')::BIGINT AS h,
+  (SELECT count(*) FROM st WHERE event_type = 'view')::BIGINT AS u, (SELECT count(*) FROM st WHERE value <= 20 OR value IS NULL)::BIGINT AS n, (SELECT count(*) FROM events WHERE props IS NOT NULL AND try_cast(props AS DOUBLE) IS NULL)::BIGINT AS f)
+SELECT 'raw_records' AS metric_name, a AS metric_value FROM c UNION ALL SELECT 'staging_records', b FROM c UNION ALL SELECT 'real_duplicate_records_removed', d FROM c UNION ALL SELECT 'key_conflicts_or_preexisting_records', greatest(greatest(a - b, 0) - d - n, 0) FROM c
+UNION ALL SELECT 'http_errors_logged', h FROM c UNION ALL SELECT 'unmapped_agent_records', u FROM c UNION ALL SELECT 'critical_null_records', n FROM c UNION ALL SELECT 'casting_or_transformation_errors', f FROM c""",
+)
+_add("q_unmapped", lambda spark, sf_dir: q.unmapped(_audit(spark, sf_dir)[3]), "SELECT (count(*) FILTER (event_type = 'view'))::BIGINT AS sin_homologar FROM events WHERE props NOT LIKE '%5}'")

@@ -104,3 +104,11 @@ def parsed(records: DataFrame, schema: str) -> DataFrame:
     """Fields of one source's JSON records, beside the lineage columns."""
     kept = [c for c in records.columns if c != "raw_data"]
     return records.select(*kept, F.from_json("raw_data", schema, {"mode": "PERMISSIVE"}).alias("r_")).select(*[c for c in kept if c != "fuente"], "r_.*")
+
+
+def staging_of_run(staging: DataFrame, records: DataFrame, files: DataFrame, run_id: str) -> DataFrame:
+    """Staging rows of one data run: by the run of their record, else of its file."""
+    r = records.select(F.col("id").alias("record_"), F.col("run_id").alias("record_run_"))
+    f = files.select(F.col("id").alias("file_"), F.col("run_id").alias("file_run_"))
+    joined = staging.join(r, staging["raw_record_id"] == F.col("record_"), "left").join(f, staging["raw_file_id"] == F.col("file_"), "left")
+    return joined.filter(F.coalesce("record_run_", "file_run_") == run_id).drop("record_", "record_run_", "file_", "file_run_")

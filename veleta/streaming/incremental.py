@@ -10,6 +10,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from veleta.operators.keys import upsert_newest
 from veleta.plans.quality import SUCCESSFUL
+from veleta.scratch import file_system
 
 
 def landing(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -18,33 +19,59 @@ def landing(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 class VersionedTable:
-    """A Parquet table whose versions are written beside each other; a small pointer table names the current one.
+    """A Parquet table in key buckets whose changed buckets are written anew; pointer files name the current version of each.
 
-    One writer at a time. A replayed batch finds the same newest rows, so the
-    upsert is idempotent.
+    One writer at a time. Pointers are ordered by their own numbers, which go on
+    from the greatest written one, so a new query with a new checkpoint
+    continues the table. A replayed batch finds the same newest rows, so the
+    upsert is idempotent. Versions that no pointer names any more are deleted
+    when their successors are in place.
     """
 
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path.rstrip("/"), schema
+    def __init__(self, spark: SparkSession, path: str, schema: str, keys: list[str], buckets: int = 16):
+        self.spark, self.path, self.schema, self.keys, self.buckets = spark, path.rstrip("/"), schema, keys, buckets
 
-    def current(self) -> DataFrame:
-        fs_path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/pointer")
-        if not fs_path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(fs_path):
-            return self.spark.createDataFrame([], self.schema)
-        version = self.spark.read.schema("version string, n long").json(f"{self.path}/pointer").orderBy(F.desc("n")).first().version
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/{version}")
-
-    def replace(self, rows: DataFrame, n: int) -> None:
-        version = f"v-{uuid.uuid4().hex}"
-        rows.write.option("compression", "zstd").parquet(f"{self.path}/{version}")
-        self.spark.createDataFrame([(version, n)], "version string, n long").write.mode("append").json(f"{self.path}/pointer")
+    def _pointers(self) -> list:
+        """The current version of each bucket: one row a bucket."""
+        fs, at = file_system(self.spark, f"{self.path}/pointer")
+        if not fs.exists(at):
+            return []
+        rows = self.spark.read.schema("bucket int, version string, n long").json(f"{self.path}/pointer")
+        return rows.groupBy("bucket").agg(F.max(F.struct("n", "version")).alias("p")).select("bucket", "p.version", "p.n").collect()
 
+    def _read(self, pointers: list) -> DataFrame:
+        if not pointers:
+            return self.spark.createDataFrame([], self.schema)
+        return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/{p.version}/bucket_={p.bucket}" for p in pointers])
 
-def upsert_stream(stream: DataFrame, table: VersionedTable, keys: list[str], version: list[str], checkpoint: str) -> StreamingQuery:
+    def current(self) -> DataFrame:
+        return self._read(self._pointers())
+
+    def bucketed(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("bucket_", F.pmod(F.xxhash64(*self.keys), F.lit(self.buckets)).cast("int"))
+
+    def merge(self, rows: DataFrame, version: list[str]) -> None:
+        """Upsert rows, newest version first; only the buckets of their keys are read and written."""
+        pointers = self._pointers()
+        touched = {r.bucket_ for r in self.bucketed(rows).select("bucket_").distinct().collect()}  # as many as there are buckets at most
+        if not touched:
+            return
+        old = [p for p in pointers if p.bucket in touched]
+        merged, name = upsert_newest(self._read(old), rows, self.keys, version), f"v-{uuid.uuid4().hex}"
+        self.bucketed(merged).repartition("bucket_").write.option("compression", "zstd").partitionBy("bucket_").parquet(f"{self.path}/{name}")
+        n = max((p.n for p in pointers), default=0) + 1
+        made = [(b, name, n) for b in sorted(touched)]
+        self.spark.createDataFrame(made, "bucket int, version string, n long").coalesce(1).write.mode("append").json(f"{self.path}/pointer")
+        for p in old:
+            fs, at = file_system(self.spark, f"{self.path}/{p.version}/bucket_={p.bucket}")
+            fs.delete(at, True)
+
+
+def upsert_stream(stream: DataFrame, table: VersionedTable, version: list[str], checkpoint: str) -> StreamingQuery:
     """Every micro-batch is merged into the table, newest version first; runs until the input is used up."""
 
-    def merge(batch: DataFrame, n: int) -> None:
-        table.replace(upsert_newest(table.current(), batch, keys, version), n)
+    def merge(batch: DataFrame, _: int) -> None:
+        table.merge(batch, version)
 
     return stream.writeStream.foreachBatch(merge).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
