@@ -6,6 +6,7 @@ import re
 import zlib
 from collections import Counter, defaultdict
 
+import duckdb
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -14,8 +15,9 @@ from tokenizers import Tokenizer
 import corpus_pipeline
 from tests.llm.conftest import ODD
 from veleta.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_classifier, quality_rules, recurrent_lm, url_filters, warc
+from veleta.llm.cache import Memo
 from veleta.llm.components import components
-from veleta.llm.queries import vocabulary_path
+from veleta.llm.queries import ORACLES, QUERIES, vocabulary_path
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -58,6 +60,59 @@ def test_quality_rules_keep_clean_documents(docs, spark, sf_dir):
     assert rows.filter("quality = 0 and kept").count() == 0
 
 
+# names of our own and names of the input
+
+CLASHES = "q_ r t id h n s_ l_ n_ o_ os_ ol_ r_ n_bytes n_rows owner text_sha256 row row_ u_ t_ url_ at_ rank_ key_ first_ active_ list_key action valid_from verdict deciding_key n_active".split()
+
+
+@pytest.mark.parametrize("part", range(3))
+def test_column_names_do_not_clash(spark, odd, part):
+    names = CLASHES[part::3]
+    base = odd.select("doc_id", "text")
+    more = base.withColumns({c: F.concat(F.lit(f"{c}:"), F.col("doc_id")) for c in names})
+    own = lambda rows: all(r[c] == (None if r.doc_id is None else f"{c}:{r.doc_id}") for r in rows for c in names)
+    kept = exact_dedup.drop_copies(more).collect()
+    assert kept[0].__fields__ == more.columns and own(kept) and len(kept) == exact_dedup.drop_copies(base).count()
+    kept = quality_rules.filter_documents(more, rules=quality_rules.RULES[:1]).collect()
+    assert kept[0].__fields__ == more.columns and own(kept)
+    redacted = pii.redact(more).collect()
+    assert redacted[0].__fields__ == more.columns and own(redacted)
+    pages = more.select(F.lit("http://a.b/c").alias("url"), F.lit("2024-01-01").cast("date").alias("fetched_at"), "doc_id", *names)
+    entries = spark.createDataFrame([("a.b", "2023-01-01", "block")], "list_key string, listed_at string, action string").withColumn("listed_at", F.col("listed_at").cast("date"))
+    judged = url_filters.judge(pages, entries)
+    given = [c for c in pages.columns if c not in url_filters._RESULTS]
+    assert judged.columns == [*given, *url_filters._RESULTS]  # a result takes the place of a column of its name
+    assert all(r.verdict == "block" and all(r[c] == (None if r.doc_id is None else f"{c}:{r.doc_id}") for c in given[3:]) for r in judged.collect())
+
+
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_queries_agree_with_sql(spark, sf_dir, name):
+    con = duckdb.connect()
+    for t in ("documents", "pages", "labels"):
+        con.execute(f"create view {t} as select * from '{sf_dir}/{t}.parquet'")
+    got, want = QUERIES[name](spark, sf_dir).toPandas(), con.execute(ORACLES[name]).df()
+    assert sorted(got.columns) == sorted(want.columns) and len(got) == len(want)
+    key = "page_id" if "page_id" in got else "doc_id"
+    got, want = (x.sort_values(key).reset_index(drop=True)[sorted(x.columns)] for x in (got, want))
+    for c in got:
+        a, b = got[c], want[c]
+        if str(a.dtype) == "float64" and str(b.dtype) == "float64":
+            assert np.allclose(a, b, atol=2e-6, equal_nan=True), c
+        else:
+            assert [str(x).removesuffix(" 00:00:00") for x in a.where(a.notna(), None)] == [str(x).removesuffix(" 00:00:00") for x in b.where(b.notna(), None)], c
+
+
+def test_memo_is_bounded_in_entries_and_bytes():
+    made = Counter()
+    memo = Memo(lambda k: made.update([k]) or k * 2, most=10, longest=5)
+    for _ in range(2):
+        for i in range(35):
+            assert memo[str(i)] == str(i) * 2 and memo["long" * 9] == "long" * 18
+    assert len(memo) <= 10 and len(memo.older) <= 10 and made["long" * 9] == 70
+    memo.put("x", 1)
+    assert memo["x"] == 1 and not memo.lacks("x") and memo.lacks("y") and not memo.lacks("longer")
+
+
 # exact dedup
 
 
@@ -278,6 +333,66 @@ def test_marginals_on_a_chain_are_exact():
     assert np.allclose(got, total / total.sum(1, keepdims=True), atol=1e-3)
 
 
+@pytest.mark.parametrize("seed", range(6))
+def test_marginals_on_small_loops_pick_the_exact_label(seed):
+    """Loops of tokens with four labels: the beliefs pick the exact most likely label, and are near the exact probabilities."""
+    import itertools
+
+    rng = np.random.default_rng(seed)
+    n, labels = 5, 4
+    e = rng.normal(size=(n, labels)) * 1.5
+    edges = [(i, i + 1, 0.2) for i in range(n - 1)] + [(0, 2, 1.0), (2, 4, 1.0), (0, 4, 1.0)]
+    total = np.zeros((n, labels))
+    for x in itertools.product(range(labels), repeat=n):
+        p = np.exp(sum(e[i, x[i]] for i in range(n)) + sum(w * (x[i] == x[j]) for i, j, w in edges))
+        for i in range(n):
+            total[i, x[i]] += p
+    exact = total / total.sum(1, keepdims=True)
+    got = pii.marginals(e, edges, 100)
+    sure = np.sort(exact, 1)[:, -1] - np.sort(exact, 1)[:, -2] > 0.15
+    assert (got.argmax(1) == exact.argmax(1))[sure].all() and np.abs(got - exact).max() < 0.12
+
+
+def test_field_runs_without_base_spans_and_knows_secrets():
+    secret = "04dbebab91ab85687d33eeaaf9ac699e1188f962"
+    text = f'Set token = "{secret}" here. Again {secret} there. 4294967296 rows, order 123456789012.'
+    assert pii.base_spans(text) == []
+    assert [(k, text[a:b]) for k, a, b in pii.added_spans(text, [])] == [("secret", secret)] * 2
+    assert pii.redact_text(text).count("[secret]") == 2
+    assert pii.added_spans("x" * 50 + " 12345678901234567890123 " + "ab" * 30 + "1" * 9, []) == []
+    found = pii.added_spans("ask jane.doe@mail.example.org or jane.doe@other now", pii.base_spans("ask jane.doe@mail.example.org or jane.doe@other now"))
+    assert all(k == "email" for k, _, _ in found)
+
+
+def test_tokens_take_linear_time():
+    import time
+
+    began = time.time()
+    pii.added_spans("a1" * 500_000 + " @" + "b" * 500_000 + " " + "7" * 300_000, [])
+    assert time.time() - began < 20
+
+
+def test_field_learning_finds_the_optimum(spark, docs):
+    """No small change of the learned weights does better on the mean pseudo-likelihood with its prior."""
+    w = pii.fit(docs)
+    patterns = Counter()
+    for r in docs.collect():
+        patterns.update(pii.token_patterns(r.text or ""))
+    prior = np.array([getattr(pii.WEIGHTS, f) for f in pii._FIELDS])
+
+    def value(v):
+        total, n = 0.0, 0
+        for (p, y), times in patterns.items():
+            x = np.array([int(c) for c in p], float).reshape(len(pii.LABELS) + 1, -1)
+            x = np.concatenate([np.eye(len(x))[:, :1], x], 1)
+            s = x @ v
+            total, n = total + times * (s[y] - np.log(np.exp(s).sum())), n + times
+        return total / n - pii.PRIOR / 2 * ((v - prior) ** 2).sum()
+
+    best = np.array([getattr(w, f) for f in pii._FIELDS])
+    assert patterns and all(value(best) >= value(best + step * np.eye(len(best))[i]) for i in range(len(best)) for step in (-0.05, 0.05))
+
+
 def test_redact(odd):
     by = {r.doc_id: r.text for r in pii.redact(odd).collect()}
     assert by[8].endswith("mail [email] and [phone], [ip], [card]") and by[1] is None
@@ -629,13 +744,52 @@ def test_language_model_slots_follow_the_vocabulary(spark):
 # pipeline
 
 
-def test_pipeline_keeps_what_plain_python_keeps(spark, docs, sf_dir):
-    """Which documents are packed, from those that pass the quality rules on; each is packed without a gap."""
-    rows = [(r.doc_id, r.text) for r in quality_rules.filter_documents(docs).collect()]
+def kept_by_plain_python(rows):
+    """(doc_id, text) of rows that pass the quality rules: of equal texts the first, of linked ones the first."""
     owners = {i for i, _, _, own, _ in brute_owners(rows) if own}
     rows = [(i, t) for i, t in rows if i in owners]
-    want = {i for i, (_, first) in brute_components(rows).items() if i == first}
-    got = corpus_pipeline.run(spark, sf_dir).toPandas().sort_values(["doc_id", "piece"])
-    assert want and set(got.doc_id) == want
-    assert (got.groupby("doc_id").length.cumsum() - got.length == got.start).all()
-    assert got.groupby("sequence_id").length.sum().max() <= 4096
+    first = brute_components(rows)
+    return [(i, t) for i, t in rows if first[i][1] == i]
+
+
+def test_pipeline_agrees_with_plain_python(spark, docs, sf_dir):
+    """Every piece of every document that stays: kept, redacted, tokenized and cut as by plain Python; each sequence without a gap."""
+    rows = kept_by_plain_python([(r.doc_id, r.text) for r in docs.collect() if plain_quality(r.text)])
+    stage = spark.createDataFrame(rows, "doc_id long, text string")
+    weights = pii.fit(stage)
+    tokenizer = Tokenizer.from_file(vocabulary_path("word_bpe_49k.json"))
+    tokenizer.no_truncation(), tokenizer.no_padding()
+    want = Counter()
+    for i, text in rows:
+        ids = np.array([*tokenizer.encode(pii.redact_text(text, weights), add_special_tokens=False).ids, 1], "<u4")
+        want.update((i, piece, s, len(ids[s : s + 4096]), zlib.crc32(ids[s : s + 4096].tobytes())) for piece, s in enumerate(range(0, len(ids), 4096)))
+    got = corpus_pipeline.run(spark, sf_dir).toPandas().sort_values(["sequence_id", "offset"])
+    assert rows and Counter(zip(got.doc_id, got.piece, got.start, got.length, got.ids_crc32)) == want
+    assert (got.groupby("sequence_id").length.cumsum() - got.length == got.offset).all() and got.groupby("sequence_id").length.sum().max() <= 4096
+
+
+def plain_quality(text):
+    """Whether a text passes every quality rule."""
+    n_words, chars, symbols, dup_lines, repeated, _ = brute_quality(text)
+    words, lines = WORD.findall(text or ""), [x for x in (text or "").split("\n") if WORD.search(x)]
+    value = {
+        "n_words": n_words, "one": 1, "word_chars": chars, "n_symbols": symbols, "n_dup_lines": dup_lines, "n_repeat_words": repeated, "n_lines": len(lines), "n_shouts": (text or "").count("!"),
+        "n_stop_words": sum(w.lower() in quality_rules.STOP_WORDS for w in words), "n_bullet_lines": sum(bool(re.match(r"\s*[-*•]", x)) for x in lines), "n_ellipsis_lines": sum(bool(re.search(r"(\.\.\.|…)\s*$", x)) for x in lines),
+    }
+    for r in quality_rules.RULES:
+        num, den = 1000 * value[r.numerator], value[r.denominator]
+        if (r.low is not None and num < den * r.low) or (r.high is not None and num > den * r.high):
+            return False
+    return True
+
+
+def test_pipeline_stages_on_odd_rows(spark, odd, empty, sf_dir):
+    """Every stage but the last keeps the columns of its input and goes through nulls, repeats and an empty table."""
+    for rows in (odd, empty):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, rows, sf_dir)
+            assert name == "packing" or out.columns == rows.columns
+            assert out.count() >= 0
+    long = odd.withColumn("text", F.concat_ws(" ", "text", F.lit(" ".join(f"w{i}" for i in range(60)))))
+    near = corpus_pipeline.drop_near_copies(spark, long, sf_dir)
+    assert {r.doc_id for r in near.collect()} <= {r.doc_id for r in odd.collect()}

@@ -1,57 +1,17 @@
-"""Tables that a job writes and reads again go to the folder that all executors share."""
+"""Where the corpus operators keep what they write and read again, and how many rows they hand to Python."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
+from pyspark.sql import SparkSession
 
-from pyspark.sql import DataFrame, SparkSession
+from veleta.scratch import forget, keep, shared_folder
+
+__all__ = ["forget", "keep", "shared_folder", "small_batches"]
 
 #: Rows that are handed to Python at a time; texts are long.
 BATCH_ROWS = 1000
 
 
-def shared_folder(spark: SparkSession, name: str) -> str:
-    """A new path under spark.checkpoint.dir, deleted when the application ends.
-
-    Where that is unset, a folder of this machine serves a local session only.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        current = spark.sparkContext._jsc.sc().getCheckpointDir()
-        if current.isDefined():
-            root = current.get()
-        elif spark.sparkContext.master.split("[")[0] == "local":
-            root = f"file://{tempfile.mkdtemp(prefix='spark-')}"
-        else:
-            raise ValueError("spark.checkpoint.dir is not set: it must name a folder that the driver and all executors share")
-        spark.conf.set("spark.checkpoint.dir", root)
-    path = f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-    _file_system(spark, path)[0].deleteOnExit(_file_system(spark, path)[1])
-    return path
-
-
-def _file_system(spark: SparkSession, path: str):
-    at = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return at.getFileSystem(spark._jsc.hadoopConfiguration()), at
-
-
-def keep(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write `df` to the shared folder and read it back: a cut of its lineage that survives lost executors."""
-    path = shared_folder(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def forget(spark: SparkSession, *kept: DataFrame) -> None:
-    """Delete tables of `keep` that nothing reads any more."""
-    for df in kept:
-        files = df.inputFiles()
-        if files:
-            fs, at = _file_system(spark, files[0])
-            fs.delete(at.getParent(), True)
-
-
 def small_batches(spark: SparkSession) -> None:
     """Hand at most `BATCH_ROWS` rows to Python at a time, unless the session has a setting of its own."""
     if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", None) is None:
