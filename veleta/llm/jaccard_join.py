@@ -12,7 +12,8 @@ everywhere, so that linked sets share a shingle among the first few of each
 2. Groups meet in the postings of prefix shingles. Sizes and places of the
    shared shingle filter group pairs.
 3. Pairs that pass are expanded to members and verified on the whole texts,
-   word for word.
+   word for word: each member with its nearest candidate first, then the pairs
+   that could still join two components.
 
 Frequent shingles come last in the order, the most frequent ones at the very
 end, which keeps postings short. Which ones are frequent is counted over all
@@ -180,10 +181,13 @@ def _places_allow(n1: Column, p1: Column, n2: Column, p2: Column) -> Column:
     return (100 + PERCENT) * most >= PERCENT * (n1 + n2)
 
 
+def _bits_apart(a: str, b: str) -> Column:
+    return sum((F.bit_count(F.col(f"{a}{q}").bitwiseXOR(F.col(f"{b}{q}"))) for q in _SKETCH), F.lit(0))
+
+
 def _sketches_allow(n1: Column, n2: Column, a: str, b: str) -> Column:
     """Whether the sets can be similar: they differ in at least as many members as their sketches in bits."""
-    differ = sum((F.bit_count(F.col(f"{a}{q}").bitwiseXOR(F.col(f"{b}{q}"))) for q in _SKETCH), F.lit(0))
-    return (100 + PERCENT) * differ <= (100 - PERCENT) * (n1 + n2)
+    return (100 + PERCENT) * _bits_apart(a, b) <= (100 - PERCENT) * (n1 + n2)
 
 
 def _pairs(a: Column, b: Column) -> list[Column]:
@@ -248,24 +252,32 @@ def _link_batches(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield batch.select([0, 1]).filter(pa.array(ok, pa.bool_()))
 
 
-def verified(docs: DataFrame, pairs: DataFrame, members: DataFrame, repeated: bool) -> DataFrame:
+def verified(docs: DataFrame, pairs: DataFrame, members: DataFrame, repeated: bool, sketched: bool = True) -> DataFrame:
     """Those pairs (u, v) of members whose whole texts are similar enough.
 
-    Wide sketches, a kilobyte a document, sort out most pairs first, so that
-    whole texts travel for little more than the links themselves.
+    Wide sketches, a kilobyte a document, sort out most pairs first (unless most
+    will be links), so that whole texts travel for little more than the links
+    themselves.
     """
     spark = docs.sparkSession
+    hopeful = _hopeful(docs, pairs, members, repeated) if sketched else pairs
+    texts = _of_pairs(docs, hopeful, members, lambda t, _: t, "binary", repeated)
+    both = _joined_pairs(hopeful, members, texts).select("u", "v", "mu", "mv")
+    links = keep(spark, both.mapInArrow(_link_batches, "u long, v long"), "links")
+    forget(spark, texts, *([hopeful] if sketched else []))
+    return links
+
+
+def _hopeful(docs: DataFrame, pairs: DataFrame, members: DataFrame, repeated: bool) -> DataFrame:
+    """Pairs whose wide sketches allow a link."""
+    spark = docs.sparkSession
     sketches = _of_pairs(docs, pairs, members, lambda _, h: _sketch(h, WIDE_SKETCH).view(np.uint64), "array<long>", repeated)
     wide = _joined_pairs(pairs, members, sketches)
     differ = F.aggregate(F.zip_with("mu", "mv", lambda x, y: F.bit_count(x.bitwiseXOR(y))), F.lit(0), lambda acc, x: acc + x)
     hopeful = wide.filter((100 + PERCENT) * differ <= (100 - PERCENT) * (F.col("nu") + F.col("nv"))).select("u", "v")
     hopeful = keep(spark, hopeful, "hopeful")
     forget(spark, sketches)
-    texts = _of_pairs(docs, hopeful, members, lambda t, _: t, "binary", repeated)
-    both = _joined_pairs(hopeful, members, texts).select("u", "v", "mu", "mv")
-    links = keep(spark, both.mapInArrow(_link_batches, "u long, v long"), "links")
-    forget(spark, texts, hopeful)
-    return links
+    return hopeful
 
 
 def _met(a: DataFrame, b: DataFrame, also: Column) -> DataFrame:
@@ -288,11 +300,39 @@ def _met_in_blocks(loose: DataFrame, rows: DataFrame, also: Column) -> DataFrame
 
 
 def _promising(pairs: DataFrame, sketches: DataFrame) -> DataFrame:
-    """Pairs of members whose sizes and sketches allow a link."""
+    """Pairs of members whose sizes and sketches allow a link, and in how many bits the sketches differ."""
     a = sketches.select(F.col("row").alias("u"), F.col("n").alias("an"), *[F.col(q).alias(f"a{q}") for q in _SKETCH])
     b = sketches.select(F.col("row").alias("v"), F.col("n").alias("bn"), *[F.col(q).alias(f"b{q}") for q in _SKETCH])
     allowed = _can_link(F.col("an"), F.col("bn")) & _sketches_allow(F.col("an"), F.col("bn"), "a", "b")
-    return pairs.join(a, "u").join(b, "v").filter(allowed).select("u", "v")
+    return pairs.join(a, "u").join(b, "v").filter(allowed).select("u", "v", _bits_apart("a", "b").alias("apart"))
+
+
+def _apart(pairs: DataFrame, parts: DataFrame) -> DataFrame:
+    """Pairs whose members are not in one component (vertex, component)."""
+    for x in "uv":
+        pairs = pairs.join(parts.select(F.col("vertex").alias(x), F.col("component").alias(f"c{x}")), x, "left")
+    return pairs.filter(F.coalesce("cu", "u") != F.coalesce("cv", "v")).select("u", "v")
+
+
+def _linked(spark: SparkSession, docs: DataFrame, tried: DataFrame, known: DataFrame, members: DataFrame, repeated: bool) -> tuple[DataFrame, DataFrame]:
+    """Links that give the same components as all links among `tried` and `known`, and those components.
+
+    Each member is compared with its nearest candidate first; after that only
+    pairs that would join two components are left, so that the texts of near
+    copies travel about once and not with every copy.
+    """
+    nearest = keep(spark, tried.groupBy("v").agg(F.min_by("u", F.struct("apart", "u")).alias("u")).select("u", "v"), "nearest")
+    first = verified(docs, nearest, members, repeated, False)
+    links = keep(spark, first.unionByName(known), "links")
+    parts = components(spark, links)
+    rest = keep(spark, _apart(tried.select("u", "v"), parts), "apart")
+    if not rest.limit(1).count():
+        forget(spark, nearest, first, rest)
+        return links, parts
+    second = verified(docs, rest, members, repeated)
+    both = keep(spark, links.unionByName(second), "links")
+    forget(spark, nearest, first, links, rest, second)
+    return both, components(spark, both)
 
 
 def _same_identifier(keys: DataFrame, members: DataFrame) -> tuple[DataFrame, bool]:
@@ -321,7 +361,7 @@ def link_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     grouped = keep(spark, members.join(leaders, ["n", "g1", "g2"]).select("gid", "many", "row", "n"), "grouped")
     sketches = members.select("row", "n", *_SKETCH)
     by_group = keys.select("row", "n", "prefix").join(grouped.filter("gid = row").select("row"), "row", "left_semi")
-    postings = by_group.select(F.col("row").alias("gid"), "n", F.posexplode("prefix").alias("place", "s"))
+    postings = by_group.select(F.col("row").alias("gid"), F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("place", "s"))
     shared = postings.groupBy("s").agg(F.count(F.lit(1)).alias("groups")).filter("groups > 1")
     lists = keep(spark, postings.join(shared, "s"), "lists")
 
@@ -335,8 +375,8 @@ def link_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     stars = seen.select("gid", F.explode("pivots").alias("pivot")).filter("gid <> pivot").select(*_pairs(F.col("gid"), F.col("pivot")))
     inner = grouped.filter("gid <> row").select(*_pairs(F.col("gid"), F.col("row")))
     tried = keep(spark, _promising(met.unionByName(stars).unionByName(inner).distinct(), sketches), "tried")
-    links = keep(spark, verified(base, tried, members, repeated).unionByName(same_id), "links")
-    so_far = components(spark, links).withColumnRenamed("vertex", "row")
+    links, parts = _linked(spark, base, tried, same_id, members, repeated)
+    so_far = parts.withColumnRenamed("vertex", "row")
 
     # what is not settled by that: pairs of one posting or group whose members are not all in one component
     placed = grouped.join(so_far, "row", "left").select("gid", "many", "row", F.coalesce("component", "row").alias("c"))
@@ -361,9 +401,8 @@ def link_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     two = placed.select(F.col("gid").alias("v"), F.col("row").alias("dv"), F.col("c").alias("cv"))
     expanded = group_pairs.join(one, "u").join(two, "v").filter("cu <> cv and du <> dv").select(*_pairs(F.col("du"), F.col("dv")))
     rest = keep(spark, _promising(expanded.distinct().join(tried, ["u", "v"], "left_anti"), sketches), "rest")
-    more = verified(base, rest, members, repeated)
-    joined = keep(spark, components(spark, links.unionByName(more)), "joined")
-    forget(spark, grouped, lists, pivots, tried, links, placed, rows, rest, more)
+    joined = _linked(spark, base, rest, links, members, repeated)[1] if rest.limit(1).count() else parts
+    forget(spark, grouped, lists, pivots, tried, links, placed, rows, rest)
 
     # a component is named by its smallest identifier, and members stand for all rows with their set
     parts = members.select("row", "least", *_SET).join(joined.withColumnRenamed("vertex", "row"), "row", "left").withColumn("part", F.coalesce("component", "row"))
