@@ -14,7 +14,8 @@ number of rows.
    holds only the subtree of the current hash: when the next hash begins, the
    finished subtree is spilled to the output and forgotten.
 3. Documents look up the owner of their text. Only texts with several rows
-   take part in that join; a hot text is one row on its small side.
+   take part in that join; a hot text is one row on its small side, and where
+   these are few (`BROADCAST_OWNERS`) whole documents are not shuffled for it.
 
 Defined results: null text counts as empty, and all empty or blank-only texts
 follow the same rule of equality as others; ties keep the smallest
@@ -33,11 +34,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veleta.llm.shared import small_batches
+from veleta.llm.shared import keep, small_batches
 from veleta.llm.text import packed
 
 #: Bytes of distinct text that one trie may hold before it spills a subtree.
 TRIE_BYTES = 48 << 20
+#: Up to so many texts with copies are broadcast to drop them (about 200 bytes each); beyond, they are joined by a shuffle.
+BROADCAST_OWNERS = 1 << 17
 
 
 def normalised(text: Column) -> Column:
@@ -225,7 +228,9 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """The documents that stay, with their own columns, whatever their names."""
     rows = docs.select(packed(docs).alias("r"), F.col(id_col).alias("id"), normalised(F.col(text_col)).alias("t"))
     keys = rows.select("r", "id", F.sha2("t", 256).alias("text_sha256"), F.octet_length("t").alias("n_bytes"))
-    joined = keys.join(owners(docs, id_col, text_col), ["text_sha256", "n_bytes"], "left")
+    found = keep(docs.sparkSession, owners(docs, id_col, text_col), "owners")
+    few = found.limit(BROADCAST_OWNERS + 1).count() <= BROADCAST_OWNERS
+    joined = keys.join(F.broadcast(found) if few else found, ["text_sha256", "n_bytes"], "left")
     return joined.filter(F.col("n_rows").isNull() | F.col("id").eqNullSafe(F.col("owner"))).select("r.*")
 
 

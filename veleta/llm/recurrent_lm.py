@@ -48,7 +48,6 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veleta.llm.cache import Memo
 from veleta.llm.shared import forget, keep, small_batches
 from veleta.llm.text import byte_texts, byte_words, string_array
 
@@ -505,6 +504,17 @@ def _chunks(batches: Iterable[pa.RecordBatch], encode) -> Iterator[list[np.ndarr
         yield held
 
 
+class _Numbers(dict):
+    """The model's numbers of words; any word that is not in a class has that of its slot."""
+
+    def __init__(self, index: dict[bytes, int], k: int, n_slots: int):
+        super().__init__(index)
+        self.k, self.n_slots = k, n_slots
+
+    def __missing__(self, word: bytes) -> int:
+        return self.k + zlib.crc32(word) % self.n_slots
+
+
 def fit(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary) -> Model:
     """A model trained on all texts of `docs`."""
     k, n_slots = vocabulary.k, len(vocabulary.slots)
@@ -516,7 +526,7 @@ def fit(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary) -> Model:
 
         def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             index, start = known.value, shared.value
-            number = Memo(lambda w: index[w] if w in index else k + slot_of(w, n_slots)).__getitem__
+            number = _Numbers(index, k, n_slots).__getitem__
 
             def encode(text: bytes) -> np.ndarray:
                 found = tokens(text)

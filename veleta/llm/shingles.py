@@ -1,20 +1,18 @@
 """Five-word shingles of whole texts as 64-bit hashes, vectorised over a batch of documents.
 
-A word's hash is a keyed digest of its bytes, so that no structure of words or
-texts makes two hashes meet. A shingle's hash is a sum of its words' hashes,
+A word's hash is XXH3 of its bytes, which knows no structure of texts that makes
+two hashes meet. A shingle's hash is a sum of its words' hashes,
 each times an odd multiplier of its place, spread by a bijection.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from functools import lru_cache
-from hashlib import blake2b
 from itertools import chain
 
 import numpy as np
+from xxhash import xxh3_64_intdigest
 
-from veleta.llm.cache import Memo
 from veleta.llm.text import byte_words
 
 SIZE = 5
@@ -25,12 +23,6 @@ _SECOND = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9,
 BATCH_BYTES = 1 << 20
 
 
-@lru_cache(maxsize=1)
-def _words() -> Memo:
-    """Hashes of the words that this worker has met."""
-    return Memo(lambda w: int.from_bytes(blake2b(w, digest_size=8, key=b"shingles").digest(), "little"))
-
-
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit."""
     x = x ^ (x >> np.uint64(30))
@@ -49,10 +41,18 @@ def _grams(word: np.ndarray, places: np.ndarray) -> np.ndarray:
     return mix(out)
 
 
+def _firsts(ordered: np.ndarray) -> np.ndarray:
+    """Where a sorted array begins a new value."""
+    first = np.empty(len(ordered), bool)
+    first[:1] = True
+    np.not_equal(ordered[1:], ordered[:-1], out=first[1:])
+    return first
+
+
 def _hash_batch(texts: list[bytes], second: bool) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
     words = [byte_words(t) for t in texts]
     sizes = [len(w) for w in words]
-    word = np.fromiter(map(_words().__getitem__, chain.from_iterable(words)), np.uint64, sum(sizes))
+    word = np.fromiter(map(xxh3_64_intdigest, chain.from_iterable(words)), np.uint64, sum(sizes))
     grams = _grams(word, _PLACES)
     others = _grams(word, _SECOND) if second else None
     at = 0
@@ -60,10 +60,13 @@ def _hash_batch(texts: list[bytes], second: bool) -> Iterator[tuple[np.ndarray,
         if n >= SIZE:
             cut = slice(at, at + n - SIZE + 1)
             if second:
-                found, first = np.unique(grams[cut], return_index=True)
-                yield found, others[cut][first]
+                order = np.argsort(grams[cut])
+                found = grams[cut][order]
+                first = _firsts(found)
+                yield found[first], others[cut][order[first]]
             else:
-                yield np.unique(grams[cut]), None
+                found = np.sort(grams[cut])
+                yield found[_firsts(found)], None
         else:  # the whole sequence as one
             own = word[at : at + n]
             yield _grams(own, _PLACES[:n])[: min(n, 1)], _grams(own, _SECOND[:n])[: min(n, 1)] if second else None
