@@ -26,18 +26,21 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return made.filter("u <> v").distinct()
 
 
+def _open(edges: DataFrame) -> bool:
+    """Whether some vertex has several edges down, or is both above and below; else every vertex has one edge, to its component."""
+    ends = edges.select(F.col("u").alias("x"), F.lit(1).alias("down"), F.lit(0).alias("up")).unionByName(
+        edges.select(F.col("v").alias("x"), F.lit(0).alias("down"), F.lit(1).alias("up"))
+    )
+    by = ends.groupBy("x").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return by.filter("down > 1 or down > 0 and up > 0").limit(1).count() > 0
+
+
 def components(spark: SparkSession, edges: DataFrame) -> DataFrame:
     """vertex, component (the smallest vertex reachable) for every vertex of `edges` (u, v)."""
     edges = keep(spark, edges.filter("u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct(), "edges")
-    state = None
-    while True:
+    while _open(edges):
         before, edges = edges, keep(spark, _star(_star(edges, True), False), "edges")
         forget(spark, before)
-        # every vertex has one edge, to its component, when no vertex is both above and below
-        now = edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
-        if now == state:
-            break
-        state = now
     found = edges.select(F.col("u").alias("vertex"), F.col("v").alias("component"))
     roots = edges.select(F.col("v").alias("vertex"), F.col("v").alias("component")).distinct()
     return found.unionByName(roots)
