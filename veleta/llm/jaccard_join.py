@@ -360,10 +360,15 @@ def link_components(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id"
     leaders = members.groupBy("n", "g1", "g2").agg(F.min("row").alias("gid"), (F.count(F.lit(1)) > 1).alias("many"))
     grouped = keep(spark, members.join(leaders, ["n", "g1", "g2"]).select("gid", "many", "row", "n"), "grouped")
     sketches = members.select("row", "n", *_SKETCH)
-    by_group = keys.select("row", "n", "prefix").join(grouped.filter("gid = row").select("row"), "row", "left_semi")
+    heads = keep(spark, grouped.filter("gid = row").select("row"), "heads")
+    if heads.count() <= BROADCAST_IDS:
+        by_group = keys.select("row", "n", "prefix").join(F.broadcast(heads), "row", "left_semi")
+    else:  # prefixes are dealt out once, and read twice
+        by_group = keep(spark, keys.select("row", "n", "prefix").join(heads, "row", "left_semi"), "prefixes")
     postings = by_group.select(F.col("row").alias("gid"), F.col("n").cast("int").alias("n"), F.posexplode("prefix").alias("place", "s"))
     shared = postings.groupBy("s").agg(F.count(F.lit(1)).alias("groups")).filter("groups > 1")
     lists = keep(spark, postings.join(shared, "s"), "lists")
+    forget(spark, heads)
 
     # every pair of a short posting; in a long one, every group and the pivots
     short = lists.filter(F.col("groups") <= LONG_ABOVE)

@@ -230,16 +230,16 @@ def _oracle_sql() -> str:
         long.append(f"SELECT doc_id, '{name}' AS ratio, {len(bounds) + 2} AS k, CASE WHEN n_words < {FEW_WORDS} THEN {len(bounds) + 1} {bins} ELSE {len(bounds)} END AS bin FROM m")
     rho = "greatest(least(coalesce(CASE WHEN sum((n - 1) * c * (1 - c)) > 0 THEN (sum(n * pow(g / n - c, 2)) - sum(c * (1 - c))) / sum((n - 1) * c * (1 - c)) END, 0), 1), 1e-6)"
     strength = f"least(greatest(1 / {rho} - 1, {STRENGTH[0]}), {STRENGTH[1]})::DOUBLE"
-    part = """, p{x} AS (SELECT source, lang, sum({x})::DOUBLE AS g, count(*)::DOUBLE AS n FROM r WHERE {x} IS NOT NULL GROUP BY 1, 2),
-h{x} AS (SELECT source, sum(g) AS g, sum(n) AS n FROM p{x} GROUP BY 1),
-t{x} AS (SELECT (coalesce(sum(g), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1) AS prior FROM h{x}),
-a{x} AS (SELECT {strength} AS s FROM (SELECT g, n, (SELECT prior FROM t{x}) AS c FROM h{x})),
-b{x} AS (SELECT {strength} AS s FROM (SELECT p.g, p.n, h.g / h.n AS c FROM p{x} p JOIN h{x} h ON p.source IS NOT DISTINCT FROM h.source)),
-e{x} AS (SELECT r.doc_id, (SELECT prior FROM t{x}) AS prior,
-    (coalesce(h.g, 0) - coalesce({x}, 0) + (SELECT s FROM a{x}) * (SELECT prior FROM t{x})) / (coalesce(h.n, 0) - ({x} IS NOT NULL)::INTEGER + (SELECT s FROM a{x})) AS ph,
+    part = """, path_{x} AS (SELECT source, lang, sum({x})::DOUBLE AS g, count(*)::DOUBLE AS n FROM r WHERE {x} IS NOT NULL GROUP BY 1, 2),
+host_{x} AS (SELECT source, sum(g) AS g, sum(n) AS n FROM path_{x} GROUP BY 1),
+prior_{x} AS (SELECT (coalesce(sum(g), 0) + 0.5::DOUBLE) / (coalesce(sum(n), 0) + 1) AS prior FROM host_{x}),
+hs_{x} AS (SELECT {strength} AS s FROM (SELECT g, n, (SELECT prior FROM prior_{x}) AS c FROM host_{x})),
+ps_{x} AS (SELECT {strength} AS s FROM (SELECT p.g, p.n, h.g / h.n AS c FROM path_{x} p JOIN host_{x} h ON p.source IS NOT DISTINCT FROM h.source)),
+seen_{x} AS (SELECT r.doc_id, (SELECT prior FROM prior_{x}) AS prior,
+    (coalesce(h.g, 0) - coalesce({x}, 0) + (SELECT s FROM hs_{x}) * (SELECT prior FROM prior_{x})) / (coalesce(h.n, 0) - ({x} IS NOT NULL)::INTEGER + (SELECT s FROM hs_{x})) AS ph,
     (coalesce(p.g, 0) - coalesce({x}, 0)) AS pg, (coalesce(p.n, 0) - ({x} IS NOT NULL)::INTEGER) AS pn
-  FROM r LEFT JOIN h{x} h ON r.source IS NOT DISTINCT FROM h.source LEFT JOIN p{x} p ON r.source IS NOT DISTINCT FROM p.source AND r.lang IS NOT DISTINCT FROM p.lang),
-f{x} AS (SELECT *, (pg + (SELECT s FROM b{x}) * ph) / (pn + (SELECT s FROM b{x})) AS pp FROM e{x})"""
+  FROM r LEFT JOIN host_{x} h ON r.source IS NOT DISTINCT FROM h.source LEFT JOIN path_{x} p ON r.source IS NOT DISTINCT FROM p.source AND r.lang IS NOT DISTINCT FROM p.lang),
+post_{x} AS (SELECT *, (pg + (SELECT s FROM ps_{x}) * ph) / (pn + (SELECT s FROM ps_{x})) AS pp FROM seen_{x})"""
     logit = lambda x: f"ln(least(greatest({x}, 1e-6), 1 - 1e-6) / (1 - least(greatest({x}, 1e-6), 1 - 1e-6)))"
     sigmoid = lambda x: f"round(1 / (1 + exp(-({x}))), 6)"
     marks, blanks = _FROM.replace("'", "''"), _TO
@@ -251,10 +251,10 @@ WITH {METRICS_SQL}, y AS (
 ), words AS (
   SELECT DISTINCT doc_id, word FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{marks}', '{blanks}'), '[^\\x20\\x09-\\x0D]+')) AS word FROM documents)
 ), tw AS (
-  SELECT word, sum(z)::DOUBLE AS t, count(*)::DOUBLE AS n, (SELECT sum(z) FROM r)::DOUBLE AS at, (SELECT count(z) FROM r)::DOUBLE AS al FROM words JOIN r USING (doc_id) WHERE z IS NOT NULL GROUP BY 1
+  SELECT word, sum(z)::DOUBLE AS t, count(*)::DOUBLE AS n, (SELECT sum(z) FROM r)::DOUBLE AS n_toxic, (SELECT count(z) FROM r)::DOUBLE AS n_all FROM words JOIN r USING (doc_id) WHERE z IS NOT NULL GROUP BY 1
 ), listed AS (
-  SELECT word, ln(((t + 1) / (at + 2)) / ((n - t + 1) / (al - at + 2))) AS odds FROM tw
-  WHERE t >= {TOXIC_LEAST} AND t * (al - at + 1) >= {TOXIC_RATIO} * (n - t + 1) * at ORDER BY t DESC, word LIMIT {TOXIC_WORDS}
+  SELECT word, ln(((t + 1) / (n_toxic + 2)) / ((n - t + 1) / (n_all - n_toxic + 2))) AS odds FROM tw
+  WHERE t >= {TOXIC_LEAST} AND t * (n_all - n_toxic + 1) >= {TOXIC_RATIO} * (n - t + 1) * n_toxic ORDER BY t DESC, word LIMIT {TOXIC_WORDS}
 ), hits AS (
   SELECT doc_id, count(*)::BIGINT AS n, sum(odds) AS odds FROM words JOIN listed USING (word) GROUP BY 1
 ), bins AS (
@@ -265,9 +265,9 @@ WITH {METRICS_SQL}, y AS (
   SELECT doc_id, sum(ln(((coalesce(g, 0) + {SMOOTHING}::DOUBLE) / ((SELECT coalesce(sum(y), 0) FROM r) + {SMOOTHING}::DOUBLE * k)) / ((coalesce(b, 0) + {SMOOTHING}::DOUBLE) / ((SELECT coalesce(sum(1 - y), 0) FROM r) + {SMOOTHING}::DOUBLE * k)))) AS odds
   FROM bins LEFT JOIN counts USING (ratio, bin) GROUP BY 1
 ){part.format(x="y", strength=strength)}{part.format(x="z", strength=strength)}, out AS (
-  SELECT doc_id, {sigmoid("own.odds + " + logit("fy.prior"))} AS p_document, round(fy.ph, 6) AS p_host, round(fy.pp, 6) AS p_path, {sigmoid("own.odds + " + logit("fy.pp"))} AS p_good,
-    {sigmoid("coalesce(hits.odds, 0) + " + logit("fz.pp"))} AS p_toxic, coalesce(hits.n, 0)::BIGINT AS n_toxic_words
-  FROM own JOIN fy USING (doc_id) JOIN fz USING (doc_id) LEFT JOIN hits USING (doc_id)
+  SELECT doc_id, {sigmoid("own.odds + " + logit("post_y.prior"))} AS p_document, round(post_y.ph, 6) AS p_host, round(post_y.pp, 6) AS p_path, {sigmoid("own.odds + " + logit("post_y.pp"))} AS p_good,
+    {sigmoid("coalesce(hits.odds, 0) + " + logit("post_z.pp"))} AS p_toxic, coalesce(hits.n, 0)::BIGINT AS n_toxic_words
+  FROM own JOIN post_y USING (doc_id) JOIN post_z USING (doc_id) LEFT JOIN hits USING (doc_id)
 )
 SELECT *, p_good >= 0.5 AS kept, p_toxic >= 0.5 AND n_toxic_words > 0 AS toxic FROM out
 """
