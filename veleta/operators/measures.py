@@ -54,3 +54,20 @@ def top_and_others(df: DataFrame, label: str, value: str, most: int, others: str
 def first_per_stratum(df: DataFrame, strata: list[str], order: list[Column], n: int) -> DataFrame:
     w = W.partitionBy(*strata).orderBy(*order)
     return df.withColumn("rn_", F.row_number().over(w)).filter(F.col("rn_") <= n).drop("rn_")
+
+
+def idempotence_ratio(df: DataFrame, keys: list[str], name: str = "f") -> DataFrame:
+    """One row: rows per distinct key; 1 where loading twice has added nothing."""
+    distinct = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_"))
+    return distinct.agg(F.round(F.sum("n_") / F.count(F.lit(1)), 6).alias(name))
+
+
+def share_where(df: DataFrame, group: str, condition: Column, name: str, digits: int = 2) -> DataFrame:
+    """Percentage of the rows of each group for which a condition holds."""
+    return df.groupBy(group).agg(F.round(F.avg(F.when(condition, 1.0).otherwise(0.0)) * 100, digits).alias(name))
+
+
+def union_counts(df: DataFrame, members: dict[str, str], total: str = "filas") -> DataFrame:
+    """Rows, and distinct members of each named column, one row each."""
+    wide = df.agg(F.count(F.lit(1)).alias(total), *[F.count_distinct(c).alias(n) for n, c in members.items()])
+    return wide.unpivot([], [total, *members], "medida", "n")

@@ -41,6 +41,11 @@ def homologation(existing: DataFrame, found: DataFrame, keys: Sequence[str]) ->
     return existing.unionByName(found.dropDuplicates(list(keys)).join(existing.select(*keys), list(keys), "left_anti").select(*existing.columns))
 
 
+def backfilled(rows: DataFrame, run: str = "run_id", legacy: str = "legacy") -> DataFrame:
+    """Rows without a run under one synthetic run."""
+    return rows.withColumn(run, F.coalesce(F.col(run).cast("string"), F.lit(legacy)))
+
+
 def persist_run(rows: DataFrame, path: str, run: str = "run_id") -> None:
     """Replace the rows of the runs that `rows` holds and no others."""
     rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run).parquet(path)

@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veleta.operators import keys
-from veleta.plans import catalog, gold
+from veleta.operators import keys, measures
+from veleta.plans import catalog, gold, governance
 from veleta.plans.activity import SQL as ACT
 from veleta.plans.activity import activity, read
 
@@ -49,7 +49,7 @@ _add(
 )
 _add(
     "idempotence_ratio",
-    lambda spark, sf_dir: read(spark, sf_dir, "events").agg(F.round(F.count(F.lit(1)) / F.count_distinct("event_type", "user_id"), 6).alias("f")),
+    lambda spark, sf_dir: measures.idempotence_ratio(read(spark, sf_dir, "events"), ["event_type", "user_id"]),
     "SELECT round(count(*)::DOUBLE / count(DISTINCT (event_type, user_id)), 6) AS f FROM events",
 )
 _add(
@@ -150,7 +150,7 @@ _add(
 )
 _add(
     "backfill_run",
-    lambda spark, sf_dir: read(spark, sf_dir, "events").select(F.coalesce(F.when(F.col("event_id") % 3 > 0, F.concat(F.lit("run-"), F.col("event_id") % 3)), F.lit("legacy")).alias("run_id")).groupBy("run_id").agg(F.count(F.lit(1)).alias("n")),
+    lambda spark, sf_dir: governance.backfilled(read(spark, sf_dir, "events").select(F.when(F.col("event_id") % 3 > 0, F.concat(F.lit("run-"), F.col("event_id") % 3)).alias("run_id"))).groupBy("run_id").agg(F.count(F.lit(1)).alias("n")),
     "SELECT CASE WHEN event_id % 3 > 0 THEN 'run-' || (event_id % 3) ELSE 'legacy' END AS run_id, count(*)::BIGINT AS n FROM events GROUP BY 1",
 )
 

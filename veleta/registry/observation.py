@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from veleta import contracts
 from veleta.functions import cleaning
 from veleta.operators import rules, staging
-from veleta.operators.measures import first_per_stratum
+from veleta.operators.measures import first_per_stratum, union_counts
 from veleta.plans import gold
 from veleta.plans.activity import SQL as ACT
 from veleta.plans.activity import activity, read
@@ -188,7 +188,7 @@ _add("pilot_sample", lambda spark, sf_dir: first_per_stratum(_docs(spark, sf_dir
 
 _add(
     "union_counts",
-    lambda spark, sf_dir: activity(spark, sf_dir, ["nombre_agente", "nombre_comunidad"]).agg(F.count(F.lit(1)).alias("filas"), F.count_distinct("nombre_agente").alias("agentes"), F.count_distinct("nombre_comunidad").alias("comunidades")).unpivot([], ["filas", "agentes", "comunidades"], "medida", "n"),
+    lambda spark, sf_dir: union_counts(activity(spark, sf_dir, ["nombre_agente", "nombre_comunidad"]), {"agentes": "nombre_agente", "comunidades": "nombre_comunidad"}),
     f"WITH {ACT} SELECT 'filas' AS medida, count(*)::BIGINT AS n FROM act UNION ALL SELECT 'agentes', count(DISTINCT nombre_agente) FROM act UNION ALL SELECT 'comunidades', count(DISTINCT nombre_comunidad) FROM act",
 )
 _add(

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from veleta.operators.measures import share
+from veleta.operators.measures import share, share_where
 from veleta.operators.rules import OTHER_AGENT
 from veleta.plans import governance
 from veleta.plans import quality as q
@@ -186,7 +186,7 @@ SELECT check_name, value, check_name IN ('fact_rows', 'staging_rows') OR value =
 )
 _add(
     "imputed_share",
-    lambda spark, sf_dir: _holes(spark, sf_dir).groupBy("event_type").agg(F.round(F.avg(F.when(F.col("ts").isNull(), 1.0).otherwise(0.0)) * 100, 2).alias("pct_imputado")),
+    lambda spark, sf_dir: share_where(_holes(spark, sf_dir), "event_type", F.col("ts").isNull(), "pct_imputado"),
     f"WITH h AS ({_HOLES}) SELECT event_type, round(avg(CASE WHEN ts IS NULL THEN 1.0 ELSE 0.0 END) * 100, 2)::DOUBLE AS pct_imputado FROM h GROUP BY 1",
 )
 _add(
