@@ -38,8 +38,9 @@ def drop_exact_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of linked documents the one with the smallest identifier."""
     groups = jaccard_join.link_components(spark, docs)
-    gone = groups.filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
+    gone = keep(spark, groups.filter("doc_id <> component_id").select("doc_id").distinct(), "gone")
+    few = gone.count() <= jaccard_join.BROADCAST_IDS  # then whole documents are not shuffled
+    return docs.join(F.broadcast(gone) if few else gone, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def redact_personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
