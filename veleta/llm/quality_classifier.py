@@ -33,14 +33,12 @@ row; an empty table gives an empty result; further columns are ignored.
 
 from __future__ import annotations
 
-import string
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from veleta.llm.quality_rules import METRICS_SQL, metrics
 from veleta.llm.shared import keep
-from veleta.llm.text import words
+from veleta.llm.text import let, words
 
 #: Bins of a ratio in thousandths, by upper bounds; the last bin is open.
 BINS = {
@@ -65,10 +63,6 @@ TOXIC_WORDS = 512
 #: Up to so many labelled documents are broadcast to the texts.
 BROADCAST_LABELS = 1 << 20
 
-_MARKS = ".,;:!?\"()[]"
-#: Letters and marks of a word for the list, and what becomes of them.
-_FROM, _TO = string.ascii_uppercase + _MARKS, string.ascii_lowercase + " " * len(_MARKS)
-
 
 def _permille(num, den):
     return F.when(den > 0, (num * 1000) / den).otherwise(F.lit(0.0))
@@ -101,7 +95,8 @@ def clean_labels(labels: DataFrame) -> DataFrame:
 
 
 def distinct_words(text: Column) -> Column:
-    return F.array_distinct(words(F.translate(F.coalesce(text, F.lit("")), _FROM, _TO)))
+    """Distinct words in lower case, with the marks on them."""
+    return F.array_distinct(words(F.lower(text)))
 
 
 def toxic_words(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -133,9 +128,15 @@ def binned(docs: DataFrame, toxic: DataFrame) -> DataFrame:
         "word_length": _permille(F.col("q_.w.word_chars"), n_words),
     }
     own = lambda n, v: F.when(n_words < FEW_WORDS, len(BINS[n]) + 1).otherwise(_bin(v, BINS[n]))
-    found = F.array_sort(F.array_intersect(distinct_words(F.col("text")), F.map_keys("toxic")))
-    evidence = F.aggregate(F.transform(found, lambda w: F.element_at(F.col("toxic"), w)), F.lit(0.0), lambda acc, x: acc + x)
-    return q.select("doc_id", "host", "path", *[own(n, v).alias(n) for n, v in value.items()], F.size(found).cast("long").alias("n_toxic_words"), evidence.alias("word_odds"))
+
+    def evidence(found: Column) -> Column:
+        odds = F.transform(found, lambda w: F.element_at(F.col("toxic"), w))
+        return F.struct(F.size(found).cast("long").alias("n"), F.aggregate(odds, F.lit(0.0), lambda acc, x: acc + x).alias("odds"))
+
+    # the listed words that the text holds are looked up once; the words need not be distinct for that
+    hits = let(F.array_sort(F.array_intersect(F.map_keys("toxic"), words(F.lower(F.col("text"))))), evidence)
+    out = q.select("doc_id", "host", "path", *[own(n, v).alias(n) for n, v in value.items()], hits.alias("hits_"))
+    return out.select("*", F.col("hits_.n").alias("n_toxic_words"), F.col("hits_.odds").alias("word_odds")).drop("hits_")
 
 
 def bin_evidence(labelled: DataFrame) -> DataFrame:
@@ -242,14 +243,13 @@ seen_{x} AS (SELECT r.doc_id, (SELECT prior FROM prior_{x}) AS prior,
 post_{x} AS (SELECT *, (pg + (SELECT s FROM ps_{x}) * ph) / (pn + (SELECT s FROM ps_{x})) AS pp FROM seen_{x})"""
     logit = lambda x: f"ln(least(greatest({x}, 1e-6), 1 - 1e-6) / (1 - least(greatest({x}, 1e-6), 1 - 1e-6)))"
     sigmoid = lambda x: f"round(1 / (1 + exp(-({x}))), 6)"
-    marks, blanks = _FROM.replace("'", "''"), _TO
     return f"""
 WITH {METRICS_SQL}, y AS (
   SELECT doc_id, min(CASE WHEN quality IN (0, 1) THEN quality END)::INTEGER AS y, max(CASE WHEN toxic IN (0, 1) THEN toxic END)::INTEGER AS z FROM labels WHERE doc_id IS NOT NULL GROUP BY 1
 ), r AS (
   SELECT doc_id, source, lang, y, z FROM documents LEFT JOIN y USING (doc_id)
 ), words AS (
-  SELECT DISTINCT doc_id, word FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{marks}', '{blanks}'), '[^\\x20\\x09-\\x0D]+')) AS word FROM documents)
+  SELECT DISTINCT doc_id, word FROM (SELECT doc_id, unnest(regexp_extract_all(lower(coalesce(text, '')), '[^\\x20\\x09-\\x0D]+')) AS word FROM documents)
 ), tw AS (
   SELECT word, sum(z)::DOUBLE AS t, count(*)::DOUBLE AS n, (SELECT sum(z) FROM r)::DOUBLE AS n_toxic, (SELECT count(z) FROM r)::DOUBLE AS n_all FROM words JOIN r USING (doc_id) WHERE z IS NOT NULL GROUP BY 1
 ), listed AS (
