@@ -5,7 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from veleta.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_classifier, quality_rules, recurrent_lm, url_filters, warc
+from veleta.llm import (
+    bpe, conversations, exact_dedup, jaccard_join, packing, periodic_runs, pii, quality_classifier, quality_rules, recurrent_lm, sentencepieces,
+    url_filters, warc,
+)
 from veleta.llm.text import table
 
 
@@ -64,6 +67,25 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.assign(table(spark, sf_dir, "documents"))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.report(spark, table(spark, sf_dir, "conversations"))
+
+
+def op12_sentencepiece_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = sentencepieces.round_trip(table(spark, sf_dir, "documents"), vocabulary_path("piece_bpe_32k.model"))
+    return done.select(
+        "doc_id",
+        F.floor(F.octet_length("ids") / 4).cast("long").alias("n_tokens"),
+        F.sha2("ids", 256).alias("ids_sha256"),
+        F.sha2("decoded", 256).alias("decoded_sha256"),
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.detect(table(spark, sf_dir, "documents"), change=periodic_runs.make_periodic)
+    return periodic_runs.digest(found)
+
+
 QUERIES = {
     "op1_quality_rules": op1_quality_rules,
     "op2_lm_scoring": op2_lm_scoring,
@@ -75,6 +97,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_jaccard_join": op9_jaccard_join,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_conversation_repair": op11_conversation_repair,
+    "op12_sentencepiece_round_trip": op12_sentencepiece_round_trip,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 ORACLES = {
