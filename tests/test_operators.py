@@ -129,6 +129,40 @@ def test_star_schema_is_loaded_twice(spark):
     assert gold.load(staged({}).limit(0), dims2, facts2)[1].count() == 2
 
 
+def test_repeated_grains_load_alike_any_number_of_times(spark):
+    """Several new rows of one grain or member in one load: the newest counts; further loads of the same rows change no count and no key."""
+    schema = "grain string, part int, lineage string, version int, n int"
+    rows = spark.createDataFrame([("b", 1, "l1", 1, 10), ("b", 1, "l2", 3, 30), ("b", 1, "l3", 2, 20), ("a", 1, "l4", 1, 1), ("a", 1, "l4", 1, 1), (None, 1, "l5", 1, 5), (None, 1, "l6", 2, 6)], schema)
+    upsert = lambda new, old: keys.unique(keys.upsert_fact(new, old, ["grain", "part"], "id", "lineage", ["version"]), ["grain", "part"])
+    seen, old = [], None
+    for _ in range(3):
+        old = upsert(rows, old)
+        seen.append(sorted((str(r.grain), r.id, r.lineage, r.n) for r in old.collect()))
+    assert seen[0] == seen[1] == seen[2] == [("None", 1, "l6", 6), ("a", 2, "l4", 1), ("b", 3, "l2", 30)]
+    later = upsert(spark.createDataFrame([("b", 1, "l9", 1, 99), ("c", 1, "m1", 1, 1), ("c", 1, "m2", 2, 2)], schema), old)
+    assert sorted((str(r.grain), r.id, r.lineage, r.n) for r in later.collect()) == [("None", 1, "l6", 6), ("a", 2, "l4", 1), ("b", 3, "l2", 99), ("c", 4, "m2", 2)]
+    with pytest.raises(keys.RepeatedKey):
+        keys.unique(later.union(later), ["grain"])
+    members = spark.createDataFrame([("x", 1, "old"), ("x", 2, "new"), ("w", 1, "w"), ("w", 1, "w")], "name string, v int, kind string")
+    known = None
+    for _ in range(3):
+        known = keys.with_surrogate_keys(members, known, ["name"], "id", ["v"])
+        assert sorted((r.name, r.id, r.kind) for r in known.collect()) == [("w", 1, "w"), ("x", 2, "new")]
+
+
+def test_star_schema_keeps_grains_unique(spark):
+    kinds = contracts.STAGING
+    base = {"id_origen_registro": "repo-1", "fuente": "github", "tipo_fuente": "api", "plataforma": "VS Code", "categoria": "c", "nombre_agente": "Codex", "fecha_evento": datetime.date(2026, 1, 1), "dim_nombre_plataforma": "VS Code", "dim_nombre_tecnologia": "Python", "dim_nombre_comunidad": "c", "raw_file_id": 1, "raw_record_id": 10}
+    schema = ", ".join(f"{c} {t}" for c, t in kinds.items())
+    rows = [base | r for r in ({}, {"raw_record_id": 12, "cantidad_interacciones": 7}, {"fecha_evento": datetime.date(2025, 1, 1), "raw_record_id": 99}, {"id_origen_registro": "repo-0", "raw_record_id": 1})]
+    staged = spark.createDataFrame([tuple(r.get(c) for c in kinds) for r in rows], schema)
+    dims, facts, seen = None, None, []
+    for _ in range(3):
+        dims, facts = gold.load(staged, dims, facts)
+        seen.append(sorted((r.id_hecho, r.id_origen_registro, r.fact_lineage_key, r.cantidad_interacciones) for r in facts.collect()))
+    assert seen[0] == seen[1] == seen[2] == [(1, "repo-0", "raw:1", 0), (2, "repo-1", "raw:12", 7)]
+
+
 def test_profiles():
     with pytest.raises(ValueError, match="profile"):
         gold.in_profile(F.lit("x"), ("github",), "nothing")
@@ -246,13 +280,12 @@ def test_landing_to_staging(spark, tmp_path):
     (tmp_path / "github" / "a.json").write_text(json.dumps({"items": repos}))
     (tmp_path / "github" / "copy.json").write_text(json.dumps({"items": repos}))
     (tmp_path / "hackernews" / "b.json").write_text(json.dumps([{"id": "900003", "title": "windsurf news", "created_at": "2025-02-01", "points": 5}]))
-    files = raw.scan_files(spark, str(tmp_path), "*.json")
-    none = spark.createDataFrame([], contracts.RAW_FILES)
-    fresh = raw.new_files(files, none)
-    file_rows, record_rows = raw.land(fresh, raw.json_records(fresh), none, "run-1")
-    file_rows, record_rows = file_rows.cache(), record_rows.cache()
+    read = raw.read_json(spark, str(tmp_path), "*.json")
+    file_rows, record_rows, rejected = raw.land(read, spark.createDataFrame([], contracts.RAW_FILES), "run-1")
+    assert rejected.count() == 0
     assert [(r.fuente, r.registros) for r in file_rows.orderBy("fuente").collect()] == [("github", 3), ("hackernews", 1)]
-    assert raw.new_files(files, file_rows).count() == 0
+    assert [d.count() for d in raw.land(read, file_rows, "run-2")] == [0, 0, 0]
+    assert [r.ruta for r in file_rows.filter("fuente = 'github'").collect()] == ["github/a.json"]  # of equal files the smallest path
     assert all(r.diferencia == 0 for r in raw.inventory(file_rows, record_rows).collect())
     records = raw.records_of(record_rows, file_rows, file_rows)
     schemas = {"github": "id long, name string, created_at string, stargazers_count long", "hackernews": "id string, title string, created_at string, points long"}

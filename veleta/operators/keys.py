@@ -8,6 +8,7 @@ overwrite partitions.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -94,33 +95,61 @@ def ledger_upsert(old: DataFrame, new: DataFrame, key: str = "file_id") -> DataF
     return old.join(new.select(key), key, "left_anti").unionByName(new, allowMissingColumns=True)
 
 
-def with_surrogate_keys(new: DataFrame, old: DataFrame, natural: Sequence[str], key: str) -> DataFrame:
+class RepeatedKey(ValueError):
+    """A table holds a key twice that must be unique."""
+
+
+def unique(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """`df` itself, once it is proven that no key occurs twice: a count over the key columns alone."""
+    twice = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_")).filter("n_ > 1").first()
+    if twice is not None:
+        raise RepeatedKey(f"{twice['n_']} rows of {', '.join(f'{k}={twice[k]}' for k in keys)}")
+    return df
+
+
+def one_per_key(new: DataFrame, keys: Sequence[str], version: Sequence[str]) -> DataFrame:
+    """Of new rows that share a key the one of the greatest version; of equal versions the greatest row, so that each run takes the same."""
+    rest = [c for c in new.columns if c not in keys and c not in version]
+    return _newest(new, [F.col(k).alias(f"key_{i}_") for i, k in enumerate(keys)], [F.col(c) for c in (*version, *rest)])
+
+
+def _same(left: str, right: str, keys: Sequence[str]) -> Column:
+    same = [F.col(f"{left}.{k}").eqNullSafe(F.col(f"{right}.{k}")) for k in keys]
+    return reduce(Column.__and__, same)
+
+
+def _top(old: DataFrame, key: str) -> int:
+    return old.agg(F.coalesce(F.max(key), F.lit(0)).cast("long").alias("top")).first().top
+
+
+def with_surrogate_keys(new: DataFrame, old: DataFrame | None, natural: Sequence[str], key: str, version: Sequence[str] = ()) -> DataFrame:
     """SCD-1 upsert of a dimension: known members keep their key, new ones continue after the greatest.
 
     Attributes come from `new` where the member is there, absence deletes
-    nothing. New keys follow the order of the natural key; the numbering runs
-    over the new members alone, partition by partition after a range sort.
+    nothing. Of several new rows of one member the one of the greatest version
+    counts; the columns of the version are no attributes. New keys follow the
+    order of the natural key. `old` holds each member once.
     """
-    attributes = [c for c in new.columns if c not in natural]
-    known = old.select(*natural, key, *[F.col(c).alias(f"old_{c}") for c in attributes])
-    fresh = new.withColumn("in_new_", F.lit(True))
-    on = [F.col(f"n.{c}").eqNullSafe(F.col(f"o.{c}")) for c in natural]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    both = fresh.alias("n").join(known.alias("o"), cond, "full_outer").select(
-        *[F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")).alias(c) for c in natural],
-        F.col(f"o.{key}").alias(key),
-        *[F.when(F.col("in_new_"), F.col(f"n.{c}")).otherwise(F.col(f"o.old_{c}")).alias(c) for c in attributes],
+    attributes = [c for c in new.columns if c not in (*natural, *version)]
+    new = keep(new.sparkSession, one_per_key(new, natural, version).select(*natural, *attributes), "members")
+    if old is None:
+        return numbered_by(new, natural, key).select(*natural, key, *attributes)
+    fresh = new.alias("n").join(old.alias("o"), _same("n", "o", natural), "left_anti")
+    numbered = numbered_by(fresh, natural, key).withColumn(key, F.col(key) + _top(old, key))
+    stays = old.alias("o").join(new.withColumn("in_new_", F.lit(True)).alias("n"), _same("n", "o", natural), "left").select(
+        *[F.col(f"o.{c}").alias(c) for c in natural],
+        F.col(f"o.{key}").cast("long").alias(key),
+        *[F.when(F.col("in_new_"), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in attributes],
     )
-    missing = both.filter(F.col(key).isNull())
-    top = old.agg(F.coalesce(F.max(key), F.lit(0)).alias("top_"))
-    numbered = numbered_by(missing.drop(key), natural, "place_").join(top).select(*natural, (F.col("top_") + F.col("place_")).alias(key), *attributes)
-    return both.filter(F.col(key).isNotNull()).select(*natural, F.col(key).cast("long").alias(key), *attributes).unionByName(numbered)
+    return stays.unionByName(numbered)
+
+
+#: Rows that one task may number.
+FEW_ROWS = 100_000
 
 
 def numbered_by(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
-    """1 .. n in the given order without one task for all rows.
+    """1 .. n in the given order without one task for all rows, unless there are at most `FEW_ROWS`.
 
     The rows are dealt by ranges, sorted and numbered inside each range, and
     written once to the shared folder; sizes of ranges and rows are read from
@@ -129,6 +158,8 @@ def numbered_by(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     sorted_ = df.repartitionByRange(*order).sortWithinPartitions(*order)
     # such an identifier is the number of the range and, in its lower 33 bits, the place in it
     ranged = keep(df.sparkSession, sorted_.withColumn("at_", F.monotonically_increasing_id()), "numbered")
+    if ranged.count() <= FEW_ROWS:
+        return ranged.withColumn(name, F.row_number().over(W.orderBy("at_")).cast("long")).drop("at_")
     part = F.shiftright("at_", 33)
     sizes = ranged.groupBy(part.alias("part_")).agg(F.count(F.lit(1)).alias("size_"))  # one row per range
     before = sizes.withColumn("before_", F.coalesce(F.sum("size_").over(W.orderBy("part_").rowsBetween(W.unboundedPreceding, -1)), F.lit(0)))
@@ -137,23 +168,23 @@ def numbered_by(df: DataFrame, order: Sequence[str], name: str) -> DataFrame:
     return joined.withColumn(name, (F.col("before_") + place + 1).cast("long")).drop("part_", "at_", "before_")
 
 
-def upsert_fact(new: DataFrame, old: DataFrame, grain: Sequence[str], key: str, lineage: str) -> DataFrame:
-    """Fact upsert on its grain: key and first lineage stay, everything else is refreshed."""
+def upsert_fact(new: DataFrame, old: DataFrame | None, grain: Sequence[str], key: str, lineage: str, version: Sequence[str] = ()) -> DataFrame:
+    """Fact upsert on its grain: key and first lineage stay, everything else is refreshed.
+
+    Of several new rows of one grain the one of the greatest version counts, so
+    that the result holds every grain once, if `old` does; `unique` proves it.
+    """
+    new = keep(new.sparkSession, one_per_key(new, grain, version), "new-facts")
+    if old is None:
+        return numbered_by(new, grain, key).select(key, *new.columns)
     measures = [c for c in new.columns if c not in grain and c != lineage]
-    on = [F.col(f"n.{c}") == F.col(f"o.{c}") for c in grain]
-    cond = on[0]
-    for c in on[1:]:
-        cond = cond & c
-    both = new.withColumn("in_new_", F.lit(True)).alias("n").join(old.alias("o"), cond, "full_outer").select(
-        F.col(f"o.{key}").alias(key),
-        *[F.coalesce(F.col(f"n.{c}"), F.col(f"o.{c}")).alias(c) for c in grain],
-        F.coalesce(F.col(f"o.{lineage}"), F.col(f"n.{lineage}")).alias(lineage),
+    stays = old.alias("o").join(new.withColumn("in_new_", F.lit(True)).alias("n"), _same("n", "o", grain), "left").select(
+        F.col(f"o.{key}").cast("long").alias(key),
+        *[F.col(f"o.{c}").alias(c) for c in (*grain, lineage)],
         *[F.when(F.col("in_new_"), F.col(f"n.{c}")).otherwise(F.col(f"o.{c}")).alias(c) for c in measures],
     )
-    top = old.agg(F.coalesce(F.max(key), F.lit(0)).alias("top_"))
-    fresh = numbered_by(both.filter(F.col(key).isNull()).drop(key), list(grain), "place_").join(top)
-    fresh = fresh.withColumn(key, F.col("top_") + F.col("place_")).drop("top_", "place_")
-    return both.filter(F.col(key).isNotNull()).unionByName(fresh)
+    fresh = new.alias("n").join(old.alias("o"), _same("n", "o", grain), "left_anti")
+    return stays.unionByName(numbered_by(fresh, grain, key).withColumn(key, F.col(key) + _top(old, key)))
 
 
 def retire(df: DataFrame, column: str, value: str) -> DataFrame:

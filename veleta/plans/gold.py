@@ -7,8 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from veleta.operators.keys import newest_by_aggregate, upsert_fact, with_surrogate_keys
+from veleta.operators.keys import newest_by_aggregate, unique, upsert_fact, with_surrogate_keys
 from veleta.operators.rules import OTHER_AGENT, lookup
+from veleta.scratch import keep
 
 # Default members of the dimensions.
 UNKNOWN = "No especificado"
@@ -197,8 +198,7 @@ def dimensions(rows: DataFrame, old: Mapping[str, DataFrame] | None = None) -> d
     out = {}
     for name, new in made.items():
         natural, key = DIMENSIONS[name]
-        empty = new.limit(0).withColumn(key, F.lit(None).cast("long"))
-        out[name] = with_surrogate_keys(new, (old or {}).get(name, empty), list(natural), key)
+        out[name] = keep(rows.sparkSession, with_surrogate_keys(new, (old or {}).get(name), list(natural), key), name)
     return out
 
 
@@ -232,18 +232,30 @@ _FACT = (
 
 
 def facts(rows: DataFrame, dims: Mapping[str, DataFrame], old: DataFrame | None = None) -> DataFrame:
-    """The fact table: eligible staging rows on their surrogate keys, upserted on the grain of the last load."""
+    """The fact table: eligible staging rows on their surrogate keys, upserted on the grain of the last load.
+
+    Of several rows of one grain the newest snapshot counts.
+    """
     keyed = with_keys(fact_scores(eligible(rows, REQUIRED)), dims)
     line = lineage(F.col("raw_record_id"), [F.col(c) for c in ("fuente", "plataforma", "id_origen_registro", "nombre_agente")])
-    new = keyed.select(*[k for _, k in DIMENSIONS.values()], "id_origen_registro", "raw_file_id", "raw_record_id", line.alias("fact_lineage_key"), *_FACT)
-    old = new.limit(0).withColumn("id_hecho", F.lit(None).cast("long")) if old is None else old
-    return upsert_fact(new, old, list(GRAIN), "id_hecho", "fact_lineage_key")
+    columns = [*[k for _, k in DIMENSIONS.values()], "id_origen_registro", "raw_file_id", "raw_record_id"]
+    new = keyed.select(*columns, line.alias("fact_lineage_key"), *_FACT, F.col("fecha_evento").alias("version_"))
+    version = ["version_", *_VERSION[1:]]
+    old = None if old is None else old.withColumn("version_", F.lit(None).cast("date"))
+    return upsert_fact(new, old, list(GRAIN), "id_hecho", "fact_lineage_key", version).drop("version_")
 
 
 def load(rows: DataFrame, old_dims: Mapping[str, DataFrame] | None = None, old_facts: DataFrame | None = None) -> tuple[dict[str, DataFrame], DataFrame]:
-    """One load of the star schema: dimensions first, then facts on their keys."""
+    """One load of the star schema: dimensions first, then facts on their keys.
+
+    The staging rows are made once, and so is each result. A load ends only if
+    every fact has a grain and a key of its own.
+    """
+    spark = rows.sparkSession
+    rows = keep(spark, rows, "staging")
     dims = dimensions(rows, old_dims)
-    return dims, facts(rows, dims, old_facts)
+    made = keep(spark, facts(rows, dims, old_facts), "facts")
+    return dims, unique(unique(made, GRAIN), ["id_hecho"])
 
 
 def eligible(rows: DataFrame, columns: Sequence[str]) -> DataFrame:

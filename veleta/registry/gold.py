@@ -222,7 +222,7 @@ x AS (SELECT nombre_tecnologia AS l_returnflag, categoria_tecnologia AS l_linest
 c AS (SELECT nombre_comunidad AS c_mktsegment, tipo_comunidad AS n_name, plataforma_comunidad AS plat, row_number() OVER (ORDER BY nombre_comunidad, tipo_comunidad, plataforma_comunidad) AS id FROM dc)
 SELECT row_number() OVER (ORDER BY a.id, f.id, p.id, id_origen_registro)::BIGINT AS id_hecho, t.id::BIGINT AS id_tiempo, a.id::BIGINT AS id_agente, f.id::BIGINT AS id_fuente, p.id::BIGINT AS id_plataforma, x.id::BIGINT AS id_tecnologia, c.id::BIGINT AS id_comunidad,
   id_origen_registro, 'raw:' || record AS fact_lineage_key, i AS cantidad_interacciones, pop::DECIMAL(12,4) AS score_popularidad, (i + p_size)::DECIMAL(12,4) AS score_actividad, pop::DECIMAL(18,6)::DECIMAL(12,6) AS valor_numerico_normalizado
-FROM s JOIN t USING (fecha) JOIN a USING (agente) JOIN f USING (fuente, tipo) JOIN p USING (plat) JOIN x USING (l_returnflag, l_linestatus) JOIN c USING (c_mktsegment, n_name, plat)""",
+FROM (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY agente, fuente, tipo, plat, id_origen_registro ORDER BY fecha DESC, file DESC, record DESC, l_returnflag DESC, l_linestatus DESC, i DESC, pop DESC) = 1) s JOIN t USING (fecha) JOIN a USING (agente) JOIN f USING (fuente, tipo) JOIN p USING (plat) JOIN x USING (l_returnflag, l_linestatus) JOIN c USING (c_mktsegment, n_name, plat)""",
 )
 _SOURCES = ("catalogo", "github", "hackernews")
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -231,20 +233,21 @@ _add("annual_preference", _annual, "SELECT CASE WHEN o_orderkey % 3 > 0 THEN 'ca
 # Landing and staging: events as JSON files of a source each, landed once, read back, mapped and staged.
 
 
-def _json_files(spark, sf_dir) -> str:
-    """A folder of JSON lists, at most 5,000 events each, in a sub-folder for each event type."""
+def _json_files(spark, sf_dir, cut: bool = False) -> str:
+    """A folder of JSON lists, at most 5,000 events each, in a sub-folder for each event type; the end of every other one lost if so asked."""
     item = F.struct("event_id", "user_id", "event_type", "value")
     lists = _events(spark, sf_dir).groupBy(F.col("event_type").alias("fuente"), F.floor(F.col("event_id") / 5000).alias("part")).agg(F.to_json(F.sort_array(F.collect_list(item))).alias("value"))
+    if cut:
+        lost = F.substring("value", F.lit(1), F.length("value") - 9)
+        lists = lists.withColumn("value", F.when(F.col("part") % 2 == 0, lost).otherwise(F.col("value")))
     root = shared_folder(spark, "landing")
     lists.select("fuente", "value").write.option("maxRecordsPerFile", 1).partitionBy("fuente").text(root)
     return root
 
 
-def _landed(spark, sf_dir) -> tuple[DataFrame, DataFrame]:
-    files = raw.scan_files(spark, _json_files(spark, sf_dir), "*.txt")
-    none = spark.createDataFrame([], contracts.RAW_FILES)
-    fresh = raw.new_files(files, none)
-    return raw.land(fresh, raw.json_records(fresh), none, "run-1")
+def _landed(spark, sf_dir, cut: bool = False, split_above: int = raw.SPLIT_ABOVE) -> tuple[DataFrame, DataFrame, DataFrame]:
+    records = raw.read_json(spark, _json_files(spark, sf_dir, cut), "*.txt", split_above=split_above)
+    return raw.land(records, spark.createDataFrame([], contracts.RAW_FILES), "run-1")
 
 
 _add(
@@ -259,11 +262,42 @@ _add(
 )
 _add(
     "land_inventory",
-    lambda spark, sf_dir: (lambda files, records: raw.inventory(files, records).groupBy("registros", "cargados", "diferencia").agg(F.count(F.lit(1)).alias("n")))(*_landed(spark, sf_dir)),
+    lambda spark, sf_dir: (lambda landed: raw.inventory(landed[0], landed[1]).groupBy("registros", "cargados", "diferencia").agg(F.count(F.lit(1)).alias("n")))(_landed(spark, sf_dir)),
     "WITH f AS (SELECT count(*)::BIGINT AS c FROM events GROUP BY event_type, event_id // 5000) SELECT c AS registros, c AS cargados, 0::BIGINT AS diferencia, count(*)::BIGINT AS n FROM f GROUP BY 1",
 )
 
 
+def _rejects(spark, sf_dir) -> DataFrame:
+    """By source: files landed and rejected, records landed, and files that a second try takes for new."""
+    records = raw.read_json(spark, _json_files(spark, sf_dir, True), "*.txt")
+    files, landed, rejected = raw.land(records, spark.createDataFrame([], contracts.RAW_FILES), "run-1")
+    again = raw.new_files(records.select("ruta", "fuente", "hash_sha256").distinct(), files)
+    source, one = F.substring_index("fuente", "=", -1).alias("fuente"), F.lit(1)
+    parts = (
+        files.select(source, one.alias("aterrizados"), F.col("registros")),
+        rejected.select(source, F.when(F.col("reason") == raw.DAMAGED, 1).alias("rechazados")),
+        again.select(source, one.alias("pendientes")),
+        landed.select(F.get_json_object("raw_data", "$.event_type").alias("fuente"), one.alias("cargados")),
+    )
+    names = ("aterrizados", "rechazados", "pendientes", "registros", "cargados")
+    every = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return every.groupBy("fuente").agg(*[F.coalesce(F.sum(n), F.lit(0)).cast("long").alias(n) for n in names])
+
+
+_add(
+    "land_rejects",
+    _rejects,
+    """WITH f AS (SELECT event_type AS fuente, event_id // 5000 AS part, count(*) AS n FROM events GROUP BY 1, 2)
+SELECT fuente, count(*) FILTER (part % 2 = 1)::BIGINT AS aterrizados, count(*) FILTER (part % 2 = 0)::BIGINT AS rechazados, count(*) FILTER (part % 2 = 0)::BIGINT AS pendientes,
+  coalesce(sum(n) FILTER (part % 2 = 1), 0)::BIGINT AS registros, coalesce(sum(n) FILTER (part % 2 = 1), 0)::BIGINT AS cargados FROM f GROUP BY 1""",
+)
+_add(
+    "land_split",
+    lambda spark, sf_dir: _landed(spark, sf_dir, split_above=1)[1].select((F.col("id") % (1 << 32)).alias("lugar"), F.get_json_object("raw_data", "$.event_id").cast("long").alias("event_id"), F.get_json_object("raw_data", "$.event_type").alias("event_type")),
+    "SELECT row_number() OVER (PARTITION BY event_type, event_id // 5000 ORDER BY event_id) - 1 AS lugar, event_id, event_type FROM events",
+)
+
+
 def _raw_events(spark, sf_dir) -> DataFrame:
     """Raw records of a forum, as JSON: a title that names an agent, a time, points; every event twice, as two snapshots."""
     title = F.when(F.col("event_type") == "click", "codex tool").when(F.col("event_type") == "view", "a cursor kit").otherwise("noise")
