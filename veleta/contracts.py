@@ -8,8 +8,6 @@ RAW_RECORDS = "id long, raw_file_id long, raw_data string, run_id string"
 
 #: Measures of an observation; counts default to 0, scores to null.
 COUNT_MEASURES = ("cantidad_menciones", "cantidad_interacciones", "stars_github", "forks_github", "issues_abiertos", "releases")
-SCORE_MEASURES = ("score_popularidad", "indice_adopcion", "indice_innovacion", "sentimiento_promedio")
-MEASURES = (*COUNT_MEASURES[:2], "score_popularidad", *COUNT_MEASURES[2:], *SCORE_MEASURES[1:])
 
 #: What every source mapper returns.
 OBSERVATION = {

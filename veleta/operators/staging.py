@@ -47,8 +47,8 @@ def replayed(records: DataFrame, schemas: Mapping[str, str]) -> DataFrame:
 
 
 def for_enrichment(rows: DataFrame) -> DataFrame:
-    """Rows that cached answers may enrich: free text that is not empty, of an unstructured source."""
-    return rows.filter(F.col("fuente").isin(*UNSTRUCTURED) & (F.trim(F.coalesce("texto", F.lit(""))) != ""))
+    """Rows that cached answers may enrich: free text that is there, blank or not, of an unstructured source."""
+    return rows.filter(F.col("fuente").isin(*UNSTRUCTURED) & (F.col("texto") != ""))
 
 
 def staged(records: DataFrame, schemas: Mapping[str, str]) -> DataFrame:

@@ -53,7 +53,7 @@ def executive(act: DataFrame) -> DataFrame:
 
 def top_sources(act: DataFrame, most: int = 7, without_type: str | None = None) -> DataFrame:
     """Sources with the greatest share of the observations, of all or of all but one type."""
-    rows = act if without_type is None else act.filter(F.col("tipo_fuente") != without_type)
+    rows = act if without_type is None else act.filter(~F.col("tipo_fuente").eqNullSafe(F.lit(without_type)))
     by = rows.groupBy("nombre_fuente").agg(kpi.rows()).withColumn("participacion", share("total_observaciones"))
     return by.orderBy(F.desc("total_observaciones"), "nombre_fuente").limit(most)
 

@@ -46,11 +46,6 @@ def backfilled(rows: DataFrame, run: str = "run_id", legacy: str = "legacy") ->
     return rows.withColumn(run, F.coalesce(F.col(run).cast("string"), F.lit(legacy)))
 
 
-def persist_run(rows: DataFrame, path: str, run: str = "run_id") -> None:
-    """Replace the rows of the runs that `rows` holds and no others."""
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(run).parquet(path)
-
-
 def dependent_runs(files: DataFrame, audits: DataFrame, source: str) -> DataFrame:
     """Runs that hold files of a source, and runs whose audit rows rest on one of those."""
     direct = files.filter(F.col("fuente") == source).select("run_id")

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -217,9 +218,56 @@ def issue_breakdown(records: DataFrame, candidates: DataFrame, staging: DataFram
     return one.select(*[F.col(n).cast("long").alias(n) for n in names]).unpivot([], names, "metric_name", "metric_value")
 
 
-def contract(frame: DataFrame) -> list[tuple[int, str, str, bool]]:
-    """Position, name, type and nullability of each column."""
-    return [(i, f.name, f.dataType.simpleString(), f.nullable) for i, f in enumerate(frame.schema.fields, 1)]
+def run_issues(summary: DataFrame, candidates: DataFrame) -> DataFrame:
+    """The seven counts of one run, of its reconciled summary (one row) and its candidates, noise among them."""
+    names = {
+        "raw_records": "total_raw_records",
+        "eligible_records": "eligible_records",
+        "historical_duplicates_removed": "total_duplicates_removed",
+        "expected_staging_records": "expected_staging_records",
+        "materialized_staging_records": "total_staging_records",
+        "load_error_records": "load_error_records",
+        "unmapped_agent_records": "sin_homologar",
+    }
+    one = summary.join(unmapped(candidates)).select(*[F.col(c).cast("long").alias(n) for n, c in names.items()])
+    return one.unpivot([], list(names), "metric_name", "metric_value")
+
+
+def contract(frame: DataFrame, technical: Mapping[str, str] | None = None) -> DataFrame:
+    """Position, name, type, nullability and role of each column; all but the technical ones are analytical."""
+    roles = technical or {"id": "technical_surrogate_key", "fecha_carga": "technical_audit_column"}
+    rows = [(i, f.name, f.dataType.simpleString(), f.nullable, roles.get(f.name, "analytical_contract_column")) for i, f in enumerate(frame.schema.fields, 1)]
+    return frame.sparkSession.createDataFrame(rows, "ordinal_position int, column_name string, data_type string, is_nullable boolean, contract_role string")
+
+
+def null_or_blank(frame: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Rows of each column that are null or, as texts, blank."""
+    return issues(frame, {c: F.trim(F.coalesce(F.col(c).cast("string"), F.lit(""))) == "" for c in columns}).withColumnsRenamed({"metrica": "columna", "valor": "registros_nulos_o_vacios"})
+
+
+def table_counts(tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Rows of each table."""
+    counts = [rows.agg(F.lit(name).alias("tabla"), F.count(F.lit(1)).alias("total_registros")) for name, rows in tables.items()]
+    return reduce(DataFrame.unionByName, counts)
+
+
+def load_loss(staging: DataFrame, fact: DataFrame) -> DataFrame:
+    """One row: staged rows, facts, their difference, and the percentage lost; null where nothing is staged."""
+    both = staging.agg(F.count(F.lit(1)).alias("total_staging")).join(fact.agg(F.count(F.lit(1)).alias("total_fact")))
+    apart = F.abs(F.col("total_staging") - F.col("total_fact"))
+    return both.select("*", apart.alias("diferencia"), F.round(apart * 100.0 / F.nullif("total_staging", F.lit(0)), 4).cast("double").alias("porcentaje_merma"))
+
+
+def period(frame: DataFrame, date: str, first: str, last: str) -> DataFrame:
+    """One row: oldest and newest date, rows, rows outside the expected period, and whether there is none."""
+    outside = (F.col(date) < F.lit(first).cast("date")) | (F.col(date) > F.lit(last).cast("date"))
+    by = frame.agg(F.min(date).alias("desde"), F.max(date).alias("hasta"), F.count(F.lit(1)).alias("total"), F.count_if(outside).alias("fuera"))
+    return by.withColumn("valido", F.col("fuera") == 0)
+
+
+def broken_checks(checks: DataFrame) -> DataFrame:
+    """Assertions of `gold_checks` that do not hold."""
+    return checks.filter(~F.col("ok"))
 
 
 def run_status(outcomes: DataFrame, critical: bool = False) -> DataFrame:

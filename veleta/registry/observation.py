@@ -320,7 +320,7 @@ _add(
 _add(
     "enrichment_rows",
     lambda spark, sf_dir: staging.for_enrichment(_docs(spark, sf_dir).select("doc_id", F.when(F.col("lang") == "en", "reddit").when(F.col("lang") == "fr", "devto").otherwise("github").alias("fuente"), F.when(F.col("n_chars") > 500, F.col("text")).alias("texto"))).select("doc_id"),
-    "SELECT doc_id FROM documents WHERE lang IN ('en', 'fr') AND n_chars > 500 AND trim(text) <> ''",
+    "SELECT doc_id FROM documents WHERE lang IN ('en', 'fr') AND n_chars > 500 AND text <> ''",
 )
 
 
