@@ -8,6 +8,7 @@ is one projection of built-in functions and its first matching rule wins.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -136,17 +137,91 @@ TECHNOLOGY_RULES = (
 )
 
 
-def first_match(text: Column, rules: Sequence[tuple], names: Sequence[str], method: str | None = None) -> Column:
-    """Struct of the first rule whose pattern (its last field) occurs in the text, else null; case does not matter."""
+def literals(pattern: str) -> list[str]:
+    """For each alternative of a pattern the longest text that every match of it holds, lower-cased; none if one has no such text.
+
+    Groups, classes and what may be absent count for nothing.
+    """
+    alternatives, depth, quoted, current = [], 0, False, [""]
+    for i, c in enumerate(pattern):
+        if quoted:
+            quoted = False
+            if c.isalnum():  # a class or an anchor
+                current.append("")
+            elif not depth:
+                current[-1] += c
+        elif c == "\\":
+            quoted = True
+        elif c in "([{":
+            if c == "{":
+                current[-1] = current[-1][:-1]
+            depth += 1
+            current.append("")
+        elif c in ")]}":
+            depth -= 1
+            current.append("")
+        elif depth:
+            continue
+        elif c == "|":
+            alternatives.append(current)
+            current = [""]
+        elif c in "?*":
+            current[-1] = current[-1][:-1]
+            current.append("")
+        elif c in ".^$+":
+            current.append("")
+        else:
+            current[-1] += c
+    found = [max(runs, key=len).lower() for runs in (*alternatives, current)]
+    return [] if "" in found else found
+
+
+def folded(text: Column) -> Column:
+    """Text in which a literal occurs wherever a pattern without regard to case finds it."""
+    return F.lower(F.upper(F.translate(text, "İ", "i")))
+
+
+def may_match(hay: Column, pattern: str) -> Column:
+    """Whether folded text holds what every match of the pattern must hold: a search of bytes in place of most patterns' scans."""
+    needed = literals(pattern)
+    return reduce(Column.__or__, [F.contains(hay, F.lit(n)) for n in needed]) if needed else F.lit(True)
+
+
+def first_match(text: Column, rules: Sequence[tuple], names: Sequence[str], method: str | None = None, hay: Column | None = None) -> Column:
+    """Struct of the first rule whose pattern (its last field) occurs in the text, else null; case does not matter.
+
+    `hay`, the folded text, spares the patterns of rules whose literals it lacks.
+    """
     found = []
     for *values, pattern in rules:
         fields = [F.lit(v).alias(n) for n, v in zip(names, values)]
         if method is not None:
             fields.append(F.lit(method).alias("method"))
-        found.append(F.when(text.rlike("(?iuU)" + pattern), F.struct(*fields)))
+        hit = text.rlike("(?iuU)" + pattern)
+        found.append(F.when(hit if hay is None else may_match(hay, pattern) & hit, F.struct(*fields)))
     return F.coalesce(*found)
 
 
+def first_number(text: Column, rules: Sequence[tuple]) -> Column:
+    """Number of the first rule that matches, else null.
+
+    The text is folded once and bound to a variable: as a lambda the chain is
+    no part of the stage's generated method, which a chain of many patterns
+    makes too long for the machine to compile.
+    """
+
+    def tried(t: Column) -> Column:
+        return F.coalesce(*[F.when(may_match(t["hay"], r[-1]) & t["text"].rlike("(?iuU)" + r[-1]), F.lit(i)) for i, r in enumerate(rules)])
+
+    bound = F.when(text != "", F.array(F.struct(text.alias("text"), folded(text).alias("hay"))))
+    return F.transform(bound, tried)[0]
+
+
+def rule_values(number: Column, rules: Sequence[tuple], names: Sequence[str]) -> list[Column]:
+    """The named fields of the rule with that number."""
+    return [F.get(F.array(*[F.lit(r[i]) for r in rules]), number).alias(n) for i, n in enumerate(names)]
+
+
 def lookup(key: Column, table: Mapping[str, tuple | str], names: Sequence[str], method: str | None = None) -> Column:
     """Struct of the table row whose key equals `key`, else null."""
     found = []
@@ -161,7 +236,7 @@ def lookup(key: Column, table: Mapping[str, tuple | str], names: Sequence[str],
 
 def clean_text(column: Column) -> Column:
     """Text without outer white space; null and written-out nulls are empty."""
-    text = F.regexp_replace(F.coalesce(column.cast("string"), F.lit("")), r"^\s+|\s+$", "")
+    text = F.btrim(F.coalesce(column.cast("string"), F.lit("")), F.lit(" \t\n\x0b\x0c\r"))
     return F.when(text.isin("nan", "None", "<NA>"), F.lit("")).otherwise(text)
 
 
@@ -172,7 +247,7 @@ def detect_agent(direct: Column, title: Column, text: Column, aliases: Sequence[
     context = F.replace(context, F.lit("_"), F.lit(" "))
 
     def chain(value: Column) -> Column:
-        return F.coalesce(*[F.when(value.rlike(rf"(?U)\b{alias}\b"), F.lit(name)) for alias, name in aliases])
+        return F.coalesce(*[F.when(F.contains(value, F.lit(alias)) & value.rlike(rf"(?U)\b{alias}\b"), F.lit(name)) for alias, name in aliases])
 
     return F.coalesce(chain(named), chain(context), F.lit(OTHER_AGENT))
 
@@ -193,7 +268,10 @@ def _col(df: DataFrame, name: str) -> Column:
 
 def enrich(df: DataFrame) -> DataFrame:
     """Platform, technology, signal type and community of observations, each with the method that found it."""
-    c = {n: _col(df, n) for n in ("fuente", "tecnologia_raw", "llm_entorno_uso", "llm_tipo_integracion", "titulo", "texto", "llm_capacidades", "nombre_agente", "comunidad_raw", "tipo_comunidad_raw", "region_comunidad_raw")}
+    names = ("fuente", "tecnologia_raw", "llm_entorno_uso", "llm_tipo_integracion", "titulo", "texto", "llm_capacidades", "nombre_agente", "comunidad_raw", "tipo_comunidad_raw", "region_comunidad_raw")
+    clean = {n: f"clean_{n}_" for n in names}
+    df = df.withColumns({c: _col(df, n) for n, c in clean.items()} | {"source_": F.lower(_col(df, "fuente")), "agent_": F.lower(_col(df, "nombre_agente"))})
+    c = {n: F.col(v) for n, v in clean.items()}  # cleaned once; what follows looks at them many times
     structured = F.concat_ws(" | ", c["tecnologia_raw"], c["llm_entorno_uso"], c["llm_tipo_integracion"])
     context = F.concat_ws(" | ", structured, c["titulo"], c["texto"], c["llm_capacidades"])
     tech_context = F.concat_ws(" | ", c["tecnologia_raw"], c["titulo"], c["texto"], c["llm_capacidades"])
@@ -202,25 +280,25 @@ def enrich(df: DataFrame) -> DataFrame:
     def fixed(names: Sequence[str], *values: str) -> Column:
         return F.struct(*[F.lit(v).alias(n) for n, v in zip((*names, "method"), (*values, "sin_evidencia"))])
 
-    rows = df.withColumn("structured_", structured).withColumn("context_", context).withColumn("tech_", tech_context)
-    rows = rows.withColumn(
-        "platform_",
-        F.coalesce(
-            first_match(F.col("structured_"), PLATFORM_RULES, place, "metadata_estructurada"),
-            first_match(F.col("context_"), PLATFORM_RULES, place, "regla_contextual"),
-            lookup(F.lower(c["nombre_agente"]), AGENT_PLATFORMS, place, "regla_agente"),
-            fixed(place, "No determinada", "No determinado", "No determinado"),
-        ),
-    ).withColumn(
-        "technology_",
-        F.coalesce(
-            first_match(c["tecnologia_raw"], TECHNOLOGY_RULES, tool, "metadata_estructurada"),
-            first_match(F.col("tech_"), TECHNOLOGY_RULES, tool, "regla_contextual"),
-            fixed(tool, "No determinada", "No determinada", "No determinado"),
-        ),
+    rows = df.withColumns({"place_1_": first_number(structured, PLATFORM_RULES), "tool_1_": first_number(c["tecnologia_raw"], TECHNOLOGY_RULES)})
+    once = lambda first, second: F.when(F.col(first).isNull(), second)
+    rows = rows.withColumns({"place_2_": once("place_1_", first_number(context, PLATFORM_RULES)), "tool_2_": once("tool_1_", first_number(tech_context, TECHNOLOGY_RULES))})
+
+    def found(first: str, second: str, rules: Sequence[tuple], names: Sequence[str]) -> Column:
+        method = F.when(F.col(first).isNotNull(), "metadata_estructurada").otherwise("regla_contextual").alias("method")
+        number = F.coalesce(first, second)
+        return F.when(number.isNotNull(), F.struct(*rule_values(number, rules, names), method))
+
+    nothing = {"platform_": ("No determinada", "No determinado", "No determinado"), "technology_": ("No determinada", "No determinada", "No determinado")}
+    rows = rows.withColumns(
+        {
+            "platform_": F.coalesce(found("place_1_", "place_2_", PLATFORM_RULES, place), lookup(F.col("agent_"), AGENT_PLATFORMS, place, "regla_agente"), fixed(place, *nothing["platform_"])),
+            "technology_": F.coalesce(found("tool_1_", "tool_2_", TECHNOLOGY_RULES, tool), fixed(tool, *nothing["technology_"])),
+        }
     )
-    source = F.lower(c["fuente"])
-    community = lookup(source, SOURCE_COMMUNITIES, ("name", "kind"))
+    source = F.col("source_")
+    rows = rows.withColumns({"community_": lookup(source, SOURCE_COMMUNITIES, ("name", "kind")), "signal_": lookup(source, SOURCE_SIGNALS, ("name",))})
+    community = F.col("community_")
     given = lambda n: F.nullif(c[n], F.lit(""))
     return rows.withColumns(
         {
@@ -233,13 +311,13 @@ def enrich(df: DataFrame) -> DataFrame:
             "dim_categoria_tecnologia": F.col("technology_.category"),
             "dim_dominio_tecnologico": F.col("technology_.domain"),
             "dim_tecnologia_metodo": F.col("technology_.method"),
-            "dim_tipo_senal": F.coalesce(lookup(source, SOURCE_SIGNALS, ("name",))["name"], F.lit("Observación digital")),
+            "dim_tipo_senal": F.coalesce(F.col("signal_.name"), F.lit("Observación digital")),
             "dim_nombre_comunidad": F.coalesce(given("comunidad_raw"), community["name"], F.lit("Comunidad no determinada")),
             "dim_tipo_comunidad": F.coalesce(given("tipo_comunidad_raw"), community["kind"], F.lit("comunidad no determinada")),
             "dim_region_comunidad": F.coalesce(given("region_comunidad_raw"), F.lit("Global")),
             "dim_comunidad_metodo": F.when(c["comunidad_raw"] != "", "metadata_estructurada").otherwise("regla_fuente"),
         }
-    ).drop("structured_", "context_", "tech_", "platform_", "technology_")
+    ).drop(*clean.values(), "source_", "agent_", "community_", "signal_", "platform_", "technology_", "place_1_", "place_2_", "tool_1_", "tool_2_")
 
 
 def method_shares(df: DataFrame, method: str) -> DataFrame:
