@@ -7,6 +7,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from veleta.operators.quantiles import medians as exact_medians
+
 
 def first_existing(df: DataFrame, columns: Sequence[str], default: object = None) -> Column:
     """The first of the columns that the schema has, whatever its values; else the default."""
@@ -107,11 +109,8 @@ def impute(df: DataFrame, strategies: Mapping[str, str]) -> DataFrame:
         elif strategy == "zero":
             out = out.fillna(0, [c])
     if medians:
-        middle = out.agg(*[F.median(c).alias(f"median_{c}") for c in medians])
-        out = out.join(middle)
-        for c in medians:
-            out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.col(f"median_{c}")))
-        out = out.drop(*[f"median_{c}" for c in medians])
+        for c, middle in exact_medians(out, medians).items():
+            out = out.withColumn(c, F.coalesce(F.col(c).cast("double"), F.lit(middle).cast("double")))
     return out
 
 

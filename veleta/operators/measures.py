@@ -6,6 +6,9 @@ that a group-by has already reduced to months, sources, agents or platforms.
 
 from __future__ import annotations
 
+from collections.abc import Mapping, Sequence
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -67,7 +70,28 @@ def share_where(df: DataFrame, group: str, condition: Column, name: str, digits:
     return df.groupBy(group).agg(F.round(F.avg(F.when(condition, 1.0).otherwise(0.0)) * 100, digits).alias(name))
 
 
+def with_distinct_counts(df: DataFrame, by: Sequence[str], members: Mapping[str, str | Column], sums: Sequence[tuple[str, Column, str]]) -> DataFrame:
+    """Distinct members of several columns, and further aggregates, by the given columns (none: one row), in two levels.
+
+    Rows are combined to one for each combination of members first, which one
+    shuffle brings together; every column is counted from there. Rows are not
+    multiplied by the number of columns. `sums`: name, partial aggregate, and
+    the function that puts partial ones together (sum, min, max).
+    """
+    named = {n: F.col(c) if isinstance(c, str) else c for n, c in members.items()}
+    cells = df.groupBy(*[F.col(b) for b in by], *[c.alias(f"m_{n}") for n, c in named.items()]).agg(*[partial.alias(n) for n, partial, _ in sums])
+    out = cells.groupBy(*by).agg(*[getattr(F, how)(n).alias(n) for n, _, how in sums])
+    for n in named:
+        one = cells.filter(F.col(f"m_{n}").isNotNull()).select(*by, f"m_{n}").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias(n))
+        if by:
+            same = reduce(Column.__and__, [F.col(f"l_.{b}").eqNullSafe(F.col(f"r_.{b}")) for b in by])
+            out = out.alias("l_").join(one.alias("r_"), same, "left").select("l_.*", F.coalesce(F.col(f"r_.{n}"), F.lit(0)).alias(n))
+        else:
+            out = out.join(one)
+    return out
+
+
 def union_counts(df: DataFrame, members: dict[str, str], total: str = "filas") -> DataFrame:
     """Rows, and distinct members of each named column, one row each."""
-    wide = df.agg(F.count(F.lit(1)).alias(total), *[F.count_distinct(c).alias(n) for n, c in members.items()])
-    return wide.unpivot([], [total, *members], "medida", "n")
+    wide = with_distinct_counts(df, [], members, [(total, F.count(F.lit(1)), "sum")])
+    return wide.select(*[F.coalesce(c, F.lit(0)).alias(c) for c in (total, *members)]).unpivot([], [total, *members], "medida", "n")

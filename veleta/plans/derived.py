@@ -7,6 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from veleta.operators.measures import change, moving_average, share, top_and_others
+from veleta.operators.quantiles import medians
 from veleta.plans import kpi
 from veleta.plans.kpi import by_month
 
@@ -78,12 +79,12 @@ def valid_scores(points: DataFrame, columns: list[str]) -> DataFrame:
 def quadrants(points: DataFrame, label: str = "nombre_agente", x: str = "adopcion", y: str = "popularidad", volume: str = "total_observaciones") -> DataFrame:
     """Quadrant of each point by the medians of both scores, and logarithmic places."""
     rows = valid_scores(points.filter(F.col(label).isNotNull() & (F.col(label) != "")), [x, y])
-    medians = rows.agg(F.median(x).alias("mx_"), F.median(y).alias("my_"))
+    middle = medians(rows, [x, y])
     size = F.coalesce(F.expr(f"try_cast(`{volume}` as double)"), F.lit(0.0))
     size = F.when(F.isnan(size) | (F.abs(size) == float("inf")) | (size < 0), 0.0).otherwise(size)
-    high_x, high_y = F.col(x) >= F.col("mx_"), F.col(y) >= F.col("my_")
+    high_x, high_y = F.col(x) >= F.lit(middle[x]), F.col(y) >= F.lit(middle[y])
     name = F.when(high_x & high_y, "lideres").when(high_y, "populares").when(high_x, "adoptados").otherwise("emergentes")
-    return rows.join(medians).select(
+    return rows.select(
         label,
         x,
         y,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from veleta.operators.measures import change, mean, share
+from veleta.operators.measures import change, mean, share, with_distinct_counts
 from veleta.plans.gold import MONTHS
 
 
@@ -93,16 +93,18 @@ def platform_distribution(act: DataFrame) -> DataFrame:
 def overall(act: DataFrame, first_year: int, last_year: int) -> DataFrame:
     """One row over a range of years."""
     kept = act.filter(F.year("fecha_evento").between(first_year, last_year))
-    return kept.agg(
-        rows(),
-        F.count_distinct("nombre_agente").alias("agentes"),
-        F.count_distinct("nombre_fuente").alias("fuentes"),
-        F.count_distinct("nombre_plataforma").alias("plataformas"),
-        mentions(),
-        mean("score_adopcion").alias("promedio_adopcion"),
-        F.min("fecha_evento").alias("primera_fecha"),
-        F.max("fecha_evento").alias("ultima_fecha"),
-    )
+    members = {"agentes": "nombre_agente", "fuentes": "nombre_fuente", "plataformas": "nombre_plataforma"}
+    sums = [
+        ("total_observaciones", F.count(F.lit(1)), "sum"),
+        ("total_menciones", F.sum("cantidad_menciones"), "sum"),
+        ("adopcion_", F.sum("score_adopcion"), "sum"),
+        ("adopciones_", F.count("score_adopcion"), "sum"),
+        ("primera_fecha", F.min("fecha_evento"), "min"),
+        ("ultima_fecha", F.max("fecha_evento"), "max"),
+    ]
+    one = with_distinct_counts(kept, [], members, sums)
+    one = one.withColumn("total_observaciones", F.coalesce("total_observaciones", F.lit(0)))
+    return one.withColumn("promedio_adopcion", F.round(F.col("adopcion_").cast("double") / F.col("adopciones_"), 4)).drop("adopcion_", "adopciones_")
 
 
 def top_agents(act: DataFrame, most: int = 10) -> DataFrame:

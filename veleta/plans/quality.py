@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from veleta.operators.keys import SNAPSHOT_KEY, identity, latest_per_key, snapshot_removed
-from veleta.operators.measures import first_per_stratum
+from veleta.operators.measures import first_per_stratum, with_distinct_counts
 from veleta.operators.rules import OTHER_AGENT
 
 #: Texts that count as not covered.
@@ -316,13 +316,8 @@ def distribution(frame: DataFrame, column: str) -> DataFrame:
 
 def staging_summary(frame: DataFrame, date: str, source: str, agent: str, first: str, last: str) -> DataFrame:
     """One row: totals, distinct members, date span in days, and whether the period is inside the expected one."""
-    by = frame.agg(
-        F.count(F.lit(1)).alias("total"),
-        F.count_distinct(source).alias("fuentes"),
-        F.count_distinct(agent).alias("agentes"),
-        F.min(date).alias("desde"),
-        F.max(date).alias("hasta"),
-    )
+    sums = [("total", F.count(F.lit(1)), "sum"), ("desde", F.min(date), "min"), ("hasta", F.max(date), "max")]
+    by = with_distinct_counts(frame, [], {"fuentes": source, "agentes": agent}, sums).withColumn("total", F.coalesce("total", F.lit(0)))
     inside = (F.col("desde") >= F.lit(first).cast("date")) & (F.col("hasta") <= F.lit(last).cast("date"))
     return by.withColumn("dias", F.datediff("hasta", "desde")).withColumn("periodo", F.when(inside, "VALIDO").otherwise("FUERA DE RANGO"))
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from veleta.operators.measures import change, mean, share
+from veleta.operators.measures import change, mean, share, with_distinct_counts
 from veleta.plans import kpi
 from veleta.plans.kpi import total
 
@@ -87,14 +87,11 @@ SORTABLE = ("total_observaciones", "score_adopcion_total", "score_actividad_tota
 def ranking_page(act: DataFrame, f: Filters, sort_by: str, descending: bool = True, limit: int = 20, offset: int = 0) -> DataFrame:
     if sort_by not in SORTABLE:
         raise ValueError(f"not sortable: {sort_by}")
-    by = _rows(act, f).groupBy("nombre_agente").agg(
-        kpi.rows(),
-        kpi.mentions(),
-        total("score_adopcion", "score_adopcion_total"),
-        total("score_actividad", "score_actividad_total"),
-        F.count_distinct("nombre_fuente").alias("fuentes"),
-        F.count_distinct(F.date_format("fecha_evento", "yyyy-MM")).alias("meses"),
-    )
+    members = {"fuentes": "nombre_fuente", "meses": F.date_format("fecha_evento", "yyyy-MM")}
+    sums = [("total_observaciones", F.count(F.lit(1)), "sum"), ("total_menciones", F.sum("cantidad_menciones"), "sum")]
+    sums += [(f"{c}_total", F.sum(c), "sum") for c in ("score_adopcion", "score_actividad")]
+    by = with_distinct_counts(_rows(act, f), ["nombre_agente"], members, sums)
+    by = by.withColumns({f"{c}_total": F.round(F.col(f"{c}_total").cast("double"), 4) for c in ("score_adopcion", "score_actividad")})
     key = F.desc(sort_by) if descending else F.asc(sort_by)
     return by.withColumn("ranking", F.rank().over(W.orderBy(key))).orderBy("ranking", "nombre_agente").offset(offset).limit(limit)
 
