@@ -94,3 +94,15 @@ def test_versions_under_a_widened_schema(spark, tmp_path):
     wide = tables.read_widened(spark, [f"{tmp_path}/v1", f"{tmp_path}/v2"], {"id": "long", "t": "string", "metodo": "string", "score": "double", "new": "long"}, {"metodo": "regla", "new": 0})
     assert wide.dtypes == [("id", "bigint"), ("t", "string"), ("metodo", "string"), ("score", "double"), ("new", "bigint")]
     assert sorted(map(str, wide.collect())) == sorted(map(str, [r for r in spark.createDataFrame([(1, "a", "regla", None, 0), (2, None, None, 0.5, 0), (3, "b", "x", None, 0)], wide.schema).collect()]))
+
+
+def test_a_date_condition_prunes_the_partitions_of_the_fact(spark, sf_dir):
+    from veleta.plans import star
+    from veleta.registry import runs
+
+    snapshots = runs._star(spark, sf_dir)
+    some = star.activity(snapshots, ["nombre_fuente", "cantidad_menciones"], "1995-01-01", "1995-03-31")
+    plan = some._jdf.queryExecution().executedPlan().toString()
+    assert "dynamicpruning" in plan and "dim_agente" not in plan
+    dates = star.activity(snapshots, ["fecha_evento"])
+    assert some.count() == dates.filter("fecha_evento between '1995-01-01' and '1995-03-31'").count() > 0

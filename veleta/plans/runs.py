@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from veleta import contracts
 from veleta.operators import keys, staging
 from veleta.operators.rules import OTHER_AGENT
-from veleta.plans import gold, quality
+from veleta.plans import gold, quality, star
 from veleta.scratch import keep
 from veleta.sources import raw, sinks
 from veleta.tables import RunTables, Snapshots
@@ -86,12 +86,12 @@ class Warehouse:
     def load(self, active: Sequence[str], profile: str = "all", rebuild: bool = False) -> None:
         """Load the star schema from Staging; a rebuild forgets keys and members of earlier loads."""
         rows = self.store.read("staging").filter(gold.in_profile(F.col("fuente"), active, profile))
-        old = {} if rebuild or not self.store.has("fact") else {n: self.store.read(f"dim_{n}") for n in gold.DIMENSIONS}
-        dims, fact = gold.load(rows, old or None, self.store.read("fact") if old else None)
+        old = None if rebuild or not self.store.has("fact") else star.dimensions(self.store)
+        dims, fact = gold.load(rows, old, None if old is None else star.fact(self.store))
         broken = quality.broken_checks(self.checks(rows, dims, fact)).collect()  # one row an assertion
         if broken:
             raise ValueError("; ".join(f"{r.check_name}: {r.value}" for r in broken))
-        self.store.publish({**{f"dim_{n}": d for n, d in dims.items()}, "fact": fact})
+        star.store(self.store, dims, fact)
 
     @staticmethod
     def checks(rows: DataFrame, dims: Mapping[str, DataFrame], fact: DataFrame) -> DataFrame:

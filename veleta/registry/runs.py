@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from veleta import tables
-from veleta.plans import catalog, quality
+from veleta.plans import catalog, gold, kpi, quality, star
 from veleta.plans.activity import SQL as ACT
 from veleta.plans.activity import activity, read
 from veleta.plans.runs import Warehouse
@@ -261,3 +261,24 @@ _add(
     """WITH u AS (SELECT user_id, count(*) FILTER (value > 5)::BIGINT AS raw, count(*) FILTER (event_type = 'error')::BIGINT AS load_errors, min(CASE WHEN event_type = 'purchase' THEN 'success' ELSE 'partial_success' END) AS requested FROM events GROUP BY 1)
 SELECT *, CASE WHEN load_errors > 0 THEN 'failed' WHEN raw = 0 THEN 'empty' ELSE requested END AS status FROM u""",
 )
+
+# Reports over the stored star schema.
+
+
+def _star(spark, sf_dir) -> tables.Snapshots:
+    snapshots = tables.Snapshots(spark, shared_folder(spark, "star"))
+    star.store(snapshots, *gold.load(gold_queries._staging(spark, sf_dir)))
+    return snapshots
+
+
+_FACTS = f"""{gold_queries._STAGING}, f AS (SELECT * FROM s QUALIFY row_number() OVER (PARTITION BY agente, fuente, tipo, plat, id_origen_registro ORDER BY fecha DESC, file DESC, record DESC, l_returnflag DESC, l_linestatus DESC, i DESC, pop DESC) = 1)"""
+_add(
+    "star_source_share",
+    lambda spark, sf_dir: kpi.source_share(star.activity(_star(spark, sf_dir), ["nombre_fuente", "tipo_fuente", "cantidad_menciones", "cantidad_interacciones"], "1995-03-10", "1996-11-20")),
+    f"WITH {_FACTS} SELECT fuente AS nombre_fuente, tipo AS tipo_fuente, count(*)::BIGINT AS total_observaciones, sum(m)::BIGINT AS total_menciones, sum(i)::BIGINT AS total_interacciones, round(count(*) * 100.0 / sum(count(*)) OVER (), 2)::DOUBLE AS porcentaje_participacion FROM f WHERE fecha BETWEEN DATE '1995-03-10' AND DATE '1996-11-20' GROUP BY 1, 2",
+)
+_add(
+    "star_monthly_trend",
+    lambda spark, sf_dir: kpi.by_month(star.activity(_star(spark, sf_dir), ["fecha_evento", "cantidad_menciones", "cantidad_interacciones", "score_actividad", "score_popularidad", "score_adopcion"])).drop("promedio_adopcion"),
+    f"WITH {_FACTS} SELECT year(fecha)::INTEGER AS anio, month(fecha)::INTEGER AS mes, count(*)::BIGINT AS total_observaciones, sum(m)::BIGINT AS total_menciones, sum(i)::BIGINT AS total_interacciones, round(sum(i + p_size)::DOUBLE, 4) AS score_actividad_total, round(sum(pop::DECIMAL(12,4))::DOUBLE / count(*), 4) AS promedio_popularidad FROM f GROUP BY 1, 2",
+)
