@@ -59,14 +59,6 @@ def _decoded(path: Column) -> Column:
     return F.try_url_decode(F.replace(path, F.lit("+"), F.lit("%2B")))
 
 
-def scan_files(spark: SparkSession, root: str, pattern: str = "*", sources: Sequence[str] | None = None) -> DataFrame:
-    """One row for each file: path, source (its first folder), size, SHA-256 and content."""
-    rows = _listed(spark, root, pattern).select(
-        "ruta", F.col("length").alias("bytes"), F.col("modificationTime").alias("modificado"), F.sha2("content", 256).alias("hash_sha256"), "content", "fuente"
-    )
-    return _in_sources(rows, sources)
-
-
 def json_records(files: DataFrame) -> DataFrame:
     """Records of JSON files: an envelope with `items`, a list, or one object; as JSON text with their place.
 
@@ -169,12 +161,13 @@ def split_records(spark: SparkSession, root: str, pattern: str = "*", sources: S
         F.bool_and(F.is_valid_utf8("value")).alias("valid"), F.max("bytes").alias("bytes"), F.max("modificado").alias("modificado"),
     )
     listed = F.startswith(F.col("head"), F.lit("["))
-    files = keep(spark, whole.join(marked, "ruta", "left").select(
+    files = whole.join(marked, "ruta", "left").select(
         "*",
         F.when(listed, 1).when(F.col("mark").isNotNull(), 2).alias("level"),
         F.when(listed, F.col("first")).otherwise(F.col("mark")).alias("start"),
-        F.when(listed, (F.col("head") == "[]")).otherwise(F.col("mark_end") == "]").alias("none"),
-    ), "split-files")
+        F.when(listed, F.col("head") == "[]").otherwise(F.col("mark_end") == "]").alias("none"),
+    )
+    files = keep(spark, files, "split-files")
     rows = rows.join(files.filter("not none").select("ruta", "level", "start"), "ruta").filter(at >= F.col("start"))
     ended = (at > F.col("start")) & (F.col("before") == F.col("level")) & F.col("outside").rlike(r"^\s*\]")
     ends = keep(spark, rows.filter(ended).groupBy("ruta").agg(F.min(at).alias("end")), "ends")
