@@ -13,6 +13,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from veleta.scratch import keep
+
 
 def mean(column: str, digits: int = 4) -> Column:
     """Mean as a rounded double quotient, the same in every engine."""
@@ -73,13 +75,14 @@ def share_where(df: DataFrame, group: str, condition: Column, name: str, digits:
 def with_distinct_counts(df: DataFrame, by: Sequence[str], members: Mapping[str, str | Column], sums: Sequence[tuple[str, Column, str]]) -> DataFrame:
     """Distinct members of several columns, and further aggregates, by the given columns (none: one row), in two levels.
 
-    Rows are combined to one for each combination of members first, which one
-    shuffle brings together; every column is counted from there. Rows are not
-    multiplied by the number of columns. `sums`: name, partial aggregate, and
+    Rows are combined to one for each combination of members first, in one pass
+    that is written to the shared folder; every column is counted from there.
+    Rows are not multiplied by the number of columns. `sums`: name, partial aggregate, and
     the function that puts partial ones together (sum, min, max).
     """
     named = {n: F.col(c) if isinstance(c, str) else c for n, c in members.items()}
     cells = df.groupBy(*[F.col(b) for b in by], *[c.alias(f"m_{n}") for n, c in named.items()]).agg(*[partial.alias(n) for n, partial, _ in sums])
+    cells = keep(df.sparkSession, cells, "cells")  # each count reads other columns of it, so that no shuffle would be shared
     out = cells.groupBy(*by).agg(*[getattr(F, how)(n).alias(n) for n, _, how in sums])
     for n in named:
         one = cells.filter(F.col(f"m_{n}").isNotNull()).select(*by, f"m_{n}").distinct().groupBy(*by).agg(F.count(F.lit(1)).alias(n))
