@@ -7,12 +7,14 @@ number of rows.
 
 1. Every input partition first fills a trie of its own, so that a text leaves
    a partition about once however many copies it has there. A trie over its
-   memory bound spills its largest subtree: the owners in it are handed on. So
-   a hot text comes from each input partition about once, and the task of its
-   hash reads that many copies of it, one after the other.
+   memory bound spills its largest subtree: the owners in it are handed on.
 2. Owners are shuffled by (hash, length) and sorted by them, so that a trie
    holds only the subtree of the current hash: when the next hash begins, the
-   finished subtree is spilled to the output and forgotten.
+   finished subtree is spilled to the output and forgotten. A hot text would
+   come here from every input partition, whole, into one task. Texts of more
+   than `FAN_IN` rows are therefore merged in a tree: a salt deals their copies
+   by input partition, and every step leaves one copy in about `FAN_IN`. Rows
+   are counted by (hash, length) first, which shuffles no text.
 3. Documents look up the owner of their text. Only texts with several rows
    take part in that join; a hot text is one row on its small side, and where
    these are few (`BROADCAST_OWNERS`) whole documents are not shuffled for it.
@@ -39,6 +41,8 @@ from veleta.llm.text import packed
 
 #: Bytes of distinct text that one trie may hold before it spills a subtree.
 TRIE_BYTES = 48 << 20
+#: Copies of one text that a task merges in one step.
+FAN_IN = 64
 #: Up to so many texts with copies are broadcast to drop them (about 200 bytes each); beyond, they are joined by a shuffle.
 BROADCAST_OWNERS = 1 << 17
 
@@ -136,7 +140,8 @@ class OwnerTrie:
 _HEAD = 12  # bytes of hash and length before the text
 OWNER_FIELDS = "h long, n int, body binary, owner long, n_rows long"
 _OWNERS = pa.schema([("h", pa.int64()), ("n", pa.int32()), ("body", pa.binary()), ("owner", pa.int64()), ("n_rows", pa.int64())])
-_CLASSES = pa.schema([("text_sha256", pa.string()), ("n_bytes", pa.int32()), ("owner", pa.int64()), ("n_rows", pa.int64())])
+SETTLED_FIELDS = "h long, n int, salt int, body binary, owner long, n_rows long, text_sha256 string"
+_SETTLED = pa.schema([*list(_OWNERS)[:2], ("salt", pa.int32()), *list(_OWNERS)[2:], ("text_sha256", pa.string())])
 
 
 def _key(h: int, n: int, body: bytes) -> bytes:
@@ -172,41 +177,71 @@ def combine(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def settle(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Final owners of one (hash, length) partition, sorted by hash; texts with one row are left out."""
-    trie, current, rows = OwnerTrie(), None, []
-
-    def finished() -> None:
-        rows.extend(
-            (hashlib.sha256(memoryview(k)[_HEAD:]).hexdigest(), len(k) - _HEAD, owner, n) for k, owner, n in trie.spill_all() if n > 1
-        )
+    """Merged owners of rows sorted by (hash, length, salt).
+
+    Texts with a salt go on to the next step; those without are done: they are
+    left with their digest instead of their bytes, or left out if they have one row.
+    """
+    trie, current, rows, size = OwnerTrie(), None, [], 0
+
+    def finished() -> int:
+        added = 0
+        for key, owner, n_rows in trie.spill_all():
+            if current[2] is not None:
+                rows.append((*current, key[_HEAD:], owner, n_rows, None))
+                added += len(key)
+            elif n_rows > 1:
+                rows.append((*current, None, owner, n_rows, hashlib.sha256(memoryview(key)[_HEAD:]).hexdigest()))
+        return added
 
     def out() -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _CLASSES.types)], schema=_CLASSES)
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows), _SETTLED.types)], schema=_SETTLED)
 
     for batch in batches:
-        h, n, body, owner, n_rows = (batch.column(i) for i in range(5))
+        h, n, salt, body, owner, n_rows = (batch.column(i) for i in range(6))
         for i in range(batch.num_rows):
-            head = (h[i].as_py(), n[i].as_py())
+            head = (h[i].as_py(), n[i].as_py(), salt[i].as_py())
             if head != current:
-                finished()
+                size += finished()
                 current = head
-                if len(rows) >= 10_000:
+                if len(rows) >= 10_000 or size > 8 << 20:
                     yield out()
                     rows.clear()
-            trie.insert(_key(*head, body[i].as_py()), owner[i].as_py(), n_rows[i].as_py())
+                    size = 0
+            trie.insert(_key(*head[:2], body[i].as_py()), owner[i].as_py(), n_rows[i].as_py())
     finished()
     if rows:
         yield out()
 
 
+def _settled(rows: DataFrame) -> DataFrame:
+    at = ["h", "n", "salt"]
+    return rows.select(*at, "body", "owner", "n_rows").repartition(*at).sortWithinPartitions(*at).mapInArrow(settle, SETTLED_FIELDS)
+
+
 def owners(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Texts that several rows share: text_sha256, n_bytes, owner (smallest identifier), n_rows."""
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     text = docs.select(normalised(F.col(text_col)).alias("t"), F.col(id_col).cast("long").alias("owner"))
     keyed = text.select(F.xxhash64("t").alias("h"), F.octet_length("t").alias("n"), F.col("t").cast("binary").alias("body"), "owner")
+    parts = keyed.select("h", "n", F.spark_partition_id().alias("part")).groupBy("h", "n").agg(F.count(F.lit(1)).alias("copies"), F.max("part").alias("part"))
+    hot = keep(spark, parts.filter(F.col("copies") > FAN_IN).select("h", "n", "part"), "hot")
+    n_hot, last = hot.agg(F.count(F.lit(1)), F.coalesce(F.max("part"), F.lit(0))).first()
+    width = -(-(last + 1) // FAN_IN)  # salts of the first step
     local = keyed.mapInArrow(combine, OWNER_FIELDS)
-    dealt = local.repartition("h", "n").sortWithinPartitions("h", "n")
-    return dealt.mapInArrow(settle, "text_sha256 string, n_bytes int, owner long, n_rows long")
+    if width == 1:
+        salted = local.withColumn("salt", F.lit(None).cast("int"))
+    else:
+        names = hot.select("h", "n", F.lit(True).alias("hot"))
+        local = local.withColumn("part", F.spark_partition_id()).join(F.broadcast(names) if n_hot <= BROADCAST_OWNERS else names, ["h", "n"], "left")
+        salted = local.withColumn("salt", F.when(F.col("hot"), F.col("part") % width).cast("int"))
+    found = _settled(salted)
+    while width > 1:
+        found, width = keep(spark, found, "merged"), -(-width // FAN_IN)
+        salt = F.col("salt") % width if width > 1 else F.lit(None)
+        found = found.filter("salt is null").unionByName(_settled(found.filter("salt is not null").withColumn("salt", salt.cast("int"))))
+    return found.select("text_sha256", F.col("n").alias("n_bytes"), "owner", "n_rows")
 
 
 def assign(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
