@@ -149,6 +149,20 @@ def test_drop_copies_keeps_columns(odd, empty):
     assert exact_dedup.drop_copies(empty).count() == 0
 
 
+@pytest.mark.parametrize("fan_in, hot", [(2, 1 << 17), (3, 0)])
+def test_hot_texts_are_merged_in_a_tree(spark, docs, monkeypatch, fan_in, hot):
+    """A text in every one of 11 partitions goes through several steps; so many hot texts as to be joined by a shuffle, too."""
+    monkeypatch.setattr(exact_dedup, "FAN_IN", fan_in)
+    monkeypatch.setattr(exact_dedup, "BROADCAST_OWNERS", hot)
+    same = spark.range(100).select((1000 - F.col("id")).alias("doc_id"), F.when(F.col("id") % 3 > 0, "a  hot\ntext").otherwise("x").alias("text"))
+    rows = docs.select("doc_id", "text").limit(40).unionByName(same).repartition(11)
+    rows = exact_dedup.keep(spark, rows, "rows").repartition(11, "doc_id")
+    got = sorted(map(str, rows_of(exact_dedup.assign(rows))))
+    assert got == sorted(map(str, brute_owners([(r.doc_id, r.text) for r in rows.collect()])))
+    owners = {r.n_rows: r.owner for r in exact_dedup.owners(rows).filter("n_rows > 30").collect()}
+    assert owners == {66: 902, 34: 901}
+
+
 def test_trie_owners_and_spill():
     rng = random.Random(3)
     keys = ["".join(rng.choice("ab") for _ in range(rng.randint(1, 12))).encode() for _ in range(2000)]
@@ -371,6 +385,53 @@ def test_field_runs_without_base_spans_and_knows_secrets():
     assert all(k == "email" for k, _, _ in found)
 
 
+def test_numbers_in_a_list_are_tokens_of_their_own():
+    def added(text):
+        return [(k, text[a:b]) for k, a, b in pii.added_spans(text, pii.base_spans(text))]
+
+    phone = "Call +1 415 555 2671 or fax +1 415 555 2671; then "
+    assert added(phone + "14155552671 14155552672") == [("phone", "14155552671")]
+    assert added(phone + "14155552671 2024-01-05") == [("phone", "14155552671")]
+    assert added(phone + "2024-01-05 1 415 555 2671 77") == [("phone", "1 415 555 2671")]
+    assert added(phone + "1 4155552671 or 3141592653589") == [("phone", "1 4155552671")]
+    assert added(" ".join(str(10**10 + 7 * i) for i in range(50))) == []
+    mail = "a.bcde@x.org or a.bcde@x.org, "
+    assert added(mail + "(a.bcde@localhost).") == [("email", "a.bcde@localhost")]
+    rows = ",".join(f"a.bcde@x{i}.org" for i in range(8))
+    assert pii._tokens(rows, pii.base_spans(rows)) == [(a, b) for _, a, b in pii.base_spans(rows)] and len(pii.base_spans(rows)) == 8
+
+
+@pytest.mark.parametrize("seed", range(40))
+def test_added_spans_are_those_of_the_exact_field(seed):
+    """Small documents: tokens do not overlap, and what is added is what exact enumeration labels with certainty."""
+    import itertools
+
+    rng = random.Random(seed)
+    some = ["+1 415 555 2671", "14155552671", "1 415 555 2671", "4155552671", "2024-01-05", "77", "tel", "a.bcde@x.org", "a.bcde@localhost", "and", "4111 1111 1111 1111", "4111111111111111", "10.0.0.1", ","]
+    text = " ".join(rng.choice(some) for _ in range(6))
+    spans = pii.base_spans(text)
+    tokens, w = pii._tokens(text, spans), pii.WEIGHTS
+    assert all(x[1] <= y[0] for x, y in zip(tokens, tokens[1:]))
+    labels = pii._labels(tokens, spans)
+    e = pii._features(text, tokens) @ np.array([w.shape, w.cue, w.secret_shape, w.secret_cue])
+    e[:, 0] += w.other
+    for i, y in enumerate(labels):
+        e[i, max(y, 0)] += pii.HELD * (y != 0)
+    edges = pii._edges([pii._key(text[a:b]) for a, b in tokens])
+    total = np.zeros_like(e)
+    for x in itertools.product(*[range(6) if not y else [max(y, 0)] for y in labels]):
+        p = np.exp(sum(e[i, v] - e[i].max() for i, v in enumerate(x)) + sum(getattr(w, k) * (x[i] == x[j]) for i, j, k in edges))
+        for i, v in enumerate(x):
+            total[i, v] += p
+    p = total / total.sum(1, keepdims=True) if tokens else total
+    sure = {i: p[i].max() for i, y in enumerate(labels) if not y and p[i].argmax()}
+    got = set(pii.added_spans(text, spans))
+    for i, v in sure.items():
+        if abs(v - pii.CERTAIN) > 0.03:
+            assert ((pii.LABELS[p[i].argmax() - 1], *tokens[i]) in got) == (v > pii.CERTAIN), text
+    assert {(a, b) for _, a, b in got} <= {tokens[i] for i in sure}
+
+
 def test_tokens_take_linear_time():
     import time
 
@@ -390,7 +451,7 @@ def test_field_learning_finds_the_optimum(spark, docs):
     def value(v):
         total, n = 0.0, 0
         for (p, y), times in patterns.items():
-            x = np.array([int(c) for c in p], float).reshape(len(pii.LABELS) + 1, -1)
+            x = pii.features_of(p)
             x = np.concatenate([np.eye(len(x))[:, :1], x], 1)
             s = x @ v
             total, n = total + times * (s[y] - np.log(np.exp(s).sum())), n + times
@@ -791,12 +852,28 @@ def plain_quality(text):
 
 
 def test_pipeline_stages_on_odd_rows(spark, odd, empty, sf_dir):
-    """Every stage but the last keeps the columns of its input and goes through nulls, repeats and an empty table."""
-    for rows in (odd, empty):
-        for name, stage in corpus_pipeline.STAGES:
-            out = stage(spark, rows, sf_dir)
-            assert name == "packing" or out.columns == rows.columns
-            assert out.count() >= 0
-    long = odd.withColumn("text", F.concat_ws(" ", "text", F.lit(" ".join(f"w{i}" for i in range(60)))))
-    near = corpus_pipeline.drop_near_copies(spark, long, sf_dir)
-    assert {r.doc_id for r in near.collect()} <= {r.doc_id for r in odd.collect()}
+    """Every stage but the last keeps the columns of its input, and each does to odd rows what the pipeline states."""
+    for name, stage in corpus_pipeline.STAGES:
+        out = stage(spark, empty, sf_dir)
+        assert (name == "packing" or out.columns == empty.columns) and out.count() == 0
+    stages = dict(corpus_pipeline.STAGES)
+    ids = lambda rows: Counter(r.doc_id for r in rows.collect())
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    # null, empty and blank texts fail the rules
+    good = " ".join(f"The word{i} of that day and {i} more." for i in range(30))
+    more = odd.unionByName(odd.limit(1).withColumns({"doc_id": F.lit(77).cast("long"), "text": F.lit(good)}))
+    assert ids(stages["quality_rules"](spark, more, sf_dir)) == Counter([77, *[i for i, t in rows if plain_quality(t)]])
+    # of equal texts the rows with the smallest identifier
+    want = Counter(i for i, keep, _, _, _ in brute_owners(rows) if i == keep)
+    assert ids(stages["exact_dedup"](spark, odd, sf_dir)) == want
+    # near copies: 3 repeats 2 but for its end; the one without an identifier and a repeated identifier stay
+    base = " ".join(f"w{i}" for i in range(60))
+    near = [(2, base), (3, base + " end"), (4, None), (4, None), (None, base), (5, "w1 w2"), (6, "w1 w2"), (7, ""), (8, "")]
+    first = odd.limit(1).drop("doc_id", "text").crossJoin(spark.createDataFrame(near, "doc_id long, text string")).select(odd.columns)
+    assert ids(stages["jaccard_join"](spark, first, sf_dir)) == Counter([2, 4, 4, None, 5, 7, 8])
+    # redaction keeps every row; a text without personal data stays as it is
+    out = stages["pii"](spark, odd, sf_dir)
+    assert ids(out) == Counter(i for i, _ in rows)
+    assert Counter(r.text for r in out.collect() if "[" not in (r.text or "")) == Counter(t for _, t in rows if "[" not in pii.redact_text(t or ""))
+    if "n_chars" in odd.columns:
+        assert all(r.n_chars == (None if r.text is None else len(r.text)) for r in out.collect())

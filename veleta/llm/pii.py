@@ -12,10 +12,20 @@ letters and digits, announced by a word such as "token". The field runs on every
 document that has a token; what it labels with certainty (`CERTAIN`) is added as
 spans, and base spans are never changed.
 
+Tokens are the base spans, words with "@" (cut at commas, quotes and brackets),
+long runs of letters and digits, and numbers. Numbers stand apart at blanks, so
+that each one in a list is a token of its own. Parts written with blanks between
+them have several readings; parts that together give the digits of a base span,
+or of a number without blanks elsewhere in the text, are read as one (the
+leftmost, longest reading first), then short parts that together are similar to
+a base span, then short parts between others, if they have 8 to 19 digits.
+Tokens never overlap.
+
 Skip edges link a token to the previous one with the same key and to the first
-one, so a token repeated m times has 2m edges, not m * m. Numbers are similar
-when they end in the same nine digits, addresses when they share the part
-before "@". Texts are read whole; only documents with a digit or "@" come to a
+one, so a token repeated m times has 2m edges, not m * m; the first token of a
+key is linked to the first and the last of those it is similar to. Numbers are
+similar when one ends in the other, nine digits or more, addresses when they
+share the part before "@". Texts are read whole; only documents with a digit or "@" come to a
 pattern at all.
 
 The weights are learned: base spans label their tokens. A token without a base
@@ -61,10 +71,14 @@ _NOT_DIGIT = re.compile(r"[^0-9]")
 #: Kinds that the field labels.
 LABELS = (*KINDS, "secret")
 #: Tokens of the field: words with "@", long runs that hold letters and digits, and digits with the marks that numbers are written with.
-_WORD = re.compile(r"[^\x20\x09-\x0D]+")
+_WORD = re.compile(r"[^\x20\x09-\x0D,;<>()\[\]{}\"|]+")
 _RUN = re.compile(r"[A-Za-z0-9+/=_-]{20,}")
 _LETTER = re.compile(r"[A-Za-z]")
 _NUMBER = re.compile(r"\+?\(?[0-9](?:[\x20().-]{0,2}[0-9])+")
+#: What stands between the blanks of a number.
+_PART = re.compile(r"\+?\(?[0-9](?:[().-]{0,2}[0-9])*")
+#: A number of so many digits is a token; joined parts have as many as a card at most.
+LEAST_DIGITS, MOST_DIGITS = 8, 19
 
 Span = tuple[str, int, int]
 
@@ -154,7 +168,7 @@ def _key(token: str) -> str:
     """What repeats of a token share: an address in lower case, a secret as it is, the digits of a number."""
     if "@" in token:
         return token.lower().rstrip(".,;:!?)")
-    return token if _is_secret(token) else _NOT_DIGIT.sub("", token)
+    return token if _is_secret(token) or PATTERNS["ip"].fullmatch(token) else _NOT_DIGIT.sub("", token)
 
 
 def _ending(key: str) -> str | None:
@@ -188,30 +202,94 @@ def _shape(kind: str, token: str, key: str) -> bool:
 Edge = tuple[int, int, str]
 
 
-def _tokens(text: str) -> list[tuple[int, int]]:
-    """Places of the tokens; where they would overlap, addresses go before secrets and those before numbers."""
-    digits = _DIGIT.search(text)
-    found = [m.span() for m in _WORD.finditer(text) if "@" in m.group()] if "@" in text else []
-    for pattern, fits in ((_RUN, _is_secret), (_NUMBER, lambda t: len(_NOT_DIGIT.sub("", t)) >= 8)) if digits else ():
-        taken, free, k = found, [], 0
-        for m in pattern.finditer(text):
-            a, b = m.span()
-            while k < len(taken) and taken[k][1] <= a:
-                k += 1
-            if (k == len(taken) or taken[k][0] >= b) and fits(m.group()):
-                free.append((a, b))
-        found = sorted(taken + free)
+def _clear(found: Iterable[tuple[int, int]], taken: list[tuple[int, int]]) -> Iterator[tuple[int, int]]:
+    """Of places in order those that touch none of the taken ones."""
+    k = 0
+    for a, b in found:
+        while k < len(taken) and taken[k][1] <= a:
+            k += 1
+        if k == len(taken) or taken[k][0] >= b:
+            yield a, b
+
+
+Part = tuple[int, int, str]
+
+
+def _joined_parts(parts: list[Part], free: list[bool], fits) -> Iterator[tuple[int, int]]:
+    """Leftmost, longest readings of several free parts as one number; their parts are free no more."""
+    i = 0
+    while i < len(parts):
+        digits, best, j = "", i, i
+        while j < len(parts) and free[j] and len(digits) + len(parts[j][2]) <= MOST_DIGITS:
+            digits += parts[j][2]
+            if j > i and fits(digits):
+                best = j
+            j += 1
+        if best > i:
+            yield parts[i][0], parts[best][1]
+            free[i : best + 1] = [False] * (best + 1 - i)
+        i = best + 1
+
+
+def _numbers(text: str, taken: list[tuple[int, int]], base: set[str]) -> Iterator[tuple[int, int]]:
+    """Places of the numbers that touch no taken place, given the digits of the base spans."""
+    groups: list[list[Part]] = []
+    for m in _NUMBER.finditer(text):
+        if len(_NOT_DIGIT.sub("", m.group())) < LEAST_DIGITS:
+            continue
+        parts = [p.span() for p in _PART.finditer(text, *m.span())]
+        clear = set(_clear(parts, taken[max(0, bisect_left(taken, m.span()) - 1) :])) if taken else set(parts)
+        groups.append([])
+        for a, b in parts:
+            if (a, b) in clear:
+                groups[-1].append((a, b, _NOT_DIGIT.sub("", text[a:b])))
+            else:
+                groups.append([])
+    known = base | {d for g in groups for _, _, d in g if LEAST_DIGITS <= len(d) <= MOST_DIGITS}
+    endings = {d[i:] for d in base for i in range(len(d) - 8)}  # of nine digits or more
+    alike = lambda d: d in endings or any(d[i:] in base for i in range(len(d) - 8))
+    for g in groups:
+        free = [True] * len(g)
+        if len(g) > 1 and known:
+            yield from _joined_parts(g, free, known.__contains__)
+        long = [len(d) >= LEAST_DIGITS for _, _, d in g]
+        yield from ((a, b) for (a, b, _), f, x in zip(g, free, long) if f and x)
+        free = [f and not x for f, x in zip(free, long)]
+        if base:
+            yield from _joined_parts(g, free, alike)
+        rest: list[Part] = []
+        for part, f in [*zip(g, free), (None, False)]:
+            if f:
+                rest.append(part)
+            elif rest:
+                if LEAST_DIGITS <= sum(len(d) for _, _, d in rest) <= MOST_DIGITS:
+                    yield rest[0][0], rest[-1][1]
+                rest = []
+
+
+def _tokens(text: str, spans: list[Span]) -> list[tuple[int, int]]:
+    """Places of the tokens in order; where they would overlap, base spans go first, then addresses, secrets and numbers."""
+    found: list[tuple[int, int]] = []
+    for place in sorted((a, b) for _, a, b in spans):
+        if not found or place[0] >= found[-1][1]:
+            found.append(place)
+    if "@" in text:
+        words = ((m.start(), m.start() + len(m.group().rstrip(".:!?'"))) for m in _WORD.finditer(text) if "@" in m.group())
+        found = sorted([*found, *_clear((w for w in words if "@" in text[w[0] : w[1]]), found)])
+    if _DIGIT.search(text):
+        found = sorted([*found, *_clear((m.span() for m in _RUN.finditer(text) if _is_secret(m.group())), found)])
+        digits = {_NOT_DIGIT.sub("", text[a:b]) for kind, a, b in spans if kind in ("card", "phone")}
+        found = sorted([*found, *_numbers(text, found, digits)])
     return found
 
 
 def _labels(tokens: list[tuple[int, int]], spans: list[Span]) -> list[int]:
     """Number of the kind of a base span on each token, 0 without one, -1 where several kinds meet."""
-    ordered = sorted((a, b, KINDS.index(k) + 1) for k, a, b in spans)
-    starts, out = [x[0] for x in ordered], []
+    by_kind = [sorted((a, b) for k, a, b in spans if k == kind) for kind in KINDS]  # spans of one kind do not overlap
+    out = []
     for a, b in tokens:
-        j = bisect_left(starts, b)
-        on = {k for x, y, k in ordered[max(0, j - 4) : j] if y > a}
-        out.append(on.pop() if len(on) == 1 else -1 if on else 0)
+        on = [n for n, places in enumerate(by_kind, 1) if (j := bisect_left(places, (b,))) and places[j - 1][1] > a]
+        out.append(on[0] if len(on) == 1 else -1 if on else 0)
     return out
 
 
@@ -231,7 +309,8 @@ def _edges(keys: list[str]) -> list[Edge]:
     edges: list[Edge] = [(i, i + 1, "chain") for i in range(len(keys) - 1)]
     first: dict[str, int] = {}
     last: dict[str, int] = {}
-    tails: dict[str, int] = {}  # last token of each ending
+    heads: dict[str, int] = {}  # first and last token of each ending
+    tails: dict[str, int] = {}
     for i, k in enumerate(keys):
         if k in last:
             edges.append((last[k], i, "same"))
@@ -239,11 +318,11 @@ def _edges(keys: list[str]) -> list[Edge]:
                 edges.append((first[k], i, "same"))
         else:
             first[k] = i
-            j = tails.get(_ending(k))
-            if j is not None and _similar(keys[j], k):
-                edges.append((j, i, "similar"))
+            alike = {heads.get(_ending(k)), tails.get(_ending(k))} - {None}
+            edges += [(j, i, "similar") for j in sorted(alike) if _similar(keys[j], k)]
         last[k] = i
         if (end := _ending(k)) is not None:
+            heads.setdefault(end, i)
             tails[end] = i
     return edges
 
@@ -255,24 +334,34 @@ def token_patterns(text: str) -> Iterator[tuple[str, int]]:
     """Feature pattern and label of each token that learning sees.
 
     Features: for each label the token's shapes and cues, and its neighbours
-    with that label by edge kind, 3 at most.
+    with that label by edge kind; written are those that are not 0.
     """
-    tokens = _tokens(text)
+    spans = base_spans(text)
+    tokens = _tokens(text, spans)
     if not tokens:
         return
-    labels = _labels(tokens, base_spans(text))
+    labels = _labels(tokens, spans)
     edges = _edges([_key(text[a:b]) for a, b in tokens])
     hidden = {y for i, j, kind in edges if kind != "chain" for x, y in ((i, j), (j, i)) if labels[x] > 0 and not labels[y]}
     hidden |= {i for i, (a, b) in enumerate(tokens) if not labels[i] and _is_secret(text[a:b])}
-    around = np.zeros((len(tokens), len(LABELS) + 1, len(_EDGE_KINDS)), np.int8)
+    around = np.zeros((len(tokens), len(LABELS) + 1, len(_EDGE_KINDS)), np.int64)
     for i, j, kind in edges:
         for x, y in ((i, j), (j, i)):
             if labels[y] >= 0 and y not in hidden:
-                at = around[x, labels[y]]
-                at[_EDGE_KINDS.index(kind)] = min(at[_EDGE_KINDS.index(kind)] + 1, 3)
-    for i, (row, label) in enumerate(zip(np.concatenate([_features(text, tokens), around], 2), labels)):
+                around[x, labels[y], _EDGE_KINDS.index(kind)] += 1
+    rows = np.concatenate([_features(text, tokens), around], 2).reshape(len(tokens), -1)
+    for i, (row, label) in enumerate(zip(rows, labels)):
         if label >= 0 and i not in hidden:
-            yield "".join(map(str, row.ravel().tolist())), label
+            at = row.nonzero()[0]
+            yield " ".join(f"{k}:{v}" for k, v in zip(at.tolist(), row[at].tolist())), label
+
+
+def features_of(pattern: str) -> np.ndarray:
+    """The features that a pattern is written for, a row for each label."""
+    row = np.zeros((len(LABELS) + 1) * (4 + len(_EDGE_KINDS)))
+    for k, _, v in (x.partition(":") for x in pattern.split()):
+        row[int(k)] = int(v)
+    return row.reshape(len(LABELS) + 1, -1)
 
 
 #: Fields of Weights in the order of the features, after that of no label.
@@ -291,8 +380,7 @@ def _pattern_sums(patterns: list[str], labels: np.ndarray, n: np.ndarray, w: np.
     """Tokens, and the gradient and the negative second derivatives of their log-likelihood, in one vector."""
     width, total = len(LABELS) + 1, np.zeros(1 + len(w) + len(w) ** 2)
     for at in range(0, len(patterns), 4096):
-        x = np.array([[int(c) for c in p] for p in patterns[at : at + 4096]], float)
-        x = x.reshape(len(x), width, -1)
+        x = np.stack([features_of(p) for p in patterns[at : at + 4096]])
         none = np.zeros((len(x), width, 1))
         none[:, 0] = 1
         x = np.concatenate([none, x], 2)
@@ -400,7 +488,7 @@ def marginals(evidence: np.ndarray, edges: list[tuple[int, int, float]], rounds:
 
 def added_spans(text: str, spans: list[Span], w: Weights = WEIGHTS) -> list[Span]:
     """Spans that the field adds to the base spans."""
-    tokens = _tokens(text)
+    tokens = _tokens(text, spans)
     labels = _labels(tokens, spans)
     if 0 not in labels:
         return []
