@@ -518,6 +518,29 @@ def check_packing(df, spark):
     return got.sequence_id.nunique(), -(-total // 4096)
 
 
+def test_units_are_tokenized_once():
+    """Chunks that differ in case and signs share their units, and all kinds of characters give the library's identifiers."""
+    path = vocabulary_path("word_bpe_49k.json")
+    library = Tokenizer.from_file(path)
+    library.no_truncation()
+    library.no_padding()
+    around = ["a{}b", "A{}", "{}", "H{}\u0331 x", "1{}2"]
+    texts = [" ".join(a.format(chr(c)) for a in around) for c in [*range(0x250), 0x300, 0x345, 0x3A3, 0x1E9E, 0x2028, 0x212A, 0x212B, 0xFB01, 0x1F600]]
+    texts += ["", " \n ", "it's IT'S ('s \"'ll 'd'D 're9've", "<|endoftext|> a<|startoftext|>b <|ENDOFTEXT|>\n<|", "x" * 300 + " " + "=" * 300, "ΟΔΟΣ İi ß ẞ e\u0301E\u0301", "one\ttwo\x0bthree\x1cfour\x85five"]
+    tokenizer = packing.WordTokenizer(path)
+    for _ in range(2):
+        for got, text in zip(tokenizer.encode(texts), texts):
+            assert np.frombuffer(got, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids, text
+    tokenizer = packing.WordTokenizer(path)
+    calls = []
+    tokenizer._ids = lambda text, ids=tokenizer._ids: calls.append(text) or ids(text)
+    tokenizer.encode(["Hello, world! HELLO. hello? (World)", "hello's"])
+    tokenizer.encode(["WORLD\nhello,"])
+    assert len(calls) == 1 and len(set(calls[0].split(" "))) == len(calls[0].split(" ")) == 9, calls
+    tokenizer.units.most = 2  # evicted in the middle of a call
+    assert np.frombuffer(tokenizer.encode(["u v w x y z u v w"])[0], "<u4").tolist() == library.encode("u v w x y z u v w").ids
+
+
 def test_packing(spark, docs, odd, empty):
     made, least = check_packing(docs, spark)
     assert made <= 1.03 * least + 1

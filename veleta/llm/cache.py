@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterable, Sequence
 from typing import Any
 
 
@@ -28,12 +28,24 @@ class Memo(dict):
         return found
 
     def put(self, key: Sequence, value: Any) -> None:
-        """Keep a value that is known already."""
+        """Keep a value that is known already, unless its key is too long."""
+        if len(key) > self.longest:
+            return
         if len(self) >= self.most:
             self.older = dict(self)
             self.clear()
         self[key] = value
 
-    def lacks(self, key: Sequence) -> bool:
-        """Whether a key that is kept at all is not there yet."""
-        return key not in self and key not in self.older and len(key) <= self.longest
+    def known(self, keys: Iterable[Sequence]) -> tuple[dict[Sequence, Any], list[Sequence]]:
+        """What is known of the keys, and the keys of which nothing is."""
+        found, new, older = {}, [], self.older
+        for key in keys:
+            value = self.get(key)
+            if value is None:
+                value = older.get(key)
+                if value is None:
+                    new.append(key)
+                    continue
+                self.put(key, value)
+            found[key] = value
+        return found, new

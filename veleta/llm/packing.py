@@ -20,8 +20,8 @@ further columns are ignored.
 
 from __future__ import annotations
 
+import re
 import zlib
-from array import array
 from collections import defaultdict
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
@@ -29,6 +29,7 @@ from functools import lru_cache
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,15 +42,29 @@ END_ID = 1
 GROUP_PIECES = 16_384
 #: Sequences filled less than this after the first pass are packed again.
 WELL_FILLED = CAPACITY - 8
-#: Documents whose unknown words are tokenized in one call.
-TOKENIZER_BATCH = 256
+#: Documents and bytes of text that are tokenized in one call (a longer document by itself).
+TOKENIZER_BATCH, TOKENIZER_BYTES = 1000, 1 << 22
+#: Units whose identifiers a Python worker keeps, twice at most.
+UNITS_KEPT = 200_000
+#: What NFC leaves as it is and whose classes are known: ASCII and the letters of Latin-1 (without its signs).
+PLAIN = re.compile("[\x00-\x7f\xc0-\xd6\xd8-\xf6\xf8-\xff]*")
+#: Units of the vocabulary's pre-tokenizer in lower-cased plain text, and the line feed that stands between chunks.
+UNIT = re.compile("\n|'(?:[stmd]|re|ve|ll)|[a-z\xdf-\xf6\xf8-\xff]+|[0-9]|[^\x09-\x0d\x20a-z0-9\xdf-\xf6\xf8-\xff]+")
+#: Stands between chunks in a row of identifiers; no vocabulary is that large.
+CUT_ID = 0xFFFFFFFF
+CUT = CUT_ID.to_bytes(4, "little")
 
 
 class WordTokenizer:
-    """Identifiers of a text from those of its space-separated chunks, each distinct chunk tokenized once.
+    """Identifiers of texts from those of their chunks (between spaces and line feeds), each distinct one tokenized once a call.
 
     The vocabulary's pre-tokenizer drops white space and never joins what it
-    separates, so chunks are independent.
+    separates, so chunks are independent. A chunk of ASCII and Latin-1 letters
+    alone is unchanged by NFC, so it is lower-cased and cut into the
+    pre-tokenizer's units here, and a unit is tokenized once for all chunks that
+    have it; new units go to the library in one call and are told apart by the
+    end-of-word mark of their last token. Every other chunk goes to the library
+    as it is.
     """
 
     def __init__(self, path: str):
@@ -61,29 +76,70 @@ class WordTokenizer:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-        self.mark = next(iter(self.tokenizer.get_added_tokens_decoder().values())).content
-        self.mark_id = self.tokenizer.token_to_id(self.mark)
-        self.known = Memo(self._one)
+        self.marks = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=False)
+        self.ends = np.zeros(self.tokenizer.get_vocab_size(), bool)
+        self.ends[[i for t, i in vocabulary.items() if t.endswith("</w>")]] = True
+        self.units, self.chunks = Memo(self._one, UNITS_KEPT), Memo(self._one)
 
-    def _one(self, chunk: str) -> bytes:
-        return array("I", self.tokenizer.encode(chunk, add_special_tokens=False).ids).tobytes()
+    def _ids(self, text: str) -> np.ndarray:
+        return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u4")
 
-    def _learn(self, chunks: set[str]) -> None:
-        """Tokenize new chunks in one call, told apart by a special token between them."""
-        new = [c for c in chunks if self.known.lacks(c) and self.mark not in c]
-        if not new:
-            return
-        ids = np.array(self.tokenizer.encode_batch_fast([f" {self.mark} ".join(new)], add_special_tokens=False)[0].ids, "<u4")
-        cuts = np.flatnonzero(ids == self.mark_id)
-        if len(cuts) != len(new) - 1:  # not to be told apart: one by one
-            return
-        for chunk, a, b in zip(new, [0, *(cuts + 1)], [*cuts, len(ids)]):
-            self.known.put(chunk, ids[a:b].tobytes())
+    def _one(self, text: str) -> bytes:
+        return self._ids(text).tobytes()
 
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").split(" ") for t in texts]
-        self._learn({c for chunks in split for c in chunks})
-        return [b"".join(map(self.known.__getitem__, chunks)) for chunks in split]
+    def _units(self, units: set[str]) -> dict[str, bytes]:
+        """Identifiers of each unit; new ones are tokenized in one call."""
+        known, new = self.units.known(units)
+        if not new:
+            return known
+        ids = self._ids(" ".join(new))
+        ends = (np.flatnonzero(self.ends[ids]) + 1).tolist()
+        if len(ends) == len(new):
+            ids = ids.tobytes()
+            found = [ids[4 * a : 4 * b] for a, b in zip([0, *ends], ends)]
+        else:  # not to be told apart: one by one
+            found = map(self._one, new)
+        for unit, one in zip(new, found):
+            known[unit] = one
+            self.units.put(unit, one)
+        return known
+
+    def _plain(self, chunk: str) -> bool:
+        return PLAIN.fullmatch(chunk) is not None and not any(m in chunk for m in self.marks)
+
+    def _tokenize(self, joined: str) -> pa.LargeBinaryArray:
+        """Identifiers of each chunk of a text that has chunks between line feeds."""
+        other = {}
+        if not self._plain(joined):
+            chunks = joined.split("\n")
+            other = {i: c for i, c in enumerate(chunks) if not self._plain(c)}
+            joined = "\n".join("" if i in other else c for i, c in enumerate(chunks))
+        units = UNIT.findall(joined.lower() + "\n")
+        known = self._units(set(units) - {"\n"}) | {"\n": CUT}
+        found = np.frombuffer(b"".join(map(known.__getitem__, units)), "<u4")
+        cuts = np.flatnonzero(found == CUT_ID)
+        ends = 4 * (cuts - np.arange(len(cuts)))
+        found = found[found != CUT_ID]
+        plain = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(cuts), [None, pa.py_buffer(np.append(0, ends)), pa.py_buffer(found)])
+        if not other:
+            return plain
+        at = np.arange(len(cuts))
+        at[list(other)] = len(cuts) + np.arange(len(other))
+        return pa.concat_arrays([plain, pa.array([self.chunks[c] for c in other.values()], pa.large_binary())]).take(pa.array(at))
+
+    def encode(self, texts: pa.Array | list[str]) -> list[memoryview]:
+        """Identifiers of each text, as little-endian unsigned 32-bit integers."""
+        texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts.cast(pa.string())
+        split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
+        chunks = split.flatten().dictionary_encode()
+        distinct = pa.ListArray.from_arrays(pa.array([0, len(chunks.dictionary)], pa.int32()), chunks.dictionary)
+        ids = self._tokenize(pc.binary_join(distinct, "\n")[0].as_py()).take(chunks.indices)
+        _, offsets, data = ids.buffers()
+        ends = np.frombuffer(offsets, np.int64)[ids.offset : ids.offset + len(ids) + 1]
+        bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
+        data = memoryview(data or b"")
+        return [data[a:b] for a, b in zip(bounds, bounds[1:])]
 
 
 @lru_cache(maxsize=1)
@@ -91,6 +147,17 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
+def _parts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
+    """A batch in slices of a bounded number of rows and bytes in `column`; a longer row is a slice of its own."""
+    upto = np.append(0, np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=np.int64))
+    at = 0
+    while at < batch.num_rows:
+        end = int(np.searchsorted(upto, upto[at] + TOKENIZER_BYTES, "right")) - 1
+        end = min(max(end, at + 1), at + TOKENIZER_BATCH, batch.num_rows)
+        yield batch.slice(at, end - at)
+        at = end
+
+
 _PIECES = pa.schema([("doc_id", pa.int64()), ("copy", pa.string()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 PIECE_FIELDS = "doc_id long, copy string, piece int, start long, length long, ids_crc32 long"
 
@@ -102,11 +169,10 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_tokenizer(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, TOKENIZER_BATCH):
-                part = batch.slice(at, TOKENIZER_BATCH)
+            for part in _parts(batch, 2):
                 rows = []
-                for doc_id, copy, ids in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), tokenizer.encode(part.column(2).to_pylist())):
-                    ids = memoryview(ids + end)
+                for doc_id, copy, ids in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), tokenizer.encode(part.column(2))):
+                    ids = memoryview(bytes(ids) + end)
                     n = len(ids) // 4
                     for piece, start in enumerate(range(0, n, capacity)):
                         length = min(capacity, n - start)
