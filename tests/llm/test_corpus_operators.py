@@ -9,6 +9,7 @@ from collections import Counter, defaultdict
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
@@ -19,6 +20,7 @@ from veleta.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_cla
 from veleta.llm.cache import Memo
 from veleta.llm.components import components
 from veleta.llm.queries import ORACLES, QUERIES, vocabulary_path
+from veleta.llm.text import PART_BYTES, PART_ROWS, byte_words, parts, word_codes
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOWER = {c: c + 32 for c in range(65, 91)}
@@ -518,6 +520,27 @@ def check_packing(df, spark):
     return got.sequence_id.nunique(), -(-total // 4096)
 
 
+def test_words_of_a_batch_are_looked_up_once():
+    """Codes of distinct words give back the words of each text; a part is bounded in rows and bytes; a word's number is asked for once."""
+    texts = ["", " ", "A b\ta\x0bB", None, "  \r\x0cé É \x1ca\x85b\xa0 ", "x" * 50, "a A a"]
+    for own in (texts, texts[5:], [None], ["a"], []):
+        words, codes, bounds = word_codes(pa.array(own, pa.string()))
+        assert len(set(words)) == len(words)
+        assert [[words[c] for c in codes[a:b]] for a, b in zip(bounds, bounds[1:])] == [byte_words((t or "").encode()) for t in own]
+    sliced = pa.array(texts, pa.string()).slice(2, 3)
+    words, codes, bounds = word_codes(sliced)
+    assert [[words[c] for c in codes[a:b]] for a, b in zip(bounds, bounds[1:])] == [byte_words((t or "").encode()) for t in texts[2:5]]
+    many = ["y" * n for n in (3, PART_BYTES + 1, 0, PART_BYTES, 1)] + [None] * (PART_ROWS + 5)
+    batch = pa.RecordBatch.from_arrays([pa.array(many, pa.string())], ["text"])
+    cut = list(parts(batch, 0))
+    assert [t for c in cut for t in c.column(0).to_pylist()] == many
+    assert [c.num_rows for c in cut] == [1, 1, 2, PART_ROWS, 6]
+    asked = []
+    batch = pa.RecordBatch.from_arrays([pa.array(["a b A", None, "b c"])], ["text"])
+    held = list(recurrent_lm._chunks([batch], lambda w: asked.append(w) or ord(w)))
+    assert [d.tolist() for d in held[0]] == [[97, 98, 97, 0], [0], [98, 99, 0]] and sorted(asked) == [b"a", b"b", b"c"]
+
+
 def test_units_are_tokenized_once():
     """Chunks that differ in case and signs share their units, and all kinds of characters give the library's identifiers."""
     path = vocabulary_path("word_bpe_49k.json")

@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 
 from veleta.llm.cache import Memo
 from veleta.llm.shared import forget, keep, small_batches
+from veleta.llm.text import distinct_texts, parts
 
 CAPACITY = 4096
 END_ID = 1
@@ -42,8 +43,6 @@ END_ID = 1
 GROUP_PIECES = 16_384
 #: Sequences filled less than this after the first pass are packed again.
 WELL_FILLED = CAPACITY - 8
-#: Documents and bytes of text that are tokenized in one call (a longer document by itself).
-TOKENIZER_BATCH, TOKENIZER_BYTES = 1000, 1 << 22
 #: Units whose identifiers a Python worker keeps, twice at most.
 UNITS_KEPT = 200_000
 #: What NFC leaves as it is and whose classes are known: ASCII and the letters of Latin-1 (without its signs).
@@ -132,9 +131,8 @@ class WordTokenizer:
         """Identifiers of each text, as little-endian unsigned 32-bit integers."""
         texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts.cast(pa.string())
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
-        chunks = split.flatten().dictionary_encode()
-        distinct = pa.ListArray.from_arrays(pa.array([0, len(chunks.dictionary)], pa.int32()), chunks.dictionary)
-        ids = self._tokenize(pc.binary_join(distinct, "\n")[0].as_py()).take(chunks.indices)
+        chunks, codes = distinct_texts(split.flatten())
+        ids = self._tokenize(chunks).take(pa.array(codes))
         _, offsets, data = ids.buffers()
         ends = np.frombuffer(offsets, np.int64)[ids.offset : ids.offset + len(ids) + 1]
         bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()
@@ -147,17 +145,6 @@ def word_tokenizer(path: str) -> WordTokenizer:
     return WordTokenizer(path)
 
 
-def _parts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
-    """A batch in slices of a bounded number of rows and bytes in `column`; a longer row is a slice of its own."""
-    upto = np.append(0, np.cumsum(pc.binary_length(batch.column(column)).to_numpy(zero_copy_only=False), dtype=np.int64))
-    at = 0
-    while at < batch.num_rows:
-        end = int(np.searchsorted(upto, upto[at] + TOKENIZER_BYTES, "right")) - 1
-        end = min(max(end, at + 1), at + TOKENIZER_BATCH, batch.num_rows)
-        yield batch.slice(at, end - at)
-        at = end
-
-
 _PIECES = pa.schema([("doc_id", pa.int64()), ("copy", pa.string()), ("piece", pa.int32()), ("start", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64())])
 PIECE_FIELDS = "doc_id long, copy string, piece int, start long, length long, ids_crc32 long"
 
@@ -169,7 +156,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokenizer = word_tokenizer(path)
         for batch in batches:
-            for part in _parts(batch, 2):
+            for part in parts(batch, 2):
                 rows = []
                 for doc_id, copy, ids in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), tokenizer.encode(part.column(2))):
                     ids = memoryview(bytes(ids) + end)

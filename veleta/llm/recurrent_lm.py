@@ -49,7 +49,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from veleta.llm.shared import forget, keep, small_batches
-from veleta.llm.text import byte_texts, byte_words, string_array
+from veleta.llm.text import byte_words, parts, string_array, word_codes
 
 #: The end of a document as a token; no word holds a line feed.
 END = "\n"
@@ -106,12 +106,14 @@ def count_words(docs: DataFrame, most: int = 400_000) -> DataFrame:
         def out() -> pa.RecordBatch:
             return pa.RecordBatch.from_arrays([string_array(list(counts)), pa.array(list(counts.values()), pa.int64())], names=["word", "n"])
 
-        for text in byte_texts(batches, 0):
-            counts.update(tokens(text))
-            counts[END.encode()] += 1
-            if len(counts) > most:
-                yield out()
-                counts.clear()
+        for batch in batches:
+            for part in parts(batch, 0):
+                words, codes, _ = word_codes(part.column(0))
+                counts.update(dict(zip(words, np.bincount(codes, minlength=len(words)).tolist())))
+                counts[END.encode()] += part.num_rows
+                if len(counts) > most:
+                    yield out()
+                    counts.clear()
         if counts:
             yield out()
 
@@ -213,42 +215,49 @@ class Model:
 
     def log_probs(self, states: np.ndarray, target: np.ndarray, grads: dict | None = None, live: np.ndarray | None = None):
         """Natural log probabilities of the targets; with `grads`, also the gradient at the states."""
-        p, s, k, classes = self.parts, CLASS_WORDS, self.k, len(self.parts["ww"])
+        p, s, k, h, classes = self.parts, CLASS_WORDS, self.k, UNITS, len(self.parts["ww"])
         cls = np.where(target >= k, classes, target // s).astype(np.int16)
         order = np.argsort(cls, kind="stable")
-        cls, target, st = cls[order], target[order], states[order]
+        cls, target = cls[order], target[order]
+        # a last state of 1 takes the biases along in every product, and sums of rows are products too
+        st = np.empty((len(target), h + 1), states.dtype)
+        np.take(states, order, 0, out=st[:, :h])
+        st[:, h] = 1
         rows, found = np.arange(len(target)), np.searchsorted(cls, np.arange(classes + 1)).tolist()
-        e = st @ p["cw"]
-        e += p["cb"]
+        weights = np.vstack([p["cw"], p["cb"]])
+        e = st @ weights
         np.exp(e, out=e)
-        total = e.sum(1)
-        out = np.log(e[rows, cls]) - np.log(total)
+        total, at = e @ np.ones(classes + 1, e.dtype), rows * (classes + 1) + cls
+        out = np.log(e.ravel()[at]) - np.log(total)
         back = None
         if grads is not None:
             live = live[order].astype(states.dtype)
             e *= (live / total)[:, None]
-            e[rows, cls] -= live
-            grads["cw"] += st.T @ e
-            grads["cb"] += e.sum(0)
+            e.ravel()[at] -= live
+            g = st.T @ e
+            grads["cw"] += g[:h]
+            grads["cb"] += g[h]
             back = e @ p["cw"].T
         m = found[-1]  # those in classes come first
         e = np.empty((m, s), st.dtype)
         parts = [(c, slice(a, b)) for c, (a, b) in enumerate(zip(found, found[1:])) if a < b]
+        weights = np.concatenate([p["ww"], p["wb"][:, None]], 1)
         for c, at in parts:
-            np.matmul(st[at], p["ww"][c], out=e[at])
-            e[at] += p["wb"][c]
+            np.matmul(st[at], weights[c], out=e[at])
         np.exp(e, out=e)
-        total, word, rows = e.sum(1), target[:m] % s, rows[:m]
-        out[:m] += np.log(e[rows, word]) - np.log(total)
+        total, at = e @ np.ones(s, e.dtype), rows[:m] * s + target[:m] % s
+        out[:m] += np.log(e.ravel()[at]) - np.log(total)
         if grads is not None:
             e *= (live[:m] / total)[:, None]
-            e[rows, word] -= live[:m]
+            e.ravel()[at] -= live[:m]
+            g, u = np.zeros_like(weights), np.ascontiguousarray(p["ww"].transpose(0, 2, 1))
             for c, at in parts:
-                grads["ww"][c] += st[at].T @ e[at]
-                grads["wb"][c] += e[at].sum(0)
-                back[at] += e[at] @ p["ww"][c].T
+                np.matmul(st[at].T, e[at], out=g[c])
+                back[at] += e[at] @ u[c]
+            grads["ww"] += g[:, :h]
+            grads["wb"] += g[:, h]
         if self.base > 1 and m < len(target):
-            out[m:] += self._slot_log_probs(st[m:], target[m:] - k, grads, None if grads is None else live[m:], None if grads is None else back[m:])
+            out[m:] += self._slot_log_probs(st[m:, :h], target[m:] - k, grads, None if grads is None else live[m:], None if grads is None else back[m:])
         by_row = np.empty_like(out)
         by_row[order] = out
         if grads is None:
@@ -266,7 +275,7 @@ class Model:
         for j in range(DIGITS):
             by_digit[:, j] += self.levels[j][places[j] // base]
         np.exp(e, out=e)
-        total = by_digit.sum(2)
+        total = (e.reshape(-1, base) @ np.ones(base, e.dtype)).reshape(n, DIGITS)
         picked = np.stack([x % base + j * base for j, x in enumerate(places)], 1) + np.arange(n)[:, None] * (DIGITS * base)
         flat = e.reshape(-1)
         out = (np.log(flat[picked]) - np.log(total)).sum(1)
@@ -491,15 +500,19 @@ def _params_row(flat: np.ndarray, n: int) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array([flat.astype(np.float32).tobytes()], pa.binary()), pa.array([n], pa.int64())], names=["params", "n"])
 
 
-def _chunks(batches: Iterable[pa.RecordBatch], encode) -> Iterator[list[np.ndarray]]:
-    """Encoded documents by chunks of bounded tokens."""
+def _chunks(batches: Iterable[pa.RecordBatch], number) -> Iterator[list[np.ndarray]]:
+    """Documents as their words' numbers, the end last, by chunks of bounded tokens."""
     held, size = [], 0
-    for text in byte_texts(batches, 0):
-        held.append(encode(text))
-        size += len(held[-1])
-        if size >= CHUNK_TOKENS:
-            yield held
-            held, size = [], 0
+    for batch in batches:
+        for part in parts(batch, 0):
+            words, codes, bounds = word_codes(part.column(0))
+            numbers, bounds = np.fromiter(map(number, words), np.int32, len(words))[codes], bounds.tolist()
+            for a, b in zip(bounds, bounds[1:]):
+                held.append(np.append(numbers[a:b], np.int32(0)))
+                size += len(held[-1])
+                if size >= CHUNK_TOKENS:
+                    yield held
+                    held, size = [], 0
     if held:
         yield held
 
@@ -528,13 +541,7 @@ def fit(spark: SparkSession, docs: DataFrame, vocabulary: Vocabulary) -> Model:
             index, start = known.value, shared.value
             number = _Numbers(index, k, n_slots).__getitem__
 
-            def encode(text: bytes) -> np.ndarray:
-                found = tokens(text)
-                ids = np.zeros(len(found) + 1, np.int32)  # the end comes last
-                ids[:-1] = np.fromiter(map(number, found), np.int32, len(found))
-                return ids
-
-            model, n = train(start.filled(start.flat), _chunks(batches, encode), rate, lanes)
+            model, n = train(start.filled(start.flat), _chunks(batches, number), rate, lanes)
             if n:
                 yield _params_row(model.flat, n)
 
@@ -594,20 +601,26 @@ def score(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
         tail_log[:k] = 0.0
         tail_log, is_known, slot_log = np.append(tail_log, 0.0), np.append(n_of > 0, False), np.log10(slots)
 
-        def encoded(text: bytes) -> tuple:
-            """The model's numbers, and tokens, known ones, base score, what the tail's counts add, and the words without a rank."""
-            found = tokens(text)
-            ids = np.zeros(len(found) + 1, np.int32)
-            ids[:-1] = np.fromiter(map(number, found), np.int32, len(found))
-            numbers, at = in_model[ids], np.flatnonzero(ids == n_words)
-            rare = [found[i] for i in at.tolist()]
-            slot = np.fromiter((zlib.crc32(w) % n_slots for w in rare), np.int32, len(rare))
-            numbers[at] += slot
-            return numbers, len(ids), int(is_known[ids].sum()), float(base_log[ids].sum()), float(tail_log[ids].sum() - slot_log[slot].sum()), rare
-
-        def finished(parts: list[pa.RecordBatch], held: list[tuple]) -> pa.RecordBatch:
+        def encoded(texts: pa.Array) -> Iterator[tuple]:
+            """The model's numbers, and tokens, known ones, base score, what the tail's counts add, and the words without a rank, of each text."""
+            words, codes, bounds = word_codes(texts)
+            ranks, bounds = np.fromiter(map(number, words), np.int32, len(words)), bounds.tolist()
+            slot_of_rare = np.zeros(len(words), np.int32)
+            for i in np.flatnonzero(ranks == n_words).tolist():
+                slot_of_rare[i] = slot_of(words[i], n_slots)
+            ranks = ranks[codes]
+            for a, b in zip(bounds, bounds[1:]):
+                ids = np.append(ranks[a:b], np.int32(0))
+                numbers, at = in_model[ids], np.flatnonzero(ids == n_words)
+                rare = codes[a:b][at]
+                slot = slot_of_rare[rare]
+                numbers[at] += slot
+                rare = [words[i] for i in rare.tolist()]
+                yield numbers, len(ids), int(is_known[ids].sum()), float(base_log[ids].sum()), float(tail_log[ids].sum() - slot_log[slot].sum()), rare
+
+        def finished(kept: list[pa.RecordBatch], held: list[tuple]) -> pa.RecordBatch:
             numbers, n_tokens, n_known, base, tail, rare = zip(*held)
-            rows = pa.concat_batches(parts)
+            rows = pa.concat_batches(kept)
             ends = np.concatenate([[0], np.cumsum([len(r) for r in rare])]).astype(np.int32)
             columns = [
                 *rows.columns,
@@ -619,18 +632,18 @@ def score(spark: SparkSession, docs: DataFrame, id_col: str = "doc_id", text_col
             ]
             return pa.RecordBatch.from_arrays(columns, schema=_SCORED)
 
-        parts, held, size = [], [], 0
-        for batch in batches:
-            keys, first = batch.select([0, 1, 2]), 0
-            for i, text in enumerate(byte_texts([batch], 3)):
-                held.append(encoded(text))
-                size += held[-1][1]
+        kept, held, size = [], [], 0
+        for part in (part for batch in batches for part in parts(batch, 3)):
+            keys, first = part.select([0, 1, 2]), 0
+            for i, found in enumerate(encoded(part.column(3))):
+                held.append(found)
+                size += found[1]
                 if size >= CHUNK_TOKENS:
-                    yield finished([*parts, keys.slice(first, i + 1 - first)], held)
-                    parts, held, size, first = [], [], 0, i + 1
-            parts.append(keys.slice(first))
+                    yield finished([*kept, keys.slice(first, i + 1 - first)], held)
+                    kept, held, size, first = [], [], 0, i + 1
+            kept.append(keys.slice(first))
         if held:
-            yield finished(parts, held)
+            yield finished(kept, held)
 
     rows = base.select(F.monotonically_increasing_id().alias("row"), "doc_id", "held_out", "text")
     scored = keep(spark, rows.mapInArrow(run, _SCORED_FIELDS), "scored")
