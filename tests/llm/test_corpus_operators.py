@@ -16,7 +16,7 @@ from tokenizers import Tokenizer
 
 import corpus_pipeline
 from tests.llm.conftest import ODD
-from veleta.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_classifier, quality_rules, recurrent_lm, url_filters, warc
+from veleta.llm import bpe, exact_dedup, jaccard_join, packing, pii, quality_classifier, quality_rules, recurrent_lm, shingles, url_filters, warc
 from veleta.llm.cache import Memo
 from veleta.llm.components import components
 from veleta.llm.queries import ORACLES, QUERIES, vocabulary_path
@@ -520,6 +520,25 @@ def check_packing(df, spark):
     return got.sequence_id.nunique(), -(-total // 4096)
 
 
+def test_jaccard_hashes_a_word_once_and_folds_sets_together(monkeypatch):
+    """Hashes of sets are those of one set after the other, empty ones and broken UTF-8 included; a word of a batch is hashed once."""
+    rng = np.random.default_rng(5)
+    sets = [rng.integers(0, 1 << 63, n).astype(np.uint64) for n in (0, 3, 1, 0, 40, 0)]
+    for seed in (1, 4):
+        want = [int(np.bitwise_xor.reduce(shingles.mix(s + np.uint64(seed)), initial=np.uint64(seed)).view(np.int64)) for s in sets]
+        assert jaccard_join._folds(sets, seed).to_pylist() == want
+        assert jaccard_join._folds(sets[:1], seed).to_pylist() == [seed] and jaccard_join._folds([], seed).to_pylist() == []
+    texts = [b"a b A c a b a c", b"", b" \t", b"\xff\xc3 B a\x0b\x85 a b", b"a b"]
+    asked, own = [], shingles.xxh3_64_intdigest
+    monkeypatch.setattr(shingles, "xxh3_64_intdigest", lambda w: asked.append(w) or own(w))
+    got = list(shingles.double_hash_sets(texts))
+    assert sorted(asked) == sorted({w for t in texts for w in byte_words(t)})
+    for t, (h, g) in zip(texts, got):
+        assert len(h) == len(g) == len(shingles.word_shingles(t)) and (np.diff(h.astype(object)) > 0).all()
+        (alone, beside), = shingles.double_hash_sets([t])
+        assert h.tolist() == alone.tolist() and g.tolist() == beside.tolist()
+
+
 def test_words_of_a_batch_are_looked_up_once():
     """Codes of distinct words give back the words of each text; a part is bounded in rows and bytes; a word's number is asked for once."""
     texts = ["", " ", "A b\ta\x0bB", None, "  \r\x0cé É \x1ca\x85b\xa0 ", "x" * 50, "a A a"]

@@ -50,7 +50,7 @@ from pyspark.sql import functions as F
 
 from veleta.llm.components import components
 from veleta.llm.shared import forget, keep, small_batches
-from veleta.llm.shingles import double_hash_sets, hash_sets, mix, word_shingles
+from veleta.llm.shingles import double_hash_sets, firsts, hash_sets, mix, word_shingles
 
 PERCENT = 80
 #: A shingle in the first part of more documents than this counts as frequent.
@@ -104,7 +104,8 @@ def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
 
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in _sliced(batches):
-            part = [np.unique(h[: 5 * prefix_length(len(h)) // 4] >> np.uint64(32)) for h in hash_sets(_texts(batch, 0))]
+            part = [h[: 5 * prefix_length(len(h)) // 4] >> np.uint64(32) for h in hash_sets(_texts(batch, 0))]
+            part = [p[firsts(p)] for p in part]  # sorted, as the hashes are
             if sum(map(len, part)):
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(part).astype(np.uint32).view(np.int32))], names=["s"])
 
@@ -116,9 +117,14 @@ def frequent_shingles(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
     return s[order], top["kind"].to_numpy(np.int8)[order]
 
 
-def _fold(values: np.ndarray, seed: int) -> int:
-    """A hash of a set, whatever its order."""
-    return int(np.bitwise_xor.reduce(mix(values + np.uint64(seed)), initial=np.uint64(seed)).view(np.int64))
+def _folds(sets: list[np.ndarray], seed: int) -> pa.Array:
+    """A hash of each set, whatever its order."""
+    ends = np.cumsum([0, *map(len, sets)])
+    upto = np.zeros(ends[-1] + 1, np.uint64)
+    if ends[-1]:
+        np.bitwise_xor.accumulate(mix(np.concatenate(sets) + np.uint64(seed)), out=upto[1:])
+    found = upto[ends]
+    return pa.array((found[1:] ^ found[:-1] ^ np.uint64(seed)).view(np.int64))
 
 
 _SKETCH = [f"q{i}" for i in range(SKETCH)]
@@ -159,9 +165,9 @@ def keyed(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
                     batch.column(0),
                     batch.column(1),
                     _numbers([len(h) for h, _ in both]),
-                    *(_numbers([_fold(p, seed) for p in prefixes]) for seed in (1, 2)),
-                    _numbers([_fold(h, 3) for h, _ in both]),
-                    _numbers([_fold(h, 4) for _, h in both]),
+                    *(_folds(prefixes, seed) for seed in (1, 2)),
+                    _folds([h for h, _ in both], 3),
+                    _folds([h for _, h in both], 4),
                     *(pa.array(q) for q in np.stack([_sketch(h) for h, _ in both]).T.copy()),
                     _lists(prefixes),
                 ],
@@ -210,7 +216,7 @@ def _of_pairs(docs: DataFrame, pairs: DataFrame, members: DataFrame, made, kind:
             texts = _texts(batch, 1)
             both = list(double_hash_sets(texts))
             values = [made(t, h) for t, (h, _) in zip(texts, both)]
-            columns = [batch.column(0), _numbers([len(h) for h, _ in both]), _numbers([_fold(h, 3) for h, _ in both]), _numbers([_fold(h, 4) for _, h in both])]
+            columns = [batch.column(0), _numbers([len(h) for h, _ in both]), _folds([h for h, _ in both], 3), _folds([h for _, h in both], 4)]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(values, pa.binary()) if kind == "binary" else _lists(values)], names=["doc", *_SET, "made"])
 
     found = picked.mapInArrow(run, f"doc long, n long, s1 long, s2 long, made {kind}")

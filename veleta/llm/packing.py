@@ -132,7 +132,7 @@ class WordTokenizer:
         texts = pa.array(texts, pa.string()) if isinstance(texts, list) else texts.cast(pa.string())
         split = pc.split_pattern(pc.replace_substring(texts, "\n", " "), " ")
         chunks, codes = distinct_texts(split.flatten())
-        ids = self._tokenize(chunks).take(pa.array(codes))
+        ids = self._tokenize(chunks.decode()).take(pa.array(codes))
         _, offsets, data = ids.buffers()
         ends = np.frombuffer(offsets, np.int64)[ids.offset : ids.offset + len(ids) + 1]
         bounds = ends[split.offsets.to_numpy() - split.offsets[0].as_py()].tolist()

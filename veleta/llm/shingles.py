@@ -8,12 +8,11 @@ each times an odd multiplier of its place, spread by a bijection.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
-from itertools import chain
 
 import numpy as np
 from xxhash import xxh3_64_intdigest
 
-from veleta.llm.text import byte_words
+from veleta.llm.text import byte_words, string_array, word_codes
 
 SIZE = 5
 # Odd multipliers of the places in a shingle, for the hash and for a second one.
@@ -26,10 +25,11 @@ BATCH_BYTES = 1 << 20
 def mix(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit."""
     x = x ^ (x >> np.uint64(30))
-    x = x * np.uint64(0xBF58476D1CE4E5B9)
-    x = x ^ (x >> np.uint64(27))
-    x = x * np.uint64(0x94D049BB133111EB)
-    return x ^ (x >> np.uint64(31))
+    x *= np.uint64(0xBF58476D1CE4E5B9)
+    x ^= x >> np.uint64(27)
+    x *= np.uint64(0x94D049BB133111EB)
+    x ^= x >> np.uint64(31)
+    return x
 
 
 def _grams(word: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -41,7 +41,7 @@ def _grams(word: np.ndarray, places: np.ndarray) -> np.ndarray:
     return mix(out)
 
 
-def _firsts(ordered: np.ndarray) -> np.ndarray:
+def firsts(ordered: np.ndarray) -> np.ndarray:
     """Where a sorted array begins a new value."""
     first = np.empty(len(ordered), bool)
     first[:1] = True
@@ -50,9 +50,8 @@ def _firsts(ordered: np.ndarray) -> np.ndarray:
 
 
 def _hash_batch(texts: list[bytes], second: bool) -> Iterator[tuple[np.ndarray, np.ndarray | None]]:
-    words = [byte_words(t) for t in texts]
-    sizes = [len(w) for w in words]
-    word = np.fromiter(map(xxh3_64_intdigest, chain.from_iterable(words)), np.uint64, sum(sizes))
+    words, codes, bounds = word_codes(string_array(texts))
+    word, sizes = np.fromiter(map(xxh3_64_intdigest, words), np.uint64, len(words))[codes], np.diff(bounds).tolist()
     grams = _grams(word, _PLACES)
     others = _grams(word, _SECOND) if second else None
     at = 0
@@ -62,11 +61,11 @@ def _hash_batch(texts: list[bytes], second: bool) -> Iterator[tuple[np.ndarray,
             if second:
                 order = np.argsort(grams[cut])
                 found = grams[cut][order]
-                first = _firsts(found)
+                first = firsts(found)
                 yield found[first], others[cut][order[first]]
             else:
                 found = np.sort(grams[cut])
-                yield found[_firsts(found)], None
+                yield found[firsts(found)], None
         else:  # the whole sequence as one
             own = word[at : at + n]
             yield _grams(own, _PLACES[:n])[: min(n, 1)], _grams(own, _SECOND[:n])[: min(n, 1)] if second else None

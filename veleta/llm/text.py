@@ -74,18 +74,18 @@ def parts(batch: pa.RecordBatch, column: int) -> Iterator[pa.RecordBatch]:
         at = end
 
 
-def distinct_texts(texts: pa.Array) -> tuple[str, np.ndarray]:
-    """Distinct strings without line feeds, joined by line feeds, and the number of each string among them."""
+def distinct_texts(texts: pa.Array) -> tuple[bytes, np.ndarray]:
+    """Distinct strings without line feeds, in UTF-8 and joined by line feeds, and the number of each string among them."""
     found = texts.dictionary_encode()
     one = pa.ListArray.from_arrays(pa.array([0, len(found.dictionary)], pa.int32()), found.dictionary)
-    return pc.binary_join(one, "\n")[0].as_py(), found.indices.to_numpy()
+    return pc.binary_join(one, "\n")[0].as_buffer().to_pybytes(), found.indices.to_numpy()
 
 
 def word_codes(texts: pa.Array) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     """Distinct words of texts (null as empty) as `byte_words` gives them, the number of each word among them, and where each text begins and ends."""
     split = pc.ascii_split_whitespace(pc.ascii_lower(pc.fill_null(texts.cast(pa.string()), "")))
     joined, codes = distinct_texts(split.flatten())
-    words, bounds = joined.encode().split(b"\n"), split.offsets.to_numpy()
+    words, bounds = joined.split(b"\n"), split.offsets.to_numpy()
     bounds = bounds - bounds[0] if len(bounds) else np.zeros(1, np.int32)
     if b"" in words:  # before the first and after the last space, and in an empty text
         empty = words.index(b"")
