@@ -312,6 +312,19 @@ def test_sinks(spark, tmp_path):
     assert spark.read.csv(f"{tmp_path}/latest/t", header=True).count() == 5 and (tmp_path / "runs" / "r_1" / "_published").exists()
 
 
+def test_the_written_catalog_is_read_back_in_its_order(spark, sf_dir, monkeypatch):
+    """Later parts are larger, so that a scan deals them first."""
+    from veleta.registry import runs
+
+    rows = spark.range(400).select((400 - F.col("id")).alias("pull_requests_count"), F.lit("a").alias("agent"), F.lpad(F.col("id").cast("string"), 4, "0").alias("repo_key"), F.repeat(F.lit("x"), F.col("id").cast("int")).alias("title"))
+    monkeypatch.setattr(runs.gold_queries, "_catalog", lambda *_: (rows, rows))
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert tuple(runs._catalog_written(spark, sf_dir).first()) == (True, 400, 400, 1)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 # star schema, catalog, quality, derived
 
 
