@@ -2,6 +2,7 @@
 
 import datetime
 import json
+from pathlib import Path
 
 import pytest
 from pyspark.sql import Window as W
@@ -150,6 +151,49 @@ def test_repeated_grains_load_alike_any_number_of_times(spark):
         assert sorted((r.name, r.id, r.kind) for r in known.collect()) == [("w", 1, "w"), ("x", 2, "new")]
 
 
+def shared_tables(spark, after=frozenset()):
+    """Tables in the shared folder that were not there before."""
+    return {t for t in Path(spark.conf.get("spark.checkpoint.dir").removeprefix("file://")).glob("*-*") if t not in after}
+
+
+def test_slices_number_as_one_does_and_leave_nothing(spark, monkeypatch):
+    """Rows of a large table are shuffled slice by slice: the same rows win, the same numbers follow, also where most rows share the first key or a grain."""
+    schema = "part int, grain string, lineage string, version int, n int"
+    rows = spark.createDataFrame([(None if i % 50 == 0 else 1 + i % 17 // 16, None if i % 40 == 0 else f"g{i % 1500:04d}" if i % 3 else "hot", f"l{i}", i % 7, i) for i in range(4000)], schema)
+    upsert = lambda **k: sorted((r.id, str(r.part), str(r.grain), r.lineage, r.n) for r in keys.upsert_fact(rows, None, ["part", "grain"], "id", "lineage", ["version"], **k).collect())
+    want, before = upsert(), shared_tables(spark)
+    assert [r[0] for r in want] == list(range(1, len(want) + 1)) and len({r[1:3] for r in want}) == len(want)
+    monkeypatch.setattr(keys, "SLICE_ROWS", 500)
+    for few in (keys.FEW_ROWS, 10):
+        monkeypatch.setattr(keys, "FEW_ROWS", few)
+        assert upsert(rows=4000) == want
+    made = sorted(shared_tables(spark, before))
+    assert [t.name.split("-")[0] for t in made] == ["numbered", "numbered", "ranges", "slices", "slices"] and not any(list(t.rglob("*.parquet")) for t in made[3:])
+    assert all(spark.read.parquet(str(t)).select("slice_").distinct().count() > 4 for t in made[:2])
+
+
+def test_keys_of_one_digest_are_compared_themselves(spark):
+    alike = spark.createDataFrame([(None, "a"), ("a", None), ("b", "b")], "p string, q string")
+    assert alike.select(F.xxhash64("p", "q")).distinct().count() == 2 and keys.unique(alike, ["p", "q"]) is alike
+    with pytest.raises(keys.RepeatedKey, match="2 rows of p=None, q=a"):
+        keys.unique(alike.union(alike.filter("q = 'a'")), ["p", "q"])
+
+
+def test_a_load_keeps_its_facts_once(spark, sf_dir, monkeypatch):
+    """Staging rows and copies of the facts on the way are gone when a load ends, in parts or at once; parts hold every row."""
+    from veleta.registry import gold as queries
+
+    loaded = []
+    for rows in (keys.SLICE_ROWS, 1000):
+        monkeypatch.setattr(keys, "SLICE_ROWS", rows)
+        parts, before = queries._staging_parts(spark, sf_dir), shared_tables(spark)
+        loaded.append(rows_of(gold.load(parts)[1].select("id_hecho", "id_agente", "id_origen_registro", "fact_lineage_key")))
+        files = {t.name: list(map(str, t.rglob("*.parquet"))) for t in shared_tables(spark, before)}
+        large = [t.split("-")[0] for t, at in files.items() if at and spark.read.parquet(*at).count() > 3000]
+        assert large == ["numbered"]
+    assert len(parts) > 3 and loaded[0] == loaded[1] and len(loaded[0]) > 5000
+
+
 def test_star_schema_keeps_grains_unique(spark):
     kinds = contracts.STAGING
     base = {"id_origen_registro": "repo-1", "fuente": "github", "tipo_fuente": "api", "plataforma": "VS Code", "categoria": "c", "nombre_agente": "Codex", "fecha_evento": datetime.date(2026, 1, 1), "dim_nombre_plataforma": "VS Code", "dim_nombre_tecnologia": "Python", "dim_nombre_comunidad": "c", "raw_file_id": 1, "raw_record_id": 10}
