@@ -194,6 +194,18 @@ def test_a_load_keeps_its_facts_once(spark, sf_dir, monkeypatch):
     assert len(parts) > 3 and loaded[0] == loaded[1] and len(loaded[0]) > 5000
 
 
+def test_a_stored_star_schema_is_the_only_copy(spark, sf_dir):
+    """Reports read the snapshot; the tables that it was loaded from are gone when it is published."""
+    from veleta.registry import runs
+
+    before = shared_tables(spark)
+    trend = runs.QUERIES["star_monthly_trend"](spark, sf_dir)
+    files = {t.name: list(map(str, t.rglob("*.parquet"))) for t in shared_tables(spark, before)}
+    stored = [f for at in files.values() for f in at if "/fact/" in f]
+    assert trend.agg(F.sum("total_observaciones")).first()[0] == spark.read.parquet(*stored).count() > 5000
+    assert [t.split("-")[0] for t, at in files.items() if at and spark.read.parquet(*at).count() > 3000] == ["star"]
+
+
 def test_star_schema_keeps_grains_unique(spark):
     kinds = contracts.STAGING
     base = {"id_origen_registro": "repo-1", "fuente": "github", "tipo_fuente": "api", "plataforma": "VS Code", "categoria": "c", "nombre_agente": "Codex", "fecha_evento": datetime.date(2026, 1, 1), "dim_nombre_plataforma": "VS Code", "dim_nombre_tecnologia": "Python", "dim_nombre_comunidad": "c", "raw_file_id": 1, "raw_record_id": 10}
