@@ -106,3 +106,28 @@ def test_a_date_condition_prunes_the_partitions_of_the_fact(spark, sf_dir):
     assert "dynamicpruning" in plan and "dim_agente" not in plan
     dates = star.activity(snapshots, ["fecha_evento"])
     assert some.count() == dates.filter("fecha_evento between '1995-01-01' and '1995-03-31'").count() > 0
+
+
+def test_a_star_loaded_in_parts_reports_alike(spark, sf_dir, monkeypatch):
+    """Several parts and slices, each written with its shuffles removed after it, give the report that one gives."""
+    from veleta import scratch
+    from veleta.operators import keys
+    from veleta.registry import runs
+
+    report, ways = lambda: rows_of(runs.QUERIES["star_source_share"](spark, sf_dir)), []
+    want, before = report(), spark.conf.get(scratch._CLEANUP)
+    monkeypatch.setattr(keys, "SLICE_ROWS", 1500)
+
+    def seen(parts):
+        for df in parts:
+            ways[-1].append(spark.conf.get(scratch._CLEANUP))
+            yield df
+
+    def watched(spark, parts, name, *more, kept=scratch.keep_parts):
+        ways.append([name])
+        return kept(spark, seen(parts), name, *more)
+
+    for module in (keys, runs.gold):
+        monkeypatch.setattr(module, "keep_parts", watched)
+    assert report() == want and spark.conf.get(scratch._CLEANUP) == before
+    assert all(set(w[1:]) == {"true"} for w in ways) and {w[0]: len(w) - 1 for w in ways if len(w) > 4}.keys() == {"staging", "numbered"}
